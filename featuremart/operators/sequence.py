@@ -30,44 +30,56 @@ def _ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], num_partit
     return ranged.withColumn("_pid", F.spark_partition_id())
 
 
-def running_sum_within(
+def running_sums_within(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    value: str | Column,
-    out: str,
+    values: dict[str, str | Column],
     inclusive: bool = True,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """``sum(value) over (partition by keys order by order)`` as a running total.
+    """Running totals ``sum(value) over (partition by keys order by order)``
+    for several values at once (``values`` maps output name → column).
 
     ``order`` must make rows unique within a key (add an id as tie-break);
     ``inclusive=False`` excludes the current row (0 for a key's first row).
     """
     keys, order = list(keys), list(order)
-    val = F.col(value) if isinstance(value, str) else value
-    ranged = _ranged(df.withColumn("_v", val), keys, order, num_partitions)
+    names = list(values)
+    tmp = {f"_v{i}": (F.col(v) if isinstance(v, str) else v) for i, v in enumerate(values.values())}
+    ranged = _ranged(df.withColumns(tmp), keys, order, num_partitions)
     w = Window.partitionBy("_pid", *keys).orderBy(*order)
     frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    local = ranged.withColumns(
-        {
-            "_local": F.coalesce(F.sum("_v").over(frame), F.lit(0)),
-            "_slice": F.sum("_v").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        }
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    local_cols = {}
+    for t in tmp:
+        local_cols[f"{t}_local"] = F.coalesce(F.sum(t).over(frame), F.lit(0))
+        local_cols[f"{t}_slice"] = F.sum(t).over(whole)
+    local = ranged.withColumns(local_cols)
+    slices = local.groupBy("_pid", *keys).agg(*[F.first(f"{t}_slice").alias(f"{t}_slice") for t in tmp])
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = slices.select(
+        "_pid", *keys, *[F.coalesce(F.sum(f"{t}_slice").over(before), F.lit(0)).alias(f"{t}_carry") for t in tmp]
     )
-    slices = local.groupBy("_pid", *keys).agg(F.first("_slice").alias("_slice"))
-    carry = slices.withColumn(
-        "_carry",
-        F.coalesce(
-            F.sum("_slice").over(Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ),
-    ).drop("_slice")
     joined = local.join(carry, _key_match(local, carry, keys), "left")
-    result = joined.select(
-        local["*"], (local["_local"] + F.coalesce(carry["_carry"], F.lit(0))).alias(out)
-    )
-    return result.drop("_pid", "_v", "_local", "_slice")
+    outs = [
+        (local[f"{t}_local"] + F.coalesce(carry[f"{t}_carry"], F.lit(0))).alias(name) for t, name in zip(tmp, names)
+    ]
+    drop = ["_pid", *tmp, *[f"{t}_local" for t in tmp], *[f"{t}_slice" for t in tmp]]
+    return joined.select(local["*"], *outs).drop(*drop)
+
+
+def running_sum_within(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str | Column,
+    out: str,
+    inclusive: bool = True,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Single-value form of :func:`running_sums_within`."""
+    return running_sums_within(df, keys, order, {out: value}, inclusive, num_partitions)
 
 
 def lag_within(
