@@ -19,7 +19,7 @@ from featuremart.catalog import QUERIES, load_all  # noqa: E402
 from featuremart.session import get_session  # noqa: E402
 
 HEADLINE = [
-    "batch_features",
+    "batch_features",  # flagship
     "event_window_features",
     "session_features",
     "order_features",
@@ -27,11 +27,12 @@ HEADLINE = [
     "cohorts",
     "user_profile",
     "order_gaps",
+    "prior_bookings",
+    "association",
     "sales_lags",
-    "sales_rolling",
     "psi",
     "tfidf_sql",
-    "forecast_features",
+    "forecast_batch",  # end-to-end forecast: features, fit, save/load, predict, clip, write
 ]
 
 
@@ -47,6 +48,7 @@ def main() -> None:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+    panel_rows = QUERIES["sales_with_plan"](spark, sf_dir).count()
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(
         json.dumps(
@@ -57,6 +59,10 @@ def main() -> None:
                 "queries": times,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "flagship_sec": times.get("batch_features"),
+                "forecast_panel_rows": panel_rows,
+                "forecast_rows_per_sec": round(panel_rows / times["forecast_batch"], 1)
+                if times.get("forecast_batch")
+                else None,
                 "cpus": cpus,
             }
         )

@@ -1,9 +1,10 @@
 """Build-and-publish job, result manifest and validation of the written result.
 
-The feature frame is written once; the row count for the manifest is taken
-by an ``Observation`` on that same write, so there is no second pass. The
-target is any Hadoop-compatible URI (``s3a://bucket/prefix`` on a cluster,
-a local folder in tests); executors write their parts in parallel.
+The feature frame is computed and written once; the manifest's row count is
+read from what was written (parquet: row-group footers only; CSV: a count of
+the output files, which are output-sized, not input-sized). The target is
+any Hadoop-compatible URI (``s3a://bucket/prefix`` on a cluster, a local
+folder in tests); executors write their parts in parallel.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart.plans.batch_features import DEFAULT_WINDOWS, build_batch_features, feature_columns
@@ -54,9 +55,7 @@ def save_features(
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}")
     path = output_path(base, run_date)
-    obs = Observation("featuremart_write")
     out = features if fmt == "parquet" else _for_csv(features, run_date)
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     if single_file:
         out = out.coalesce(1)
     writer = out.write.mode("overwrite")
@@ -64,7 +63,8 @@ def save_features(
         writer.option("header", True).csv(path)
     else:
         writer.parquet(path)
-    return path, int(obs.get["rows"])
+    spark = features.sparkSession
+    return path, read_features(spark, path, fmt).count()
 
 
 def run_job(

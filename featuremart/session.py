@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,9 +35,12 @@ def get_session(
     ``shuffle_partitions`` to the data (AQE coalesces small ones anyway).
     """
     builder = SparkSession.builder.appName(app_name)
+    conf = dict(BASE_CONF)
     if master:
         builder = builder.master(master)
-    conf = dict(BASE_CONF)
+        if master.startswith("local"):
+            # local mode runs every task inside the driver JVM
+            conf["spark.driver.memory"] = os.environ.get("FEATUREMART_DRIVER_MEMORY", "12g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
