@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from featuremart.operators.parallelism import spread_for_cpu
 from featuremart.operators.sequence import running_sums_within
 
 # Meteorological seasons by month.
@@ -63,7 +64,7 @@ def review_tfidf(reviews: DataFrame) -> DataFrame:
     AQE splits skewed partitions.
     """
     m = reviews.select(F.count(F.lit(1))).scalar()
-    tokens = reviews.select(
+    tokens = spread_for_cpu(reviews.select("doc_id", "text")).select(
         "doc_id", F.explode(F.split(F.lower(F.col("text")), TOKEN_SPLIT)).alias("term")
     ).where(F.col("term") != "")
     tf = tokens.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))

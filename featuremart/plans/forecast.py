@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featuremart.operators.quantiles import exact_quantiles
+from featuremart.session import shared_dir
 
 SERIES = ("store_id", "dept")
 EPOCH_MONDAY = dt.date(1970, 1, 5)
@@ -116,15 +117,25 @@ def psi(
     is_current: Column,
     bins: int = 10,
     floor: float = PSI_FLOOR,
+    cut_lineage: bool = True,
 ) -> DataFrame:
     """Population stability index per feature: baseline = rows where
-    ``is_current`` is false, decile edges from its exact quantiles."""
+    ``is_current`` is false, decile edges from its exact quantiles.
+
+    The long (feature, value) table feeds the quantile ranking (which samples
+    it for range bounds) and the bucketing; with ``cut_lineage`` it is
+    checkpointed once to ``spark.checkpoint.dir`` instead of recomputing the
+    feature pipeline for every use.
+    """
     long = frame.select(
         is_current.alias("_cur"),
         F.explode(
             F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])
         ).alias("_f"),
     ).select("_cur", "_f.feature", "_f.x").where(F.col("x").isNotNull())
+    if cut_lineage:
+        shared_dir(frame.sparkSession)  # make sure a checkpoint folder is set
+        long = long.checkpoint(eager=True)
     probs = [i / bins for i in range(1, bins)]
     edges = (
         exact_quantiles(long.where(~F.col("_cur")), "x", probs, by=["feature"])

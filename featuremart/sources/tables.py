@@ -141,6 +141,12 @@ def clean_sources(src: Sources) -> CleanSources:
         _check_columns(name, df)
         df = _as_ntz(df.select(*SOURCE_COLUMNS[name]), TIME_COLUMN[name])
         if name in DEDUPE_KEY:
+            t = F.col(TIME_COLUMN[name])
+            # Safe before the dedupe: the earliest copy wins, so a key whose
+            # winner survives the cut-off keeps that winner here, and a key
+            # won by a copy without time keeps it too. Reaches the scan as a
+            # pushed filter, skipping data after the run date.
+            df = df.where((t < run) | t.isNull())
             df = dedupe_by_key(df, DEDUPE_KEY[name], order_by=[TIME_COLUMN[name]])
         if name == "events":
             df = df.where(F.col("product_id").isNotNull())
