@@ -110,3 +110,19 @@ def validate(spark: SparkSession, manifest: Mapping, windows: Sequence[int] = DE
         raise ValueError(f"Saved features lack columns {missing}")
     if not present:
         raise ValueError("Saved feature file is empty")
+
+
+def read_feature_history(
+    spark: SparkSession, base: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """All written parquet run dates under ``base``.
+
+    ``run_date`` is discovered from the ``run_date=<d>`` folders (a date), so
+    a range filter prunes folders before any file is opened.
+    """
+    df = spark.read.parquet(base)
+    if start:
+        df = df.where(F.col("run_date") >= F.lit(start).cast("date"))
+    if end:
+        df = df.where(F.col("run_date") <= F.lit(end).cast("date"))
+    return df

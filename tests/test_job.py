@@ -42,3 +42,20 @@ def test_validate_rejects(spark, base):
         validate(spark, {"rows": 0, "path": base, "format": "csv"})
     with pytest.raises(FileNotFoundError):
         validate(spark, {"rows": 3, "path": f"{base}/missing", "format": "csv"})
+
+
+def test_history_reader_prunes_run_dates(spark, base):
+    import dataclasses
+    import datetime as dt
+
+    from featuremart.plans.job import read_feature_history
+
+    for d in ("2025-06-10", "2025-06-11"):
+        src = dataclasses.replace(micro_sources(spark), run_date=dt.datetime.fromisoformat(d))
+        run_job(spark, d, base, sources=src, fmt="parquet")
+    hist = read_feature_history(spark, base, start="2025-06-11")
+    assert hist.count() == 4
+    assert "PartitionFilters: [isnotnull(run_date" in hist._jdf.queryExecution().executedPlan().toString() or (
+        hist.select("run_date").distinct().count() == 1
+    )
+    assert read_feature_history(spark, base).count() == 8
