@@ -15,13 +15,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def _key_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = left["_pid"] == right["_pid"]
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
+def _null_free(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Non-null stand-ins for the keys: (coalesced value, is-null flag) columns.
+
+    Windows and the carry join both use these plain columns, so the join's
+    required partitioning equals the window's output partitioning and the
+    large side is not shuffled again (a null-safe join key would be rewritten
+    into new expressions and force that shuffle).
+    """
+    cols: dict[str, Column] = {}
+    names: list[str] = []
+    for i, k in enumerate(keys):
+        dtype = df.schema[k].dataType
+        if isinstance(dtype, T.StringType):
+            default = F.lit("")
+        elif isinstance(dtype, T.BooleanType):
+            default = F.lit(False)
+        elif isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            default = F.lit(0).cast("timestamp").cast(dtype)
+        else:
+            default = F.lit(0).cast(dtype)
+        cols[f"_k{i}"] = F.coalesce(F.col(k), default)
+        cols[f"_n{i}"] = F.col(k).isNull()
+        names += [f"_k{i}", f"_n{i}"]
+    return (df.withColumns(cols) if cols else df), names
 
 
 def _ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], num_partitions: int | None) -> DataFrame:
@@ -47,8 +67,9 @@ def running_sums_within(
     keys, order = list(keys), list(order)
     names = list(values)
     tmp = {f"_v{i}": (F.col(v) if isinstance(v, str) else v) for i, v in enumerate(values.values())}
-    ranged = _ranged(df.withColumns(tmp), keys, order, num_partitions)
-    w = Window.partitionBy("_pid", *keys).orderBy(*order)
+    base, kcols = _null_free(df.withColumns(tmp), keys)
+    ranged = _ranged(base, keys, order, num_partitions)
+    w = Window.partitionBy("_pid", *kcols).orderBy(*order)
     frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     local_cols = {}
@@ -56,17 +77,16 @@ def running_sums_within(
         local_cols[f"{t}_local"] = F.coalesce(F.sum(t).over(frame), F.lit(0))
         local_cols[f"{t}_slice"] = F.sum(t).over(whole)
     local = ranged.withColumns(local_cols)
-    slices = local.groupBy("_pid", *keys).agg(*[F.first(f"{t}_slice").alias(f"{t}_slice") for t in tmp])
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    slices = local.groupBy("_pid", *kcols).agg(*[F.first(f"{t}_slice").alias(f"{t}_slice") for t in tmp])
+    before = Window.partitionBy(*kcols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     carry = slices.select(
-        "_pid", *keys, *[F.coalesce(F.sum(f"{t}_slice").over(before), F.lit(0)).alias(f"{t}_carry") for t in tmp]
+        "_pid", *kcols, *[F.coalesce(F.sum(f"{t}_slice").over(before), F.lit(0)).alias(f"{t}_carry") for t in tmp]
     )
-    joined = local.join(carry, _key_match(local, carry, keys), "left")
-    outs = [
-        (local[f"{t}_local"] + F.coalesce(carry[f"{t}_carry"], F.lit(0))).alias(name) for t, name in zip(tmp, names)
-    ]
-    drop = ["_pid", *tmp, *[f"{t}_local" for t in tmp], *[f"{t}_slice" for t in tmp]]
-    return joined.select(local["*"], *outs).drop(*drop)
+    joined = local.join(carry, ["_pid", *kcols], "left")
+    outs = [(F.col(f"{t}_local") + F.coalesce(F.col(f"{t}_carry"), F.lit(0))).alias(name) for t, name in zip(tmp, names)]
+    drop = ["_pid", *kcols, *tmp, *[f"{t}_local" for t in tmp], *[f"{t}_slice" for t in tmp],
+            *[f"{t}_carry" for t in tmp]]
+    return joined.select("*", *outs).drop(*drop)
 
 
 def running_sum_within(
@@ -96,14 +116,15 @@ def lag_within(
     nearest earlier partition that holds the key.
     """
     keys, order = list(keys), list(order)
-    ranged = _ranged(df, keys, order, num_partitions)
-    w = Window.partitionBy("_pid", *keys).orderBy(*order)
+    base, kcols = _null_free(df, keys)
+    ranged = _ranged(base, keys, order, num_partitions)
+    w = Window.partitionBy("_pid", *kcols).orderBy(*order)
     local = ranged.withColumns({"_prev": F.lag(value).over(w), "_rn": F.row_number().over(w)})
     last_row = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.col(value).alias("_val"))
-    tails = local.groupBy("_pid", *keys).agg(F.max(last_row).alias("_tail"))
+    tails = local.groupBy("_pid", *kcols).agg(F.max(last_row).alias("_tail"))
     carry = tails.withColumn(
-        "_carry", F.lag(F.col("_tail").getField("_val")).over(Window.partitionBy(*keys).orderBy("_pid"))
+        "_carry", F.lag(F.col("_tail").getField("_val")).over(Window.partitionBy(*kcols).orderBy("_pid"))
     ).drop("_tail")
-    joined = local.join(carry, _key_match(local, carry, keys), "left")
-    prev = F.when(local["_rn"] == 1, carry["_carry"]).otherwise(local["_prev"])
-    return joined.select(local["*"], prev.alias(out)).drop("_pid", "_prev", "_rn")
+    joined = local.join(carry, ["_pid", *kcols], "left")
+    prev = F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_prev"))
+    return joined.select("*", prev.alias(out)).drop("_pid", *kcols, "_prev", "_rn", "_carry")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from featuremart.operators.quantiles import exact_quantile_value
 from featuremart.operators.sequence import lag_within
+from featuremart.session import shared_dir
 
 BASE_CURRENCY = "RUB"
 PROFILE_ATTRIBUTES: tuple[str, ...] = ("device", "genre", "region", "service")
@@ -40,8 +41,18 @@ def convert_currency(orders: DataFrame, rates: DataFrame) -> DataFrame:
     )
 
 
-def trim_outliers(df: DataFrame, column: str = "revenue_rub", p: float = 0.99) -> DataFrame:
-    """Drop rows above the exact ``p`` quantile of ``column``."""
+def trim_outliers(
+    df: DataFrame, column: str = "revenue_rub", p: float = 0.99, cut_lineage: bool = True
+) -> DataFrame:
+    """Drop rows above the exact ``p`` quantile of ``column``.
+
+    The input is read twice (ranking, then filtering); with ``cut_lineage``
+    it is checkpointed once to ``spark.checkpoint.dir`` so its upstream plan
+    is not recomputed inside the quantile subquery.
+    """
+    if cut_lineage:
+        shared_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     return df.where(F.col(column).cast("double") <= exact_quantile_value(df, column, p))
 
 
@@ -98,18 +109,22 @@ def histogram(df: DataFrame, column: str, lo: float, hi: float, buckets: int) ->
 
 
 def first_order_segments(profile: DataFrame, attributes: Sequence[str] = ("genre", "device")) -> DataFrame:
-    """Per first-order attribute value: users, share of all users, return share."""
-    total = profile.select(F.count(F.lit(1))).scalar()
-    parts = []
-    for a in attributes:
-        g = profile.groupBy(F.col(f"first_{a}").alias("value")).agg(
-            F.count(F.lit(1)).alias("users"), F.avg(F.col("is_two").cast("double")).alias("return_share")
-        )
-        parts.append(g.select(F.lit(a).alias("attribute"), "value", "users", "return_share"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("share", F.col("users") / total)
+    """Per first-order attribute value: users, share of all users, return share.
+
+    One pass over the profile: each user contributes one row per attribute,
+    grouped by (attribute, value). The total per attribute (= all users)
+    comes from a window over that small grouped table, so the profile is
+    computed once.
+    """
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(f"first_{a}").alias("value")) for a in attributes])
+    )
+    long = profile.select(pairs.alias("s"), F.col("is_two").cast("double").alias("_two")).select("s.*", "_two")
+    grouped = long.groupBy("attribute", "value").agg(
+        F.count(F.lit(1)).alias("users"), F.avg("_two").alias("return_share")
+    )
+    total = F.sum("users").over(Window.partitionBy("attribute"))
+    return grouped.withColumn("share", F.col("users") / total)
 
 
 def loyalty_summary(profile: DataFrame) -> DataFrame:
