@@ -12,9 +12,11 @@ def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), d) for c, d in digits.items()})
 
 
-# DuckDB twin of featuremart.sources.standins, as CTEs. Any oracle that needs
-# the four source tables starts with this text.
-STANDIN_CTES = """
+# DuckDB twin of featuremart.sources.standins, as CTEs: the raw mapping to
+# src_customers / src_sessions / src_events / src_orders, then the cleaning
+# into c_sessions / c_events / c_orders. Any oracle that needs the four
+# source tables starts with STANDIN_CTES.
+RAW_CTES = """
 ev_map AS (
   SELECT event_id,
          user_id * 1000 + dayofyear(ts) AS session_id,
@@ -38,7 +40,10 @@ src_orders AS (
          CASE WHEN o_orderkey % 97 = 0 THEN 'n/a' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS total_usd
   FROM orders
 ),
-src_customers AS (SELECT c_custkey AS customer_id FROM customer),
+src_customers AS (SELECT c_custkey AS customer_id FROM customer)
+"""
+
+CLEAN_CTES = """
 c_events AS (
   SELECT event_id, session_id, "timestamp", event_type, product_id FROM (
     SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY "timestamp" NULLS FIRST, session_id NULLS FIRST,
@@ -61,6 +66,8 @@ c_orders AS (
 )
 """
 
+STANDIN_CTES = RAW_CTES.rstrip().rstrip('"') + ",\n" + CLEAN_CTES.strip() + "\n"
+
 # Feature CTEs in DuckDB over c_events / c_sessions / c_orders (run date
 # 2024-01-25: 7-day bound 2024-01-18, 30-day bound 2023-12-26).
 FEATURE_CTES = """
