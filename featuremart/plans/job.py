@@ -126,3 +126,34 @@ def read_feature_history(
     if end:
         df = df.where(F.col("run_date") <= F.lit(end).cast("date"))
     return df
+
+
+def run_backfill(
+    spark: SparkSession,
+    run_dates: Sequence[str | dt.datetime],
+    out: str,
+    paths: Mapping[str, str] | None = None,
+    source_format: str = "parquet",
+    source_options: Mapping[str, str] | None = None,
+    fmt: str = "parquet",
+    windows: Sequence[int] = DEFAULT_WINDOWS,
+    sources: Sources | None = None,
+) -> list[dict]:
+    """One independent job per run date, each writing its own folder.
+
+    Distinct product counts do not add up across days, so daily partial
+    results cannot serve the windows; each date is a full build whose
+    run-date filter reaches the scans (older dates read less). The loop runs
+    over dates only; every job is distributed, and a failed date can be rerun
+    alone (its folder is overwritten).
+    """
+    manifests = []
+    for rd in run_dates:
+        parsed = parse_run_date(rd)
+        src = None
+        if sources is not None:
+            src = Sources(sources.customers, sources.sessions, sources.events, sources.orders, parsed)
+        manifests.append(
+            run_job(spark, parsed, out, src, paths, source_format, source_options, fmt, windows)
+        )
+    return manifests

@@ -12,15 +12,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def visit_features(visits: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """One aggregate per user: visit statistics and the share of each category.
+
+    The fixed category list turns the pivot into conditional counts inside
+    the same aggregate as the total, so visits are shuffled once and no join
+    is needed for the denominator.
+    """
+    per_cat = [F.count_if(F.col("category") == c).alias(f"_n_{i}") for i, c in enumerate(categories)]
+    agg = visits.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("visits"),
+        F.avg("value").alias("avg_value"),
+        F.stddev_samp("value").alias("std_value"),
+        F.min("value").alias("min_value"),
+        F.max("value").alias("max_value"),
+        F.count_distinct("category").alias("n_categories"),
+        F.min("ts").alias("first_visit"),
+        F.max("ts").alias("last_visit"),
+        *per_cat,
+    )
+    shares = {f"share_{c}": F.col(f"_n_{i}") / F.col("visits") for i, c in enumerate(categories)}
+    return agg.withColumns(shares).drop(*[f"_n_{i}" for i in range(len(categories))])
+
+
 def category_shares(visits: DataFrame, categories: Sequence[str]) -> DataFrame:
     """Share of each user's visits per category (``share_<category>``)."""
-    counts = visits.groupBy("user_id").pivot("category", list(categories)).count()
-    total = visits.groupBy("user_id").agg(F.count(F.lit(1)).alias("_total"))
-    joined = counts.join(total, "user_id")
-    return joined.select(
-        "user_id",
-        *[(F.coalesce(F.col(f"`{c}`"), F.lit(0)) / F.col("_total")).alias(f"share_{c}") for c in categories],
-    )
+    return visit_features(visits, categories).select("user_id", *[f"share_{c}" for c in categories])
 
 
 def usage_stats(visits: DataFrame) -> DataFrame:
@@ -57,10 +74,8 @@ def user_wide(
         F.coalesce(F.sum("_lines"), F.lit(0)).alias("n_lines"),
         F.sum("_qty").alias("quantity"),
     )
-    wide = (
-        users.join(usage_stats(visits), "user_id", "left")
-        .join(category_shares(visits, categories), "user_id", "left")
-        .join(per_user_orders, "user_id", "left")
+    wide = users.join(visit_features(visits, categories), "user_id", "left").join(
+        per_user_orders, "user_id", "left"
     )
     return wide.withColumns(
         {

@@ -59,3 +59,12 @@ def test_history_reader_prunes_run_dates(spark, base):
         hist.select("run_date").distinct().count() == 1
     )
     assert read_feature_history(spark, base).count() == 8
+
+
+def test_backfill_writes_one_folder_per_date(spark, base):
+    from featuremart.plans.job import read_feature_history, run_backfill
+
+    ms = run_backfill(spark, ["2025-06-09", "2025-06-10"], base, sources=micro_sources(spark))
+    assert [m["run_date"] for m in ms] == ["2025-06-09", "2025-06-10"]
+    assert all(m["rows"] == 4 for m in ms)
+    assert read_feature_history(spark, base).select("run_date").distinct().count() == 2
