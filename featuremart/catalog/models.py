@@ -169,3 +169,20 @@ def forecast_batch(spark, sf_dir):
         sl.sales(spark, sf_dir), sl.store_features(spark, sf_dir), _scratch(spark, "gbt"),
         _scratch(spark, "forecasts"), VALIDATION_FROM,
     )
+
+
+@register("cancel_policy")
+def cancel_policy(spark, sf_dir):
+    """Calibrated held-out scores → best threshold by incremental revenue →
+    before/after outcome at that threshold."""
+    _, scored = _cancel_fit(spark, sf_dir)
+    calibrated, _ = cm.platt_calibrate(cm.positive_score(scored))
+    grid = hotel.GRID
+    held = calibrated.select(
+        "booking_id", "price", "stay_nights", F.col("is_canceled"),
+        F.least(F.floor(F.col("calibrated") * grid), F.lit(grid)).cast("int").alias("score_bucket"),
+    )
+    sweep = bk.threshold_sweep(held, grid=grid)
+    best_k = sweep.where("is_best").select((F.col("threshold") * grid).cast("int")).first()[0]
+    outcome = bk.policy_outcome(held, grid=grid, k=best_k)
+    return outcome.withColumn("threshold", F.lit(best_k / grid)).withColumn("revenue", F.col("revenue").cast("double"))
