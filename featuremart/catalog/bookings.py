@@ -38,7 +38,7 @@ def stay_features(spark, sf_dir):
         SQL_CTES,
         select="""SELECT booking_id, customer_id, arrival, is_canceled,
        count(*) OVER w AS prior_bookings,
-       coalesce(sum(CAST(is_canceled AS BIGINT)) OVER w, 0) AS prior_cancellations
+       CAST(coalesce(sum(CAST(is_canceled AS BIGINT)) OVER w, 0) AS BIGINT) AS prior_cancellations
 FROM h_book
 WINDOW w AS (PARTITION BY customer_id ORDER BY arrival, booking_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
     ),
@@ -117,12 +117,12 @@ def ir_threshold(spark, sf_dir):
         SQL_CTES,
         select="""SELECT 'before' AS scenario, count(*) AS bookings, count(*) FILTER (WHERE is_canceled) / count(*) AS cancel_share,
        CAST(coalesce(sum(price) FILTER (WHERE NOT is_canceled), 0) AS DOUBLE) AS revenue,
-       coalesce(sum(stay_nights) FILTER (WHERE NOT is_canceled), 0) AS occupied_nights
+       CAST(coalesce(sum(stay_nights) FILTER (WHERE NOT is_canceled), 0) AS BIGINT) AS occupied_nights
 FROM h_book
 UNION ALL
 SELECT 'after', count(*), count(*) FILTER (WHERE is_canceled) / count(*),
        CAST(coalesce(sum(price) FILTER (WHERE NOT is_canceled), 0) AS DOUBLE),
-       coalesce(sum(stay_nights) FILTER (WHERE NOT is_canceled), 0)
+       CAST(coalesce(sum(stay_nights) FILTER (WHERE NOT is_canceled), 0) AS BIGINT)
 FROM h_book WHERE score_bucket < 10""",
     ),
 )

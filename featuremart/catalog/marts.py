@@ -28,7 +28,7 @@ MART_CTES = with_ctes(
 per_user AS (
   SELECT o.user_id, count(*) AS n_orders, sum(amount) AS revenue, CAST(sum(amount) AS DOUBLE) / count(*) AS avg_check,
          min(order_time) AS first_order, max(order_time) AS last_order,
-         sum(p.n_payments) AS n_payments, sum(p.paid) AS paid
+         CAST(sum(p.n_payments) AS BIGINT) AS n_payments, sum(p.paid) AS paid
   FROM m_orders o LEFT JOIN pay p ON o.order_id = p.order_id GROUP BY o.user_id
 ),
 mart AS (
@@ -66,7 +66,7 @@ def order_segments(spark, sf_dir):
 @register(
     "top_regions",
     MART_CTES
-    + """SELECT region, sum(n_orders) AS orders, count(*) AS users, CAST(sum(revenue) AS DOUBLE) AS revenue,
+    + """SELECT region, CAST(sum(n_orders) AS BIGINT) AS orders, count(*) AS users, CAST(sum(revenue) AS DOUBLE) AS revenue,
        CAST(sum(revenue) AS DOUBLE) / sum(n_orders) AS avg_check
 FROM mart WHERE n_orders > 0 GROUP BY region ORDER BY sum(revenue) DESC, region LIMIT 3""",
 )

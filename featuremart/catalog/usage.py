@@ -46,7 +46,7 @@ def usage_stats(spark, sf_dir):
         SQL_CTES,
         select="""SELECT u.user_id, u.region, u.acctbal, u.segment, coalesce(s.visits, 0) AS visits,
        round(s.avg_value, 9) AS avg_value, round(s.std_value, 9) AS std_value, s.min_value, s.max_value,
-       s.n_categories, s.first_visit, s.last_visit,
+       coalesce(s.n_categories, 0) AS n_categories, s.first_visit, s.last_visit,
        sh.share_view, sh.share_click, sh.share_purchase, sh.share_signup, sh.share_error,
        coalesce(o.n_orders, 0) AS n_orders, CAST(o.order_amount AS DOUBLE) AS order_amount,
        coalesce(o.n_lines, 0) AS n_lines, CAST(o.quantity AS DOUBLE) AS quantity
@@ -80,7 +80,7 @@ f AS (
   FROM per
 )
 SELECT round(avg(CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END), 9) AS macro_f1,
-       count(*) AS classes, sum(support) AS n FROM f""",
+       count(*) AS classes, CAST(sum(support) AS BIGINT) AS n FROM f""",
 )
 def macro_f1(spark, sf_dir):
     return rounded(us.macro_f1(src.labelled_docs(spark, sf_dir), "label", "prediction"), {"macro_f1": 9})

@@ -80,6 +80,7 @@ def user_wide(
     return wide.withColumns(
         {
             "visits": F.coalesce("visits", F.lit(0)),
+            "n_categories": F.coalesce("n_categories", F.lit(0)),
             "n_orders": F.coalesce("n_orders", F.lit(0)),
             "n_lines": F.coalesce("n_lines", F.lit(0)),
         }

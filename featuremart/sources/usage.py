@@ -77,7 +77,7 @@ u_shares AS (
 ),
 u_orders AS (
   SELECT o.o_custkey AS user_id, count(*) AS n_orders, sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS order_amount,
-         coalesce(sum(l.lines), 0) AS n_lines, sum(l.qty) AS quantity
+         CAST(coalesce(sum(l.lines), 0) AS BIGINT) AS n_lines, sum(l.qty) AS quantity
   FROM orders o LEFT JOIN (
     SELECT l_orderkey, count(*) AS lines, sum(CAST(l_quantity AS DECIMAL(18,2))) AS qty FROM lineitem GROUP BY l_orderkey
   ) l ON o.o_orderkey = l.l_orderkey
