@@ -21,3 +21,26 @@ def test_scans_are_pruned(spark):
     plan = _plan(df)
     # the events scan reads only the five columns the stand-in needs
     assert "value" not in [c.strip() for c in plan.split("ReadSchema: struct<")[1].split(">")[0].split(",")]
+
+
+BAD_EVERYWHERE = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+# builders that write or stream at construction time are covered by their own tests
+SIDE_EFFECTS = {"features_csv_roundtrip", "features_parquet_roundtrip", "job_manifest", "stream_clean_events"}
+
+
+def _checked_names():
+    import __spark_entry__ as entry
+
+    return sorted(n for n in entry.oracle_sql() if n not in SIDE_EFFECTS)
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("name", _checked_names())
+def test_no_cartesian_or_python_in_any_plan(spark, name):
+    import __spark_entry__ as entry
+
+    plan = _plan(entry.queries()[name](spark, SF_SMALL))
+    for bad in BAD_EVERYWHERE:
+        assert bad not in plan, (name, bad)
