@@ -78,3 +78,18 @@ def exact_quantiles(
 def exact_quantile_value(df: DataFrame, value: str, p: float) -> Column:
     """A scalar-subquery column holding one exact quantile of the whole column."""
     return exact_quantiles(df, value, [p]).select("quantile").scalar()
+
+
+def approx_quantiles(
+    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), accuracy: int = 10000
+) -> DataFrame:
+    """Opt-in approximate form: ``percentile_approx`` keeps a mergeable sketch
+    per group (rank error about n / accuracy), so memory does not grow with n."""
+    by = list(by)
+    q = F.percentile_approx(F.col(value).cast("double"), [float(p) for p in probs], accuracy)
+    agg = df.where(F.col(value).isNotNull()).groupBy(*by).agg(q.alias("_q"))
+    plist = F.array(*[F.lit(float(p)) for p in probs])
+    pairs = F.transform("_q", lambda x, i: F.struct(F.element_at(plist, i + 1).alias("p"), x.alias("quantile")))
+    return agg.select(*by, F.explode(pairs).alias("_pq")).select(
+        *by, F.col("_pq.p").alias("p"), F.col("_pq.quantile").cast("double").alias("quantile")
+    )

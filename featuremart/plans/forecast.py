@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featuremart.operators.quantiles import exact_quantiles
+from featuremart.operators.quantiles import approx_quantiles, exact_quantiles
 from featuremart.session import shared_dir
 
 SERIES = ("store_id", "dept")
@@ -118,6 +118,7 @@ def psi(
     bins: int = 10,
     floor: float = PSI_FLOOR,
     cut_lineage: bool = True,
+    exact: bool = True,
 ) -> DataFrame:
     """Population stability index per feature: baseline = rows where
     ``is_current`` is false, decile edges from its exact quantiles.
@@ -137,8 +138,9 @@ def psi(
         shared_dir(frame.sparkSession)  # make sure a checkpoint folder is set
         long = long.checkpoint(eager=True)
     probs = [i / bins for i in range(1, bins)]
+    quantiles = exact_quantiles if exact else approx_quantiles
     edges = (
-        exact_quantiles(long.where(~F.col("_cur")), "x", probs, by=["feature"])
+        quantiles(long.where(~F.col("_cur")), "x", probs, by=["feature"])
         .groupBy("feature")
         .agg(F.array_sort(F.collect_list(F.struct("p", "quantile"))).alias("_e"))
         .select("feature", F.transform("_e", lambda s: s["quantile"]).alias("edges"))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from featuremart.operators.quantiles import exact_quantile_value
+from featuremart.operators.quantiles import approx_quantiles, exact_quantile_value
 from featuremart.operators.sequence import lag_within
 from featuremart.session import shared_dir
 
@@ -42,7 +42,7 @@ def convert_currency(orders: DataFrame, rates: DataFrame) -> DataFrame:
 
 
 def trim_outliers(
-    df: DataFrame, column: str = "revenue_rub", p: float = 0.99, cut_lineage: bool = True
+    df: DataFrame, column: str = "revenue_rub", p: float = 0.99, cut_lineage: bool = True, exact: bool = True
 ) -> DataFrame:
     """Drop rows above the exact ``p`` quantile of ``column``.
 
@@ -53,7 +53,11 @@ def trim_outliers(
     if cut_lineage:
         shared_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-    return df.where(F.col(column).cast("double") <= exact_quantile_value(df, column, p))
+    if exact:
+        limit = exact_quantile_value(df, column, p)
+    else:
+        limit = approx_quantiles(df, column, [p]).select("quantile").scalar()
+    return df.where(F.col(column).cast("double") <= limit)
 
 
 def order_gaps(orders: DataFrame) -> DataFrame:

@@ -58,3 +58,21 @@ def test_exact_quantiles_match_percentile(spark, skewed):
     glob = exact_quantiles(skewed, "t", [0.5, 0.99]).collect()
     ref = skewed.agg(F.percentile("t", F.array(F.lit(0.5), F.lit(0.99)))).collect()[0][0]
     assert sorted(r["quantile"] for r in glob) == pytest.approx(sorted(ref))
+
+
+def test_approx_quantiles_rank_error(spark, skewed):
+    """``percentile_approx`` returns a data value whose rank is within n/accuracy (+1) of p·n."""
+    from featuremart.operators.quantiles import approx_quantiles
+
+    probs = [0.1, 0.5, 0.9]
+    ap = {(r["k"], r["p"]): r["quantile"] for r in approx_quantiles(skewed, "t", probs, by=["k"]).collect()}
+    groups = {}
+    for r in skewed.select("k", "t").collect():
+        groups.setdefault(r["k"], []).append(r["t"])
+    for (k, p), q in ap.items():
+        vals = groups[k]
+        n = len(vals)
+        below = sum(v < q for v in vals)
+        at_or_below = sum(v <= q for v in vals)
+        slack = n / 10000 + 1
+        assert below <= p * n + slack and at_or_below >= p * n - slack, (k, p, q)
