@@ -186,3 +186,29 @@ def cancel_policy(spark, sf_dir):
     best_k = sweep.where("is_best").select((F.col("threshold") * grid).cast("int")).first()[0]
     outcome = bk.policy_outcome(held, grid=grid, k=best_k)
     return outcome.withColumn("threshold", F.lit(best_k / grid)).withColumn("revenue", F.col("revenue").cast("double"))
+
+
+@register("time_cv")
+def time_cv(spark, sf_dir):
+    """Time-ordered cross-validation: one fit per expanding fold (a loop over
+    folds, each fit distributed), scored on the following periods."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+
+    # every fold reads the same rows: compute them once, cut the lineage
+    shared_dir(spark)
+    data = bk.fold_assignments(_bookings(spark, sf_dir), folds=5).checkpoint(eager=True)
+    pipe = Pipeline(stages=[
+        VectorAssembler(inputCols=list(CANCEL_NUMERIC), outputCol="raw", handleInvalid="keep"),
+        StandardScaler(inputCol="raw", outputCol="features"),
+        LogisticRegression(labelCol="label", maxIter=50),
+    ])
+    out = None
+    for k in range(1, 6):
+        fold = data.where(F.col("fold") == k)
+        model = pipe.fit(fold.where(F.col("split") == "train"))
+        test = fold.where(F.col("split") == "test")
+        scored = us.macro_f1(model.transform(test), "label", "prediction").withColumn("fold", F.lit(k))
+        out = scored if out is None else out.unionByName(scored)
+    return out

@@ -73,15 +73,15 @@ def review_tfidf(reviews: DataFrame) -> DataFrame:
     return tf.join(df, "term").select("doc_id", "term", "tf", "df", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf"))
 
 
-def time_folds(bookings: DataFrame, folds: int = 5, period: str = "month") -> DataFrame:
-    """Expanding-window folds cut on period boundaries.
+def fold_assignments(bookings: DataFrame, folds: int = 5, period: str = "month", time_col: str = "arrival") -> DataFrame:
+    """Every row once per fold it takes part in, with ``fold`` and ``split``.
 
     With P distinct periods and h = P // (folds + 1), fold k trains on
     periods before P − (folds − k + 1)·h and tests on the next h periods.
     The distinct-period table is bounded by the calendar, so its dense
     index is computed on one small partition and broadcast back.
     """
-    per = bookings.withColumn("_period", F.date_trunc(period, "arrival"))
+    per = bookings.withColumn("_period", F.date_trunc(period, time_col))
     periods = per.select("_period").distinct()
     idx = periods.withColumns(
         {
@@ -101,8 +101,16 @@ def time_folds(bookings: DataFrame, folds: int = 5, period: str = "month") -> Da
             .alias("split"),
         ),
     )
-    exploded = rows.select("_period", F.explode(assign).alias("a")).where(F.col("a.split").isNotNull())
-    return exploded.groupBy(F.col("a.fold").alias("fold"), F.col("a.split").alias("split")).agg(
+    exploded = rows.withColumn("_a", F.explode(assign)).where(F.col("_a.split").isNotNull())
+    return exploded.withColumns({"fold": F.col("_a.fold"), "split": F.col("_a.split")}).drop(
+        "_a", "_idx", "_p"
+    )
+
+
+def time_folds(bookings: DataFrame, folds: int = 5, period: str = "month") -> DataFrame:
+    """Per fold and split: rows and the first / last period covered."""
+    assigned = fold_assignments(bookings, folds, period)
+    return assigned.groupBy("fold", "split").agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("_period").alias("first_period"),
         F.max("_period").alias("last_period"),

@@ -28,7 +28,7 @@ def duck():
 # Model fits have no SQL twin; everything else must carry an oracle.
 ROWS_ONLY = {
     "age_pipeline", "multiclass_models", "select_k_best", "rfe", "grid_search", "model_reload",
-    "cancel_model", "platt", "importance", "forecast_model", "forecast_batch", "cancel_policy",
+    "cancel_model", "platt", "importance", "forecast_model", "forecast_batch", "cancel_policy", "time_cv",
 }
 
 
