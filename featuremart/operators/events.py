@@ -36,6 +36,23 @@ def attribute_events(events: DataFrame, sessions: DataFrame) -> DataFrame:
     return joined.drop("_sid")
 
 
+def _attach_owner(rows: DataFrame, owners: DataFrame) -> DataFrame:
+    """Inner-join rows to their session's customer, NULL session matching NULL.
+
+    Non-null ids use a plain equi-join, which reuses the ``session_id`` hash
+    partitioning of the deduped sessions (a null-safe key would be rewritten
+    into new key expressions and reshuffle them). Rows of a NULL session,
+    the hottest key one can expect, never enter that join. Sessions are
+    unique per id after the dedupe, so at most one session has a NULL id.
+    Its customer is read by a scalar subquery whose ``session_id IS NULL``
+    filter reaches the scan.
+    """
+    keyed = rows.where(F.col("session_id").isNotNull()).join(owners, "session_id", "inner")
+    null_owner = owners.where(F.col("session_id").isNull()).select(F.max("customer_id")).scalar()
+    orphans = rows.where(F.col("session_id").isNull()).withColumn("customer_id", null_owner)
+    return keyed.unionByName(orphans.where(F.col("customer_id").isNotNull()))
+
+
 def session_product_rollup(
     events: DataFrame, run_date: dt.datetime, windows: Sequence[int] = DEFAULT_WINDOWS
 ) -> DataFrame:
@@ -64,10 +81,8 @@ def event_window_features(
     recent = rollup.where(F.col(f"any_{widest}") > 0).select(
         "session_id", "product_id", *count_cols, *any_cols
     )
-    owners = sessions.where(F.col("customer_id").isNotNull()).select(
-        F.col("session_id").alias("_sid"), "customer_id"
-    )
-    attributed = recent.join(owners, recent["session_id"].eqNullSafe(owners["_sid"]), "inner")
+    owners = sessions.where(F.col("customer_id").isNotNull()).select("session_id", "customer_id")
+    attributed = _attach_owner(recent, owners)
     per_product = attributed.groupBy("customer_id", "product_id").agg(
         *[F.sum(c).alias(c) for c in count_cols + any_cols]
     )
