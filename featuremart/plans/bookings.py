@@ -125,6 +125,7 @@ def threshold_sweep(
     IR(k) = Σ over flagged bookings of ``gain_rate·price`` when it would
     cancel, else ``−loss_rate·price``. Rows are pre-aggregated to the
     ``grid + 1`` score buckets; a running sum from the top gives every IR.
+    ``is_best`` marks the highest IR; ties go to the lower threshold.
     """
     gain = F.when(F.col("is_canceled"), F.col("price") * F.lit(gain_rate).cast("decimal(3,2)")).otherwise(
         -F.col("price") * F.lit(loss_rate).cast("decimal(3,2)")
