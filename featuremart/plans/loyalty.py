@@ -189,6 +189,8 @@ def association(
         ).alias("m"),
     ).select("col_a", "col_b", "m.measure", "m.value")
     num_pairs = [(a, b) for i, a in enumerate(numeric) for b in numeric[i + 1 :]]
+    if not num_pairs:
+        return cat
     num = profile.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in num_pairs])
     num_long = num.select(
         F.explode(
