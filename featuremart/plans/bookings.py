@@ -64,7 +64,7 @@ def review_tfidf(reviews: DataFrame) -> DataFrame:
     AQE splits skewed partitions.
     """
     m = reviews.select(F.count(F.lit(1))).scalar()
-    tokens = spread_for_cpu(reviews.select("doc_id", "text")).select(
+    tokens = spread_for_cpu(reviews.select("doc_id", "text"), key="doc_id").select(
         "doc_id", F.explode(F.split(F.lower(F.col("text")), TOKEN_SPLIT)).alias("term")
     ).where(F.col("term") != "")
     tf = tokens.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
