@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from featuremart.functions.columns import safe_ratio
 
-DEFAULT_WINDOWS: tuple[int, ...] = (7, 30)
+from featuremart.operators.constants import DEFAULT_WINDOWS  # noqa: E402
 
 
 def conversion_columns(windows: Sequence[int] = DEFAULT_WINDOWS) -> list[str]:

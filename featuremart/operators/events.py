@@ -24,9 +24,7 @@ from pyspark.sql import functions as F
 
 from featuremart.functions.columns import in_window
 
-# Event types counted per window, and the column prefixes.
-COUNTED_TYPES: tuple[str, ...] = ("page_view", "add_to_cart", "purchase")
-DEFAULT_WINDOWS: tuple[int, ...] = (7, 30)
+from featuremart.operators.constants import COUNTED_TYPES, DEFAULT_WINDOWS  # noqa: E402
 
 
 def attribute_events(events: DataFrame, sessions: DataFrame) -> DataFrame:

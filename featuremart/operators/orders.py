@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from featuremart.functions.columns import days_between, in_window, lenient_double, ts_literal
 
-ORDER_WINDOW = 30
+from featuremart.operators.constants import ORDER_WINDOW  # noqa: E402
 
 
 def order_features(orders: DataFrame, run_date: dt.datetime, window: int = ORDER_WINDOW) -> DataFrame:

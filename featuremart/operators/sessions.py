@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from featuremart.functions.columns import in_window, seconds_between, ts_literal, window_start
 
-DEFAULT_WINDOWS: tuple[int, ...] = (7, 30)
-LENGTH_WINDOW = 30
+from featuremart.operators.constants import DEFAULT_WINDOWS, LENGTH_WINDOW  # noqa: E402
 
 
 def session_spans(rollup: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from featuremart.operators.orders import ORDER_WINDOW, order_features
 from featuremart.operators.sessions import LENGTH_WINDOW, session_features, session_spans
 from featuremart.sources.tables import CleanSources, Sources, clean_sources
 
-DEFAULT_WINDOWS: tuple[int, ...] = (7, 30)
+from featuremart.operators.constants import DEFAULT_WINDOWS  # noqa: E402
 
 
 def feature_columns(windows: Sequence[int] = DEFAULT_WINDOWS) -> list[str]:
