@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart.llm import bpe, pii, postings, quality, simhash
-from featuremart.llm.text import stored
+from featuremart.llm.text import stored, unused
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,16 +18,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is 0.5 or more."""
     model = quality.fit(docs, _table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, into="_score").where("_score >= 0.5").select(*docs.columns)
+    name = unused(docs, "score")[0]
+    return quality.score(docs, model, into=name).where(F.col(name) >= 0.5).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies; rows
-    that repeat it in full count once."""
-    classes = simhash.near_duplicates(docs)
-    keep = classes.select(F.col("component_id").alias("_keep")).distinct()
-    keep = stored(keep, "kept-ids")
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_keep"]), "left_semi").dropDuplicates(["doc_id"])
+    """The document with the smallest doc_id of each group of near copies."""
+    return simhash.one_of_each(docs)
 
 
 def unseen_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -164,10 +164,12 @@ def _rated_features(kind: str, text: Column, x: Column) -> Column:
     return F.struct(s.alias("s"), e.alias("e"), *[values[f].alias(f) for f in FEATURES])
 
 
-def proposals(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with _base (kind, s, e of the base spans, in order) and _more (the
-    proposals with their features and whether a base span confirms them)."""
-    df = docs.withColumn("_t", F.coalesce(F.col(text), F.lit("")))
+def proposals(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """_row (the columns of ``docs``), _base (kind, s, e of the base spans, in order)
+    and _more (the proposals with their features and whether a base span
+    confirms them)."""
+    keep = [c for c in docs.columns if keep_text or c != text]
+    df = docs.select(F.struct(*keep).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
     t = F.col("_t")
     none = F.array().cast("array<string>")
     find = lambda p, ok: F.when(ok, F.regexp_extract_all(t, F.lit(p), F.lit(0))).otherwise(none)
@@ -192,7 +194,7 @@ def proposals(docs: DataFrame, text: str = "text") -> DataFrame:
 
         return F.transform(F.col(f"_c_{k}"), one)
 
-    return df.withColumn("_more", F.concat(*[rated(k, n) for n, k in enumerate(KINDS)])).select(*docs.columns, "_base", "_more")
+    return df.withColumn("_more", F.concat(*[rated(k, n) for n, k in enumerate(KINDS)])).select("_row", "_base", "_more")
 
 
 def tree_expression(node, f: Column) -> Column:
@@ -255,11 +257,9 @@ def fit(proposed: DataFrame, rows: int = SAMPLE) -> Rater:
     return rater
 
 
-def find(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """``docs`` with base_spans and added_spans: arrays of (kind, s, e) in order."""
-    docs = docs.drop("base_spans", "added_spans")
-    keep = [c for c in docs.columns if keep_text or c != text]
-    got = stored(proposals(docs, text).select(*keep, "_base", "_more"), "pii-proposals")
+def _found(docs: DataFrame, text: str, keep_text: bool = True) -> DataFrame:
+    """_row (the columns of ``docs``), base_spans and added_spans."""
+    got = stored(proposals(docs, text, keep_text), "pii-proposals")
     rater = fit(got)
     free = F.filter("_more", lambda x: ~x["other"])
     rated = F.transform(free, lambda x: F.struct(x["n"].alias("n"), x["f"]["s"].alias("s"), x["f"]["e"].alias("e"), rater.margin(x["f"]).alias("margin")))
@@ -273,7 +273,12 @@ def find(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFra
         return ~F.exists("_rated", wins)
 
     added = F.transform(F.filter("_rated", stays), lambda x: F.struct(x["n"].alias("kind"), x["s"].alias("s"), x["e"].alias("e")))
-    return got.select(*keep, F.col("_base").alias("base_spans"), F.array_sort(added).alias("added_spans"))
+    return got.select("_row", F.col("_base").alias("base_spans"), F.array_sort(added).alias("added_spans"))
+
+
+def find(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``docs`` with base_spans and added_spans: arrays of (kind, s, e) in order."""
+    return _found(docs.drop("base_spans", "added_spans"), text, keep_text).select("_row.*", "base_spans", "added_spans")
 
 
 def _said(spans: Column) -> Column:
@@ -284,19 +289,19 @@ def _said(spans: Column) -> Column:
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in brackets."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    got = find(docs, text)
-    order = F.array_sort(F.transform(F.concat("base_spans", "added_spans"), lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("r"), x["kind"].alias("kind"))))
-    got = got.withColumn("_spans", order)
-    t = F.col(text)
+    got = _found(docs, text)
+    t = F.col("_row")[text]
+    spans = F.transform(F.concat("base_spans", "added_spans"), lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("r"), x["kind"].alias("kind")))
+    got = got.withColumn("spans", F.array_sort(spans))
 
     def cut(acc: Column, x: Column) -> Column:
-        e = -x["r"]
         more = F.concat(acc["out"], F.substring(t, acc["n"] + 1, x["s"] - acc["n"]), F.element_at(names, x["kind"] + 1))
-        fresh = x["s"] >= acc["n"]
-        return F.struct(F.greatest(acc["n"], e).alias("n"), F.when(fresh, more).otherwise(acc["out"]).alias("out"))
+        fresh = x["s"] >= acc["n"]  # else it overlaps what is masked already
+        return F.struct(F.greatest(acc["n"], -x["r"]).alias("n"), F.when(fresh, more).otherwise(acc["out"]).alias("out"))
 
-    clean = F.aggregate("_spans", F.struct(F.lit(0).alias("n"), F.lit("").alias("out")), cut, lambda a: F.concat(a["out"], F.substring(t, a["n"] + 1, F.length(t))))
-    return got.withColumn(text, F.when(F.size("_spans") > 0, clean).otherwise(t)).select(*docs.columns)
+    clean = F.aggregate("spans", F.struct(F.lit(0).alias("n"), F.lit("").alias("out")), cut, lambda a: F.concat(a["out"], F.substring(t, a["n"] + 1, F.length(t))))
+    masked = F.when(F.size("spans") > 0, clean).otherwise(t)
+    return got.select(*[masked.alias(c) if c == text else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featuremart.llm.components import components
-from featuremart.llm.text import LOWER, SPACE_WORDS, slices, stored, utf8, word_spans
+from featuremart.llm.text import LOWER, SPACE_WORDS, slices, stored, unused, utf8, word_spans
 
 WIDTH = 4
 MAX_DISTANCE = 4
@@ -168,14 +168,37 @@ def near_links(distinct: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFra
     return two.unionByName(tiles.mapInArrow(_tile_links(max_distance), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, max_distance: int = MAX_DISTANCE, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def classified(docs: DataFrame, width: int = WIDTH, max_distance: int = MAX_DISTANCE) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_hash, fp) of every row of ``docs`` (doc_id, text), and
+    (fp, component) of every fingerprint; a component is named by one of its
+    fingerprints."""
+    d = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    fps = stored(fingerprints(d, width, into="fp"), "simhash-fp")
+    distinct = stored(fps.select("fp").distinct(), "simhash-distinct")
+    nodes = stored(components(near_links(distinct, max_distance)), "simhash-nodes")
+    member = distinct.join(nodes, distinct.fp == nodes.node, "left").select("fp", F.coalesce("component", "fp").alias("component"))
+    return fps, stored(member, "simhash-member")
+
+
+def near_duplicates(docs: DataFrame, width: int = WIDTH, max_distance: int = MAX_DISTANCE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id, one row per row of ``docs``."""
-    fps = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-    fps = stored(fingerprints(fps, width, into="fp"), "simhash-fp")
+    fps, member = classified(docs, width, max_distance)
     first = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-first")
-    nodes = stored(components(near_links(first.select("fp"), max_distance)), "simhash-nodes")
-    member = first.join(nodes, first.fp == nodes.node, "left").select("fp", "low", F.coalesce("component", "fp").alias("component"))
-    member = stored(member, "simhash-member")
-    root = stored(member.groupBy("component").agg(F.min("low").alias("component_id")), "simhash-root")
-    classes = stored(member.join(root, "component").select("fp", "component_id"), "simhash-class")
+    root = first.join(member, "fp").groupBy("component").agg(F.min("low").alias("component_id"))
+    classes = stored(member.join(stored(root, "simhash-root"), "component").select("fp", "component_id"), "simhash-class")
     return fps.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, width: int = WIDTH, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """The row of each component with the smallest doc_id (null ids last), then
+    the smallest hash of the text; rows that repeat it are one."""
+    fps, member = classified(docs.select("doc_id", "text"), width, max_distance)
+    # the smallest row of each fingerprint, then of each component
+    keys = unused(docs, "none", "id", "hash")
+    row = F.struct(F.isnull("doc_id").alias(keys[0]), F.col("doc_id").alias(keys[1]), F.col("text_hash").alias(keys[2]))
+    low = stored(fps.groupBy("fp").agg(F.min(row).alias("row")), "simhash-rows")
+    keep = low.join(member, "fp").groupBy("component").agg(F.min("row").alias("row"))
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    keep = stored(keep.select("row.*").withColumn(keys[1], name(keys[1])), "simhash-keep")
+    d = docs.withColumns(dict(zip(keys, (F.isnull("doc_id"), name("doc_id"), F.xxhash64("text")), strict=True)))
+    return d.join(keep, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)

@@ -53,14 +53,26 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint(spark)}/{name}-{os.urandom(6).hex()}"
 
 
-def stored(df, name: str):
-    """Write ``df`` once to the shared folder and read it back."""
+def stored(df, name: str, files: int | None = None):
+    """Write ``df`` once to the shared folder and read it back; ``files`` at most,
+    where the caller knows that it is small for its number of partitions."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    (df if files is None else df.coalesce(files)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df, *names: str) -> list[str]:
+    """The names, with underscores before those that ``df`` has already."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def utf8(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes and the n+1 offsets of a string array; null counts as empty."""
     if isinstance(arr, pa.ChunkedArray):
