@@ -114,9 +114,21 @@ def _draws(names: np.ndarray, seed: int) -> Callable[[np.ndarray, int], np.ndarr
     return draw
 
 
-def byte_model(cells: np.ndarray, counts: np.ndarray, seed: int) -> np.ndarray:
-    """Sample the seating of the byte restaurants bottom-up, and return the
-    predictive log-probability of each byte in each full context."""
+@dataclass
+class Spelling:
+    """Predictive log-probability of each byte; contexts without customers share
+    the row of their parent."""
+
+    row: np.ndarray  # of each context
+    logp: np.ndarray  # (rows, 256)
+
+    def of(self, cells: np.ndarray) -> np.ndarray:
+        return self.logp[self.row[cells >> 8], cells & 255].astype(np.float64)
+
+
+def byte_model(cells: np.ndarray, counts: np.ndarray, seed: int) -> Spelling:
+    """Sample the seating of the byte restaurants bottom-up, and return their
+    predictive probabilities."""
     levels = []  # (restaurant * 256 + byte, customers, tables), deepest first
     base = 1.0 / 256
     for level in range(ORDER + 1):
@@ -128,22 +140,26 @@ def byte_model(cells: np.ndarray, counts: np.ndarray, seed: int) -> np.ndarray:
         up = (restaurant // CLASSES) * 256 + cells % 256
         cells, inverse = np.unique(up, return_inverse=True)
         counts = np.bincount(inverse, weights=tables).astype(np.int64) if len(up) else tables
-    p = np.full((1, 256), base)
+    seen = np.unique(levels[0][0] // 256)
+    above = p = np.full((1, 256), base)
     for k, (cells, counts, tables) in enumerate(reversed(levels)):
         rooms = CLASSES**k
         c = np.bincount(cells // 256, weights=counts, minlength=rooms)
         t = np.bincount(cells // 256, weights=tables, minlength=rooms)
         parent = np.arange(rooms) // CLASSES if k else np.zeros(1, np.int64)
+        above = p
         p = p[parent] * ((STRENGTH + DISCOUNT * t) / (STRENGTH + c))[:, None]
         p[cells // 256, cells % 256] += (counts - DISCOUNT * tables) / (STRENGTH + c)[cells // 256]
-    return np.log(p).astype(np.float32)
+    row = np.arange(CONTEXTS) // CLASSES
+    row[seen] = len(above) + np.arange(len(seen))
+    return Spelling(row.astype(np.int32), np.log(np.concatenate([above, p[seen]])).astype(np.float32))
 
 
 @dataclass
 class Sweep:
     """What a word's probability in one sweep takes besides its own counts."""
 
-    spelling: np.ndarray  # log-probability of each byte by context
+    spelling: Spelling
     tables: float  # all tables of the word restaurant before this sweep
     seed: int
 
@@ -154,7 +170,7 @@ def _word_probability(words: pa.Array, c: np.ndarray, sweeps: list[Sweep], total
     h = span_hash(*_bounds(words))
     mean, tables = np.zeros(len(c)), np.minimum(c, 1)
     for s in sweeps:
-        p = np.exp(row_sums(s.spelling.reshape(-1)[cells].astype(np.float64), off))
+        p = np.exp(row_sums(s.spelling.of(cells), off))
         open_ = WORD_STRENGTH + discount * s.tables
         tables = seat(c, open_ * p, discount, _draws(h, s.seed))
         mean += (np.maximum(c - discount * tables, 0) + open_ * p) / (WORD_STRENGTH + total)
@@ -282,6 +298,7 @@ def fit(texts: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN, seed: in
         cell, n = got["cell"].to_numpy().astype(np.int64), got["n"].to_numpy().astype(np.int64)
         spelling = byte_model(cell[cell >= 0], n[cell >= 0], seed + k)
         last = Sweep(spelling, float(n[cell < 0].sum()), seed + k)
+        now.unpersist()
         if k >= burn_in:
             kept.append(last)
     shared = sc.broadcast(kept)
