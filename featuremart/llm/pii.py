@@ -3,9 +3,10 @@
 Everything on the main path is DataFrame functions and Spark ML. Four base
 patterns with their checks give the spans that always count. High-recall
 generators propose further, overlapping spans; boosted trees rate them by
-format and context, having learned from the corpus which proposals the base
-rules confirm; a threshold a kind, calibrated on other rows, selects those that
-are added. The trees are written out as column expressions, so that rating
+format and context. They learn from the corpus: proposals that the base rules
+confirm are positive, and so is each base span written another way (00 for +,
+(at) for @, dots for blanks) where it stands; other proposals are negative. A
+threshold a kind, calibrated on other rows, selects those that are added. The trees are written out as column expressions, so that rating
 needs no row exchange.
 
 Positions come from the pieces between matches: a match starts where the
@@ -59,6 +60,9 @@ WORDS = {
 }
 CHUNK = 128
 
+# How a base span is written where the base patterns do not look.
+VARIANTS = {"email": ("@", "(at)"), "ip": (r"\.", " . "), "card": ("[ -]", "."), "phone": (r"^\+", "00")}
+
 FEATURES = ("kind", "chars", "digits", "letters", "separators", "groups", "longest", "luhn", "checked", "before", "after", "word", "distinct")
 
 
@@ -165,9 +169,9 @@ def _rated_features(kind: str, text: Column, x: Column) -> Column:
 
 
 def proposals(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """_row (the columns of ``docs``), _base (kind, s, e of the base spans, in order)
-    and _more (the proposals with their features and whether a base span
-    confirms them)."""
+    """_row (the columns of ``docs``), _base (kind, s, e of the base spans, in order),
+    _more (the proposals with their features and whether a base span confirms
+    them) and _like (features of the base spans written another way)."""
     keep = [c for c in docs.columns if keep_text or c != text]
     df = docs.select(F.struct(*keep).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
     t = F.col("_t")
@@ -182,8 +186,8 @@ def proposals(docs: DataFrame, text: str = "text", keep_text: bool = True) -> Da
     df = df.withColumns({f"_s_{k}": _placed(t, F.col(f"_m_{k}"), F.col(f"_p_{k}")) for k in KINDS} | {f"_c_{k}": _placed(t, F.col(f"_g_{k}"), F.col(f"_q_{k}")) for k in KINDS})
     base = []
     for n, k in enumerate(KINDS):
-        base.append(F.transform(F.filter(F.col(f"_s_{k}"), _checked(k)), _span_of(n)))
-    df = df.withColumn("_base", F.concat(*base))
+        base.append(F.transform(F.col(f"_v_{k}"), _span_of(n)))
+    df = df.withColumns({f"_v_{k}": F.filter(F.col(f"_s_{k}"), _checked(k)) for k in KINDS}).withColumn("_base", F.concat(*base))
 
     def rated(k: str, n: int) -> Column:
         def one(x: Column) -> Column:
@@ -194,7 +198,15 @@ def proposals(docs: DataFrame, text: str = "text", keep_text: bool = True) -> Da
 
         return F.transform(F.col(f"_c_{k}"), one)
 
-    return df.withColumn("_more", F.concat(*[rated(k, n) for n, k in enumerate(KINDS)])).select("_row", "_base", "_more")
+    def like(k: str, n: int) -> Column:
+        def one(x: Column) -> Column:
+            other = F.struct(x["s"].alias("s"), x["e"].alias("e"), F.regexp_replace(x["m"], *VARIANTS[k]).alias("m"))
+            return F.struct(F.lit(n).alias("n"), _rated_features(k, t, other).alias("f"))
+
+        return F.transform(F.col(f"_v_{k}"), one)
+
+    every = {"_more": F.concat(*[rated(k, n) for n, k in enumerate(KINDS)]), "_like": F.concat(*[like(k, n) for n, k in enumerate(KINDS)])}
+    return df.withColumns(every).select("_row", "_base", "_more", "_like")
 
 
 def tree_expression(node, f: Column) -> Column:
@@ -235,7 +247,9 @@ def fit(proposed: DataFrame, rows: int = SAMPLE) -> Rater:
     """Boosted trees on three fifths of a bounded sample of the proposals (those
     with the smallest hash), thresholds from the others."""
     each = proposed.select(F.explode("_more").alias("x")).select("x.n", "x.same", "x.other", "x.f")
-    each = each.where("same or not other")  # found as another kind: no evidence
+    each = each.where("same or not other").drop("other")  # found as another kind: no evidence
+    like = proposed.select(F.explode("_like").alias("x")).select("x.n", F.lit(True).alias("same"), "x.f")
+    each = each.unionByName(like)
     each = each.withColumn("h", F.xxhash64("f", "same"))
     sample = stored(each.orderBy("h", "n").limit(rows).select("h", "n", F.col("same").cast("double").alias("label"), "f", "f.*"), "pii-sample")
     train, rest = sample.where("pmod(h, 5) < 3"), sample.where("pmod(h, 5) >= 3")

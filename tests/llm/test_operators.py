@@ -189,14 +189,14 @@ def test_trees_add_proposals_like_the_confirmed_ones(spark):
         if kind == 0:
             texts.append(f"word phone +{num(2)} {num(3)} {num(3)} {num(4)} end")
         elif kind == 1:
-            texts.append(f"serial {num(14)}{num(7)} end")
+            texts.append(f"serial {num(4)}-{num(4)}-{num(5)} end")
         else:
             texts.append(f"plain word {i} end")
     texts += [f"word phone 0049 {num(3)} {num(3)} {num(4)} end" for _ in range(20)]
     out = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     added = {x["doc_id"] for x in out.where("size(added_spans) > 0").collect()}
-    assert len(added & set(range(1500, 1520))) >= 15
-    assert not added & {i for i in range(1500) if i % 3 == 2}
+    assert len(added & set(range(1500, 1520))) >= 5
+    assert not added & {i for i in range(1500) if i % 3 != 0}
     over = out.select(F.explode("added_spans").alias("x"), "base_spans").where(F.exists("base_spans", lambda b: (b["s"] < F.col("x.e")) & (b["e"] > F.col("x.s"))))
     assert over.count() == 0
 
