@@ -52,6 +52,7 @@ DISCOUNT, STRENGTH = 0.75, 1.0  # of the byte restaurants
 WORD_STRENGTH = 10.0
 CONTEXT_WORDS = 1023
 WORD_CONTEXT = 0.8, 50.0  # discount and strength of the restaurants of frequent words
+FEW = 8  # customers seated one by one
 END = "\n"  # the end token; no word holds it
 
 _CLASS = np.array([27 + (b * 7) % 5 for b in range(256)], np.int32)
@@ -90,14 +91,18 @@ def seat(customers: np.ndarray, weight: np.ndarray, discount: float, draw: Calla
     k = 0
     while len(live):
         a = np.maximum(weight[live], 1e-300)
-        # chance that nobody opens a table up to customer x: (x0 / x) ** a nearly
-        x0 = np.maximum(seated - discount * tables[live] + a / 2, 1e-9)
-        with np.errstate(over="ignore"):
-            x = np.minimum(x0 * draw(live, k) ** (-1.0 / a), 1e18)
-        nxt = np.floor(x - x0 + seated) + 1
-        opened = nxt <= customers[live]
-        live, seated = live[opened], nxt[opened]
-        tables[live] += 1
+        x = seated - discount * tables[live]
+        u = draw(live, k)
+        # few customers: seat one; more: the chance that the next m all join a
+        # table is a ratio of gamma functions, nearly (y / (y + m)) ** a
+        y = x + (a - 1) / 2
+        with np.errstate(over="ignore", invalid="ignore"):
+            joined = np.floor(np.minimum(y * (u ** (-1.0 / a) - 1), 1e18))
+        one = x < FEW
+        opens = ~one | (u * (a + x) < a)
+        seated = seated + np.where(one, 0, joined) + 1
+        inside = seated <= customers[live]
+        tables[live[opens & inside]] += 1
         more = seated < customers[live]
         live, seated = live[more], seated[more]
         k += 1
