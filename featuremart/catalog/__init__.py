@@ -28,10 +28,4 @@ def register(name: str, oracle: str | None = None) -> Callable[[Builder], Builde
 
 def load_all() -> None:
     """Import every catalog module so its registrations run."""
-    from featuremart.catalog import core  # noqa: F401
-    for mod in ("marts", "loyalty", "usage", "bookings", "forecast", "streams", "models"):
-        try:
-            __import__(f"featuremart.catalog.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"featuremart.catalog.{mod}":
-                raise
+    from featuremart.catalog import bookings, core, forecast, loyalty, marts, models, streams, usage  # noqa: F401

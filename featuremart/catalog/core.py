@@ -15,7 +15,7 @@ from featuremart.operators.events import attribute_events, event_window_features
 from featuremart.operators.orders import order_features
 from featuremart.operators.sessions import session_features, session_lengths, session_spans
 from featuremart.plans.batch_features import build_from_clean, customer_spine, feature_columns
-from featuremart.plans.job import read_features, run_job
+from featuremart.plans.job import read_features, run_job, validate
 from featuremart.session import shared_dir
 from featuremart.sources.standins import standin_sources, table
 from featuremart.sources.tables import clean_sources
@@ -214,3 +214,31 @@ def job_manifest(spark, sf_dir):
         [(manifest["run_date"], manifest["rows"], manifest["format"])],
         "run_date string, rows long, format string",
     )
+
+
+@register(
+    "validate_result",
+    """SELECT * FROM (VALUES ('complete', 'accepted'), ('empty', 'ValueError'), ('incomplete', 'ValueError'),
+                      ('missing', 'FileNotFoundError')) t(written, outcome)
+WHERE (SELECT count(*) FROM customer) > 0""",
+)
+def validate_result(spark, sf_dir):
+    """What validation says of a complete, an empty, an incomplete and a missing result."""
+    manifest, back = _roundtrip(spark, sf_dir, "parquet")
+    base = manifest["path"]
+    back.limit(0).write.parquet(f"{base}-empty")
+    back.drop("orders_30").write.parquet(f"{base}-incomplete")
+    cases = {
+        "complete": manifest,
+        "empty": {**manifest, "path": f"{base}-empty"},
+        "incomplete": {**manifest, "path": f"{base}-incomplete"},
+        "missing": {**manifest, "path": f"{base}-missing"},
+    }
+    out = []
+    for name, m in cases.items():
+        try:
+            validate(spark, m)
+            out.append((name, "accepted"))
+        except (ValueError, FileNotFoundError) as error:
+            out.append((name, type(error).__name__))
+    return spark.createDataFrame(out, "written string, outcome string")

@@ -68,12 +68,15 @@ def order_gaps(spark, sf_dir):
 
 PROFILE_SELECT = """SELECT user_id, first_order, last_order, n_orders, CAST(revenue_rub AS DOUBLE) AS revenue_rub,
        avg_revenue_rub, first_device, first_genre, first_region, first_service,
-       n_genres, n_devices, round(avg_gap_days, 9) AS avg_gap_days, is_two, is_five FROM t_profile"""
+       last_device, last_genre, last_region, last_service, CAST(last_revenue_rub AS DOUBLE) AS last_revenue_rub,
+       CAST(min_revenue_rub AS DOUBLE) AS min_revenue_rub, CAST(max_revenue_rub AS DOUBLE) AS max_revenue_rub, span_days,
+       n_regions, n_services, n_months, weekend_share, max_gap_days, n_genres, n_devices, round(avg_gap_days, 9) AS avg_gap_days, is_two, is_five FROM t_profile"""
 
 
 @register("user_profile", with_ctes(SQL_CTES, select=PROFILE_SELECT))
 def user_profile(spark, sf_dir):
-    out = _profile(spark, sf_dir).withColumn("revenue_rub", F.col("revenue_rub").cast("double"))
+    money = ("revenue_rub", "last_revenue_rub", "min_revenue_rub", "max_revenue_rub")
+    out = _profile(spark, sf_dir).withColumns({c: F.col(c).cast("double") for c in money})
     return rounded(out, {"avg_gap_days": 9})
 
 

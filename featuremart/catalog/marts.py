@@ -15,7 +15,7 @@ M = 9  # digits for means of non-money doubles
 
 
 def _mart(spark, sf_dir):
-    return marts.user_mart(mk.users(spark, sf_dir), mk.orders(spark, sf_dir), mk.payments(spark, sf_dir))
+    return marts.user_mart(mk.users(spark, sf_dir), mk.orders(spark, sf_dir), mk.payments(spark, sf_dir), mk.ratings(spark, sf_dir))
 
 
 def as_double(df, *cols):
@@ -25,15 +25,16 @@ def as_double(df, *cols):
 MART_CTES = with_ctes(
     SQL_CTES,
     """pay AS (SELECT order_id, count(*) AS n_payments, sum(paid) AS paid FROM m_payments GROUP BY order_id),
+rat AS (SELECT order_id, count(rating) AS n_ratings, sum(rating) AS stars FROM m_ratings GROUP BY order_id),
 per_user AS (
-  SELECT o.user_id, count(*) AS n_orders, sum(amount) AS revenue, CAST(sum(amount) AS DOUBLE) / count(*) AS avg_check,
+  SELECT o.user_id, CAST(coalesce(sum(r.n_ratings), 0) AS BIGINT) AS n_ratings, CAST(sum(r.stars) AS DOUBLE) / sum(r.n_ratings) AS avg_rating, count(*) AS n_orders, sum(amount) AS revenue, CAST(sum(amount) AS DOUBLE) / count(*) AS avg_check,
          min(order_time) AS first_order, max(order_time) AS last_order,
          CAST(sum(p.n_payments) AS BIGINT) AS n_payments, sum(p.paid) AS paid
-  FROM m_orders o LEFT JOIN pay p ON o.order_id = p.order_id GROUP BY o.user_id
+  FROM m_orders o LEFT JOIN pay p ON o.order_id = p.order_id LEFT JOIN rat r ON o.order_id = r.order_id GROUP BY o.user_id
 ),
 mart AS (
   SELECT u.user_id, u.region, coalesce(n_orders, 0) AS n_orders, coalesce(revenue, 0) AS revenue, avg_check,
-         first_order, last_order, coalesce(n_payments, 0) AS n_payments, coalesce(paid, 0) AS paid
+         first_order, last_order, coalesce(n_payments, 0) AS n_payments, coalesce(paid, 0) AS paid, coalesce(n_ratings, 0) AS n_ratings, avg_rating
   FROM m_users u LEFT JOIN per_user p ON u.user_id = p.user_id
 )""",
     select="",
@@ -44,7 +45,7 @@ mart AS (
     "user_mart",
     MART_CTES
     + """SELECT user_id, region, n_orders, CAST(revenue AS DOUBLE) AS revenue, avg_check,
-       first_order, last_order, n_payments, CAST(paid AS DOUBLE) AS paid FROM mart""",
+       first_order, last_order, n_payments, CAST(paid AS DOUBLE) AS paid, n_ratings, avg_rating FROM mart""",
 )
 def user_mart(spark, sf_dir):
     return as_double(_mart(spark, sf_dir), "revenue", "paid")

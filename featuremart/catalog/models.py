@@ -1,4 +1,4 @@
-"""Model checks (rows only: fits have no SQL twin). Each reads the test
+"""Model checks (fits have no SQL twin; what is exact around them has). Each reads the test
 tables through the stand-ins, fits distributed MLlib models and returns a
 small DataFrame of results."""
 
@@ -9,17 +9,21 @@ import uuid
 from pyspark.sql import functions as F
 
 from featuremart.catalog import register
+from featuremart.catalog.common import rounded, with_ctes
+from featuremart.catalog.usage import WIDE_CTE, wide_users
 from featuremart.models import age_group as ag
 from featuremart.models import cancellation as cm
 from featuremart.models import sales_model as sm
 from featuremart.plans import bookings as bk
 from featuremart.plans import forecast as fc
 from featuremart.plans import usage as us
-from featuremart.session import shared_dir
+from featuremart.session import shared_dir, stored
 from featuremart.sources import hotel
 from featuremart.sources import sales as sl
-from featuremart.sources import usage as usrc
+from featuremart.sources.hotel import SQL_CTES as HOTEL_CTES
+from featuremart.sources.sales import SQL_CTES as SALES_CTES
 from featuremart.sources.standins import table
+from featuremart.sources.usage import SQL_CTES as USAGE_CTES
 
 NUMERIC = (
     "visits", "avg_value", "std_value", "min_value", "max_value", "n_categories", "share_view", "share_click",
@@ -28,6 +32,7 @@ NUMERIC = (
 CATEGORICAL = ("region",)
 LABEL = "segment"
 VALIDATION_FROM = "2000-06-01"
+TEST_FROM = "2000-09-01"
 
 
 def _scratch(spark, name: str) -> str:
@@ -35,15 +40,13 @@ def _scratch(spark, name: str) -> str:
 
 
 def _users(spark, sf_dir):
-    wide = us.user_wide(
-        usrc.users(spark, sf_dir), usrc.visits(spark, sf_dir), usrc.orders(spark, sf_dir),
-        usrc.order_lines(spark, sf_dir), usrc.CATEGORIES,
-    )
-    return ag.prepare(wide, NUMERIC, LABEL)
+    return ag.prepare(wide_users(spark, sf_dir), NUMERIC, LABEL)
 
 
-def _split(df, seed=ag.SEED):
-    return df.randomSplit([0.8, 0.2], seed=seed)
+def _split(df, key="user_id"):
+    """Train and test rows by a hash of the id: the same on every run and layout."""
+    part = F.pmod(F.xxhash64(key), F.lit(5))
+    return df.where(part < 4), df.where(part == 4)
 
 
 @register("age_pipeline")
@@ -64,10 +67,40 @@ def multiclass_models(spark, sf_dir):
     return out
 
 
-@register("select_k_best")
+# F = between-class over within-class mean square, per numeric column.
+_LONG_NUMERIC = "\n  UNION ALL\n  ".join(f"SELECT segment AS c, '{f}' AS feature, CAST({f} AS DOUBLE) AS x FROM u_wide" for f in NUMERIC)
+ANOVA_CTES = with_ctes(
+    USAGE_CTES,
+    WIDE_CTE,
+    f"""long AS (
+  {_LONG_NUMERIC}
+),
+per AS (SELECT feature, c, count(*) AS n, avg(x) AS m, var_pop(x) * count(*) AS ss FROM long
+        WHERE x IS NOT NULL AND c IS NOT NULL GROUP BY feature, c),
+tot AS (SELECT feature, sum(n * m) / sum(n) AS mean FROM per GROUP BY feature),
+f_values AS (
+  SELECT per.feature, (sum(n * (m - mean) * (m - mean)) / (count(*) - 1)) / nullif(sum(ss) / (sum(n) - count(*)), 0) AS f_value
+  FROM per JOIN tot ON per.feature = tot.feature GROUP BY per.feature
+)""",
+    select="",
+).rstrip() + "\n"
+
+
+@register("anova_f", ANOVA_CTES + "SELECT feature, round(f_value, 4) AS f_value FROM f_values")
+def anova_f(spark, sf_dir):
+    return rounded(ag.anova_f(_users(spark, sf_dir), NUMERIC, LABEL), {"f_value": 4})
+
+
+@register(
+    "select_k_best",
+    ANOVA_CTES
+    + """SELECT * FROM (
+  SELECT CAST(row_number() OVER (ORDER BY f_value DESC NULLS LAST, feature) AS INTEGER) AS rank, feature FROM f_values
+) WHERE rank <= 8""",
+)
 def select_k_best(spark, sf_dir):
     chosen = ag.select_k_best(_users(spark, sf_dir), NUMERIC, LABEL, k=8)
-    return spark.createDataFrame([(i + 1, c) for i, c in enumerate(chosen)], "rank int, feature string")
+    return spark.createDataFrame([(i + 1, c) for i, (c, _) in enumerate(chosen)], "rank int, feature string")
 
 
 @register("rfe")
@@ -78,13 +111,16 @@ def rfe(spark, sf_dir):
 
 @register("grid_search")
 def grid_search(spark, sf_dir):
-    rows = ag.grid_search(_users(spark, sf_dir), NUMERIC, CATEGORICAL, LABEL, folds=3)
-    return spark.createDataFrame(rows, "reg_param double, elastic_net double, mean_f1 double")
+    train, test = _split(_users(spark, sf_dir))
+    best, rows = ag.grid_search(train, NUMERIC, CATEGORICAL, LABEL, folds=3)
+    test_f1 = us.macro_f1(best.transform(test), "label", "prediction").first()["macro_f1"]
+    out = spark.createDataFrame(rows, "reg_param double, elastic_net double, mean_f1 double")
+    return out.withColumn("best_test_f1", F.lit(test_f1).cast("double"))
 
 
-@register("model_reload")
+@register("model_reload", "SELECT count(*) AS rows, count(*) AS agreeing FROM customer WHERE c_mktsegment IS NOT NULL")
 def model_reload(spark, sf_dir):
-    data = _users(spark, sf_dir)
+    data = stored(_users(spark, sf_dir), "users")
     model = ag.classifier_pipeline(NUMERIC, CATEGORICAL, LABEL).fit(data)
     loaded = ag.save_and_reload(model, _scratch(spark, "age"))
     a = model.transform(data).select("user_id", F.col("prediction").alias("p1"))
@@ -114,77 +150,127 @@ def _bookings(spark, sf_dir):
     )
 
 
+# Shares of the arrival span that end the training and the calibration part.
+SPLIT_AT = (0.6, 0.8)
+
+
+def _by_time(df, stored_as=None):
+    """``df`` with ``part``: train, then calibrate, then test by arrival."""
+    span = df.agg(F.min("arrival").alias("lo"), F.max("arrival").alias("hi")).first()
+    cuts = [F.lit(span["lo"] + (span["hi"] - span["lo"]) * f) if span["lo"] else F.lit(None) for f in SPLIT_AT]
+    cuts = [c.cast("timestamp_ntz") for c in cuts]
+    part = F.when(F.col("arrival") < cuts[0], "train").when(F.col("arrival") < cuts[1], "calibrate").otherwise("test")
+    out = df.withColumn("part", part)
+    return stored(out, stored_as) if stored_as else out
+
+
 def _cancel_fit(spark, sf_dir, model="rf"):
-    train, test = _split(_bookings(spark, sf_dir))
-    fitted = cm.cancel_pipeline(CANCEL_NUMERIC, model).fit(train)
-    return fitted, fitted.transform(test)
+    """The model fitted on the earliest bookings, and the later ones scored by it."""
+    data = _by_time(_bookings(spark, sf_dir).where("arrival is not null"), "bookings")
+    fitted = cm.cancel_pipeline(CANCEL_NUMERIC, model).fit(data.where("part = 'train'"))
+    scored = fitted.transform(data.where("part <> 'train'"))
+    return fitted, scored.where("part = 'calibrate'"), scored.where("part = 'test'")
+
+
+@register(
+    "cancel_split",
+    with_ctes(
+        HOTEL_CTES,
+        """span AS (SELECT min(arrival) AS lo, max(arrival) AS hi FROM h_book),
+cut AS (SELECT lo + to_microseconds(CAST(date_diff('microsecond', lo, hi) * 0.6 AS BIGINT)) AS c1,
+               lo + to_microseconds(CAST(date_diff('microsecond', lo, hi) * 0.8 AS BIGINT)) AS c2 FROM span)""",
+        select="""SELECT CASE WHEN arrival < c1 THEN 'train' WHEN arrival < c2 THEN 'calibrate' ELSE 'test' END AS part,
+       count(*) AS rows, count(*) FILTER (WHERE is_canceled) AS canceled
+FROM h_book, cut WHERE arrival IS NOT NULL GROUP BY 1""",
+    ),
+)
+def cancel_split(spark, sf_dir):
+    data = _by_time(hotel.bookings(spark, sf_dir).where("arrival is not null"))
+    return data.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("is_canceled")).alias("canceled"))
 
 
 @register("cancel_model")
 def cancel_model(spark, sf_dir):
     out = None
     for name in ("rf", "gbt"):
-        _, scored = _cancel_fit(spark, sf_dir, name)
-        f1 = us.macro_f1(scored, "label", "prediction").withColumn("model", F.lit(name))
+        _, _, test = _cancel_fit(spark, sf_dir, name)
+        f1 = us.macro_f1(test, "label", "prediction").withColumn("model", F.lit(name))
         out = f1 if out is None else out.unionByName(f1)
     return out
 
 
+def _calibrated(spark, sf_dir):
+    """(calibration rows, test rows), both with a score calibrated on the former."""
+    _, held, test = _cancel_fit(spark, sf_dir)
+    held, test = cm.positive_score(held), cm.positive_score(test)
+    return cm.platt_calibrate(held)[0], cm.platt_calibrate(held, test)[0]
+
+
 @register("platt")
 def platt(spark, sf_dir):
-    _, scored = _cancel_fit(spark, sf_dir)
-    calibrated, _ = cm.platt_calibrate(cm.positive_score(scored))
+    _, test = _calibrated(spark, sf_dir)
     bucket = F.least(F.floor(F.col("calibrated") * 10), F.lit(9)).cast("int")
-    return calibrated.groupBy(bucket.alias("bin")).agg(
+    return test.groupBy(bucket.alias("bin")).agg(
         F.count(F.lit(1)).alias("rows"), F.avg("calibrated").alias("mean_calibrated"), F.avg("label").alias("observed")
     )
 
 
 @register("importance")
 def importance(spark, sf_dir):
-    fitted, scored = _cancel_fit(spark, sf_dir)
-    return spark.createDataFrame(cm.feature_importance(fitted, scored), "feature string, importance double")
-
-
-def _sales_frame(spark, sf_dir):
-    frame = fc.calendar_features(fc.lag_features(fc.with_plan(sl.sales(spark, sf_dir))))
-    frame = frame.join(sl.store_features(spark, sf_dir), ["store_id", "week"], "left")
-    return sm.training_frame(frame).withColumn(
-        "is_validation", F.col("week") >= F.lit(VALIDATION_FROM).cast("timestamp_ntz")
-    )
+    fitted, _, test = _cancel_fit(spark, sf_dir)
+    return spark.createDataFrame(cm.feature_importance(fitted, test), "feature string, importance double")
 
 
 @register("forecast_model")
 def forecast_model(spark, sf_dir):
-    data = _sales_frame(spark, sf_dir)
-    hist = data.where(~F.col("is_plan"))
-    model = sm.forecaster().fit(hist)
-    val = model.transform(hist.where(F.col("is_validation")))
-    return fc.regression_metrics(val, "label", "prediction")
+    """Fitted on the weeks before VALIDATION_FROM, stopped early on those before
+    TEST_FROM, judged on the rest."""
+    history, feats = sl.sales(spark, sf_dir), sl.store_features(spark, sf_dir)
+    data = stored(sm.training_frame(history, feats), "sales-frame")
+    week = F.col("week")
+    since = lambda d: week >= F.lit(d).cast("timestamp_ntz")
+    model = sm.forecaster().fit(data.where(~since(TEST_FROM)).withColumn("is_validation", since(VALIDATION_FROM)))
+    return fc.regression_metrics(model.transform(data.where(since(TEST_FROM))), "label", "prediction")
 
 
-@register("forecast_batch")
-def forecast_batch(spark, sf_dir):
+def _forecasts(spark, sf_dir):
     return sm.forecast_run(
         sl.sales(spark, sf_dir), sl.store_features(spark, sf_dir), _scratch(spark, "gbt"),
         _scratch(spark, "forecasts"), VALIDATION_FROM,
     )
 
 
+@register("forecast_batch")
+def forecast_batch(spark, sf_dir):
+    return _forecasts(spark, sf_dir)
+
+
+@register(
+    "forecast_keys",
+    with_ctes(SALES_CTES, select="SELECT store_id, dept, week, true AS usable FROM f_plan WHERE is_plan"),
+)
+def forecast_keys(spark, sf_dir):
+    """Every plan week of every series has one forecast, none negative."""
+    f = _forecasts(spark, sf_dir)
+    return f.select("store_id", "dept", "week", F.coalesce(F.col("forecast") >= 0, F.lit(False)).alias("usable"))
+
+
 @register("cancel_policy")
 def cancel_policy(spark, sf_dir):
-    """Calibrated held-out scores → best threshold by incremental revenue →
-    before/after outcome at that threshold."""
-    _, scored = _cancel_fit(spark, sf_dir)
-    calibrated, _ = cm.platt_calibrate(cm.positive_score(scored))
+    """Calibrated scores → best threshold by incremental revenue on the
+    calibration rows → before/after outcome at it on the later test rows."""
     grid = hotel.GRID
-    held = calibrated.select(
-        "booking_id", "price", "stay_nights", F.col("is_canceled"),
-        F.least(F.floor(F.col("calibrated") * grid), F.lit(grid)).cast("int").alias("score_bucket"),
-    )
-    sweep = bk.threshold_sweep(held, grid=grid)
+
+    def bucketed(df):
+        return df.select(
+            "booking_id", "price", "stay_nights", F.col("is_canceled"),
+            F.least(F.floor(F.col("calibrated") * grid), F.lit(grid)).cast("int").alias("score_bucket"),
+        )
+
+    held, test = _calibrated(spark, sf_dir)
+    sweep = bk.threshold_sweep(bucketed(held), grid=grid)
     best_k = sweep.where("is_best").select((F.col("threshold") * grid).cast("int")).first()[0]
-    outcome = bk.policy_outcome(held, grid=grid, k=best_k)
+    outcome = bk.policy_outcome(bucketed(test), grid=grid, k=best_k)
     return outcome.withColumn("threshold", F.lit(best_k / grid)).withColumn("revenue", F.col("revenue").cast("double"))
 
 
@@ -196,9 +282,9 @@ def time_cv(spark, sf_dir):
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
-    # every fold reads the same rows: compute them once, cut the lineage
-    shared_dir(spark)
-    data = bk.fold_assignments(_bookings(spark, sf_dir), folds=5).checkpoint(eager=True)
+    # every fold reads the same rows: one per booking, without the review text
+    narrow = _bookings(spark, sf_dir).select("booking_id", "arrival", "label", *CANCEL_NUMERIC)
+    data = stored(bk.with_period_index(narrow), "folds")
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=list(CANCEL_NUMERIC), outputCol="raw", handleInvalid="keep"),
         StandardScaler(inputCol="raw", outputCol="features"),
@@ -206,9 +292,9 @@ def time_cv(spark, sf_dir):
     ])
     out = None
     for k in range(1, 6):
-        fold = data.where(F.col("fold") == k)
-        model = pipe.fit(fold.where(F.col("split") == "train"))
-        test = fold.where(F.col("split") == "test")
+        split = bk.split_of_fold(k, 5)
+        model = pipe.fit(data.where(split == "train"))
+        test = data.where(split == "test")
         scored = us.macro_f1(model.transform(test), "label", "prediction").withColumn("fold", F.lit(k))
         out = scored if out is None else out.unionByName(scored)
     return out

@@ -8,7 +8,7 @@ from featuremart.catalog import register
 from featuremart.catalog.common import STANDIN_CTES, with_ctes
 from featuremart.session import shared_dir
 from featuremart.sources.stream_standins import event_stream
-from featuremart.streaming.events import start_clean_events
+from featuremart.streaming.events import read_clean_events, start_clean_events
 
 
 @register(
@@ -27,4 +27,4 @@ def stream_clean_events(spark, sf_dir):
     base = f"{shared_dir(spark)}/featuremart-streams/{uuid.uuid4().hex}"
     q = start_clean_events(spark, event_stream(spark, sf_dir), f"{base}/out", f"{base}/checkpoint")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return read_clean_events(spark, f"{base}/out")

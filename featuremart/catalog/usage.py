@@ -13,13 +13,29 @@ from featuremart.sources.usage import CATEGORIES, SQL_CTES
 STAT_DIGITS = {"avg_value": 9, "std_value": 9}
 
 
-def _wide(spark, sf_dir):
+def wide_users(spark, sf_dir):
     return us.user_wide(
-        src.users(spark, sf_dir), src.visits(spark, sf_dir), src.orders(spark, sf_dir),
-        src.order_lines(spark, sf_dir), CATEGORIES,
+        src.users(spark, sf_dir), src.visits(spark, sf_dir), src.orders(spark, sf_dir), src.order_lines(spark, sf_dir),
+        CATEGORIES, src.device_sessions(spark, sf_dir), src.ad_views(spark, sf_dir), src.cloud_usage(spark, sf_dir),
     )
 
 
+_EXTRA = ("device_sessions", "device_seconds", "n_devices", "ad_views", "ad_size", "n_ad_sites",
+          "cloud_operations", "cloud_bytes", "n_cloud_kinds")
+WIDE_CTE = f"""u_wide AS (
+  SELECT u.user_id, u.region, u.acctbal, u.segment, coalesce(s.visits, 0) AS visits,
+       s.avg_value, s.std_value, s.min_value, s.max_value,
+       coalesce(s.n_categories, 0) AS n_categories, s.first_visit, s.last_visit,
+       sh.share_view, sh.share_click, sh.share_purchase, sh.share_signup, sh.share_error,
+       coalesce(o.n_orders, 0) AS n_orders, CAST(o.order_amount AS DOUBLE) AS order_amount,
+       coalesce(o.n_lines, 0) AS n_lines, CAST(o.quantity AS DOUBLE) AS quantity,
+       {", ".join(f"coalesce({c}, 0) AS {c}" for c in _EXTRA)}
+  FROM u_users u LEFT JOIN u_stats s ON u.user_id = s.user_id LEFT JOIN u_shares sh ON u.user_id = sh.user_id
+  LEFT JOIN u_orders o ON u.user_id = o.user_id LEFT JOIN u_device d ON u.user_id = d.user_id
+  LEFT JOIN u_ads a ON u.user_id = a.user_id LEFT JOIN u_cloud cl ON u.user_id = cl.user_id
+)"""
+
+
 @register(
     "category_shares",
     with_ctes(SQL_CTES, select="SELECT * FROM u_shares"),
@@ -44,18 +60,12 @@ def usage_stats(spark, sf_dir):
     "user_wide",
     with_ctes(
         SQL_CTES,
-        select="""SELECT u.user_id, u.region, u.acctbal, u.segment, coalesce(s.visits, 0) AS visits,
-       round(s.avg_value, 9) AS avg_value, round(s.std_value, 9) AS std_value, s.min_value, s.max_value,
-       coalesce(s.n_categories, 0) AS n_categories, s.first_visit, s.last_visit,
-       sh.share_view, sh.share_click, sh.share_purchase, sh.share_signup, sh.share_error,
-       coalesce(o.n_orders, 0) AS n_orders, CAST(o.order_amount AS DOUBLE) AS order_amount,
-       coalesce(o.n_lines, 0) AS n_lines, CAST(o.quantity AS DOUBLE) AS quantity
-FROM u_users u LEFT JOIN u_stats s ON u.user_id = s.user_id LEFT JOIN u_shares sh ON u.user_id = sh.user_id
-LEFT JOIN u_orders o ON u.user_id = o.user_id""",
+        WIDE_CTE,
+        select="SELECT * REPLACE (round(avg_value, 9) AS avg_value, round(std_value, 9) AS std_value) FROM u_wide",
     ),
 )
 def user_wide(spark, sf_dir):
-    w = _wide(spark, sf_dir).withColumns(
+    w = wide_users(spark, sf_dir).withColumns(
         {"order_amount": F.col("order_amount").cast("double"), "quantity": F.col("quantity").cast("double")}
     )
     return rounded(w, STAT_DIGITS)

@@ -12,19 +12,21 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import (
     Imputer,
     OneHotEncoder,
     StandardScaler,
     StringIndexer,
-    UnivariateFeatureSelector,
     VectorAssembler,
 )
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featuremart.plans.usage import macro_f1
+from featuremart.session import stored
+
 SEED = 42
 
 
@@ -59,19 +61,36 @@ def classifier_pipeline(
     return Pipeline(stages=preprocessing(numeric, categorical, label) + [est])
 
 
-def select_k_best(df: DataFrame, numeric: Sequence[str], label: str, k: int) -> list[str]:
-    """Names of the ``k`` numeric features with the best ANOVA F-test score."""
-    prep = Pipeline(stages=preprocessing(numeric, [], label)).fit(df).transform(df)
-    sel = UnivariateFeatureSelector(
-        featuresCol="raw_features", labelCol="label", outputCol="selected", selectionMode="numTopFeatures"
+def anova_f(df: DataFrame, numeric: Sequence[str], label: str) -> DataFrame:
+    """``feature, f_value``: the one-way ANOVA F statistic of each numeric column
+    over the classes of ``label`` (rows where either is NULL left out). Means
+    and squared deviations per class come from one aggregate over the rows."""
+    long = df.where(F.col(label).isNotNull()).select(
+        F.col(label).alias("_class"),
+        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in numeric])).alias("_f"),
+    ).select("_class", "_f.*").where(F.col("x").isNotNull())
+    per = long.groupBy("feature", "_class").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"), (F.var_pop("x") * F.count(F.lit(1))).alias("ss")
+    )
+    whole = per.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("ss").alias("within"),
+        (F.sum(F.col("n") * F.col("m") * F.col("m")) - F.pow(F.sum(F.col("n") * F.col("m")), F.lit(2)) / F.sum("n")).alias("between"),
     )
-    sel.setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(k)
-    model = sel.fit(prep)
-    return [list(numeric)[i] for i in model.selectedFeatures]
+    f = (F.col("between") / (F.col("k") - 1)) / F.nullif(F.col("within") / (F.col("n") - F.col("k")), F.lit(0.0))
+    return whole.select("feature", f.alias("f_value"))
+
+
+def select_k_best(df: DataFrame, numeric: Sequence[str], label: str, k: int) -> list[tuple[str, float]]:
+    """The ``k`` numeric features with the largest ANOVA F, best first (ties by name)."""
+    top = anova_f(df, numeric, label).orderBy(F.desc_nulls_last("f_value"), "feature").limit(k)
+    return [(r["feature"], r["f_value"]) for r in top.collect()]
 
 
 def recursive_elimination(df: DataFrame, numeric: Sequence[str], label: str, target: int) -> list[tuple[int, str, int]]:
-    """Drop one feature per step until ``target`` remain: (step, dropped, remaining)."""
+    """Drop one feature per step until ``target`` remain: (step, dropped, remaining).
+
+    The rows are stored once; every step fits on that narrow table."""
+    df = stored(df.select(label, *numeric), "rfe")
     keep = list(numeric)
     steps = []
     step = 0
@@ -86,23 +105,34 @@ def recursive_elimination(df: DataFrame, numeric: Sequence[str], label: str, tar
 
 
 def grid_search(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str, folds: int = 3):
-    """Cross-validated grid over regularisation; returns (params, mean F1) rows."""
+    """Cross-validated grid over regularisation by macro F1 (every class counts
+    alike); returns the best model, refitted on all rows, and (params, mean F1) rows."""
     pipe = classifier_pipeline(numeric, categorical, label)
     lr = pipe.getStages()[-1]
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.01, 0.1]).addGrid(lr.elasticNetParam, [0.0, 0.5]).build()
     cv = CrossValidator(
         estimator=pipe,
         estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(metricName="f1"),
+        evaluator=MacroF1(),
         numFolds=folds,
-        parallelism=4,
+        parallelism=2,
         seed=SEED,
     )
-    model = cv.fit(df)
+    model = cv.fit(stored(df.select(label, *numeric, *categorical), "grid"))
     rows = []
     for pm, metric in zip(grid, model.avgMetrics):
         rows.append((float(pm[lr.regParam]), float(pm[lr.elasticNetParam]), float(metric)))
-    return rows
+    return model.bestModel, rows
+
+
+class MacroF1(Evaluator):
+    """Macro F1 of the columns ``label`` and ``prediction``, from one aggregate."""
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        return float(macro_f1(dataset, "label", "prediction").first()["macro_f1"] or 0.0)
+
+    def isLargerBetter(self) -> bool:
+        return True
 
 
 def save_and_reload(model: PipelineModel, path: str) -> PipelineModel:

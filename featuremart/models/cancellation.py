@@ -7,21 +7,29 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer, StopWordsRemover, VectorAssembler
+from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer, StopWordsRemover, UnivariateFeatureSelector, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEED = 42
-TEXT_FEATURES = 256
+# Hashed words of the reviews; large, so that words seldom share a place.
+TEXT_FEATURES = 1 << 18
+# Words kept for the trees: those that tell cancelled bookings best.
+TEXT_KEPT = 200
 
 
-def text_stages(text_col: str = "review") -> list:
+def text_stages(text_col: str = "review", text_features: int = TEXT_FEATURES, kept: int = TEXT_KEPT) -> list:
+    """Which words a review has, reduced by a chi-squared test against ``label``
+    before the trees, then TF-IDF."""
+    select = UnivariateFeatureSelector(featuresCol="_tf", labelCol="label", outputCol="_best", selectionMode="numTopFeatures")
+    select.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(kept)
     return [
         RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=r"[^\p{L}]+", toLowercase=True),
         StopWordsRemover(inputCol="_tokens", outputCol="_words"),
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=TEXT_FEATURES),
-        IDF(inputCol="_tf", outputCol="_idf"),
+        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=text_features, binary=True),
+        select,
+        IDF(inputCol="_best", outputCol="_idf"),
         Normalizer(inputCol="_idf", outputCol="review_tfidf", p=2.0),
     ]
 
@@ -41,8 +49,9 @@ def positive_score(scored: DataFrame) -> DataFrame:
     return scored.withColumn("score", vector_to_array("probability")[1])
 
 
-def platt_calibrate(held_out: DataFrame) -> tuple[DataFrame, object]:
-    """Fit ``P(y=1 | s) = 1 / (1 + exp(A·s + B))`` on held-out scores.
+def platt_calibrate(held_out: DataFrame, apply_to: DataFrame | None = None) -> tuple[DataFrame, object]:
+    """Fit ``P(y=1 | s) = 1 / (1 + exp(A·s + B))`` on held-out scores, and add
+    ``calibrated`` to ``apply_to`` (other rows, to judge it on; default: the same).
 
     Smoothed targets (Platt 1999): positives t+ = (N+ + 1)/(N+ + 2),
     negatives t− = 1/(N− + 2). Each row is emitted twice, labelled 1 with
@@ -62,6 +71,8 @@ def platt_calibrate(held_out: DataFrame) -> tuple[DataFrame, object]:
         featuresCol="s_vec", labelCol="y", weightCol="w", regParam=0.0, maxIter=100,
         predictionCol="platt_prediction", probabilityCol="platt_probability", rawPredictionCol="platt_raw",
     ).fit(twice)
+    if apply_to is not None:
+        s = VectorAssembler(inputCols=["score"], outputCol="s_vec").transform(apply_to)
     return lr.transform(s).withColumn("calibrated", vector_to_array("platt_probability")[1]), lr
 
 

@@ -5,18 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread_for_cpu(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Spread ``df`` over the cluster's cores when it has fewer splits.
+def spread_for_cpu(df: DataFrame, partitions: int | None, key: str | None = None) -> DataFrame:
+    """Repartition ``df`` where the caller asks for it (``partitions`` not None).
 
-    A large input already arrives in many splits and is returned as is (no
-    shuffle). A few big unsplittable files would otherwise leave one task to
-    do per-row work such as tokenising whole texts. The check reads only the
-    planned split count; no data reaches the driver. With a unique ``key``
+    A large input arrives in many splits and needs nothing. A few big
+    unsplittable files would leave one task to do per-row work such as
+    tokenising whole texts; the caller knows its files. With a unique ``key``
     the rows are hash-partitioned on it, which is deterministic on retry
     without the full sort that a retry-safe round-robin needs.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if partitions is None:
         return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    return df.repartition(partitions, key) if key else df.repartition(partitions)

@@ -2,25 +2,44 @@
 
 ``percentile`` keeps every distinct value of a group in one aggregation
 buffer. Here values are first counted per distinct value (a hash aggregate
-with a map-side step, so a value repeated a billion times is one row),
-ranked with a range-partitioned running total, and the rows whose rank
-interval holds the wanted positions are picked out. Results equal
-``percentile`` / DuckDB ``quantile_cont``: for ``n`` values and probability
-``p`` the position is ``p * (n - 1)``.
+with a map-side step, so a value repeated a billion times is one row) in a
+stored table. Each wanted rank lies in a bracket of values, at first all of
+them; while a bracket holds more than ``RANKED`` distinct values it is cut at
+approximate quantiles, the values of each part are counted exactly, and the
+part with the rank becomes the bracket. The last brackets are small enough to
+be ranked by a window. Results equal ``percentile`` / DuckDB
+``quantile_cont``: for ``n`` values and probability ``p`` the position is
+``p * (n - 1)``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featuremart.operators.sequence import running_sum_within
+from featuremart.session import shared_dir
 
+# Distinct values of a bracket that are ranked in one task.
+RANKED = 100_000
+# Parts that a larger bracket is cut into.
+PARTS = 256
+# Groups (``by``): brackets are kept on the driver and broadcast.
+MAX_GROUPS = 10_000
 
-def _inside(pos: Column) -> Column:
-    return (pos >= F.col("_before")) & (pos < F.col("_before") + F.col("_c"))
+
+def _joined(counts: DataFrame, brackets: dict[tuple, int], by: Sequence[str]) -> DataFrame:
+    """Counts with the number of the bracket they lie in (lo <= x < hi; None is open)."""
+    fields = [f"{c.name} {c.dataType.simpleString()}" for c in counts.schema if c.name in by]
+    rows = [(*group, number, lo, hi) for (group, lo, hi), number in brackets.items()]
+    small = counts.sparkSession.createDataFrame(rows, ", ".join([*fields, "_b int", "_lo double", "_hi double"]))
+    cond = (F.col("_lo").isNull() | (counts["_x"] >= F.col("_lo"))) & (F.col("_hi").isNull() | (counts["_x"] < F.col("_hi")))
+    for k in by:
+        cond = cond & counts[k].eqNullSafe(small[k])
+    # at most two brackets for each group and probability
+    return counts.join(F.broadcast(small), cond).select("_b", "_x", "_c")
 
 
 def exact_quantiles(
@@ -28,56 +47,82 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group (``by``) and probability: ``(*by, p, quantile)``.
 
-    NULL values are ignored. ``by`` groups must be few (the per-group
-    parameter table is broadcast; its size is the number of groups).
+    NULL values are ignored; a group without values has no rows. More than
+    ``MAX_GROUPS`` groups raise an error.
     """
     by = list(by)
+    spark = df.sparkSession
+    shared_dir(spark)
     vals = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
-    counts = vals.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = running_sum_within(counts, by, ["_x"], "_c", "_before", inclusive=False)
-    totals = counts.groupBy(*by).agg(F.sum("_c").alias("_n"))
-    last = F.col("_n") - 1
-    plist = F.array(*[F.lit(float(p)) for p in probs])
-    params = totals.select(
-        *by,
-        F.transform(
-            plist,
-            lambda p: F.struct(
-                p.alias("p"),
-                F.floor(p * last).alias("lo"),
-                F.ceil(p * last).alias("hi"),
-                (p * last - F.floor(p * last)).alias("frac"),
-            ),
-        ).alias("_want"),
-    )
-    if by:
-        cond = None
-        for k in by:
-            c = ranked[k].eqNullSafe(params[k])
-            cond = c if cond is None else cond & c
-        joined = ranked.join(F.broadcast(params), cond, "inner").select(ranked["*"], params["_want"])
-    else:
-        joined = ranked.withColumn("_want", params.select("_want").scalar())
-    hits = joined.select(
-        *by,
-        "_x",
-        "_before",
-        "_c",
-        F.filter("_want", lambda w: _inside(w["lo"]) | _inside(w["hi"])).alias("_hit"),
-    ).where(F.size("_hit") > 0)
-    exploded = hits.select(*by, "_x", "_before", "_c", F.explode("_hit").alias("w"))
-    per_p = exploded.groupBy(*by, F.col("w.p").alias("p")).agg(
-        F.max(F.when(_inside(F.col("w.lo")), F.col("_x"))).alias("_vlo"),
-        F.max(F.when(_inside(F.col("w.hi")), F.col("_x"))).alias("_vhi"),
-        F.first("w.frac").alias("_frac"),
-    )
-    q = F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))
-    return per_p.select(*by, "p", q.alias("quantile"))
+    counts = vals.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)
+    totals = counts.groupBy(*by).agg(F.sum("_c").alias("_n")).limit(MAX_GROUPS + 1).collect()
+    if len(totals) > MAX_GROUPS:
+        raise ValueError(f"exact_quantiles: more than {MAX_GROUPS} groups")
+    groups = {tuple(r[k] for k in by): r["_n"] for r in totals if r["_n"]}
+    want = {(g, r) for g, n in groups.items() for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}
+    # rank → its bracket (lo, hi) and the rows below it
+    at: dict[tuple, tuple] = {w: (None, None, 0) for w in want}
+    found: dict[tuple, float] = {}
+    while at:
+        brackets = {b: i for i, b in enumerate(dict.fromkeys((g, lo, hi) for (g, _), (lo, hi, _) in at.items()))}
+        inside = _joined(counts, brackets, by)
+        cuts = [i / PARTS for i in range(1, PARTS)]
+        sizes = {
+            r["_b"]: r
+            for r in inside.groupBy("_b")
+            .agg(F.count(F.lit(1)).alias("m"), F.percentile_approx("_x", cuts, 20 * PARTS).alias("edges"))
+            .collect()
+        }
+        small = {b: i for b, i in brackets.items() if sizes[i]["m"] <= RANKED}
+        large = {b: i for b, i in brackets.items() if i not in small.values()}
+        if small:
+            # ranks of bounded brackets; only the rows that hold a wanted one come back
+            ranks: dict[int, list[int]] = {}
+            for (g, r), (lo, hi, below) in at.items():
+                if (g, lo, hi) in small:
+                    ranks.setdefault(small[(g, lo, hi)], []).append(r - below)
+            goal = spark.createDataFrame([(i, r) for i, x in ranks.items() for r in set(x)], "_b int, _r long")
+            before = Window.partitionBy("_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+            ranked = _joined(counts, small, by).withColumn("_from", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+            hit = ranked.join(F.broadcast(goal), "_b").where((F.col("_r") >= F.col("_from")) & (F.col("_r") < F.col("_from") + F.col("_c")))
+            values = {(r["_b"], r["_r"]): r["_x"] for r in hit.select("_b", "_r", "_x").collect()}
+            for w, (lo, hi, below) in list(at.items()):
+                if (w[0], lo, hi) in small:
+                    found[w] = values[(small[(w[0], lo, hi)], w[1] - below)]
+                    del at[w]
+        if large:
+            edges = {i: sorted(set(sizes[i]["edges"])) for i in large.values()}
+            parts = spark.createDataFrame([(i, e) for i, e in edges.items()], "_b int, _edges array<double>")
+            part = F.size(F.filter("_edges", lambda e: e <= F.col("_x")))
+            cut = _joined(counts, large, by).join(F.broadcast(parts), "_b").groupBy("_b", part.alias("_part")).agg(F.sum("_c").alias("_n"))
+            rows: dict[int, dict[int, int]] = {}
+            for r in cut.collect():
+                rows.setdefault(r["_b"], {})[r["_part"]] = r["_n"]
+            for w, (lo, hi, below) in list(at.items()):
+                i = large.get((w[0], lo, hi))
+                if i is None:
+                    continue
+                e = edges[i]
+                for k in sorted(rows[i]):
+                    n = rows[i][k]
+                    if w[1] < below + n:
+                        at[w] = (e[k - 1] if k else lo, e[k] if k < len(e) else hi, below)
+                        break
+                    below += n
+    out = []
+    for g, n in groups.items():
+        for p in probs:
+            pos = p * (n - 1)
+            lo, hi = found[(g, math.floor(pos))], found[(g, math.ceil(pos))]
+            out.append((*g, float(p), lo + (pos - math.floor(pos)) * (hi - lo)))
+    fields = [f"{c.name} {c.dataType.simpleString()}" for c in vals.schema if c.name in by]
+    return spark.createDataFrame(out, ", ".join([*fields, "p double", "quantile double"]))
 
 
 def exact_quantile_value(df: DataFrame, value: str, p: float) -> Column:
-    """A scalar-subquery column holding one exact quantile of the whole column."""
-    return exact_quantiles(df, value, [p]).select("quantile").scalar()
+    """A literal with one exact quantile of the whole column (NULL without values)."""
+    got = exact_quantiles(df, value, [p]).first()
+    return F.lit(got["quantile"] if got else None).cast("double")
 
 
 def approx_quantiles(

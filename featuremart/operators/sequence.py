@@ -1,12 +1,12 @@
 """Per-key ordered computations that never put a whole key in one task.
 
 ``Window.partitionBy(key)`` sends every row of a key to one task. When one
-key may hold a third of all rows that task is the whole job. Here rows are
-range-partitioned by ``(key, order...)`` instead, so a hot key is split over
-consecutive partitions; each partition works on its slice, and the carry
-between slices (the running total or the last row of the previous slice) is
-computed on a table with one row per ``(partition, key)``, whose groups are
-bounded by the number of partitions.
+key may hold a third of all rows that task is the whole job. Here a key is
+cut into slices by the calendar period of its first order column (or another
+expression that does not decrease along the order): a value of the row itself, so every branch and every retry sees the same slices. Each
+(key, slice) group works alone, and the carry between slices (the running
+total or the last row of the slice before) is computed on a table with one
+row per (key, slice), whose groups are bounded by the number of periods.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Calendar period of a slice; a finer one splits a hot key further.
+PERIOD = "month"
+
 
 def _null_free(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Non-null stand-ins for the keys: (coalesced value, is-null flag) columns.
@@ -44,10 +47,16 @@ def _null_free(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]
     return (df.withColumns(cols) if cols else df), names
 
 
-def _ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], num_partitions: int | None) -> DataFrame:
-    spec = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
-    ranged = df.repartitionByRange(num_partitions, *spec) if num_partitions else df.repartitionByRange(*spec)
-    return ranged.withColumn("_pid", F.spark_partition_id())
+def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column | None) -> tuple[DataFrame, list[str], list[str]]:
+    """``df`` with key columns, the names of these, and those of the slice."""
+    cut = F.date_trunc(PERIOD, F.col(order[0])).cast("timestamp_ntz") if slice_by is None else slice_by
+    base, names = _null_free(df.withColumn("_slice", cut), [*keys, "_slice"])
+    return base.drop("_slice"), names[:-2], names[-2:]
+
+
+def _by_slice(kcols: Sequence[str], scols: Sequence[str]) -> Window:
+    """Slices of a key in order; the slice of rows without a time comes first."""
+    return Window.partitionBy(*kcols).orderBy(F.col(scols[1]).desc(), F.col(scols[0]))
 
 
 def running_sums_within(
@@ -56,37 +65,31 @@ def running_sums_within(
     order: Sequence[str],
     values: dict[str, str | Column],
     inclusive: bool = True,
-    num_partitions: int | None = None,
+    slice_by: Column | None = None,
 ) -> DataFrame:
     """Running totals ``sum(value) over (partition by keys order by order)``
     for several values at once (``values`` maps output name → column).
 
-    ``order`` must make rows unique within a key (add an id as tie-break);
-    ``inclusive=False`` excludes the current row (0 for a key's first row).
+    ``order`` must make rows unique within a key (add an id as tie-break).
+    ``slice_by`` must not decrease along it; by default it is the month of the
+    first order column. ``inclusive=False`` excludes the current row (0 for a
+    key's first row).
     """
     keys, order = list(keys), list(order)
     names = list(values)
     tmp = {f"_v{i}": (F.col(v) if isinstance(v, str) else v) for i, v in enumerate(values.values())}
-    base, kcols = _null_free(df.withColumns(tmp), keys)
-    ranged = _ranged(base, keys, order, num_partitions)
-    w = Window.partitionBy("_pid", *kcols).orderBy(*order)
+    base, kcols, scols = _sliced(df.withColumns(tmp), keys, order, slice_by)
+    w = Window.partitionBy(*kcols, *scols).orderBy(*order)
     frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    local_cols = {}
-    for t in tmp:
-        local_cols[f"{t}_local"] = F.coalesce(F.sum(t).over(frame), F.lit(0))
-        local_cols[f"{t}_slice"] = F.sum(t).over(whole)
-    local = ranged.withColumns(local_cols)
-    slices = local.groupBy("_pid", *kcols).agg(*[F.first(f"{t}_slice").alias(f"{t}_slice") for t in tmp])
-    before = Window.partitionBy(*kcols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    local = base.withColumns({f"{t}_local": F.coalesce(F.sum(t).over(frame), F.lit(0)) for t in tmp})
+    slices = base.groupBy(*kcols, *scols).agg(*[F.sum(t).alias(f"{t}_slice") for t in tmp])
+    before = _by_slice(kcols, scols).rowsBetween(Window.unboundedPreceding, -1)
     carry = slices.select(
-        "_pid", *kcols, *[F.coalesce(F.sum(f"{t}_slice").over(before), F.lit(0)).alias(f"{t}_carry") for t in tmp]
+        *kcols, *scols, *[F.coalesce(F.sum(f"{t}_slice").over(before), F.lit(0)).alias(f"{t}_carry") for t in tmp]
     )
-    joined = local.join(carry, ["_pid", *kcols], "left")
+    joined = local.join(carry, [*kcols, *scols], "left")
     outs = [(F.col(f"{t}_local") + F.coalesce(F.col(f"{t}_carry"), F.lit(0))).alias(name) for t, name in zip(tmp, names)]
-    drop = ["_pid", *kcols, *tmp, *[f"{t}_local" for t in tmp], *[f"{t}_slice" for t in tmp],
-            *[f"{t}_carry" for t in tmp]]
-    return joined.select("*", *outs).drop(*drop)
+    return joined.select(*df.columns, *outs)
 
 
 def running_sum_within(
@@ -96,10 +99,10 @@ def running_sum_within(
     value: str | Column,
     out: str,
     inclusive: bool = True,
-    num_partitions: int | None = None,
+    slice_by: Column | None = None,
 ) -> DataFrame:
     """Single-value form of :func:`running_sums_within`."""
-    return running_sums_within(df, keys, order, {out: value}, inclusive, num_partitions)
+    return running_sums_within(df, keys, order, {out: value}, inclusive, slice_by)
 
 
 def lag_within(
@@ -108,23 +111,20 @@ def lag_within(
     order: Sequence[str],
     value: str,
     out: str,
-    num_partitions: int | None = None,
+    slice_by: Column | None = None,
 ) -> DataFrame:
     """``lag(value) over (partition by keys order by order)``.
 
-    The first row of a key's slice takes the last row of the same key in the
-    nearest earlier partition that holds the key.
+    The first row of a slice takes the last row of the same key in the nearest
+    earlier slice that the key has.
     """
     keys, order = list(keys), list(order)
-    base, kcols = _null_free(df, keys)
-    ranged = _ranged(base, keys, order, num_partitions)
-    w = Window.partitionBy("_pid", *kcols).orderBy(*order)
-    local = ranged.withColumns({"_prev": F.lag(value).over(w), "_rn": F.row_number().over(w)})
+    base, kcols, scols = _sliced(df, keys, order, slice_by)
+    w = Window.partitionBy(*kcols, *scols).orderBy(*order)
+    local = base.withColumns({"_prev": F.lag(value).over(w), "_rn": F.row_number().over(w)})
     last_row = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.col(value).alias("_val"))
-    tails = local.groupBy("_pid", *kcols).agg(F.max(last_row).alias("_tail"))
-    carry = tails.withColumn(
-        "_carry", F.lag(F.col("_tail").getField("_val")).over(Window.partitionBy(*kcols).orderBy("_pid"))
-    ).drop("_tail")
-    joined = local.join(carry, ["_pid", *kcols], "left")
+    tails = base.groupBy(*kcols, *scols).agg(F.max(last_row).alias("_tail"))
+    carry = tails.withColumn("_carry", F.lag(F.col("_tail").getField("_val")).over(_by_slice(kcols, scols))).drop("_tail")
+    joined = local.join(carry, [*kcols, *scols], "left")
     prev = F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_prev"))
-    return joined.select("*", prev.alias(out)).drop("_pid", *kcols, "_prev", "_rn", "_carry")
+    return joined.select(*df.columns, prev.alias(out))

@@ -10,11 +10,12 @@ is the cancellation score on an integer grid 0..``grid`` (score ≥ k/grid
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featuremart.operators.parallelism import spread_for_cpu
 from featuremart.operators.sequence import running_sums_within
+from featuremart.session import stored
 
 # Meteorological seasons by month.
 SEASONS = {12: "winter", 1: "winter", 2: "winter", 3: "spring", 4: "spring", 5: "spring",
@@ -43,8 +44,8 @@ def stay_features(bookings: DataFrame) -> DataFrame:
 
 def prior_bookings(bookings: DataFrame) -> DataFrame:
     """Earlier bookings and cancellations of the same customer (the current
-    booking excluded, so no label leaks). Range-partitioned running totals:
-    a customer with a third of all bookings is still split across tasks."""
+    booking excluded, so no label leaks). Running totals by month: a customer
+    with a third of all bookings is still split across tasks."""
     return running_sums_within(
         bookings.select("booking_id", "customer_id", "arrival", "is_canceled"),
         ["customer_id"],
@@ -54,32 +55,33 @@ def prior_bookings(bookings: DataFrame) -> DataFrame:
     )
 
 
-def review_tfidf(reviews: DataFrame) -> DataFrame:
+def review_tfidf(reviews: DataFrame, spread: int | None = None) -> DataFrame:
     """TF-IDF over whole review texts, idf = ln((m + 1) / (df + 1)) with m
     the number of reviews (the MLlib definition).
 
-    Tokens are lower-cased letter runs. Term frequencies are grouped per
-    (doc, term); document frequencies per term have a map-side step, so a
-    term present in every document is no hot spot before the join, where
-    AQE splits skewed partitions.
+    Tokens are lower-cased letter runs. The texts are read and tokenised once:
+    term frequencies per (doc, term) are stored, and document frequencies are
+    counted from the stored table (with a map-side step, so a term present in
+    every document is no hot spot) and stored too. Both sides of the join are
+    then bare exchanges, so AQE can split a term that many documents hold.
+    ``spread`` repartitions texts that arrive in few splits.
     """
-    m = reviews.select(F.count(F.lit(1))).scalar()
-    tokens = spread_for_cpu(reviews.select("doc_id", "text"), key="doc_id").select(
+    tokens = spread_for_cpu(reviews.select("doc_id", "text"), spread, key="doc_id").select(
         "doc_id", F.explode(F.split(F.lower(F.col("text")), TOKEN_SPLIT)).alias("term")
-    ).where(F.col("term") != "")
-    tf = tokens.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    )
+    counted = tokens.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = stored(counted.where(F.col("term") != ""), "tf")
+    df = stored(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "df")
+    m = reviews.select(F.count(F.lit(1))).scalar()
     idf = F.log((m + 1) / (F.col("df") + 1))
     return tf.join(df, "term").select("doc_id", "term", "tf", "df", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf"))
 
 
-def fold_assignments(bookings: DataFrame, folds: int = 5, period: str = "month", time_col: str = "arrival") -> DataFrame:
-    """Every row once per fold it takes part in, with ``fold`` and ``split``.
+def with_period_index(bookings: DataFrame, period: str = "month", time_col: str = "arrival") -> DataFrame:
+    """Rows with ``_period``, its dense index ``_idx`` and the number of periods ``_p``.
 
-    With P distinct periods and h = P // (folds + 1), fold k trains on
-    periods before P − (folds − k + 1)·h and tests on the next h periods.
-    The distinct-period table is bounded by the calendar, so its dense
-    index is computed on one small partition and broadcast back.
+    The distinct-period table is bounded by the calendar, so its index is
+    computed on one small partition; the planner broadcasts it when small.
     """
     per = bookings.withColumn("_period", F.date_trunc(period, time_col))
     periods = per.select("_period").distinct()
@@ -89,17 +91,27 @@ def fold_assignments(bookings: DataFrame, folds: int = 5, period: str = "month",
             "_p": F.count(F.lit(1)).over(Window.partitionBy()),
         }
     )
-    p_total = F.col("_p")
-    h = F.floor(p_total / (folds + 1))
-    rows = per.join(F.broadcast(idx), "_period")
+    return per.join(idx, "_period")
+
+
+def split_of_fold(k: int | Column, folds: int) -> Column:
+    """``train``, ``test`` or NULL for a row of :func:`with_period_index` in fold k.
+
+    With P distinct periods and h = P // (folds + 1), fold k trains on
+    periods before P − (folds − k + 1)·h and tests on the next h periods.
+    """
+    k = F.lit(k) if isinstance(k, int) else k
+    h = F.floor(F.col("_p") / (folds + 1))
+    return F.when(F.col("_idx") < F.col("_p") - (folds - k + 1) * h, F.lit("train")).when(
+        F.col("_idx") < F.col("_p") - (folds - k) * h, F.lit("test")
+    )
+
+
+def fold_assignments(bookings: DataFrame, folds: int = 5, period: str = "month", time_col: str = "arrival") -> DataFrame:
+    """Every row once per fold it takes part in, with ``fold`` and ``split``."""
+    rows = with_period_index(bookings, period, time_col)
     assign = F.transform(
-        F.sequence(F.lit(1), F.lit(folds)),
-        lambda k: F.struct(
-            k.alias("fold"),
-            F.when(F.col("_idx") < p_total - (folds - k + 1) * h, F.lit("train"))
-            .when(F.col("_idx") < p_total - (folds - k) * h, F.lit("test"))
-            .alias("split"),
-        ),
+        F.sequence(F.lit(1), F.lit(folds)), lambda k: F.struct(k.alias("fold"), split_of_fold(k, folds).alias("split"))
     )
     exploded = rows.withColumn("_a", F.explode(assign)).where(F.col("_a.split").isNotNull())
     return exploded.withColumns({"fold": F.col("_a.fold"), "split": F.col("_a.split")}).drop(
@@ -108,10 +120,17 @@ def fold_assignments(bookings: DataFrame, folds: int = 5, period: str = "month",
 
 
 def time_folds(bookings: DataFrame, folds: int = 5, period: str = "month") -> DataFrame:
-    """Per fold and split: rows and the first / last period covered."""
-    assigned = fold_assignments(bookings, folds, period)
+    """Per fold and split: rows and the first / last period covered.
+
+    Rows are counted per period first, so only calendar-sized rows are
+    repeated per fold."""
+    per = with_period_index(bookings.select("arrival"), period).groupBy("_period", "_idx", "_p").agg(F.count(F.lit(1)).alias("_rows"))
+    assign = F.transform(
+        F.sequence(F.lit(1), F.lit(folds)), lambda k: F.struct(k.alias("fold"), split_of_fold(k, folds).alias("split"))
+    )
+    assigned = per.withColumn("_a", F.explode(assign)).where(F.col("_a.split").isNotNull()).select("_period", "_rows", "_a.*")
     return assigned.groupBy("fold", "split").agg(
-        F.count(F.lit(1)).alias("rows"),
+        F.sum("_rows").alias("rows"),
         F.min("_period").alias("first_period"),
         F.max("_period").alias("last_period"),
     )

@@ -1,8 +1,7 @@
 """Build-and-publish job, result manifest and validation of the written result.
 
 The feature frame is computed and written once; the manifest's row count is
-read from what was written (parquet: row-group footers only; CSV: a count of
-the output files, which are output-sized, not input-sized). The target is
+observed while it is written. The target is
 any Hadoop-compatible URI (``s3a://bucket/prefix`` on a cluster, a local
 folder in tests); executors write their parts in parallel.
 """
@@ -13,11 +12,12 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.plans.batch_features import DEFAULT_WINDOWS, build_batch_features, feature_columns
-from featuremart.sources.tables import Sources, load_sources, parse_run_date
+from featuremart.plans.batch_features import DEFAULT_WINDOWS, build_batch_features, build_from_clean, feature_columns
+from featuremart.session import stored
+from featuremart.sources.tables import CleanSources, Sources, clean_sources, cut_clean, load_sources, parse_run_date
 
 FORMATS = ("csv", "parquet")
 
@@ -30,7 +30,8 @@ def run_date_label(run_date: dt.datetime) -> str:
 
 
 def output_path(base: str, run_date: dt.datetime) -> str:
-    return f"{base.rstrip('/')}/run_date={run_date_label(run_date)}"
+    # some file systems forbid colons; %3A is read back as one
+    return f"{base.rstrip('/')}/run_date={run_date_label(run_date).replace(':', '%3A')}"
 
 
 def _for_csv(features: DataFrame, run_date: dt.datetime) -> DataFrame:
@@ -55,7 +56,9 @@ def save_features(
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}")
     path = output_path(base, run_date)
+    seen = Observation()
     out = features if fmt == "parquet" else _for_csv(features, run_date)
+    out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
     if single_file:
         out = out.coalesce(1)
     writer = out.write.mode("overwrite")
@@ -63,8 +66,7 @@ def save_features(
         writer.option("header", True).csv(path)
     else:
         writer.parquet(path)
-    spark = features.sparkSession
-    return path, read_features(spark, path, fmt).count()
+    return path, seen.get["rows"]
 
 
 def run_job(
@@ -99,7 +101,7 @@ def validate(spark: SparkSession, manifest: Mapping, windows: Sequence[int] = DE
     missing, ``FileNotFoundError`` when nothing readable is at the path.
     """
     if int(manifest["rows"]) <= 0:
-        raise ValueError("Saved feature file is empty")
+        raise ValueError(f"no rows were written to {manifest['path']}")
     try:
         written = read_features(spark, manifest["path"], manifest.get("format", "csv"))
         missing = [c for c in feature_columns(windows) if c not in written.columns]
@@ -109,7 +111,7 @@ def validate(spark: SparkSession, manifest: Mapping, windows: Sequence[int] = DE
     if missing:
         raise ValueError(f"Saved features lack columns {missing}")
     if not present:
-        raise ValueError("Saved feature file is empty")
+        raise ValueError(f"no rows can be read from {manifest['path']}")
 
 
 def read_feature_history(
@@ -139,21 +141,27 @@ def run_backfill(
     windows: Sequence[int] = DEFAULT_WINDOWS,
     sources: Sources | None = None,
 ) -> list[dict]:
-    """One independent job per run date, each writing its own folder.
-
-    Distinct product counts do not add up across days, so daily partial
-    results cannot serve the windows; each date is a full build whose
-    run-date filter reaches the scans (older dates read less). The loop runs
-    over dates only; every job is distributed, and a failed date can be rerun
-    alone (its folder is overwritten).
+    """One build per run date over sources that are deduplicated once, each
+    writing its own folder.
+
+    The earliest copy of a row wins for every date, so the clean tables as of
+    the latest date are stored once in the shared folder and cut per date.
+    Distinct product counts do not add up across days, so each date is still
+    a full build over its part of them. The loop runs over dates only; every
+    build is distributed, and a failed date can be rerun alone (its folder is
+    overwritten).
     """
+    dates = [parse_run_date(rd) for rd in run_dates]
+    if not dates:
+        return []
+    last = max(dates)
+    if sources is None:
+        sources = load_sources(spark, last, paths, source_format, source_options)
+    whole = clean_sources(Sources(sources.customers, sources.sessions, sources.events, sources.orders, last))
+    kept = {n: stored(getattr(whole, n), f"clean-{n}") for n in ("customers", "sessions", "events", "orders")}
     manifests = []
-    for rd in run_dates:
-        parsed = parse_run_date(rd)
-        src = None
-        if sources is not None:
-            src = Sources(sources.customers, sources.sessions, sources.events, sources.orders, parsed)
-        manifests.append(
-            run_job(spark, parsed, out, src, paths, source_format, source_options, fmt, windows)
-        )
+    for rd in dates:
+        clean = cut_clean(CleanSources(run_date=last, **kept), rd)
+        path, rows = save_features(build_from_clean(clean, windows), rd, out, fmt)
+        manifests.append({"run_date": run_date_label(rd), "rows": rows, "path": path, "format": fmt})
     return manifests

@@ -17,6 +17,7 @@ from featuremart.operators.sequence import lag_within
 from featuremart.session import shared_dir
 
 BASE_CURRENCY = "RUB"
+BROADCAST_RATES = 200_000
 PROFILE_ATTRIBUTES: tuple[str, ...] = ("device", "genre", "region", "service")
 
 
@@ -24,21 +25,25 @@ def convert_currency(orders: DataFrame, rates: DataFrame) -> DataFrame:
     """``revenue_rub = amount * rate / nominal``; base currency unchanged.
 
     With decimal amounts and rates the result is exact, so later sums do not
-    depend on summation order. ``rates`` holds one row per currency and day,
-    so its size is bounded by the calendar; the planner (AQE at runtime)
-    broadcasts it when small.
+    depend on summation order. ``rates`` holds one row per currency and day;
+    up to ``BROADCAST_RATES`` rows (counted first) it is broadcast, so the
+    orders are not shuffled. A larger one is joined with the orders in other
+    currencies alone; those in the base currency need no rate.
     """
-    day = F.to_date("order_time")
-    o = orders.withColumn("_day", day)
     r = rates.select(
-        F.col("currency").alias("_cur"), F.col("rate_date").alias("_day2"), "rate", "nominal"
-    )
-    joined = o.join(r, (o["currency"] == r["_cur"]) & (o["_day"] == r["_day2"]), "left")
-    base = F.col("currency") == BASE_CURRENCY
-    converted = F.col("amount") * F.col("rate") / F.col("nominal")
-    return joined.withColumn("revenue_rub", F.when(base, F.col("amount")).otherwise(converted)).drop(
-        "_day", "_cur", "_day2", "rate", "nominal"
+        F.col("currency").alias("_cur"), F.col("rate_date").alias("_day"), F.col("rate").alias("_rate"), F.col("nominal").alias("_nominal")
     )
+    foreign = F.col("currency") != BASE_CURRENCY
+    converted = F.col("amount") * F.col("_rate") / F.col("_nominal")
+    revenue = F.when(F.col("currency") == BASE_CURRENCY, F.col("amount")).otherwise(converted)
+    same = (F.col("currency") == F.col("_cur")) & (F.to_date("order_time") == F.col("_day"))
+    if r.limit(BROADCAST_RATES + 1).count() <= BROADCAST_RATES:
+        return orders.join(F.broadcast(r), same, "left").select(*orders.columns, revenue.alias("revenue_rub"))
+    other = orders.where(foreign).join(r, same, "left").select(*orders.columns, revenue.alias("revenue_rub"))
+    kind = other.schema["revenue_rub"].dataType
+    rest = orders.where(F.col("currency").isNull() | ~foreign)
+    base = F.when(F.col("currency") == BASE_CURRENCY, F.col("amount")).cast(kind)
+    return other.unionByName(rest.select("*", base.alias("revenue_rub")))
 
 
 def trim_outliers(
@@ -69,13 +74,23 @@ def order_gaps(orders: DataFrame) -> DataFrame:
 def user_profile(gaps: DataFrame, attributes: Sequence[str] = PROFILE_ATTRIBUTES) -> DataFrame:
     """One aggregate per user over the order table with gaps.
 
-    First-order attributes come from ``min(struct(order_time, order_id, ...))``
-    (the earliest order wins, ties by id).
+    First- and last-order attributes come from ``min`` and ``max`` of
+    ``struct(order_time, order_id, ...)`` (ties by id).
     """
+    last = F.max(F.struct("order_time", "order_id", "revenue_rub", *attributes)).alias("_last")
+    weekend = F.dayofweek("order_time").isin(1, 7)
     first = F.min(F.struct("order_time", "order_id", *attributes)).alias("_first")
     agg = gaps.groupBy("user_id").agg(
         first,
+        last,
         F.max("order_time").alias("last_order"),
+        F.min("revenue_rub").alias("min_revenue_rub"),
+        F.max("revenue_rub").alias("max_revenue_rub"),
+        F.size(F.collect_set("region")).cast("long").alias("n_regions"),
+        F.size(F.collect_set("service")).cast("long").alias("n_services"),
+        F.size(F.collect_set(F.month("order_time"))).cast("long").alias("n_months"),
+        (F.count_if(weekend) / F.count(F.lit(1))).alias("weekend_share"),
+        F.max("gap_days").alias("max_gap_days"),
         F.count(F.lit(1)).alias("n_orders"),
         F.sum("revenue_rub").alias("revenue_rub"),
         (F.sum("revenue_rub").cast("double") / F.count(F.lit(1))).alias("avg_revenue_rub"),
@@ -93,6 +108,16 @@ def user_profile(gaps: DataFrame, attributes: Sequence[str] = PROFILE_ATTRIBUTES
         "revenue_rub",
         "avg_revenue_rub",
         *[F.col(f"_first.{a}").alias(f"first_{a}") for a in attributes],
+        *[F.col(f"_last.{a}").alias(f"last_{a}") for a in attributes],
+        F.col("_last.revenue_rub").alias("last_revenue_rub"),
+        "min_revenue_rub",
+        "max_revenue_rub",
+        F.datediff("last_order", "_first.order_time").cast("long").alias("span_days"),
+        "n_regions",
+        "n_services",
+        "n_months",
+        "weekend_share",
+        F.col("max_gap_days").cast("long").alias("max_gap_days"),
         "n_genres",
         "n_devices",
         "avg_gap_days",
@@ -163,19 +188,18 @@ def association(
     )
     long = profile.select(cells.alias("c")).select("c.*")
     table = long.groupBy("col_a", "col_b", "a", "b").agg(F.count(F.lit(1)).alias("o"))
-    pair = Window.partitionBy("col_a", "col_b")
+    # a row of the contingency table has as many cells as the other attribute has values
     table = table.withColumns(
         {
             "ra": F.sum("o").over(Window.partitionBy("col_a", "col_b", "a")),
             "cb": F.sum("o").over(Window.partitionBy("col_a", "col_b", "b")),
-            "n": F.sum("o").over(pair),
         }
     )
     per_pair = table.groupBy("col_a", "col_b").agg(
-        (F.first("n") * (F.sum(F.col("o") * F.col("o") / (F.col("ra") * F.col("cb"))) - 1)).alias("chi2"),
-        F.first("n").alias("n"),
-        F.size(F.collect_set("a")).alias("r"),
-        F.size(F.collect_set("b")).alias("k"),
+        (F.sum("o") * (F.sum(F.col("o") * F.col("o") / (F.col("ra") * F.col("cb"))) - 1)).alias("chi2"),
+        F.sum("o").alias("n"),
+        F.count_distinct("a").alias("r"),
+        F.count_distinct("b").alias("k"),
     )
     v = F.sqrt(F.greatest(F.col("chi2"), F.lit(0.0)) / (F.col("n") * (F.least("r", "k") - 1)))
     cat = per_pair.select(

@@ -5,6 +5,7 @@ Inputs (any source, these column names):
 * ``users(user_id, region)``
 * ``orders(order_id, user_id, order_time, amount)``
 * ``payments(order_id, paid)``
+* ``ratings(order_id, rating)``, optional
 
 Every fact is aggregated to its key before it is joined, so no join fans
 out rows of one fact against another. Money should arrive as a decimal:
@@ -20,12 +21,23 @@ from pyspark.sql import functions as F
 SEGMENTS: tuple[tuple[int, str], ...] = ((1, "1"), (2, "2-5"), (6, "6-10"), (11, "11+"))
 
 
-def user_mart(users: DataFrame, orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """One row per user: order and payment aggregates (zeros when none)."""
+def user_mart(users: DataFrame, orders: DataFrame, payments: DataFrame, ratings: DataFrame | None = None) -> DataFrame:
+    """One row per user: order, payment and rating aggregates (zeros when none;
+    the mean rating is NULL then)."""
     per_order_pay = payments.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_payments"), F.sum("paid").alias("paid")
     )
     per_order = orders.join(per_order_pay, "order_id", "left")
+    rated = []
+    if ratings is not None:
+        per_order_rating = ratings.groupBy("order_id").agg(
+            F.count("rating").alias("_ratings"), F.sum("rating").alias("_stars")
+        )
+        per_order = per_order.join(per_order_rating, "order_id", "left")
+        rated = [
+            F.coalesce(F.sum("_ratings"), F.lit(0)).alias("n_ratings"),
+            (F.sum("_stars").cast("double") / F.sum("_ratings")).alias("avg_rating"),
+        ]
     per_user = per_order.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.sum("amount").alias("revenue"),
@@ -34,6 +46,7 @@ def user_mart(users: DataFrame, orders: DataFrame, payments: DataFrame) -> DataF
         F.max("order_time").alias("last_order"),
         F.sum("n_payments").alias("n_payments"),
         F.sum("paid").alias("paid"),
+        *rated,
     )
     out = users.select("user_id", "region").join(per_user, "user_id", "left")
     return out.withColumns(
@@ -43,6 +56,7 @@ def user_mart(users: DataFrame, orders: DataFrame, payments: DataFrame) -> DataF
             "revenue": F.coalesce("revenue", F.lit(0)),
             "paid": F.coalesce("paid", F.lit(0)),
         }
+        | ({"n_ratings": F.coalesce("n_ratings", F.lit(0))} if ratings is not None else {})
     )
 
 

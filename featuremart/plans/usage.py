@@ -59,11 +59,16 @@ def user_wide(
     orders: DataFrame,
     order_lines: DataFrame,
     categories: Sequence[str],
+    device: DataFrame | None = None,
+    ads: DataFrame | None = None,
+    cloud: DataFrame | None = None,
 ) -> DataFrame:
     """Users left-joined to per-user aggregates of every other table.
 
     Each table is reduced to one row per user (lines first to one row per
-    order) before joining, so nothing fans out.
+    order) before joining, so nothing fans out. Optional tables:
+    ``device(user_id, device, seconds)``, ``ads(user_id, site, size)``,
+    ``cloud(user_id, operation, bytes)``; a user without rows there has zeros.
     """
     per_order = order_lines.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("_lines"), F.sum("quantity").alias("_qty")
@@ -77,6 +82,20 @@ def user_wide(
     wide = users.join(visit_features(visits, categories), "user_id", "left").join(
         per_user_orders, "user_id", "left"
     )
+    extra = {
+        "device": (device, ("device_sessions", "device_seconds", "n_devices"), ("seconds", "device")),
+        "ads": (ads, ("ad_views", "ad_size", "n_ad_sites"), ("size", "site")),
+        "cloud": (cloud, ("cloud_operations", "cloud_bytes", "n_cloud_kinds"), ("bytes", "operation")),
+    }
+    for table, (n_rows, total, kinds), (amount, kind) in extra.values():
+        if table is None:
+            continue
+        # rows per kind first: no Expand, and a hot user shrinks before the shuffle
+        per_kind = table.groupBy("user_id", kind).agg(F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_sum"))
+        per_user = per_kind.groupBy("user_id").agg(
+            F.sum("_n").alias(n_rows), F.sum("_sum").alias(total), F.count(kind).alias(kinds)
+        )
+        wide = wide.join(per_user, "user_id", "left").withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in (n_rows, total, kinds)})
     return wide.withColumns(
         {
             "visits": F.coalesce("visits", F.lit(0)),

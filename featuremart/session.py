@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Session time zone is pinned so that
 # timestamp_ntz arithmetic and literals never shift rows across a window
@@ -48,11 +50,8 @@ def get_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in conf.items():
-        if not k.startswith("spark.ui") and not k.startswith("spark.driver"):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf of an already running session
-                pass
+        if spark.conf.isModifiable(k):  # else fixed when the session began
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -60,12 +59,23 @@ def get_session(
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` as the cluster names it. Only when it is
-    unset (a bare local test session) a private folder is created and set.
+    Uses ``spark.checkpoint.dir`` as the cluster names it. Only a local session
+    that has none gets a private folder; on a cluster, where executors could
+    not see it, that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="featuremart-ckpt-")
         sc.setCheckpointDir(current)
     return current.rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: what follows
+    neither plans nor computes it again, also after a lost executor."""
+    path = f"{shared_dir(df.sparkSession)}/featuremart-tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -39,6 +39,14 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rating per order line: 5 kept, 3 accepted, 1 returned."""
+    flag = F.col("l_returnflag")
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.when(flag == "R", 1).when(flag == "A", 3).otherwise(5).alias("rating")
+    )
+
+
 SQL_CTES = """
 m_users AS (
   SELECT c.c_custkey AS user_id, r.r_name AS region
@@ -50,5 +58,8 @@ m_orders AS (
 ),
 m_payments AS (
   SELECT l_orderkey AS order_id, CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS paid FROM lineitem
+),
+m_ratings AS (
+  SELECT l_orderkey AS order_id, CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 3 ELSE 5 END AS rating FROM lineitem
 )
 """

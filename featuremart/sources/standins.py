@@ -29,9 +29,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _mapped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Renamed events of the test table, one row per input row."""
-    ev = table(spark, sf_dir, "events")
+def map_events(ev: DataFrame) -> DataFrame:
+    """Renamed events of the test table, one row per input row (batch or stream)."""
     etype = F.col("event_type")
     mapped = etype
     for src, dst in EVENT_TYPE_MAP.items():
@@ -48,18 +47,21 @@ def _mapped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_copies(ev: DataFrame) -> DataFrame:
     """Events with an exact second copy of every 50th event id (exercises dedupe)."""
-    ev = _mapped_events(spark, sf_dir)
     copies = F.when(F.col("event_id") % DUPLICATE_EVENT_EVERY == 0, F.array(F.lit(1), F.lit(2))).otherwise(
         F.array(F.lit(1))
     )
     return ev.withColumn("_copy", F.explode(copies)).drop("_copy", "user_id")
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_copies(map_events(table(spark, sf_dir, "events")))
+
+
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One session per session id over all events, before any product filter."""
-    ev = _mapped_events(spark, sf_dir)
+    ev = map_events(table(spark, sf_dir, "events"))
     return ev.groupBy("session_id").agg(
         F.min("user_id").alias("customer_id"), F.min("timestamp").alias("start_time")
     )

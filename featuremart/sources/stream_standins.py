@@ -3,34 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from featuremart.sources.standins import DUPLICATE_EVENT_EVERY, EVENT_TYPE_MAP
+from featuremart.sources.standins import map_events, table, with_copies
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream the events file of ``sf_dir`` (only that file), mapped like the batch stand-in."""
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
-    ev = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", 1)
-        .parquet(sf_dir)
-    )
-    etype = F.col("event_type")
-    mapped = etype
-    for src, dst in EVENT_TYPE_MAP.items():
-        mapped = F.when(etype == src, F.lit(dst)).otherwise(mapped)
-    copies = F.when(F.col("event_id") % DUPLICATE_EVENT_EVERY == 0, F.array(F.lit(1), F.lit(2))).otherwise(
-        F.array(F.lit(1))
-    )
-    return ev.select(
-        F.col("event_id"),
-        (F.col("user_id") * 1000 + F.dayofyear("ts")).alias("session_id"),
-        F.col("ts").alias("timestamp"),
-        mapped.alias("event_type"),
-        F.when(etype == "error", F.lit(None).cast("string")).otherwise(F.get_json_object("props", "$.k")).alias(
-            "product_id"
-        ),
-        F.explode(copies).alias("_copy"),
-    ).drop("_copy")
+    """Stream the events of ``sf_dir``, mapped like the batch stand-in.
+
+    A file source wants a folder or a pattern: this pattern matches the table
+    whether it is one file or a folder of part files."""
+    schema = table(spark, sf_dir, "events").schema
+    ev = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
+    return with_copies(map_events(ev))

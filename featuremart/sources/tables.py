@@ -66,6 +66,13 @@ def read_table(
     return reader.load(path) if path is not None else reader.load()
 
 
+def table_options(options: Mapping[str, str | Mapping[str, str]] | None, name: str) -> dict[str, str]:
+    """The reader options of one source: common ones, then its own."""
+    options = options or {}
+    common = {k: v for k, v in options.items() if not isinstance(v, Mapping)}
+    return common | dict(options.get(name) or {})
+
+
 @dataclass(frozen=True)
 class Sources:
     """The four raw inputs and the run timestamp."""
@@ -96,12 +103,16 @@ def load_sources(
     run_date: str | dt.datetime,
     paths: Mapping[str, str] | None = None,
     fmt: str = "parquet",
-    options: Mapping[str, str] | None = None,
+    options: Mapping[str, str | Mapping[str, str]] | None = None,
 ) -> Sources:
-    """Read customers / sessions / events / orders (paths or catalog tables)."""
+    """Read customers / sessions / events / orders (paths or catalog tables).
+
+    ``options`` hold for all four; under the name of a source, a mapping adds to
+    them or overrides them: ``{"url": …, "events": {"dbtable": "raw.events"}}``.
+    """
     paths = paths or {}
     frames = {
-        name: read_table(spark, name, paths.get(name), fmt, options) for name in SOURCE_COLUMNS
+        name: read_table(spark, name, paths.get(name), fmt, table_options(options, name)) for name in SOURCE_COLUMNS
     }
     return Sources(run_date=parse_run_date(run_date), **frames)
 
@@ -154,3 +165,11 @@ def clean_sources(src: Sources) -> CleanSources:
             df = df.where(F.col(TIME_COLUMN[name]) < run)
         out[name] = df
     return CleanSources(run_date=src.run_date, **out)
+
+
+def cut_clean(clean: CleanSources, run_date: dt.datetime) -> CleanSources:
+    """Clean tables of a later run date as of ``run_date``: what is left of a
+    key is its earliest copy, which is the one an earlier date keeps too."""
+    run = ts_literal(run_date)
+    cut = {n: getattr(clean, n).where(F.col(TIME_COLUMN[n]) < run) for n in DEDUPE_KEY}
+    return CleanSources(customers=clean.customers, run_date=run_date, **cut)

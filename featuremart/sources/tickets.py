@@ -80,6 +80,13 @@ t_profile AS (
          first(genre ORDER BY order_time, order_id) AS first_genre,
          first(region ORDER BY order_time, order_id) AS first_region,
          first(service ORDER BY order_time, order_id) AS first_service,
+         last(device ORDER BY order_time, order_id) AS last_device, last(genre ORDER BY order_time, order_id) AS last_genre,
+         last(region ORDER BY order_time, order_id) AS last_region, last(service ORDER BY order_time, order_id) AS last_service,
+         last(revenue_rub ORDER BY order_time, order_id) AS last_revenue_rub, min(revenue_rub) AS min_revenue_rub,
+         max(revenue_rub) AS max_revenue_rub, date_diff('day', min(order_time), max(order_time)) AS span_days,
+         count(DISTINCT region) AS n_regions, count(DISTINCT service) AS n_services,
+         count(DISTINCT month(order_time)) AS n_months, max(gap_days) AS max_gap_days,
+         count(*) FILTER (WHERE dayofweek(order_time) IN (0, 6)) / count(*) AS weekend_share,
          count(DISTINCT genre) AS n_genres, count(DISTINCT device) AS n_devices,
          avg(gap_days) AS avg_gap_days, count(*) >= 2 AS is_two, count(*) >= 5 AS is_five
   FROM t_gaps2 GROUP BY user_id

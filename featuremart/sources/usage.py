@@ -45,6 +45,29 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def device_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as device sessions: the id as user, the source as device, the
+    length as seconds."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("user_id"), F.col("source").alias("device"), F.col("n_chars").alias("seconds")
+    )
+
+
+def ad_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as ads seen: the id as user, the host as site, the page's length as size."""
+    return table(spark, sf_dir, "pages").select(
+        F.col("page_id").cast("long").alias("user_id"), F.regexp_extract("url", "^[a-z]+://([^/]+)", 1).alias("site"),
+        F.length("html").cast("long").alias("size"),
+    )
+
+
+def cloud_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation turns as cloud operations: conversation as user, role as operation."""
+    return table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long").alias("user_id"), F.col("role").alias("operation"), F.length("text").cast("long").alias("bytes")
+    )
+
+
 def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality labels with a length-rule prediction (long texts predicted good)."""
     lab = table(spark, sf_dir, "labels")
@@ -82,5 +105,19 @@ u_orders AS (
     SELECT l_orderkey, count(*) AS lines, sum(CAST(l_quantity AS DECIMAL(18,2))) AS qty FROM lineitem GROUP BY l_orderkey
   ) l ON o.o_orderkey = l.l_orderkey
   GROUP BY o.o_custkey
+),
+u_device AS (
+  SELECT doc_id AS user_id, count(*) AS device_sessions, CAST(sum(n_chars) AS BIGINT) AS device_seconds, count(DISTINCT source) AS n_devices
+  FROM documents GROUP BY doc_id
+),
+u_ads AS (
+  SELECT CAST(page_id AS BIGINT) AS user_id, count(*) AS ad_views, CAST(sum(length(html)) AS BIGINT) AS ad_size,
+         count(DISTINCT regexp_extract(url, '^[a-z]+://([^/]+)', 1)) AS n_ad_sites
+  FROM pages GROUP BY page_id
+),
+u_cloud AS (
+  SELECT CAST(conv_id AS BIGINT) AS user_id, count(*) AS cloud_operations, CAST(sum(length(text)) AS BIGINT) AS cloud_bytes,
+         count(DISTINCT role) AS n_cloud_kinds
+  FROM conversations GROUP BY conv_id
 )
 """

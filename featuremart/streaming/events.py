@@ -1,34 +1,43 @@
 """Clean arriving events incrementally.
 
-The batch build dedupes whole tables; when events land continuously the
-same cleaning (one row per ``event_id``, product-less events dropped) runs as
-a streaming query: ``dropDuplicatesWithinWatermark`` keeps the first copy to
-arrive and bounds its state by the watermark, the filter is stateless, and
-the sink appends to a table the batch build can read. Progress and state
-live in a checkpoint under the shared folder, so a restarted job (or a lost
-executor) resumes without duplicates.
+The batch build dedupes whole tables; when events land continuously the same
+cleaning (one row per ``event_id``, product-less events dropped) runs as a
+streaming query. Each micro-batch keeps the earliest copy of an event and
+leaves out events of earlier batches, whose ids are in a table of seen events.
+No event is dropped for being late: history may arrive in any order.
+
+A batch writes its own folders, so a batch that is tried again (after a lost
+executor or a restart) overwrites what it began and adds nothing twice.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from featuremart.operators.dedupe import dedupe_by_key
 from featuremart.session import shared_dir
 
 EVENT_COLUMNS = ("event_id", "session_id", "timestamp", "event_type", "product_id")
 
 
-def clean_event_stream(events: DataFrame, lateness: str = "2 days") -> DataFrame:
-    """Streaming events → deduped, product-bearing events.
-
-    Copies of one event arriving more than ``lateness`` after the newest
-    event time seen are not matched any more; their state is dropped.
-    """
-    timed = events.select(*EVENT_COLUMNS).withColumn("_event_time", F.col("timestamp").cast("timestamp"))
-    deduped = timed.withWatermark("_event_time", lateness).dropDuplicatesWithinWatermark(["event_id"])
-    return deduped.where(F.col("product_id").isNotNull()).drop("_event_time")
+def _clean_batch(batch: DataFrame, batch_id: int, out: str, seen: str, copies_apart: int) -> None:
+    spark = batch.sparkSession
+    first = dedupe_by_key(batch.select(*EVENT_COLUMNS), "event_id", ["timestamp"]).persist()
+    days = first.agg(F.min(F.to_date("timestamp")).alias("lo"), F.max(F.to_date("timestamp")).alias("hi")).first()
+    known = spark.read.parquet(seen).where(F.col("batch") < batch_id)
+    if days["lo"] is not None:
+        lo, hi = (d + dt.timedelta(days=n) for d, n in ((days["lo"], -copies_apart), (days["hi"], copies_apart)))
+        known = known.where(F.col("day").isNull() | F.col("day").between(F.lit(lo), F.lit(hi)))
+    known = known.select(F.col("event_id").alias("_seen"))
+    fresh = first.join(known, first["event_id"].eqNullSafe(known["_seen"]), "left_anti").persist()
+    fresh.select("event_id", F.to_date("timestamp").alias("day")).write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+    fresh.where(F.col("product_id").isNotNull()).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    fresh.unpersist()
+    first.unpersist()
 
 
 def start_clean_events(
@@ -36,21 +45,27 @@ def start_clean_events(
     events: DataFrame,
     out: str,
     checkpoint: str | None = None,
-    lateness: str = "2 days",
+    copies_apart: int = 2,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Append cleaned events to parquet at ``out``.
+    """Append cleaned events to parquet at ``out``, one folder per batch.
 
-    ``available_now`` processes what is there and stops (scheduled runs);
-    otherwise the query keeps running on a one-minute trigger.
+    Copies of one event are matched when their event times lie at most
+    ``copies_apart`` days apart from the days of the batch, which bounds what a
+    batch reads of the seen ids. ``available_now`` processes what is there
+    and stops (scheduled runs); otherwise the query keeps running on a
+    one-minute trigger.
     """
     ckpt = checkpoint or f"{shared_dir(spark)}/featuremart-streams/clean-events"
-    writer = (
-        clean_event_stream(events, lateness)
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", ckpt)
-        .outputMode("append")
+    seen = f"{ckpt}-seen"
+    empty = spark.createDataFrame([], events.select("event_id").schema).withColumn("day", F.lit(None).cast("date"))
+    empty.write.mode("overwrite").parquet(f"{seen}/batch=-1")
+    query = events.writeStream.option("checkpointLocation", ckpt).foreachBatch(
+        lambda batch, batch_id: _clean_batch(batch, batch_id, out, seen, copies_apart)
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    query = query.trigger(availableNow=True) if available_now else query.trigger(processingTime="1 minute")
+    return query.start()
+
+
+def read_clean_events(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.parquet(out).select(*EVENT_COLUMNS)

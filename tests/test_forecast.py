@@ -61,3 +61,29 @@ def test_psi_by_hand(spark):
     e, a, floor = 0.1, 1.0, 1e-6
     want = (a - e) * math.log(a / e) + 9 * (floor - e) * math.log(floor / e)
     assert got == pytest.approx(want)
+
+
+class _LastWeekPlusTen:
+    """Stands for a model: next week sells 10 more than the last."""
+
+    def transform(self, df):
+        return df.withColumn("prediction", F.when(F.col("has_lag_1") == 1, F.col("lag_1") + 10).otherwise(F.lit(-5.0)))
+
+
+def test_plan_weeks_build_on_forecasts(spark):
+    from featuremart.models.sales_model import predict_horizon, series_state
+
+    history = spark.createDataFrame(
+        [(1, "a", "2024-01-01", 5.0), (1, "a", "2024-01-08", 7.0), (2, "b", "2024-01-01", 3.0)], "store_id long, dept string, w string, sales double"
+    ).withColumn("week", F.col("w").cast("timestamp_ntz")).drop("w")
+    feats = history.select("store_id", "week", F.lit(1).alias("store_lines"), F.lit(0.0).alias("avg_discount"))
+    last = F.lit("2024-01-08").cast("timestamp_ntz")
+    state = {r["store_id"]: r for r in series_state(history, last).collect()}
+    assert state[1]["lag_1"] == 7.0 and state[1]["lag_2"] == 5.0
+    assert state[2]["lag_1"] is None and state[2]["lag_2"] == 3.0
+    out = predict_horizon(_LastWeekPlusTen(), series_state(history, last), feats, last)
+    got = {(r["store_id"], str(r["week"])[:10]): r["forecast"] for r in out.collect()}
+    weeks = ["2024-01-15", "2024-01-22", "2024-01-29", "2024-02-05"]
+    assert [got[(1, w)] for w in weeks] == [17.0, 27.0, 37.0, 47.0]
+    # nothing sold last week: clipped to zero, and that zero is known a week later
+    assert [got[(2, w)] for w in weeks] == [0.0, 10.0, 20.0, 30.0]

@@ -25,8 +25,79 @@ def test_csv_sources_match_in_memory(spark):
     assert _rows(build_batch_features(from_csv)) == _rows(build_batch_features(src))
 
 
-def test_spread_only_when_splits_are_few(spark):
-    few = spark.range(0, 1000, numPartitions=1)
-    assert spread_for_cpu(few, key="id", min_partitions=4).rdd.getNumPartitions() == 4
-    many = spark.range(0, 1000, numPartitions=8)
-    assert spread_for_cpu(many, min_partitions=4) is many
+def test_spread_only_on_demand(spark):
+    df = spark.range(0, 1000, numPartitions=1)
+    assert spread_for_cpu(df, None) is df
+    assert "hashpartitioning(id" in spread_for_cpu(df, 4, key="id")._jdf.queryExecution().executedPlan().toString()
+
+
+class _Reader:
+    """Stands for spark.read and records what each load is given."""
+
+    def __init__(self):
+        self.seen = []
+
+    @property
+    def read(self):
+        return self
+
+    def format(self, fmt):
+        self.now = {"format": fmt}
+        return self
+
+    def options(self, **options):
+        self.now |= options
+        return self
+
+    def load(self, *path):
+        self.seen.append(self.now)
+        return self.now
+
+
+def test_each_table_has_its_own_options():
+    from featuremart.cli import _options
+
+    given = ["url=jdbc:x", "fetchsize=100", "events.dbtable=raw.events", "events.partitionColumn=event_id",
+             "events.fetchsize=5", "orders.dbtable=raw.orders", "customers.dbtable=c", "sessions.dbtable=s", "oracle.net=1"]
+    reader = _Reader()
+    load_sources(reader, RUN, None, "jdbc", _options(given))
+    common = {"format": "jdbc", "url": "jdbc:x", "oracle.net": "1"}
+    assert reader.seen == [
+        common | {"fetchsize": "100", "dbtable": "c"},
+        common | {"fetchsize": "100", "dbtable": "s"},
+        common | {"fetchsize": "5", "dbtable": "raw.events", "partitionColumn": "event_id"},
+        common | {"fetchsize": "100", "dbtable": "raw.orders"},
+    ]
+
+
+def test_batched_write_options():
+    from featuremart.models.sales_model import write_results
+
+    class Writer:
+        def __init__(self):
+            self.seen = {}
+
+        write = property(lambda self: self)
+
+        def mode(self, m):
+            self.seen["mode"] = m
+            return self
+
+        def format(self, f):
+            self.seen["format"] = f
+            return self
+
+        def options(self, **o):
+            self.seen |= o
+            return self
+
+        def option(self, k, v):
+            self.seen[k] = v
+            return self
+
+        def save(self, *path):
+            self.seen["path"] = path
+
+    w = Writer()
+    write_results(w, "unused", "jdbc", {"url": "jdbc:x", "dbtable": "forecasts"}, batch_size=500)
+    assert w.seen == {"mode": "overwrite", "format": "jdbc", "url": "jdbc:x", "dbtable": "forecasts", "batchsize": 500, "path": ()}

@@ -22,6 +22,9 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k long, id long, t long, v double")
 
 
+SLICE = F.floor(F.col("t") / 100)
+
+
 def _as_map(df, col):
     return {r["id"]: r[col] for r in df.select("id", col).collect()}
 
@@ -29,7 +32,7 @@ def _as_map(df, col):
 def test_running_sum_matches_window(spark, skewed):
     w = Window.partitionBy("k").orderBy("t", "id")
     want = skewed.withColumn("s", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    got = running_sum_within(skewed, ["k"], ["t", "id"], "v", "s", inclusive=False, num_partitions=16)
+    got = running_sum_within(skewed, ["k"], ["t", "id"], "v", "s", inclusive=False, slice_by=SLICE)
     want_m = {i: (x or 0.0) for i, x in _as_map(want, "s").items()}
     assert _as_map(got, "s") == want_m
     assert got.count() == skewed.count()
@@ -38,14 +41,61 @@ def test_running_sum_matches_window(spark, skewed):
 def test_lag_matches_window(spark, skewed):
     w = Window.partitionBy("k").orderBy("t", "id")
     want = skewed.withColumn("p", F.lag("t").over(w))
-    got = lag_within(skewed, ["k"], ["t", "id"], "t", "p", num_partitions=16)
+    got = lag_within(skewed, ["k"], ["t", "id"], "t", "p", slice_by=SLICE)
     assert _as_map(got, "p") == _as_map(want, "p")
 
 
 def test_hot_key_is_split(spark, skewed):
-    ranged = skewed.repartitionByRange(16, "k", "t", "id").withColumn("pid", F.spark_partition_id())
-    parts = ranged.where("k = 0").select("pid").distinct().count()
-    assert parts > 3
+    out = running_sum_within(skewed, ["k"], ["t", "id"], "v", "s", slice_by=SLICE)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "SPARK_PARTITION_ID" not in plan.upper()
+    assert skewed.where("k = 0").select(SLICE).distinct().count() > 10
+
+
+@pytest.fixture(scope="module")
+def large(spark, tmp_path_factory):
+    """1.2M rows in several files, a third of them of one key, with columns that
+    no query uses (pruning must not change what is a slice)."""
+    path = str(tmp_path_factory.mktemp("large") / "rows")
+    rows = spark.range(1_200_000, numPartitions=12).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.pmod(F.xxhash64("id"), F.lit(5000))).alias("k"),
+        F.timestamp_add("MINUTE", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2_000_000)).cast("int"), F.lit("2020-01-01").cast("timestamp_ntz")).alias("t"),
+        F.pmod(F.xxhash64("id", F.lit(2)), F.lit(100_000_007)).alias("v"),
+        F.repeat(F.lit("x"), 40).alias("unused"),
+    )
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _wrong(got, want, col):
+    j = got.select("id", F.col(col).alias("a")).join(want.select("id", F.col(col).alias("b")), "id", "full_outer")
+    return j.where(~F.col("a").eqNullSafe(F.col("b"))).count()
+
+
+def test_large_running_sum_and_lag(spark, large):
+    w = Window.partitionBy("k").orderBy("t", "id")
+    want = large.withColumn("s", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    assert _wrong(running_sum_within(large, ["k"], ["t", "id"], "v", "s"), want, "s") == 0
+    want = large.withColumn("p", F.lag("v").over(w))
+    assert _wrong(lag_within(large, ["k"], ["t", "id"], "v", "p"), want, "p") == 0
+
+
+def test_large_exact_quantiles(spark, large):
+    """Over the number of values ranked in one task, so brackets are narrowed."""
+    probs = [0.0, 0.01, 0.5, 0.99, 1.0]
+    got = {r["p"]: r["quantile"] for r in exact_quantiles(large, "v", probs).collect()}
+    want = large.agg(F.percentile("v", F.array(*[F.lit(p) for p in probs]))).first()[0]
+    assert [got[p] for p in probs] == pytest.approx(want, rel=1e-12)
+
+
+def test_too_many_groups_are_refused(spark, monkeypatch):
+    from featuremart.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "MAX_GROUPS", 3)
+    df = spark.range(10).select("id", F.lit(1.0).alias("x"))
+    with pytest.raises(ValueError):
+        exact_quantiles(df, "x", [0.5], by=["id"])
 
 
 def test_exact_quantiles_match_percentile(spark, skewed):

@@ -26,3 +26,27 @@ def test_tf_counts_whole_texts(spark):
     total_tokens = review_tfidf(docs).agg(F.sum("tf")).first()[0]
     words = docs.select(F.explode(F.split(F.lower("text"), TOKEN_SPLIT)).alias("w")).where("w <> ''").count()
     assert total_tokens == words
+
+
+def test_term_of_every_document_is_split(spark):
+    """One word in all documents: without broadcasts its join partition is split."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+                                           "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
+    docs = spark.range(60_000, numPartitions=6).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("every "), F.translate(F.sha2(F.col("id").cast("string"), 256).substr(1, 8), "0123456789", "ghijklmnop")).alias("text"))
+    try:
+        for k, v in zip(held, ("-1", "64k", "32k", "24")):
+            spark.conf.set(k, v)
+        out = review_tfidf(docs)
+        out.write.format("noop").mode("overwrite").save()
+        df = out.select("doc_id", "df").where("term = 'every'") if "term" in out.columns else out
+        assert df.where("df = 60000").count() == 60_000
+        whole = review_tfidf(docs)
+        whole.collect()
+        plan = whole._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert "isSkew=true" in plan or "skew=true" in plan
+    assert "regexp" not in plan.lower() and "split(" not in plan  # tokenised once, before the join
