@@ -33,9 +33,10 @@ MAX_GROUPS = 10_000
 def _joined(counts: DataFrame, brackets: dict[tuple, int], by: Sequence[str]) -> DataFrame:
     """Counts with the number of the bracket they lie in (lo <= x < hi; None is open)."""
     fields = [f"{c.name} {c.dataType.simpleString()}" for c in counts.schema if c.name in by]
-    rows = [(*group, number, lo, hi) for (group, lo, hi), number in brackets.items()]
-    small = counts.sparkSession.createDataFrame(rows, ", ".join([*fields, "_b int", "_lo double", "_hi double"]))
-    cond = (F.col("_lo").isNull() | (counts["_x"] >= F.col("_lo"))) & (F.col("_hi").isNull() | (counts["_x"] < F.col("_hi")))
+    rows = [(*group, 0, number, lo, hi) for (group, lo, hi), number in brackets.items()]
+    small = counts.sparkSession.createDataFrame(rows, ", ".join([*fields, "_one int", "_b int", "_lo double", "_hi double"]))
+    # a key in any case, so that the join is a hash join
+    cond = (counts["_one"] == small["_one"]) & (F.col("_lo").isNull() | (counts["_x"] >= F.col("_lo"))) & (F.col("_hi").isNull() | (counts["_x"] < F.col("_hi")))
     for k in by:
         cond = cond & counts[k].eqNullSafe(small[k])
     # at most two brackets for each group and probability
@@ -54,7 +55,7 @@ def exact_quantiles(
     spark = df.sparkSession
     shared_dir(spark)
     vals = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
-    counts = vals.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)
+    counts = vals.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c")).withColumn("_one", F.lit(0)).checkpoint(eager=True)
     totals = counts.groupBy(*by).agg(F.sum("_c").alias("_n")).limit(MAX_GROUPS + 1).collect()
     if len(totals) > MAX_GROUPS:
         raise ValueError(f"exact_quantiles: more than {MAX_GROUPS} groups")

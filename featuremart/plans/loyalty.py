@@ -193,13 +193,16 @@ def association(
         {
             "ra": F.sum("o").over(Window.partitionBy("col_a", "col_b", "a")),
             "cb": F.sum("o").over(Window.partitionBy("col_a", "col_b", "b")),
+            # shares that add up to the number of values, without an Expand
+            "ua": F.when(F.col("a").isNotNull(), 1 / F.count(F.lit(1)).over(Window.partitionBy("col_a", "col_b", "a"))),
+            "ub": F.when(F.col("b").isNotNull(), 1 / F.count(F.lit(1)).over(Window.partitionBy("col_a", "col_b", "b"))),
         }
     )
     per_pair = table.groupBy("col_a", "col_b").agg(
         (F.sum("o") * (F.sum(F.col("o") * F.col("o") / (F.col("ra") * F.col("cb"))) - 1)).alias("chi2"),
         F.sum("o").alias("n"),
-        F.count_distinct("a").alias("r"),
-        F.count_distinct("b").alias("k"),
+        F.round(F.sum("ua")).cast("long").alias("r"),
+        F.round(F.sum("ub")).cast("long").alias("k"),
     )
     v = F.sqrt(F.greatest(F.col("chi2"), F.lit(0.0)) / (F.col("n") * (F.least("r", "k") - 1)))
     cat = per_pair.select(

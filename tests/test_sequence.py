@@ -22,7 +22,8 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k long, id long, t long, v double")
 
 
-SLICE = F.floor(F.col("t") / 100)
+def slices():
+    return F.floor(F.col("t") / 100)
 
 
 def _as_map(df, col):
@@ -32,7 +33,7 @@ def _as_map(df, col):
 def test_running_sum_matches_window(spark, skewed):
     w = Window.partitionBy("k").orderBy("t", "id")
     want = skewed.withColumn("s", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    got = running_sum_within(skewed, ["k"], ["t", "id"], "v", "s", inclusive=False, slice_by=SLICE)
+    got = running_sum_within(skewed, ["k"], ["t", "id"], "v", "s", inclusive=False, slice_by=slices())
     want_m = {i: (x or 0.0) for i, x in _as_map(want, "s").items()}
     assert _as_map(got, "s") == want_m
     assert got.count() == skewed.count()
@@ -41,15 +42,15 @@ def test_running_sum_matches_window(spark, skewed):
 def test_lag_matches_window(spark, skewed):
     w = Window.partitionBy("k").orderBy("t", "id")
     want = skewed.withColumn("p", F.lag("t").over(w))
-    got = lag_within(skewed, ["k"], ["t", "id"], "t", "p", slice_by=SLICE)
+    got = lag_within(skewed, ["k"], ["t", "id"], "t", "p", slice_by=slices())
     assert _as_map(got, "p") == _as_map(want, "p")
 
 
 def test_hot_key_is_split(spark, skewed):
-    out = running_sum_within(skewed, ["k"], ["t", "id"], "v", "s", slice_by=SLICE)
+    out = running_sum_within(skewed, ["k"], ["t", "id"], "v", "s", slice_by=slices())
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan and "SPARK_PARTITION_ID" not in plan.upper()
-    assert skewed.where("k = 0").select(SLICE).distinct().count() > 10
+    assert skewed.where("k = 0").select(slices()).distinct().count() > 10
 
 
 @pytest.fixture(scope="module")
