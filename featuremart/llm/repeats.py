@@ -9,8 +9,9 @@ decide alone, ranks it; every window of 50 words chooses its highest boundary
 as anchor. Equal windows choose equal anchors, therefore only windows whose
 anchor occurs in several documents can repeat.
 
-Three passes over the texts: anchors shared between documents go into a bit
-set of fixed size; windows with such an anchor are compared by a 96-bit hash
+Whole copies of a text are told by its hash first (the root symbol of a
+grammar): all their words go. Then three passes over the other texts: anchors
+shared between documents go into a bit set of fixed size; windows with such an anchor are compared by a 96-bit hash
 of their words, which gives the first document of each; what later documents
 repeat is removed. Counting and joining are Spark aggregations and joins on
 anchors and windows, whose rows of one key are pre-aggregated.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featuremart.llm.text import SPACE_WORDS, mix, row_of, slices, span_hash, stored, utf8, word_spans
+from featuremart.llm.text import SPACE_WORDS, mix, row_of, slices, span_hash, stored, unused, utf8, word_spans
 
 WINDOW = 50
 CONTEXT = 12  # words on either side that may decide on a boundary
@@ -153,66 +154,132 @@ def _words(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return span_hash(data, s, e), rows
 
 
-def shared_anchors(docs: DataFrame, window: int = WINDOW) -> np.ndarray:
-    """Bit set of the names of anchors that occur in documents of several ids."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            h, rows = _words(b)
-            _, chosen, name = anchors(h, rows, window)
-            chosen, k = np.unique(chosen, return_index=True)
-            ids = b.column("doc_id").take(pa.array(row_of(rows)[chosen]))
-            yield pa.RecordBatch.from_arrays([pa.array(name[k].view(np.int64)), ids], ["name", "doc_id"])
-
-    found = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, f"name long, doc_id {kind}")
-    shared = found.groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b")
+def bit_set(names: DataFrame) -> np.ndarray:
+    """Bit set of the column ``name`` (long), of fixed size."""
     bit = F.pmod("name", F.lit(FILTER_BITS))
-    words = shared.select(F.shiftright(bit, 5).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(pmod(name, {FILTER_BITS}) & 31 as int))").alias("bits"))
+    words = names.select(F.shiftright(bit, 5).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(pmod(name, {FILTER_BITS}) & 31 as int))").alias("bits"))
     got = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()  # FILTER_BITS / 32 rows at most
     out = np.zeros(FILTER_BITS // 32, np.uint32)
     out[got["word"].to_numpy()] = got["bits"].to_numpy().astype(np.uint32)
     return out
 
 
-def candidate_windows(docs: DataFrame, shared: np.ndarray, window: int = WINDOW) -> DataFrame:
+def has_bit(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
+    k = (names & np.uint64(32 * len(bits) - 1)).astype(np.int64)
+    return (bits[k >> 5] >> (k & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+
+
+KEY = ["doc_id", "text_hash", "text_check"]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    d = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), F.hash("text").alias("text_check"), "text")
+    return d.withColumn("name", F.xxhash64(*KEY))
+
+
+def whole_copies(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, text_check of documents whose whole text a smaller id has."""
+    keys = _keyed(docs).select(*KEY)
+    low = keys.groupBy("text_hash", "text_check").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    low = stored(low.where("low <> high").drop("high"), "copy-first")
+    return stored(keys.join(low, ["text_hash", "text_check"]).where("doc_id > low").select(*KEY).distinct(), "copies")
+
+
+class Texts:
+    """Documents that are no whole copies. A copy is left out by a bit set inside
+    each pass; the few others that share a bit with one are found by a join."""
+
+    def __init__(self, docs: DataFrame) -> None:
+        self.keyed = _keyed(docs)
+        self.copies = whole_copies(docs)
+        bits = bit_set(self.copies.select(F.xxhash64(*KEY).alias("name")))
+        self.skip = docs.sparkSession.sparkContext.broadcast(bits)
+        skip = self.skip
+
+        def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                hit = has_bit(skip.value, b.column("name").to_numpy().view(np.uint64))
+                if hit.any():
+                    yield b.filter(pa.array(hit))
+
+        others = self.keyed.mapInArrow(flagged, self.keyed.schema).join(self.copies, KEY, "left_anti")
+        self.others = stored(others.select(*self.keyed.columns), "not-copies")
+
+    def each(self, make, schema: str) -> DataFrame:
+        """Rows that ``make`` yields for slices of all these documents."""
+        skip = self.skip
+
+        def most(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in slices(batches):
+                keep = ~has_bit(skip.value, b.column("name").to_numpy().view(np.uint64))
+                if keep.any():
+                    yield make(b if keep.all() else b.filter(pa.array(keep)))
+
+        def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in slices(batches):
+                yield make(b)
+
+        return self.keyed.mapInArrow(most, schema).unionByName(self.others.mapInArrow(rest, schema))
+
+
+def shared_anchors(texts: Texts, window: int = WINDOW) -> np.ndarray:
+    """Bit set of the names of anchors that occur in documents of several ids."""
+    kind = texts.keyed.schema["doc_id"].dataType.simpleString()
+
+    def make(b: pa.RecordBatch) -> pa.RecordBatch:
+        h, rows = _words(b)
+        _, chosen, name = anchors(h, rows, window)
+        chosen, k = np.unique(chosen, return_index=True)
+        ids = b.column("doc_id").take(pa.array(row_of(rows)[chosen]))
+        return pa.RecordBatch.from_arrays([pa.array(name[k].view(np.int64)), ids], ["name", "doc_id"])
+
+    found = texts.each(make, f"name long, doc_id {kind}")
+    return bit_set(found.groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b"))
+
+
+def candidate_windows(texts: Texts, shared: np.ndarray, window: int = WINDOW) -> DataFrame:
     """hash, check, doc_id, text_hash, start of every window with a shared anchor."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    bits = docs.sparkSession.sparkContext.broadcast(shared)
+    kind = texts.keyed.schema["doc_id"].dataType.simpleString()
+    bits = texts.keyed.sparkSession.sparkContext.broadcast(shared)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            h, rows = _words(b)
-            start, _, name = anchors(h, rows, window)
-            k = (name & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-            start = start[(bits.value[k >> 5] >> (k & 31).astype(np.uint32) & np.uint32(1)).astype(bool)]
-            one = Ranges(h).hash(start, start + window)
-            two = Ranges(mix(h ^ np.uint64(0x5851F42D4C957F2D))).hash(start, start + window)
-            row = row_of(rows)[start]
-            pick = pa.array(row)
-            local = (start - rows[row]).astype(np.int32)
-            cols = [pa.array(mix(one).view(np.int64)), pa.array((mix(two) >> np.uint64(32)).astype(np.uint32).view(np.int32))]
-            cols += [b.column("doc_id").take(pick), b.column("text_hash").take(pick), pa.array(local)]
-            yield pa.RecordBatch.from_arrays(cols, ["hash", "check", "doc_id", "text_hash", "start"])
-
-    d = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return d.mapInArrow(run, f"hash long, check int, doc_id {kind}, text_hash long, start int")
+    def make(b: pa.RecordBatch) -> pa.RecordBatch:
+        h, rows = _words(b)
+        start, _, name = anchors(h, rows, window)
+        start = start[has_bit(bits.value, name)]
+        one = Ranges(h).hash(start, start + window)
+        two = Ranges(mix(h ^ np.uint64(0x5851F42D4C957F2D))).hash(start, start + window)
+        row = row_of(rows)[start]
+        pick = pa.array(row)
+        local = (start - rows[row]).astype(np.int32)
+        cols = [pa.array(mix(one).view(np.int64)), pa.array((mix(two) >> np.uint64(32)).astype(np.uint32).view(np.int32))]
+        cols += [b.column("doc_id").take(pick), b.column("text_hash").take(pick), pa.array(local)]
+        return pa.RecordBatch.from_arrays(cols, ["hash", "check", "doc_id", "text_hash", "start"])
+
+    return texts.each(make, f"hash long, check int, doc_id {kind}, text_hash long, start int")
 
 
 def repeated_starts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, text_hash, starts: the windows that also start in a smaller doc_id."""
-    windows = candidate_windows(docs, shared_anchors(docs, window), window)
+    """doc_id, text_hash, starts: the windows that also start in a smaller doc_id;
+    null for a whole copy, all of whose windows do."""
+    texts = Texts(docs)
+    windows = candidate_windows(texts, shared_anchors(texts, window), window)
     first = windows.groupBy("hash", "check").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     first = stored(first.where("low <> high").select("hash", "check", "low"), "first-windows")
     later = windows.join(first, ["hash", "check"]).where("doc_id > low")
-    return later.groupBy("doc_id", "text_hash").agg(F.collect_list("start").alias("starts"))
+    some = later.groupBy("doc_id", "text_hash").agg(F.collect_list("start").alias("starts"))
+    whole = texts.copies.select("doc_id", "text_hash", F.lit(None).cast("array<int>").alias("starts"))
+    return some.unionByName(whole).withColumn("whole", F.col("starts").isNull())
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with kept_text (kept words joined by a space), n_words, n_removed."""
     docs = docs.drop("kept_text", "n_words", "n_removed")
-    found = repeated_starts(docs.select("doc_id", "text"), window).withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
-    joined = docs.join(found, (docs["doc_id"] == found["_doc"]) & (F.xxhash64(docs["text"]) == found["_hash"]), "left").drop("_doc", "_hash")
+    where, whole = unused(docs, "starts", "whole")
+    found = repeated_starts(docs.select("doc_id", "text"), window).select(
+        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("starts").alias(where), F.col("whole").alias(whole)
+    )
+    joined = docs.join(found, (docs["doc_id"] == found["_doc"]) & (F.xxhash64(docs["text"]) == found["_hash"]), "left")
+    joined = joined.select(*[docs[c] for c in docs.columns], found[where], F.coalesce(found[whole], F.lit(False)).alias(whole))
     schema = docs.select("*", F.lit("").alias("kept_text"), F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed")).schema
     keep = docs.columns
 
@@ -220,7 +287,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         for b in slices(batches):
             data, off = utf8(b.column("text"))
             s, e, rows = word_spans(data, off, SPACE_WORDS)
-            starts = b.column("starts")
+            starts = b.column(where)
             flat = starts.flatten().to_numpy(zero_copy_only=False).astype(np.int64) if len(starts) else np.zeros(0, np.int64)
             size = np.array([len(x) if x.is_valid else 0 for x in starts], np.int64)
             cover = np.zeros(len(s) + 1, np.int64)
@@ -228,6 +295,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             np.add.at(cover, begin, 1)
             np.add.at(cover, begin + window, -1)
             kept = np.cumsum(cover)[:-1] == 0
+            copy = b.column(whole).to_numpy(zero_copy_only=False) & (np.diff(rows) >= window)
+            kept &= ~np.repeat(copy, np.diff(rows))
             raw, text = data.tobytes(), []
             for i in range(b.num_rows):
                 k = np.flatnonzero(kept[rows[i] : rows[i + 1]]) + rows[i]
