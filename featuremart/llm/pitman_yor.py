@@ -53,6 +53,7 @@ WORD_STRENGTH = 10.0
 CONTEXT_WORDS = 1023
 WORD_CONTEXT = 0.8, 50.0  # discount and strength of the restaurants of frequent words
 FEW = 8  # customers seated one by one
+BLOCKS_FROM = 200  # weight from which customers are seated in blocks
 END = "\n"  # the end token; no word holds it
 
 _CLASS = np.array([27 + (b * 7) % 5 for b in range(256)], np.int32)
@@ -83,7 +84,8 @@ def seat(customers: np.ndarray, weight: np.ndarray, discount: float, draw: Calla
     a customer opens a table in proportion to ``weight`` (strength plus discount
     times all tables, times the parent's probability of the dish) and joins one
     in proportion to customers seated less discount times tables. The number of
-    customers until the next table is drawn by inversion, one draw a table;
+    customers until the next table is drawn by inversion, one draw a table, or
+    where very many open, the tables of the next twentieth of the customers;
     ``draw(dishes, k)`` gives the uniform numbers of round k."""
     tables = np.minimum(customers, 1)
     live = np.flatnonzero(customers > 1)
@@ -99,10 +101,19 @@ def seat(customers: np.ndarray, weight: np.ndarray, discount: float, draw: Calla
         with np.errstate(over="ignore", invalid="ignore"):
             joined = np.floor(np.minimum(y * (u ** (-1.0 / a) - 1), 1e18))
         one = x < FEW
-        opens = ~one | (u * (a + x) < a)
-        seated = seated + np.where(one, 0, joined) + 1
+        opens = np.where(one, u * (a + x) < a, 1)
+        steps = np.where(one, 0, joined) + 1
+        # many tables open: a block of customers at once, its tables normal
+        many = np.flatnonzero(~one & (a >= BLOCKS_FROM))
+        if len(many):
+            p = a[many] / (a[many] + x[many])
+            m = np.minimum(np.floor(0.05 * (a[many] + x[many])), customers[live[many]] - seated[many])
+            z = np.sqrt(-2 * np.log(u[many])) * np.cos(2 * np.pi * draw(live[many], k + (1 << 20)))
+            steps[many] = m
+            opens[many] = np.clip(np.rint(m * p + np.sqrt(m * p * (1 - p)) * z), 0, m)
+        seated = seated + steps
         inside = seated <= customers[live]
-        tables[live[opens & inside]] += 1
+        tables[live] += np.where(inside, opens, 0).astype(tables.dtype)
         more = seated < customers[live]
         live, seated = live[more], seated[more]
         k += 1

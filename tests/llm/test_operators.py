@@ -133,13 +133,13 @@ def test_rare_words_join_like_frequent_ones(spark, monkeypatch):
         assert r["base_score"] == pytest.approx(whole[d]["base_score"], rel=1e-9)
 
 
-def test_seating_draws_follow_the_process():
+@pytest.mark.parametrize("n,a,d", [(200, 1.5, 0.6), (300, 0.05, 0.8), (3000, 400.0, 0.7)])
+def test_seating_draws_follow_the_process(n, a, d):
     """Mean number of tables against customers seated one by one."""
     r = np.random.default_rng(1)
-    n, a, d = 200, 1.5, 0.6
     got = pitman_yor.seat(np.full(4000, n), np.full(4000, a), d, lambda live, k: r.random(len(live)))
     slow = []
-    for _ in range(2000):
+    for _ in range(2000 if n < 1000 else 100):
         t = 1
         for seated in range(1, n):
             t += r.random() < a / (a + seated - d * t)
