@@ -202,7 +202,9 @@ def cancel_model(spark, sf_dir):
 def _calibrated(spark, sf_dir):
     """(calibration rows, test rows), both with a score calibrated on the former."""
     _, held, test = _cancel_fit(spark, sf_dir)
-    held, test = cm.positive_score(held), cm.positive_score(test)
+    # scored once: the calibration reads these rows several times
+    narrow = ("booking_id", "price", "stay_nights", "is_canceled", "label", "score")
+    held, test = (stored(cm.positive_score(x).select(*narrow), "scored") for x in (held, test))
     return cm.platt_calibrate(held)[0], cm.platt_calibrate(held, test)[0]
 
 
