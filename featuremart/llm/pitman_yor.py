@@ -5,13 +5,11 @@ its base: a word is its bytes and an end mark, and each byte is drawn from the
 restaurant of the three bytes before it, whose parents are the restaurants of
 two, one and no bytes. A table opened for a word sends its spelling to the
 byte restaurants, a table opened there sends its byte to the parent. Above,
-each of the ``CONTEXT_WORDS`` most frequent words has a restaurant of the
-words that follow it; they share the restaurant of all words as parent, and
-tell only the frequent words apart (one dish and one context stand for all
-others, which the parent then tells apart). Gibbs sweeps seat all customers
-anew, given the other levels; probabilities are means over the sweeps kept. A
-word that training lacks is one outcome, as in the base score; it gets what
-the model leaves for unseen words.
+every word has a restaurant of the words that follow it; they share the
+restaurant of all words as parent. Gibbs sweeps seat all customers anew, given
+the other levels; probabilities are means over the sweeps kept. A word that
+training lacks is one outcome, as in the base score; it gets what the model
+leaves for unseen words, and after it the restaurant of all words holds.
 
 Seating is blocked: all customers of one dish are seated together, given the
 tables of the rest from the sweep before, so that a sweep is one pass over
@@ -19,11 +17,19 @@ the vocabulary. A sweep draws the customers that open tables directly, one
 draw a table instead of one a customer. The restaurant of all words seats
 every token, not only the tables of the contexts.
 
-The vocabulary is a stored table that grows with the corpus. What is shared
-with all tasks is bounded: the byte restaurants (32,768 contexts by 256
-bytes, contexts being classes of bytes), the restaurants of the frequent words
-and the ``FREQUENT`` most frequent words. All other words of the texts are
-joined with the vocabulary.
+The vocabulary and the pairs of adjacent words are stored tables that grow with
+the corpus. What is shared with all tasks is bounded: the byte restaurants
+(32,768 contexts by 256 bytes, contexts being classes of bytes), the number of
+tables after each of the ``CONTEXT_WORDS`` most frequent words, the
+``FREQUENT`` most frequent words and the ``FREQUENT_PAIRS`` most frequent
+pairs. The pairs of the most frequent contexts are seated wherever they are
+stored, those of any other context in one task. All other words and pairs of
+the texts are joined with the tables.
+
+A word's probability after a context is the context's own part, for pairs that
+training holds, and the context's rest (what it leaves to its parent) times the
+word's. So a text's score is the sum over its tokens of log p and log rest, and
+over its pairs of what the own part adds.
 
 Defined cases: null and empty texts are one end token; with no training text
 every word is unseen, with probability 1; a null doc_id counts as the empty
@@ -36,8 +42,9 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featuremart.llm.text import LOWER, SPACE_WORDS, id_crc, mix, row_of, row_sums, slices, span_hash, span_strings, stored, utf8, word_spans
@@ -50,11 +57,14 @@ CLASSES = 32  # of context bytes
 CONTEXTS = CLASSES**ORDER
 DISCOUNT, STRENGTH = 0.75, 1.0  # of the byte restaurants
 WORD_STRENGTH = 10.0
-CONTEXT_WORDS = 1023
-WORD_CONTEXT = 0.8, 50.0  # discount and strength of the restaurants of frequent words
+CONTEXT_WORDS = 1 << 16  # contexts whose pairs are seated in many tasks
+FREQUENT_PAIRS = 1 << 21
+PAIRS_HELD = 1 << 22  # in a task, while pairs are counted
+WORD_CONTEXT = 0.8, 50.0  # discount and strength of the restaurants of contexts
 FEW = 8  # customers seated one by one
 BLOCKS_FROM = 200  # weight from which customers are seated in blocks
 END = "\n"  # the end token; no word holds it
+END_HASH = span_hash(np.array([0x0A], np.uint8), np.array([0]), np.array([1]))[0]
 
 _CLASS = np.array([27 + (b * 7) % 5 for b in range(256)], np.int32)
 _CLASS[0x20] = 0
@@ -216,75 +226,209 @@ def vocabulary(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    vocabulary: DataFrame  # word, c, p
+    vocabulary: DataFrame  # word, h (hash), c, p, rest
+    pairs: DataFrame  # pair, n, adds (log10 of what the context's own part adds)
     total: int  # training tokens
     distinct: int
     unseen: float  # probability of a word that is not in the vocabulary
-    frequent: tuple[np.ndarray, np.ndarray, np.ndarray]  # hashes in order, counts, probabilities
-    classes: tuple[np.ndarray, np.ndarray, int]  # hashes in order, classes, class of the end token
-    follows: np.ndarray  # probability of a class after a class; 0: all other words
-    others: float  # probability of class 0
+    frequent: tuple[np.ndarray, ...]  # hashes in order, counts, log10 of p times rest
+    frequent_pairs: tuple[np.ndarray, np.ndarray]  # pairs in order, adds
+    follows: np.ndarray  # of each frequent context, its own part and its rest
+
+
+def _tokens(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every token (words and one end a text), of the one before it (the
+    end token's for the first), and the n+1 offsets of the texts."""
+    data, off = utf8(b.column("text"))
+    data = LOWER[data]
+    s, e, rows = word_spans(data, off, SPACE_WORDS)
+    off = rows + np.arange(len(rows))
+    now = np.full(off[-1], END_HASH, np.uint64)
+    now[np.arange(len(s)) + row_of(rows)] = span_hash(data, s, e)
+    return now, np.append(END_HASH, now[:-1]), off
+
 
+def _pair(before: np.ndarray, now: np.ndarray) -> np.ndarray:
+    return mix(before) ^ now
 
-def _classes(look: np.ndarray, classes: tuple) -> np.ndarray:
-    key, number, _ = classes
+
+def _place(key: np.ndarray, look: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each of ``look`` in the ordered ``key``, and whether it is there."""
     if not len(key):
-        return np.zeros(len(look), np.int64)
+        return np.zeros(len(look), np.int64), np.zeros(len(look), bool)
     at = np.minimum(np.searchsorted(key, look), len(key) - 1)
-    return np.where(key[at] == look, number[at], 0)
+    return at, key[at] == look
 
 
-def _with_ends(hashes: np.ndarray, rows: np.ndarray, classes: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class of every token (words and one end a text), of the one before it (the
-    end token's for the first), and the n+1 offsets of the texts."""
-    off = rows + np.arange(len(rows))
-    now = np.full(off[-1], classes[2], np.int64)
-    now[np.arange(len(hashes)) + row_of(rows)] = _classes(hashes, classes)
-    before = np.append(classes[2], now[:-1])
-    return now, before, off
+def followers(texts: DataFrame) -> DataFrame:
+    """ctx, w, n: hashes of all adjacent tokens with counts."""
 
-
-def _followers(texts: DataFrame, classes: tuple) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of classes (before * size + now) of all adjacent tokens, with counts."""
-    size = CONTEXT_WORDS + 1
+    def rows(ctx: np.ndarray, w: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(ctx.view(np.int64)), pa.array(w.view(np.int64)), pa.array(n)], ["ctx", "w", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size * size, np.int64)
-        for b in slices(batches):
-            data, off = utf8(b.column("text"))
-            data = LOWER[data]
-            s, e, rows = word_spans(data, off, SPACE_WORDS)
-            now, before, _ = _with_ends(span_hash(data, s, e), rows, classes)
-            total += np.bincount(before * size + now, minlength=len(total))
-        nz = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(nz), pa.array(total[nz])], ["pair", "n"])
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            ctx, w, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, first, inverse = np.unique(_pair(ctx, w), return_index=True, return_inverse=True)
+            return ctx[first], w[first], np.bincount(inverse, weights=n).astype(np.int64)
+
+        for b in slices(batches, limit=8 << 20):
+            now, before, _ = _tokens(b)
+            _, first, n = np.unique(_pair(before, now), return_index=True, return_counts=True)
+            held.append((before[first], now[first], n.astype(np.int64)))
+            size += len(n)
+            if size > PAIRS_HELD:
+                held = [merged()]
+                size = len(held[0][0])
+                if size > PAIRS_HELD // 2:
+                    yield rows(*held[0])
+                    held, size = [], 0
+        if held:
+            yield rows(*merged())
+
+    return texts.select("text").mapInArrow(run, "ctx long, w long, n long").groupBy("ctx", "w").agg(F.sum("n").alias("n"))
+
 
-    # at most size * size rows
-    got = texts.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).orderBy("pair").toPandas()
-    return got["pair"].to_numpy().astype(np.int64), got["n"].to_numpy().astype(np.int64)
+def _longs(part: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    return [part.column(x).to_numpy(zero_copy_only=False) for x in names]
 
 
-def context_model(pairs: np.ndarray, counts: np.ndarray, parent: np.ndarray, sweeps: int, seed: int) -> np.ndarray:
-    """Mean predictive probability of each class after each class."""
-    size = len(parent)
+def _seat_pairs(pair: np.ndarray, n: np.ndarray, p: np.ndarray, tables: np.ndarray, seed: int) -> np.ndarray:
+    """Tables of each pair, given all ``tables`` of its context in the sweep before."""
     discount, strength = WORD_CONTEXT
-    room, dish = pairs // size, pairs % size
-    c = np.bincount(room, weights=counts, minlength=size)
-    tables = np.minimum(counts, 1)
-    mean = np.zeros((size, size))
+    return seat(n, (strength + discount * tables) * p, discount, _draws(mix(pair), seed))
+
+
+def _adds(own: np.ndarray, rest: np.ndarray, p: np.ndarray) -> np.ndarray:
+    return np.log10(1 + own / np.maximum(rest * p, 1e-300))
+
+
+SCORES = "pair long, n long, value double"  # n is null: the pair is a context, the value its rest
+
+
+def _scores(pair: np.ndarray, n: np.ndarray | None, value: np.ndarray) -> pa.RecordBatch:
+    n = pa.nulls(len(pair), pa.int64()) if n is None else pa.array(n)
+    return pa.RecordBatch.from_arrays([pa.array(pair.view(np.int64)), n, pa.array(value)], ["pair", "n", "value"])
+
+
+def _alone(batches: Iterator[pa.RecordBatch], sweeps: int, seed: int) -> Iterator[pa.RecordBatch]:
+    """Seat the pairs (ctx, w, n, p; in order of ctx) of contexts that are whole here."""
+    discount, strength = WORD_CONTEXT
+
+    def seated(ctx: np.ndarray, w: np.ndarray, n: np.ndarray, p: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ctx, w = ctx.view(np.uint64), w.view(np.uint64)
+        start = np.flatnonzero(np.append(True, ctx[1:] != ctx[:-1]))
+        room = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(ctx))))
+        pair = _pair(ctx, w)
+        c = np.bincount(room, weights=n)
+        t = np.bincount(room).astype(np.float64)
+        own, rest = np.zeros(len(n)), np.zeros(len(c))
+        for k in range(sweeps):
+            tables = _seat_pairs(pair, n, p, t[room], seed + k)
+            t = np.bincount(room, weights=tables)
+            own += (n - discount * tables) / (strength + c)[room] / sweeps
+            rest += (strength + discount * t) / (strength + c) / sweeps
+        yield _scores(pair, n, _adds(own, rest[room], p))
+        yield _scores(ctx[start], None, rest)
+
+    held: list[np.ndarray] | None = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        now = _longs(b, "ctx", "w", "n", "p")
+        held = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
+        last = int(np.searchsorted(held[0], held[0][-1]))  # its pairs may go on
+        if last:
+            yield from seated(*(x[:last] for x in held))
+            held = [x[last:] for x in held]
+    if held is not None:
+        yield from seated(*held)
+
+
+def context_model(texts: DataFrame, rated: DataFrame, top: tuple[np.ndarray, ...], sweeps: int, seed: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """pair, n, adds of all pairs; h, rest of all contexts; own part and rest of
+    the frequent contexts. ``top``: hashes, counts and p, most frequent first."""
+    sc = texts.sparkSession.sparkContext
+    discount, strength = WORD_CONTEXT
+    h, count, p = top
+    order = np.argsort(h)
+    words = sc.broadcast((h[order], order, p[order]))
+    size = min(CONTEXT_WORDS, len(h))
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rank, known = words.value
+        for b in batches:
+            ctx, w = (x.view(np.uint64) for x in _longs(b, "ctx", "w"))
+            at, hit = _place(key, ctx)
+            room = np.where(hit & (rank[at] < size), rank[at], -1) if len(key) else np.full(len(ctx), -1)
+            at, hit = _place(key, w)
+            value = pa.array(known[at] if len(key) else np.zeros(len(w)), mask=~hit)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(room.astype(np.int32)), value], ["ctx", "w", "n", "room", "p"])
+
+    found = stored(followers(texts).mapInArrow(look, "ctx long, w long, n long, room int, p double"), "word-pairs")
+    rare = stored(found.where("p is null").drop("p").join(rated.select(F.col("h").alias("w"), "p"), "w"), "rare-pairs")
+    pairs = found.where("p is not null").unionByName(rare)
+    many = pairs.where("room >= 0")
+    got = many.groupBy("room").agg(F.count("*").alias("t"), F.sum("n").alias("n")).toPandas()  # at most CONTEXT_WORDS rows
+    t, n = np.zeros(size), np.zeros(size)
+    t[got["room"]], n[got["room"]] = got["t"], got["n"]
+    totals = [t]  # tables of the frequent contexts, sweep by sweep
     for k in range(sweeps):
-        t = np.bincount(room, weights=tables, minlength=size)
-        tables = seat(counts, (strength + discount * t[room]) * parent[dish], discount, _draws(mix(pairs.astype(np.uint64)), seed + k))
-        t = np.bincount(room, weights=tables, minlength=size)
-        p = parent[None, :] * ((strength + discount * t) / (strength + c))[:, None]
-        p[room, dish] += np.maximum(counts - discount * tables, 0) / (strength + c)[room]
-        mean += p / sweeps
-    return mean
+        before = sc.broadcast(totals[-1])
+
+        def run(batches: Iterator[pa.RecordBatch], before=before, k=k) -> Iterator[pa.RecordBatch]:
+            t = np.zeros(size)
+            for b in batches:
+                ctx, w, n, room, p = _longs(b, "ctx", "w", "n", "room", "p")
+                tables = _seat_pairs(_pair(ctx.view(np.uint64), w.view(np.uint64)), n, p, before.value[room], seed + k)
+                t += np.bincount(room, weights=tables, minlength=size)
+            nz = np.flatnonzero(t)
+            yield pa.RecordBatch.from_arrays([pa.array(nz), pa.array(t[nz].astype(np.int64))], ["room", "t"])
+
+        got = many.mapInArrow(run, "room long, t long").groupBy("room").agg(F.sum("t").alias("t")).toPandas()
+        t = np.zeros(size)
+        t[got["room"]] = got["t"]
+        totals.append(t)
+        before.unpersist()
+    c = count[:size]
+    rest = np.mean([(strength + discount * t) / (strength + c) for t in totals[1:]], axis=0)
+    own = np.mean([(n - discount * t) / (strength + c) for t in totals[1:]], axis=0)
+    shared = sc.broadcast((totals, c, rest))
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals, c, rest = shared.value
+        for b in batches:
+            ctx, w, n, room, p = _longs(b, "ctx", "w", "n", "room", "p")
+            pair = _pair(ctx.view(np.uint64), w.view(np.uint64))
+            own = np.zeros(len(n))
+            for k in range(sweeps):
+                own += n - discount * _seat_pairs(pair, n, p, totals[k][room], seed + k)
+            yield _scores(pair, n, _adds(own / sweeps / (strength + c)[room], rest[room], p))
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _alone(batches, sweeps, seed)
+
+    few = pairs.where("room < 0").select("ctx", "w", "n", "p").repartition("ctx").sortWithinPartitions("ctx")
+    done = stored(many.mapInArrow(rate, SCORES).unionByName(few.mapInArrow(alone, SCORES)), "pair-scores")
+    frequent = texts.sparkSession.createDataFrame(pd.DataFrame({"h": h[:size].view(np.int64), "rest": rest}), "h long, rest double")
+    rests = done.where("n is null").select(F.col("pair").alias("h"), F.col("value").alias("rest")).unionByName(frequent)
+    return done.where("n is not null").withColumnRenamed("value", "adds"), rests, np.column_stack([own, rest])
+
+
+def _most(df: DataFrame, column: str, rows: int) -> Column:
+    """Whether ``column`` is above the lowest step of counts that fits in ``rows``."""
+    step = F.floor(F.log2(column) * 8)
+    steps = df.groupBy(step.alias("step")).count().toPandas().sort_values("step", ascending=False)
+    fits = steps["step"][steps["count"].cumsum() <= rows]
+    return step >= (int(fits.min()) if len(fits) else 1 << 30)
 
 
 def fit(texts: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN, seed: int = 11) -> Model:
     """Learn from all of ``texts``: one pass to count words, one pass over the
-    vocabulary for each sweep, one pass to count which frequent words follow."""
+    vocabulary for each sweep, one pass to count pairs, one over those for each sweep."""
     vocab = vocabulary(texts)
     stats = vocab.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count(F.when(F.col("c") == 1, 1)).alias("one"), F.count(F.when(F.col("c") == 2, 1)).alias("two")).first()
     total, distinct = int(stats["n"] or 0), int(stats["v"])
@@ -322,27 +466,25 @@ def fit(texts: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN, seed: in
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts(batches):
             p = _word_probability(part.column("word"), part.column("c").to_numpy(), shared.value, total, discount)[0]
-            yield pa.RecordBatch.from_arrays([part.column("word"), part.column("c"), pa.array(p)], ["word", "c", "p"])
+            h = pa.array(span_hash(*_bounds(part.column("word"))).view(np.int64))
+            yield pa.RecordBatch.from_arrays([part.column("word"), h, part.column("c"), pa.array(p)], ["word", "h", "c", "p"])
 
-    rated = stored(vocab.mapInArrow(rate, "word string, c long, p double"), "rated-words")
+    rated = stored(vocab.mapInArrow(rate, "word string, h long, c long, p double"), "rated-words")
     unseen = max(1.0 - (rated.agg(F.sum("p")).first()[0] or 0.0), 1e-12)
-    # the most frequent words: all above the lowest step of counts that fits
-    step = F.floor(F.log2("c") * 8)
-    steps = rated.groupBy(step.alias("step")).count().toPandas().sort_values("step", ascending=False)
-    fits = steps["step"][steps["count"].cumsum() <= FREQUENT]
-    lowest = int(fits.min()) if len(fits) else 1 << 30
-    top = rated.where(step >= lowest).toPandas().sort_values(["c", "word"], ascending=[False, True])
-    h = span_hash(*_bounds(pa.array(top["word"], pa.string())))
+    often = _most(rated, "c", FREQUENT)
+    top = rated.where(often).select("h", "c", "p").toPandas().sort_values(["c", "h"], ascending=[False, True])
+    most = top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), top["p"].to_numpy(np.float64)
+    pairs, rests, follows = context_model(texts, rated, most, sweeps, seed)
+    rated = stored(rated.join(rests, "h"), "contexts")
+    top = rated.where(often).select("h", "c", "p", "rest").toPandas()
+    h = top["h"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(h)
-    first = np.argsort(h[:CONTEXT_WORDS])
-    end = np.flatnonzero(top["word"].to_numpy()[:CONTEXT_WORDS] == END)
-    classes = h[:CONTEXT_WORDS][first], first.astype(np.int64) + 1, int(end[0]) + 1 if len(end) else 0
-    parent = np.zeros(CONTEXT_WORDS + 1)
-    parent[1 : len(first) + 1] = top["p"].to_numpy()[:CONTEXT_WORDS]
-    parent[0] = max(1.0 - parent.sum(), 1e-12)
-    follows = context_model(*_followers(texts, classes), parent, sweeps, seed)
-    frequent = h[order], top["c"].to_numpy()[order].astype(np.int64), top["p"].to_numpy()[order].astype(np.float64)
-    return Model(rated, total, distinct, unseen, frequent, classes, follows, float(parent[0]))
+    value = np.log10(top["p"].to_numpy(np.float64)) + np.log10(top["rest"].to_numpy(np.float64))
+    frequent = h[order], top["c"].to_numpy(np.int64)[order], value[order]
+    top = pairs.where(_most(pairs, "n", FREQUENT_PAIRS)).select("pair", "adds").toPandas()
+    pair = top["pair"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(pair)
+    return Model(rated, pairs, total, distinct, unseen, frequent, (pair[order], top["adds"].to_numpy(np.float64)[order]), follows)
 
 
 def _parts(batches: Iterator[pa.RecordBatch], rows: int = 50_000) -> Iterator[pa.RecordBatch]:
@@ -355,36 +497,30 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score (log10 probability of the
     whole text), one row per row of ``docs`` (doc_id, text)."""
     share = 0.1 * (model.distinct + 1) + model.total
-    others = float(np.log10(model.others))
-    shared = docs.sparkSession.sparkContext.broadcast((model.frequent, model.classes, np.log10(np.maximum(model.follows, 1e-300))))
+    shared = docs.sparkSession.sparkContext.broadcast(model.frequent)
+    pairs = docs.sparkSession.sparkContext.broadcast(model.frequent_pairs)
     kind = docs.schema["doc_id"].dataType.simpleString()
     d = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     names = ["doc_id", "text_hash", "word", "n", "n_tokens", "n_known", "base", "own", "rows"]
     schema = f"doc_id {kind}, text_hash long, word string, n int, n_tokens long, n_known long, base double, own double, rows long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (key, count, p), classes, follows = shared.value
-        end = span_hash(np.array([0x0A], np.uint8), np.array([0]), np.array([1]))
+        key, count, value = shared.value
         for b in slices(batches):
             m = b.num_rows
             data, off = utf8(b.column("text"))
             data = LOWER[data]
             s, e, rows = word_spans(data, off, SPACE_WORDS)
-            now, before, tokens = _with_ends(span_hash(data, s, e), rows, classes)
-            own = row_sums(follows[before, now], tokens)
             # words, then the end token of each text
-            look = np.concatenate([span_hash(data, s, e), np.repeat(end, m)])
+            look = np.concatenate([span_hash(data, s, e), np.full(m, END_HASH)])
             of = np.concatenate([row_of(rows), np.arange(m)])
-            other = np.concatenate([_classes(look[: len(s)], classes) == 0, np.full(m, classes[2] == 0)])
-            at = np.minimum(np.searchsorted(key, look), max(len(key) - 1, 0))
-            hit = key[at] == look if len(key) else np.zeros(len(look), bool)
+            at, hit = _place(key, look)
             w, at = of[hit], at[hit]
             base = np.bincount(w, np.log10((count[at] + 0.1) / share), m) if len(key) else np.zeros(m)
-            if len(key):
-                own += np.bincount(w, np.where(other[hit], np.log10(p[at]) - others, 0.0), m)
+            own = np.bincount(w, value[at], m) if len(key) else np.zeros(m)
             # a blank before the row's own key: no word begins with one
             mark = pa.array([f" {x}" for x in b.column("text_hash").to_pylist()], pa.string())
-            cols = [b.column("doc_id"), b.column("text_hash"), mark, pa.nulls(m, pa.int32()), pa.array(np.diff(tokens)), pa.array(np.bincount(w, minlength=m)), pa.array(base), pa.array(own), pa.array(np.ones(m, np.int64))]
+            cols = [b.column("doc_id"), b.column("text_hash"), mark, pa.nulls(m, pa.int32()), pa.array(np.diff(rows) + 1), pa.array(np.bincount(w, minlength=m)), pa.array(base), pa.array(own), pa.array(np.ones(m, np.int64))]
             yield pa.RecordBatch.from_arrays(cols, names)
             # other words, once for each text, to be joined with the vocabulary
             rare = np.flatnonzero(~hit[: len(s)])
@@ -399,7 +535,21 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             blank = [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.int64())]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(take), b.column("text_hash").take(take), text, pa.array(times), *blank], names)
 
-    vocab = model.vocabulary.select(F.col("word").alias("_w"), "c", "p")
+    def run_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, adds = pairs.value
+        for b in slices(batches):
+            m = b.num_rows
+            now, before, off = _tokens(b)
+            look, of = _pair(before, now), row_of(off)
+            at, hit = _place(key, look)
+            own = np.bincount(of[hit], adds[at[hit]], m) if len(key) else np.zeros(m)
+            # one row a text for what is known here, one for each other pair
+            take = pa.array(np.concatenate([np.arange(m), of[~hit]]))
+            pair = np.concatenate([mix(np.arange(m).astype(np.uint64)), look[~hit]]).view(np.int64)
+            value = pa.array(np.concatenate([own, np.zeros(len(pair) - m)]), mask=np.arange(len(pair)) >= m)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(take), b.column("text_hash").take(take), pa.array(pair), value], ["doc_id", "text_hash", "pair", "own"])
+
+    vocab = model.vocabulary.select(F.col("word").alias("_w"), "c", "p", "rest")
     joined = d.mapInArrow(run, schema).join(vocab, F.col("word") == F.col("_w"), "left")
     c = F.coalesce("c", F.lit(0))
     whole = F.col("rows").isNotNull()
@@ -407,8 +557,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         "doc_id", "text_hash", "n_tokens", "rows",
         F.when(whole, F.col("n_known")).when(c > 0, F.col("n")).otherwise(0).cast("long").alias("known"),
         F.when(whole, F.col("base")).otherwise(F.col("n") * F.log10((c + 0.1) / F.lit(share))).alias("base"),
-        F.when(whole, F.col("own")).otherwise(F.col("n") * (F.log10(F.coalesce("p", F.lit(model.unseen))) - F.lit(others))).alias("own"),
+        F.when(whole, F.col("own")).otherwise(F.col("n") * (F.log10(F.coalesce("p", F.lit(model.unseen))) + F.log10(F.coalesce("rest", F.lit(1.0))))).alias("own"),
     )
+    # pairs that training lacks add nothing
+    after = d.mapInArrow(run_pairs, f"doc_id {kind}, text_hash long, pair long, own double").join(model.pairs.select("pair", "adds"), "pair", "left")
+    after = after.select("doc_id", "text_hash", F.coalesce("own", "adds", F.lit(0.0)).alias("own"))
+    one = one.unionByName(after, allowMissingColumns=True)
     per = one.groupBy("doc_id", "text_hash").agg(*[F.sum(x).alias(x) for x in ("n_tokens", "rows", "known", "base", "own")])
     # rows that repeat a text under one id are summed together, and returned each
     per = per.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))

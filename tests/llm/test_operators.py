@@ -133,6 +133,27 @@ def test_rare_words_join_like_frequent_ones(spark, monkeypatch):
         assert r["base_score"] == pytest.approx(whole[d]["base_score"], rel=1e-9)
 
 
+def test_rare_contexts_learn_their_followers(spark, monkeypatch):
+    """Words far below the 1,024 most frequent, each always before one other."""
+    pairs = [f"left{i} right{i}" for i in range(3000)]
+    r = random.Random(3)
+    texts = [" ".join(pairs[i] for i in r.sample(range(3000), 1000)) for _ in range(20)]
+    schema = "doc_id long, text string"
+    asked = spark.createDataFrame([(1, "left7 right7"), (2, "left7 right8")], schema)
+    seen = []
+    # seated by group and joined, or with shared totals and broadcast
+    for contexts, shared in ((1 << 16, 1 << 21), (50, 100)):
+        monkeypatch.setattr(pitman_yor, "CONTEXT_WORDS", contexts)
+        monkeypatch.setattr(pitman_yor, "FREQUENT_PAIRS", shared)
+        model = pitman_yor.fit(spark.createDataFrame(list(enumerate(texts)), schema).repartition(3))
+        assert np.allclose(model.follows.sum(axis=1), 1.0)
+        assert model.pairs.agg(F.sum("n")).first()[0] == model.total
+        out = {x["doc_id"]: x["score"] for x in pitman_yor.score(asked, model).collect()}
+        assert out[1] > out[2] + 1
+        seen.append(out)
+    assert seen[0][1] == pytest.approx(seen[1][1], rel=1e-6)
+
+
 @pytest.mark.parametrize("n,a,d", [(200, 1.5, 0.6), (300, 0.05, 0.8), (3000, 400.0, 0.7)])
 def test_seating_draws_follow_the_process(n, a, d):
     """Mean number of tables against customers seated one by one."""
