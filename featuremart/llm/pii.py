@@ -6,8 +6,9 @@ generators propose further, overlapping spans; boosted trees rate them by
 format and context. They learn from the corpus: proposals that the base rules
 confirm are positive, and so is each base span written another way (00 for +,
 (at) for @, dots for blanks) where it stands; other proposals are negative. A
-threshold a kind, calibrated on other rows, selects those that are added. The trees are written out as column expressions, so that rating
-needs no row exchange.
+threshold a kind, calibrated on all rows held back, selects those that are
+added. The trees are written out as column expressions, so that rating needs
+no row exchange.
 
 Positions come from the pieces between matches: a match starts where the
 lengths of all pieces and matches before it end (code points, end exclusive).
@@ -22,6 +23,7 @@ nothing is added; repeated rows are each returned.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from featuremart.llm.text import stored
 
 KINDS = ("email", "ip", "card", "phone")
-# proposals that trees and thresholds are fitted on, at most
+# proposals that trees are fitted on, at most; thresholds take all others
 SAMPLE = 20_000
 PRECISION = 0.98
 LEAST_POSITIVE = 20
@@ -244,23 +246,24 @@ class Rater:
 
 
 def fit(proposed: DataFrame, rows: int = SAMPLE) -> Rater:
-    """Boosted trees on three fifths of a bounded sample of the proposals (those
-    with the smallest hash), thresholds from the others."""
+    """Boosted trees on a bounded sample of three fifths of the proposals (of each
+    kind and label those with the smallest hash), thresholds from all others."""
     each = proposed.select(F.explode("_more").alias("x")).select("x.n", "x.same", "x.other", "x.f")
     each = each.where("same or not other").drop("other")  # found as another kind: no evidence
     like = proposed.select(F.explode("_like").alias("x")).select("x.n", F.lit(True).alias("same"), "x.f")
     each = each.unionByName(like)
-    each = each.withColumn("h", F.xxhash64("f", "same"))
-    sample = stored(each.orderBy("h", "n").limit(rows).select("h", "n", F.col("same").cast("double").alias("label"), "f", "f.*"), "pii-sample")
-    train, rest = sample.where("pmod(h, 5) < 3"), sample.where("pmod(h, 5) >= 3")
-    if train.select("label").distinct().count() < 2:
+    each = each.withColumn("h", F.xxhash64("f", "same")).select("h", "n", F.col("same").cast("double").alias("label"), "f")
+    train, rest = each.where("pmod(h, 5) < 3"), each.where("pmod(h, 5) >= 3")
+    parts = [train.where((F.col("n") == n) & (F.col("label") == label)).orderBy("h").limit(rows // (2 * len(KINDS))) for n in range(len(KINDS)) for label in (0.0, 1.0)]
+    sample = stored(reduce(DataFrame.unionByName, parts).select("label", "f.*"), "pii-sample")
+    if sample.select("label").distinct().count() < 2:
         return Rater([], [None] * len(KINDS))
-    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(train.select("label", *FEATURES))
+    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=3, labelCol="label").fit(vectors.select("label", "features"))
     rater = Rater(_trees(model), [None] * len(KINDS))
     margins = rest.select("n", "label", F.round(rater.margin(F.col("f")), 6).alias("margin")).groupBy("n", "margin").agg(F.sum("label").alias("good"), F.count("*").alias("all"))
     by_kind: dict[int, list] = {}
-    for r in margins.collect():  # at most a row for each sampled proposal
+    for r in margins.collect():  # at most a row for each sum of leaves
         by_kind.setdefault(r["n"], []).append((r["margin"], r["good"], r["all"]))
     for n, steps in by_kind.items():
         good = every = 0

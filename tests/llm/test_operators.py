@@ -222,6 +222,15 @@ def test_trees_add_proposals_like_the_confirmed_ones(spark):
     assert over.count() == 0
 
 
+def test_a_rare_kind_keeps_its_threshold(spark):
+    """E-mails are few among many dates; the sample is smaller than the dates."""
+    r = random.Random(7)
+    dates = [(i, " ".join(f"on 20{r.randrange(10, 99)}-{r.randrange(10, 13)}-{r.randrange(10, 29)} x" for _ in range(40))) for i in range(250)]
+    mails = [(1000 + i, f"mail person{r.randrange(10**6)}@host{r.randrange(10**6)}.org now") for i in range(100)]
+    got = pii.proposals(spark.createDataFrame(dates + mails, "doc_id long, text string"))
+    assert pii.fit(got, rows=400).thresholds[pii.KINDS.index("email")] is not None
+
+
 # 4 ------------------------------------------------------------------------
 
 ITEMS = [(1, prose(25, 2)), (2, "one two THREE"), (3, None), (4, ""), (5, "a " * 12), (10, prose(30, 2)), (10, prose(30, 2)), (11, LONG[3000:3200]), (12, "never seen in any text of these documents at all")]
