@@ -27,7 +27,6 @@ from featuremart.llm.text import LOWER, id_crc, row_of, slices, utf8
 # fixed size of a language's table of trigrams
 BUCKETS = 1 << 16
 SMOOTH = 0.5
-MOST_LANGUAGES = 4  # of one text
 LETTERS = np.zeros(256, bool)
 LETTERS[97:123] = True
 LETTERS[128:] = True
@@ -125,7 +124,7 @@ def mixture(data: np.ndarray, off: np.ndarray, logs: np.ndarray, rounds: int = 6
     best = np.zeros((len(full), n_lang))
     best[np.arange(len(full)), single] = 1
     value = alone.max(axis=1)
-    for k in range(2, min(n_lang, MOST_LANGUAGES) + 1):
+    for k in range(2, n_lang + 1):
         # texts whose k-th language has no share to speak of cannot gain
         some = np.flatnonzero(share[np.arange(len(full)), order[:, k - 1]] * n[full] > 0.5)
         if not len(some):

@@ -364,6 +364,22 @@ def test_mixture_finds_both_languages(spark):
     assert [out[i]["lang_pred"] for i in (3, 4, 5)] == ["und"] * 3 and out[4]["score"] == 0
 
 
+def test_mixture_of_more_than_four_languages():
+    """Six languages of letters of their own, in one text."""
+    letters = ["abcd", "efgh", "ijkl", "mnop", "qrst", "uvwx"]
+    r = random.Random(4)
+    texts = [" ".join("".join(r.choice(x) for _ in range(6)) for _ in range(200)) for x in letters]
+    logs = []
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        bucket, _, _ = langid.trigrams(data, np.array([0, len(data)]))
+        c = np.bincount(bucket, minlength=langid.BUCKETS) + langid.SMOOTH
+        logs.append(np.log(c / c.sum()))
+    data = np.frombuffer(" ".join(texts).encode(), np.uint8)
+    share, _ = langid.mixture(data, np.array([0, len(data)]), np.array(logs, np.float32))
+    assert np.allclose(share[0], 1 / 6, atol=0.02)
+
+
 def test_language_cases(docs, none):
     got = langid.identified(docs)
     assert got.count() == len(CASES)
