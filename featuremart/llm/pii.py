@@ -5,7 +5,9 @@ patterns with their checks give the spans that always count. High-recall
 generators propose further, overlapping spans; boosted trees rate them by
 format and context. They learn from the corpus: proposals that the base rules
 confirm are positive, and so is each base span written another way (00 for +,
-(at) for @, dots for blanks) where it stands; other proposals are negative. A
+(at) for @, dots for blanks) where it stands; proposals that fail the check of
+their kind in any such writing are negative; those that pass it may be personal
+data that no base rule confirms and count as neither. A
 threshold a kind, calibrated on all rows held back, selects those that are
 added. The trees are written out as column expressions, so that rating needs
 no row exchange.
@@ -65,6 +67,14 @@ CHUNK = 128
 # How a base span is written where the base patterns do not look.
 VARIANTS = {"email": ("@", "(at)"), "ip": (r"\.", " . "), "card": ("[ -]", "."), "phone": (r"^\+", "00")}
 
+# How those writings are undone, to ask whether a proposal is a base span but for them.
+NORMAL = {
+    "email": ((r" ?[\(\[\{](?:at|AT)[\)\]\}] ?", "@"), (r" ?[\(\[\{](?:dot|DOT)[\)\]\}] ?", ".")),
+    "ip": ((" ", ""),),
+    "card": (("[^0-9]", ""),),
+    "phone": (("^00", "+"),),
+}
+
 FEATURES = ("kind", "chars", "digits", "letters", "separators", "groups", "longest", "luhn", "checked", "before", "after", "word", "distinct")
 
 
@@ -128,6 +138,13 @@ def _valid(kind: str, m: Column) -> Column:
     return (n >= 9) & (n <= 15)
 
 
+def _passes(kind: str, m: Column) -> Column:
+    """Whether a proposal is a base span and passes the check once normalised."""
+    for pattern, by in NORMAL[kind]:
+        m = F.regexp_replace(m, pattern, by)
+    return F.coalesce(m.rlike(f"^(?:{BASE[kind]})$") & F.when(m.rlike(f"^(?:{BASE[kind]})$"), _valid(kind, m)), F.lit(False))
+
+
 def _checked(kind: str):
     return lambda x: _valid(kind, x["m"])
 
@@ -172,8 +189,8 @@ def _rated_features(kind: str, text: Column, x: Column) -> Column:
 
 def proposals(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
     """_row (the columns of ``docs``), _base (kind, s, e of the base spans, in order),
-    _more (the proposals with their features and whether a base span confirms
-    them) and _like (features of the base spans written another way)."""
+    _more (the proposals with their features, whether a base span confirms them
+    and whether they pass its check once normalised) and _like (features of the base spans written another way)."""
     keep = [c for c in docs.columns if keep_text or c != text]
     df = docs.select(F.struct(*keep).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_t"))
     t = F.col("_t")
@@ -196,7 +213,7 @@ def proposals(docs: DataFrame, text: str = "text", keep_text: bool = True) -> Da
             touches = lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"])
             same = F.exists("_base", lambda b: touches(b) & (b["kind"] == n))
             other = F.exists("_base", lambda b: touches(b))
-            return F.struct(F.lit(n).alias("n"), same.alias("same"), other.alias("other"), _rated_features(k, t, x).alias("f"))
+            return F.struct(F.lit(n).alias("n"), same.alias("same"), other.alias("other"), _passes(k, x["m"]).alias("passes"), _rated_features(k, t, x).alias("f"))
 
         return F.transform(F.col(f"_c_{k}"), one)
 
@@ -248,8 +265,9 @@ class Rater:
 def fit(proposed: DataFrame, rows: int = SAMPLE) -> Rater:
     """Boosted trees on a bounded sample of three fifths of the proposals (of each
     kind and label those with the smallest hash), thresholds from all others."""
-    each = proposed.select(F.explode("_more").alias("x")).select("x.n", "x.same", "x.other", "x.f")
-    each = each.where("same or not other").drop("other")  # found as another kind: no evidence
+    each = proposed.select(F.explode("_more").alias("x")).select("x.n", "x.same", "x.other", "x.passes", "x.f")
+    # found as another kind, or passing the check in another writing: no evidence
+    each = each.where("same or not (other or passes)").drop("other", "passes")
     like = proposed.select(F.explode("_like").alias("x")).select("x.n", F.lit(True).alias("same"), "x.f")
     each = each.unionByName(like)
     each = each.withColumn("h", F.xxhash64("f", "same")).select("h", "n", F.col("same").cast("double").alias("label"), "f")

@@ -222,6 +222,17 @@ def test_trees_add_proposals_like_the_confirmed_ones(spark):
     assert over.count() == 0
 
 
+def test_real_variants_are_no_negatives(spark):
+    """As many phones written with 00 as with +: the more there are, the more are found."""
+    r = random.Random(8)
+    num = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    texts = [f"word phone {('+', '00')[i % 2]}{r.randrange(10, 99)} {num(3)} {num(3)} {num(4)} end" for i in range(800)]
+    texts += [f"on 20{r.randrange(10, 99)}-{r.randrange(10, 13)}-{r.randrange(10, 29)} x" for _ in range(800)]
+    out = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    added = {x["doc_id"] for x in out.where("size(added_spans) > 0").collect()}
+    assert len(added & set(range(1, 800, 2))) > 300 and not added & set(range(800, 1600))
+
+
 def test_a_rare_kind_keeps_its_threshold(spark):
     """E-mails are few among many dates; the sample is smaller than the dates."""
     r = random.Random(7)
