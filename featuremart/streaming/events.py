@@ -12,8 +12,6 @@ executor or a restart) overwrites what it began and adds nothing twice.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,17 +22,16 @@ from featuremart.session import shared_dir
 EVENT_COLUMNS = ("event_id", "session_id", "timestamp", "event_type", "product_id")
 
 
-def _clean_batch(batch: DataFrame, batch_id: int, out: str, seen: str, copies_apart: int) -> None:
+def _clean_batch(batch: DataFrame, batch_id: int, out: str, seen: str) -> None:
     spark = batch.sparkSession
     first = dedupe_by_key(batch.select(*EVENT_COLUMNS), "event_id", ["timestamp"]).persist()
-    days = first.agg(F.min(F.to_date("timestamp")).alias("lo"), F.max(F.to_date("timestamp")).alias("hi")).first()
+    ids = first.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
     known = spark.read.parquet(seen).where(F.col("batch") < batch_id)
-    if days["lo"] is not None:
-        lo, hi = (d + dt.timedelta(days=n) for d, n in ((days["lo"], -copies_apart), (days["hi"], copies_apart)))
-        known = known.where(F.col("day").isNull() | F.col("day").between(F.lit(lo), F.lit(hi)))
-    known = known.select(F.col("event_id").alias("_seen"))
+    # ids outside the batch's range cannot be copies; files hold them in order
+    inside = F.col("event_id").between(F.lit(ids["lo"]), F.lit(ids["hi"])) if ids["lo"] is not None else F.lit(False)
+    known = known.where(F.col("event_id").isNull() | inside).select(F.col("event_id").alias("_seen"))
     fresh = first.join(known, first["event_id"].eqNullSafe(known["_seen"]), "left_anti").persist()
-    fresh.select("event_id", F.to_date("timestamp").alias("day")).write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+    fresh.select("event_id").sortWithinPartitions("event_id").write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
     fresh.where(F.col("product_id").isNotNull()).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
     fresh.unpersist()
     first.unpersist()
@@ -45,23 +42,22 @@ def start_clean_events(
     events: DataFrame,
     out: str,
     checkpoint: str | None = None,
-    copies_apart: int = 2,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Append cleaned events to parquet at ``out``, one folder per batch.
 
-    Copies of one event are matched when their event times lie at most
-    ``copies_apart`` days apart from the days of the batch, which bounds what a
-    batch reads of the seen ids. ``available_now`` processes what is there
+    Copies of one event are matched by ``event_id`` alone, however far apart
+    their event times lie; a batch reads the seen ids in the range of its own.
+    ``available_now`` processes what is there
     and stops (scheduled runs); otherwise the query keeps running on a
     one-minute trigger.
     """
     ckpt = checkpoint or f"{shared_dir(spark)}/featuremart-streams/clean-events"
     seen = f"{ckpt}-seen"
-    empty = spark.createDataFrame([], events.select("event_id").schema).withColumn("day", F.lit(None).cast("date"))
+    empty = spark.createDataFrame([], events.select("event_id").schema)
     empty.write.mode("overwrite").parquet(f"{seen}/batch=-1")
     query = events.writeStream.option("checkpointLocation", ckpt).foreachBatch(
-        lambda batch, batch_id: _clean_batch(batch, batch_id, out, seen, copies_apart)
+        lambda batch, batch_id: _clean_batch(batch, batch_id, out, seen)
     )
     query = query.trigger(availableNow=True) if available_now else query.trigger(processingTime="1 minute")
     return query.start()

@@ -51,6 +51,18 @@ def test_stream_keeps_history_that_comes_late(spark):
     assert sorted(got, key=str) == [1, 2, 3, 5, 6, None]
 
 
+def test_stream_matches_copies_at_any_distance(spark):
+    """A copy in another batch with a time ten days later, and one years before."""
+    base = f"{shared_dir(spark)}/featuremart-test/apart-{uuid.uuid4().hex}"
+    schema = "event_id long, session_id long, timestamp timestamp_ntz, event_type string, product_id string"
+    for k, (day, ids) in enumerate([("2024-03-01", [1, 2]), ("2024-03-11", [2, 3]), ("2020-01-01", [1, 4])]):
+        df = spark.createDataFrame([(i, 1, "a") for i in ids], "event_id long, session_id long, product_id string").selectExpr(
+            "event_id", "session_id", f"cast('{day}' as timestamp_ntz) as timestamp", "'page_view' as event_type", "product_id")
+        df.coalesce(1).write.parquet(f"{base}/in/part={k}")
+        start_clean_events(spark, spark.readStream.schema(schema).parquet(f"{base}/in/part=*"), f"{base}/out", f"{base}/ckpt").awaitTermination()
+    assert sorted(r["event_id"] for r in read_clean_events(spark, f"{base}/out").collect()) == [1, 2, 3, 4]
+
+
 def test_stream_reads_a_folder_of_parts(spark):
     base = f"{shared_dir(spark)}/featuremart-test/parts-{uuid.uuid4().hex}"
     spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(3).write.parquet(f"{base}/events.parquet")
