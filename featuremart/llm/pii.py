@@ -252,7 +252,7 @@ class Rater:
         total = F.lit(0.0)
         for weight, root in self.trees:
             total = total + F.lit(weight) * tree_expression(root, f)
-        return total
+        return F.round(total, 6)  # thresholds are margins, so both are rounded
 
     def chosen(self, x: Column) -> Column:
         ok = F.lit(False)
@@ -279,7 +279,7 @@ def fit(proposed: DataFrame, rows: int = SAMPLE) -> Rater:
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=3, labelCol="label").fit(vectors.select("label", "features"))
     rater = Rater(_trees(model), [None] * len(KINDS))
-    margins = rest.select("n", "label", F.round(rater.margin(F.col("f")), 6).alias("margin")).groupBy("n", "margin").agg(F.sum("label").alias("good"), F.count("*").alias("all"))
+    margins = rest.select("n", "label", rater.margin(F.col("f")).alias("margin")).groupBy("n", "margin").agg(F.sum("label").alias("good"), F.count("*").alias("all"))
     by_kind: dict[int, list] = {}
     for r in margins.collect():  # at most a row for each sum of leaves
         by_kind.setdefault(r["n"], []).append((r["margin"], r["good"], r["all"]))
