@@ -165,3 +165,47 @@ def op3_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_boosted_pii"] = op3_boosted_pii
+
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featuremart.llm.negatives import hard_negatives, usable
+
+    return hard_negatives(usable(table(spark, sf_dir, "embeddings")))
+
+
+QUERIES["op11_hard_negatives"] = op11_hard_negatives
+ORACLES["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, len(embedding) AS dim,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda c: floor(256 * c)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
+),
+s AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, c.r AS c, c.vec_id, a.label = c.label AS same,
+         CASE WHEN a.dim = 0 THEN 0 ELSE CAST(list_inner_product(a.x, c.x) AS BIGINT) END AS score
+  FROM v a JOIN v c ON a.r <> c.r AND a.dim = c.dim
+  WHERE a.vec_id % 100 = 0
+),
+pos AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS nth FROM s WHERE same) WHERE nth <= 5
+),
+neg AS (
+  SELECT pos.anchor_id, pos.vec_id AS positive_id, s.vec_id AS negative_id, pos.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY pos.a, pos.nth ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM pos JOIN s ON pos.a = s.a AND NOT s.same
+  WHERE 100 * s.score BETWEEN 30 * pos.score AND 90 * pos.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 10
+"""
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featuremart.llm.packing import packed
+
+    return packed(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op13_best_fit_packing"] = op13_best_fit_packing
