@@ -209,3 +209,12 @@ def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op13_best_fit_packing"] = op13_best_fit_packing
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from featuremart.llm.variants import grouped
+
+    return grouped(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op12_spelling_variants"] = op12_spelling_variants
