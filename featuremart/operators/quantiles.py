@@ -3,44 +3,118 @@
 ``percentile`` keeps every distinct value of a group in one aggregation
 buffer. Here values are first counted per distinct value (a hash aggregate
 with a map-side step, so a value repeated a billion times is one row) in a
-stored table. Each wanted rank lies in a bracket of values, at first all of
-them; while a bracket holds more than ``RANKED`` distinct values it is cut at
-approximate quantiles, the values of each part are counted exactly, and the
-part with the rank becomes the bracket. The last brackets are small enough to
-be ranked by a window. Results equal ``percentile`` / DuckDB
+stored table. Groups of up to ``RANKED`` distinct values are ranked by a window
+each. For a larger group every wanted rank lies in a bracket of values, at
+first all of them; while a bracket holds more than ``RANKED`` distinct values
+it is cut at approximate quantiles, the values of each part are counted
+exactly, and the part with the rank becomes the bracket. Brackets are a stored
+table keyed by group, like the counts: nothing of a group comes to the driver,
+so any number of groups can be asked for. Results equal ``percentile`` / DuckDB
 ``quantile_cont``: for ``n`` values and probability ``p`` the position is
 ``p * (n - 1)``.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featuremart.session import shared_dir
+from featuremart.session import stored
 
-# Distinct values of a bracket that are ranked in one task.
+# Distinct values of a group or bracket that are ranked in one task.
 RANKED = 100_000
 # Parts that a larger bracket is cut into.
 PARTS = 256
-# Groups (``by``): brackets are kept on the driver and broadcast.
-MAX_GROUPS = 10_000
 
 
-def _joined(counts: DataFrame, brackets: dict[tuple, int], by: Sequence[str]) -> DataFrame:
-    """Counts with the number of the bracket they lie in (lo <= x < hi; None is open)."""
-    fields = [f"{c.name} {c.dataType.simpleString()}" for c in counts.schema if c.name in by]
-    rows = [(*group, 0, number, lo, hi) for (group, lo, hi), number in brackets.items()]
-    small = counts.sparkSession.createDataFrame(rows, ", ".join([*fields, "_one int", "_b int", "_lo double", "_hi double"]))
-    # a key in any case, so that the join is a hash join
-    cond = (counts["_one"] == small["_one"]) & (F.col("_lo").isNull() | (counts["_x"] >= F.col("_lo"))) & (F.col("_hi").isNull() | (counts["_x"] < F.col("_hi")))
-    for k in by:
-        cond = cond & counts[k].eqNullSafe(small[k])
-    # at most two brackets for each group and probability
-    return counts.join(F.broadcast(small), cond).select("_b", "_x", "_c")
+def _same(left: DataFrame, right: DataFrame, by: Sequence[str]) -> Column:
+    """Null-safe equality of the group columns."""
+    return reduce(Column.__and__, [left[k].eqNullSafe(right[k]) for k in by])
+
+
+def _joined(left: DataFrame, right: DataFrame, by: Sequence[str], extra: Sequence[str], cond: Column | None = None) -> DataFrame:
+    """``left`` with the columns ``extra`` of ``right``, joined by group."""
+    on = _same(left, right, by) if cond is None else _same(left, right, by) & cond
+    return left.join(right, on).select(*[left[c] for c in left.columns], *[right[c] for c in extra])
+
+
+def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """``*by, _x, _c``: how often each value of a group occurs; stored."""
+    vals = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
+    return stored(vals.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c")), "value-counts")
+
+
+def _ranked(rows: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """``*by, _r, _x``: the values at the ranks ``_ranks`` among rows ranked by key,
+    the first of them at rank ``_below``."""
+    before = Window.partitionBy(*keys).orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("_from", F.col("_below") + F.coalesce(F.sum("_c").over(before), F.lit(0)))
+    inside = F.filter("_ranks", lambda r: (r >= F.col("_from")) & (r < F.col("_from") + F.col("_c")))
+    return placed.select(*by, F.explode(inside).alias("_r"), "_x")
+
+
+def _from_brackets(counts: DataFrame, wide: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Values at the wanted ranks of groups with many distinct values: ``wide`` has
+    ``*by, _ranks``."""
+    none = F.lit(None).cast("double")
+    brackets = wide.select(*by, none.alias("_lo"), none.alias("_hi"), F.lit(0).cast("long").alias("_below"), "_ranks")
+    keys = [*by, "_below"]  # brackets of a group start at different ranks
+    found = None
+    while True:
+        inside = (F.col("_lo").isNull() | (F.col("_x") >= F.col("_lo"))) & (F.col("_hi").isNull() | (F.col("_x") < F.col("_hi")))
+        rows = _joined(counts, brackets, by, ["_lo", "_hi", "_below", "_ranks"], inside)
+        cuts = [i / PARTS for i in range(1, PARTS)]
+        sizes = stored(
+            rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_m"), F.array_distinct(F.percentile_approx("_x", cuts, 20 * PARTS)).alias("_edges")),
+            "brackets",
+        )
+        sized = _joined(rows, sizes, keys, ["_m", "_edges"])
+        hits = stored(_ranked(sized.where(F.col("_m") <= RANKED), keys, by), "ranked")
+        found = hits if found is None else found.unionByName(hits)
+        if sizes.where(F.col("_m") > RANKED).isEmpty():
+            return found
+        part = F.size(F.filter("_edges", lambda e: e <= F.col("_x")))
+        parts = sized.where(F.col("_m") > RANKED).groupBy(*keys, part.alias("_part")).agg(
+            F.sum("_c").alias("_n"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"),
+            F.first("_edges").alias("_edges"), F.first("_ranks").alias("_ranks"),
+        )
+        # at most PARTS rows a bracket
+        before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        placed = parts.withColumn("_from", F.col("_below") + F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        mine = F.filter("_ranks", lambda r: (r >= F.col("_from")) & (r < F.col("_from") + F.col("_n")))
+        low = F.when(F.col("_part") > 0, F.get("_edges", F.col("_part") - 1)).otherwise(F.col("_lo"))
+        high = F.when(F.col("_part") < F.size("_edges"), F.get("_edges", F.col("_part"))).otherwise(F.col("_hi"))
+        narrowed = placed.withColumn("_mine", mine).where(F.size("_mine") > 0)
+        brackets = stored(
+            narrowed.select(*by, low.alias("_lo"), high.alias("_hi"), F.col("_from").alias("_below"), F.col("_mine").alias("_ranks")), "brackets"
+        )
+
+
+def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """``*by, p, quantile`` from a stored table ``*by, _x, _c`` (distinct values)."""
+    by = list(by)
+    if not by:  # one group: a key that the planner can't fold, so that joins stay hash joins
+        one = counts.withColumn("_one", F.col("_c") * 0)
+        return quantiles_of_counts(one, probs, ["_one"]).drop("_one")
+    totals = counts.groupBy(*by).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_m")).where(F.col("_n") > 0)
+    spots = F.array(*[F.lit(float(p)) for p in probs])
+    at = F.transform(spots, lambda p: p * (F.col("_n") - 1))
+    ranks = F.array_distinct(F.concat(F.transform(at, lambda x: F.floor(x)), F.transform(at, lambda x: F.ceil(x))))
+    totals = stored(totals.withColumn("_ranks", ranks), "quantile-groups")
+    narrow = totals.where(F.col("_m") <= RANKED).withColumn("_below", F.lit(0).cast("long"))
+    found = _ranked(_joined(counts, narrow, by, ["_ranks", "_below"]), by, by)
+    wide = totals.where(F.col("_m") > RANKED)
+    if not wide.isEmpty():
+        found = found.unionByName(_from_brackets(counts, wide, by))
+    # all values of a group that were asked for: at most two a probability
+    got = found.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_r", "_x"))).alias("_at"))
+    asked = _joined(totals.select(*by, "_n"), got, by, ["_at"]).select(*by, "_n", "_at", F.explode(spots).alias("p"))
+    pos = F.col("p") * (F.col("_n") - 1)
+    low, high = (F.element_at("_at", f(pos).cast("long")) for f in (F.floor, F.ceil))
+    return asked.select(*by, "p", (low + (pos - F.floor(pos)) * (high - low)).alias("quantile"))
 
 
 def exact_quantiles(
@@ -48,76 +122,9 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group (``by``) and probability: ``(*by, p, quantile)``.
 
-    NULL values are ignored; a group without values has no rows. More than
-    ``MAX_GROUPS`` groups raise an error.
+    NULL values are ignored; a group without values has no rows.
     """
-    by = list(by)
-    spark = df.sparkSession
-    shared_dir(spark)
-    vals = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
-    counts = vals.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c")).withColumn("_one", F.lit(0)).checkpoint(eager=True)
-    totals = counts.groupBy(*by).agg(F.sum("_c").alias("_n")).limit(MAX_GROUPS + 1).collect()
-    if len(totals) > MAX_GROUPS:
-        raise ValueError(f"exact_quantiles: more than {MAX_GROUPS} groups")
-    groups = {tuple(r[k] for k in by): r["_n"] for r in totals if r["_n"]}
-    want = {(g, r) for g, n in groups.items() for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}
-    # rank → its bracket (lo, hi) and the rows below it
-    at: dict[tuple, tuple] = {w: (None, None, 0) for w in want}
-    found: dict[tuple, float] = {}
-    while at:
-        brackets = {b: i for i, b in enumerate(dict.fromkeys((g, lo, hi) for (g, _), (lo, hi, _) in at.items()))}
-        inside = _joined(counts, brackets, by)
-        cuts = [i / PARTS for i in range(1, PARTS)]
-        sizes = {
-            r["_b"]: r
-            for r in inside.groupBy("_b")
-            .agg(F.count(F.lit(1)).alias("m"), F.percentile_approx("_x", cuts, 20 * PARTS).alias("edges"))
-            .collect()
-        }
-        small = {b: i for b, i in brackets.items() if sizes[i]["m"] <= RANKED}
-        large = {b: i for b, i in brackets.items() if i not in small.values()}
-        if small:
-            # ranks of bounded brackets; only the rows that hold a wanted one come back
-            ranks: dict[int, list[int]] = {}
-            for (g, r), (lo, hi, below) in at.items():
-                if (g, lo, hi) in small:
-                    ranks.setdefault(small[(g, lo, hi)], []).append(r - below)
-            goal = spark.createDataFrame([(i, r) for i, x in ranks.items() for r in set(x)], "_b int, _r long")
-            before = Window.partitionBy("_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
-            ranked = _joined(counts, small, by).withColumn("_from", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-            hit = ranked.join(F.broadcast(goal), "_b").where((F.col("_r") >= F.col("_from")) & (F.col("_r") < F.col("_from") + F.col("_c")))
-            values = {(r["_b"], r["_r"]): r["_x"] for r in hit.select("_b", "_r", "_x").collect()}
-            for w, (lo, hi, below) in list(at.items()):
-                if (w[0], lo, hi) in small:
-                    found[w] = values[(small[(w[0], lo, hi)], w[1] - below)]
-                    del at[w]
-        if large:
-            edges = {i: sorted(set(sizes[i]["edges"])) for i in large.values()}
-            parts = spark.createDataFrame([(i, e) for i, e in edges.items()], "_b int, _edges array<double>")
-            part = F.size(F.filter("_edges", lambda e: e <= F.col("_x")))
-            cut = _joined(counts, large, by).join(F.broadcast(parts), "_b").groupBy("_b", part.alias("_part")).agg(F.sum("_c").alias("_n"))
-            rows: dict[int, dict[int, int]] = {}
-            for r in cut.collect():
-                rows.setdefault(r["_b"], {})[r["_part"]] = r["_n"]
-            for w, (lo, hi, below) in list(at.items()):
-                i = large.get((w[0], lo, hi))
-                if i is None:
-                    continue
-                e = edges[i]
-                for k in sorted(rows[i]):
-                    n = rows[i][k]
-                    if w[1] < below + n:
-                        at[w] = (e[k - 1] if k else lo, e[k] if k < len(e) else hi, below)
-                        break
-                    below += n
-    out = []
-    for g, n in groups.items():
-        for p in probs:
-            pos = p * (n - 1)
-            lo, hi = found[(g, math.floor(pos))], found[(g, math.ceil(pos))]
-            out.append((*g, float(p), lo + (pos - math.floor(pos)) * (hi - lo)))
-    fields = [f"{c.name} {c.dataType.simpleString()}" for c in vals.schema if c.name in by]
-    return spark.createDataFrame(out, ", ".join([*fields, "p double", "quantile double"]))
+    return quantiles_of_counts(value_counts(df, value, by), probs, by)
 
 
 def exact_quantile_value(df: DataFrame, value: str, p: float) -> Column:

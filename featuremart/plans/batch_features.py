@@ -9,6 +9,7 @@ read once; the three per-customer frames arrive hash-partitioned by
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -69,12 +70,30 @@ def build_from_clean(
     sessions_f = session_features(clean.sessions, session_spans(rollup), run_date, windows)
     orders_f = order_features(clean.orders, run_date)
 
+    return assembled(clean.customers, events_f, sessions_f, orders_f, run_date, windows, zero_fill_conversions)
+
+
+def assembled(
+    customers: DataFrame,
+    events_f: DataFrame,
+    sessions_f: DataFrame,
+    orders_f: DataFrame,
+    run_date: dt.datetime,
+    windows: Sequence[int] = DEFAULT_WINDOWS,
+    zero_fill_conversions: bool = False,
+) -> DataFrame:
+    """The spine with the three per-customer frames, conversions and fills."""
     wide = (
-        customer_spine(clean.customers)
+        customer_spine(customers)
         .join(events_f, "customer_id", "left")
         .join(sessions_f, "customer_id", "left")
         .join(orders_f, "customer_id", "left")
     )
+    return contracted(wide.withColumn("run_date", ts_literal(run_date)), windows, zero_fill_conversions)
+
+
+def contracted(wide: DataFrame, windows: Sequence[int] = DEFAULT_WINDOWS, zero_fill_conversions: bool = False) -> DataFrame:
+    """Conversions, fills and the columns of the output contract."""
     # Ratios first: they read the counts before the zero fill.
     wide = add_conversions(wide, windows, zero_fill_conversions)
     fills = {c: F.coalesce(F.col(c), F.lit(0)).cast(T.LongType()) for c in count_columns(windows)}
@@ -82,7 +101,6 @@ def build_from_clean(
     fills["days_since_last_purchase"] = F.coalesce(F.col("days_since_last_purchase"), F.lit(-1)).cast(
         T.LongType()
     )
-    fills["run_date"] = ts_literal(run_date)
     return wide.withColumns(fills).select(*feature_columns(windows))
 
 

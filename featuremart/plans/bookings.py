@@ -175,7 +175,8 @@ def policy_outcome(bookings: DataFrame, grid: int = 20, k: int = 10) -> DataFram
         return df.agg(
             F.lit(name).alias("scenario"),
             F.count(F.lit(1)).alias("bookings"),
-            (F.count_if(F.col("is_canceled")) / F.count(F.lit(1))).alias("cancel_share"),
+            # no share where every booking was declined
+            (F.count_if(F.col("is_canceled")) / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("cancel_share"),
             F.coalesce(F.sum(F.when(kept, F.col("price"))), F.lit(0)).alias("revenue"),
             F.coalesce(F.sum(F.when(kept, F.col("stay_nights"))), F.lit(0)).alias("occupied_nights"),
         )

@@ -19,8 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featuremart.operators.quantiles import approx_quantiles, exact_quantiles
-from featuremart.session import shared_dir
+from featuremart.operators.quantiles import approx_quantiles, quantiles_of_counts
+from featuremart.session import stored
 
 SERIES = ("store_id", "dept")
 EPOCH_MONDAY = dt.date(1970, 1, 5)
@@ -123,10 +123,9 @@ def psi(
     """Population stability index per feature: baseline = rows where
     ``is_current`` is false, decile edges from its exact quantiles.
 
-    The long (feature, value) table feeds the quantile ranking (which samples
-    it for range bounds) and the bucketing; with ``cut_lineage`` it is
-    checkpointed once to ``spark.checkpoint.dir`` instead of recomputing the
-    feature pipeline for every use.
+    Rows are reduced once to counts per (feature, part, value); with
+    ``cut_lineage`` these are stored. Quantiles and buckets both come from the
+    counts, the rows are not read again.
     """
     long = frame.select(
         is_current.alias("_cur"),
@@ -134,22 +133,26 @@ def psi(
             F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])
         ).alias("_f"),
     ).select("_cur", "_f.feature", "_f.x").where(F.col("x").isNotNull())
+    values = long.groupBy("feature", "_cur", F.col("x").alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
     if cut_lineage:
-        shared_dir(frame.sparkSession)  # make sure a checkpoint folder is set
-        long = long.checkpoint(eager=True)
+        values = stored(values, "psi-values")
     probs = [i / bins for i in range(1, bins)]
-    quantiles = exact_quantiles if exact else approx_quantiles
+    base = values.where(~F.col("_cur"))
+    quantiles = (
+        quantiles_of_counts(base.select("feature", "_x", "_c"), probs, by=["feature"])
+        if exact
+        else approx_quantiles(long.where(~F.col("_cur")), "x", probs, by=["feature"])
+    )
     edges = (
-        quantiles(long.where(~F.col("_cur")), "x", probs, by=["feature"])
-        .groupBy("feature")
+        quantiles.groupBy("feature")
         .agg(F.array_sort(F.collect_list(F.struct("p", "quantile"))).alias("_e"))
         .select("feature", F.transform("_e", lambda s: s["quantile"]).alias("edges"))
     )
     # one row per feature: broadcast size bounded by the feature list
-    bucketed = long.join(F.broadcast(edges), "feature").withColumn(
-        "bucket", F.size(F.filter("edges", lambda e: F.col("x") > e))
+    bucketed = values.join(F.broadcast(edges), "feature").withColumn(
+        "bucket", F.size(F.filter("edges", lambda e: F.col("_x") > e))
     )
-    counts = bucketed.groupBy("feature", "_cur", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts = bucketed.groupBy("feature", "_cur", "bucket").agg(F.sum("_c").alias("n"))
     shares = counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("feature", "_cur")))
     base = shares.where(~F.col("_cur")).select("feature", "bucket", F.col("share").alias("e"))
     cur = shares.where(F.col("_cur")).select("feature", "bucket", F.col("share").alias("a"))

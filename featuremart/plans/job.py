@@ -15,9 +15,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.plans.batch_features import DEFAULT_WINDOWS, build_batch_features, build_from_clean, feature_columns
+from featuremart.functions.columns import ts_literal
+from featuremart.plans.backfill import build_many
+from featuremart.plans.batch_features import DEFAULT_WINDOWS, build_batch_features, feature_columns
 from featuremart.session import stored
-from featuremart.sources.tables import CleanSources, Sources, clean_sources, cut_clean, load_sources, parse_run_date
+from featuremart.sources.tables import Sources, clean_sources, load_sources, parse_run_date
 
 FORMATS = ("csv", "parquet")
 
@@ -141,15 +143,14 @@ def run_backfill(
     windows: Sequence[int] = DEFAULT_WINDOWS,
     sources: Sources | None = None,
 ) -> list[dict]:
-    """One build per run date over sources that are deduplicated once, each
-    writing its own folder.
+    """Features of all run dates from one pass over the facts, each written to its
+    own folder.
 
     The earliest copy of a row wins for every date, so the clean tables as of
-    the latest date are stored once in the shared folder and cut per date.
-    Distinct product counts do not add up across days, so each date is still
-    a full build over its part of them. The loop runs over dates only; every
-    build is distributed, and a failed date can be rerun alone (its folder is
-    overwritten).
+    the latest date serve all of them. Their features are made together
+    (:func:`featuremart.plans.backfill.build_many`) and stored once; the loop
+    only writes each date's part. A failed date can be rerun alone (its folder
+    is overwritten).
     """
     dates = [parse_run_date(rd) for rd in run_dates]
     if not dates:
@@ -158,10 +159,9 @@ def run_backfill(
     if sources is None:
         sources = load_sources(spark, last, paths, source_format, source_options)
     whole = clean_sources(Sources(sources.customers, sources.sessions, sources.events, sources.orders, last))
-    kept = {n: stored(getattr(whole, n), f"clean-{n}") for n in ("customers", "sessions", "events", "orders")}
+    together = stored(build_many(whole, dates, windows), "backfill")
     manifests = []
     for rd in dates:
-        clean = cut_clean(CleanSources(run_date=last, **kept), rd)
-        path, rows = save_features(build_from_clean(clean, windows), rd, out, fmt)
+        path, rows = save_features(together.where(F.col("run_date") == ts_literal(rd)), rd, out, fmt)
         manifests.append({"run_date": run_date_label(rd), "rows": rows, "path": path, "format": fmt})
     return manifests

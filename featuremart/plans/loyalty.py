@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from featuremart.operators.quantiles import approx_quantiles, exact_quantile_value
 from featuremart.operators.sequence import lag_within
-from featuremart.session import shared_dir
+from featuremart.session import stored
 
 BASE_CURRENCY = "RUB"
 BROADCAST_RATES = 200_000
@@ -52,12 +52,11 @@ def trim_outliers(
     """Drop rows above the exact ``p`` quantile of ``column``.
 
     The input is read twice (ranking, then filtering); with ``cut_lineage``
-    it is checkpointed once to ``spark.checkpoint.dir`` so its upstream plan
+    it is stored once below ``spark.checkpoint.dir`` so its upstream plan
     is not recomputed inside the quantile subquery.
     """
     if cut_lineage:
-        shared_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        df = stored(df, "untrimmed")
     if exact:
         limit = exact_quantile_value(df, column, p)
     else:

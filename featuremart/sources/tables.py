@@ -165,11 +165,3 @@ def clean_sources(src: Sources) -> CleanSources:
             df = df.where(F.col(TIME_COLUMN[name]) < run)
         out[name] = df
     return CleanSources(run_date=src.run_date, **out)
-
-
-def cut_clean(clean: CleanSources, run_date: dt.datetime) -> CleanSources:
-    """Clean tables of a later run date as of ``run_date``: what is left of a
-    key is its earliest copy, which is the one an earlier date keeps too."""
-    run = ts_literal(run_date)
-    cut = {n: getattr(clean, n).where(F.col(TIME_COLUMN[n]) < run) for n in DEDUPE_KEY}
-    return CleanSources(customers=clean.customers, run_date=run_date, **cut)

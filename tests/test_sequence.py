@@ -90,13 +90,53 @@ def test_large_exact_quantiles(spark, large):
     assert [got[p] for p in probs] == pytest.approx(want, rel=1e-12)
 
 
-def test_too_many_groups_are_refused(spark, monkeypatch):
+def test_a_million_groups(spark):
+    """Groups are a stored table: their number is free."""
+    df = spark.range(3_000_000).select((F.col("id") % 1_000_000).alias("g"), F.pmod(F.xxhash64("id"), F.lit(1000)).alias("x"))
+    got = exact_quantiles(df, "x", [0.5], by=["g"])
+    want = df.groupBy("g").agg(F.percentile("x", F.lit(0.5)).alias("w"))
+    assert got.count() == 1_000_000
+    assert got.join(want, "g").where(F.abs(F.col("quantile") - F.col("w")) > 1e-9).count() == 0
+
+
+def test_brackets_of_many_large_groups(spark, skewed, monkeypatch):
+    """Every group is narrowed bracket by bracket, null group and ties included."""
     from featuremart.operators import quantiles
 
-    monkeypatch.setattr(quantiles, "MAX_GROUPS", 3)
-    df = spark.range(10).select("id", F.lit(1.0).alias("x"))
-    with pytest.raises(ValueError):
-        exact_quantiles(df, "x", [0.5], by=["id"])
+    monkeypatch.setattr(quantiles, "RANKED", 3)
+    monkeypatch.setattr(quantiles, "PARTS", 4)
+    probs = [0.0, 0.1, 0.5, 0.77, 1.0]
+    for value in ("t", "v"):
+        got = {(r["k"], r["p"]): r["quantile"] for r in exact_quantiles(skewed, value, probs, by=["k"]).collect()}
+        want = skewed.groupBy("k").agg(F.percentile(value, F.array(*[F.lit(p) for p in probs])).alias("q")).collect()
+        assert len(got) == len(want) * len(probs)
+        for r in want:
+            assert [got[(r["k"], p)] for p in probs] == pytest.approx(r["q"], abs=1e-9)
+    assert exact_quantiles(skewed.where("id < 0"), "t", probs).collect() == []
+
+
+def test_a_hot_month_is_cut_at_its_quantiles(spark, monkeypatch):
+    """A key with a third of all rows inside one month, many of them at one time:
+    no slice is much larger than the target, results are those of a plain window."""
+    from featuremart.operators import sequence
+
+    monkeypatch.setattr(sequence, "SLICE_ROWS", 2000)
+    rows = spark.range(60_000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.pmod(F.xxhash64("id"), F.lit(300))).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.timestamp_add("MINUTE", F.least(F.pmod(F.xxhash64("id"), F.lit(30_000)), F.lit(20_000)).cast("int"), F.lit("2024-03-01").cast("timestamp_ntz")))
+        .otherwise(F.timestamp_add("HOUR", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(9000)).cast("int"), F.lit("2023-06-01").cast("timestamp_ntz"))).alias("t"),
+        F.pmod(F.xxhash64("id", F.lit(2)), F.lit(1009)).alias("v"),
+    )
+    rows = rows.withColumn("t", F.when(F.col("id") % 50 != 0, F.col("t")))  # some without a time
+    s = sequence.sliced(rows, ["k"], ["t", "id"], None, [])
+    sizes = [r["_rows"] for r in s.totals.select("_rows").collect()]
+    assert sum(sizes) == 60_000 and max(sizes) <= 2500
+    w = Window.partitionBy("k").orderBy("t", "id")
+    want = rows.withColumn("s", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    assert _wrong(running_sum_within(rows, ["k"], ["t", "id"], "v", "s"), want, "s") == 0
+    want = rows.withColumn("p", F.lag("v").over(w))
+    assert _wrong(lag_within(rows, ["k"], ["t", "id"], "v", "p"), want, "p") == 0
 
 
 def test_exact_quantiles_match_percentile(spark, skewed):
