@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,15 +11,20 @@ from pyspark.sql import types as T
 
 from featuremart.catalog import register
 from featuremart.catalog.common import FEATURE_CTES, STANDIN_CTES, rounded, with_ctes
+from featuremart.functions.columns import ts_literal
 from featuremart.operators.conversions import add_conversions, conversion_columns
 from featuremart.operators.events import attribute_events, event_window_features, session_product_rollup
+from featuremart.operators.last_seen import advanced, last_seen, window_products
 from featuremart.operators.orders import order_features
+from featuremart.operators.quantiles import exact_quantiles
 from featuremart.operators.sessions import session_features, session_lengths, session_spans
 from featuremart.plans.batch_features import build_from_clean, customer_spine, feature_columns
+from featuremart.plans.backfill import build_many
+from featuremart.plans.incremental import FeatureState
 from featuremart.plans.job import read_features, run_job, validate
-from featuremart.session import shared_dir
+from featuremart.session import shared_dir, stored
 from featuremart.sources.standins import standin_sources, table
-from featuremart.sources.tables import clean_sources
+from featuremart.sources.tables import clean_sources, parse_run_date
 
 # Means of microsecond durations end in ...5 at the 7th digit, a rounding tie
 # the two engines break differently; 9 digits lies past every exact
@@ -242,3 +248,80 @@ def validate_result(spark, sf_dir):
         except (ValueError, FileNotFoundError) as error:
             out.append((name, type(error).__name__))
     return spark.createDataFrame(out, "written string, outcome string")
+
+
+@register(
+    "unique_products_state",
+    with_ctes(STANDIN_CTES, FEATURE_CTES, select="SELECT customer_id, unique_products_7, unique_products_30 FROM ev_feat"),
+)
+def unique_products_state(spark, sf_dir):
+    """Distinct products of both windows from a last-seen state: all events up to
+    five days before the run date, then each day's events added to it."""
+    c = _clean(spark, sf_dir)
+    bounds = [c.run_date - dt.timedelta(days=k) for k in range(5, -1, -1)]
+    before = lambda d: F.col("timestamp") < ts_literal(d)
+    state = stored(last_seen(c.events.where(before(bounds[0])), c.sessions), "last-seen")
+    for since, until in zip(bounds, bounds[1:]):
+        day = last_seen(c.events.where(~before(since) & before(until)), c.sessions)
+        state = stored(advanced(state, day), "last-seen")
+    return window_products(state, c.run_date)
+
+
+# Means over 16 sessions end in ...5 at the 10th digit; moved off that tie on both sides.
+OFF_TIES = 3e-10
+BACKFILL_DATES = ("2024-01-11", "2024-01-18", "2024-01-24", "2024-01-25")
+
+
+def _features_sql(date: str) -> str:
+    """The feature oracle of another run date: its own bounds in place of the usual ones."""
+    day = dt.date.fromisoformat(date)
+    bounds = {"2024-01-25": day, "2024-01-18": day - dt.timedelta(days=7), "2023-12-26": day - dt.timedelta(days=30)}
+    text = with_ctes(STANDIN_CTES, FEATURE_CTES, select=FEATURE_SELECT).replace("round(avg_session_length_30,", f"round(avg_session_length_30 + {OFF_TIES},")
+    for i, old in enumerate(bounds):
+        text = text.replace(old, f"<{i}>")
+    for i, new in enumerate(bounds.values()):
+        text = text.replace(f"<{i}>", new.isoformat())
+    return text
+
+
+@register("backfill_features", "\nUNION ALL\n".join(f"SELECT * FROM ({_features_sql(d)})" for d in BACKFILL_DATES))
+def backfill_features(spark, sf_dir):
+    """Features of several run dates from one pass over the facts."""
+    dates = [parse_run_date(d) for d in BACKFILL_DATES]
+    clean = clean_sources(standin_sources(spark, sf_dir, max(dates)))
+    out = build_many(clean, dates)
+    return rounded(out.withColumn("avg_session_length_30", F.col("avg_session_length_30") + OFF_TIES), FEATURE_DIGITS)
+
+
+@register("incremental_features", with_ctes(STANDIN_CTES, FEATURE_CTES, select=FEATURE_SELECT))
+def incremental_features(spark, sf_dir):
+    """The features from a state fed with three batches; the first batch lacks some
+    early events, which arrive last and re-open their days."""
+    src = standin_sources(spark, sf_dir)
+    state = FeatureState(spark, f"{shared_dir(spark)}/featuremart-state/{uuid.uuid4().hex}")
+    cut = ts_literal(src.run_date - dt.timedelta(days=3))
+    late = F.pmod(F.xxhash64("event_id"), F.lit(50)) == 0
+    early = F.col("timestamp") < cut
+    state.ingest("history", {
+        "sessions": src.sessions.where(F.col("start_time") < cut), "events": src.events.where(early & ~late),
+        "orders": src.orders.where(F.col("order_time") < cut),
+    })
+    state.features(src.customers, src.run_date - dt.timedelta(days=3))  # leaves its running states
+    state.ingest("days", {
+        "sessions": src.sessions.where(F.col("start_time") >= cut), "events": src.events.where(~early),
+        "orders": src.orders.where(F.col("order_time") >= cut),
+    })
+    state.ingest("late", {"events": src.events.where(early & late)})
+    return rounded(state.features(src.customers, src.run_date), FEATURE_DIGITS)
+
+
+@register(
+    "group_quantiles",
+    """SELECT l_partkey, p, round(quantile, 6) AS quantile FROM (
+  SELECT l_partkey, unnest([0.1, 0.5, 0.9]) AS p, unnest(quantile_cont(CAST(l_extendedprice AS DOUBLE), [0.1, 0.5, 0.9])) AS quantile
+  FROM lineitem GROUP BY l_partkey)""",
+)
+def group_quantiles(spark, sf_dir):
+    """Deciles of a price in every one of many groups."""
+    got = exact_quantiles(table(spark, sf_dir, "lineitem"), "l_extendedprice", [0.1, 0.5, 0.9], by=["l_partkey"])
+    return rounded(got, {"quantile": 6})

@@ -6,6 +6,10 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from featuremart.catalog import register
@@ -14,6 +18,10 @@ from featuremart.catalog.usage import WIDE_CTE, wide_users
 from featuremart.models import age_group as ag
 from featuremart.models import cancellation as cm
 from featuremart.models import sales_model as sm
+from featuremart.models.fitting import fitted, scored
+from featuremart.models.kernel import RandomFourierFeatures
+from featuremart.models.search import successive_halving
+from featuremart.operators.target_stats import ordered_target_statistics, target_statistics, with_target_statistics
 from featuremart.plans import bookings as bk
 from featuremart.plans import forecast as fc
 from featuremart.plans import usage as us
@@ -49,22 +57,99 @@ def _split(df, key="user_id"):
     return df.where(part < 4), df.where(part == 4)
 
 
+def _judged(pipeline, train, test, *names):
+    """label and prediction (and further columns) of the test rows, stored once."""
+    return scored(fitted(pipeline, train), test, [*names, "label", "prediction"])
+
+
 @register("age_pipeline")
 def age_pipeline(spark, sf_dir):
     train, test = _split(_users(spark, sf_dir))
-    model = ag.classifier_pipeline(NUMERIC, CATEGORICAL, LABEL).fit(train)
-    return us.class_report(model.transform(test), "label", "prediction")
+    return us.class_report(_judged(ag.classifier_pipeline(NUMERIC, CATEGORICAL, LABEL), train, test), "label", "prediction")
+
+
+def _macro_f1s(spark, judged):
+    """One row a model: macro_f1, classes, n of its stored predictions."""
+    rows = [(*us.macro_f1(df, "label", "prediction").first(), name) for name, df in judged]
+    return spark.createDataFrame(rows, "macro_f1 double, classes long, n long, model string")
 
 
 @register("multiclass_models")
 def multiclass_models(spark, sf_dir):
-    train, test = _split(_users(spark, sf_dir))
-    out = None
-    for name in ("logreg", "linear_svc"):
-        model = ag.classifier_pipeline(NUMERIC, CATEGORICAL, LABEL, name).fit(train)
-        f1 = us.macro_f1(model.transform(test), "label", "prediction").withColumn("model", F.lit(name))
-        out = f1 if out is None else out.unionByName(f1)
-    return out
+    train, test = _split(stored(_users(spark, sf_dir), "users"))
+    models = ("logreg", "linear_svc", "rbf_svc")
+    return _macro_f1s(spark, [(m, _judged(ag.classifier_pipeline(NUMERIC, CATEGORICAL, LABEL, m), train, test)) for m in models])
+
+
+# Radii (in standard deviations, squared) that end the inner disc and the ring.
+RING = (0.5, 1.6)
+
+
+def _rings(spark, sf_dir):
+    """Customers by balance and order amount, classed by their distance from the
+    mean customer: no straight line tells the ring from the disc inside it."""
+    u = wide_users(spark, sf_dir).select("user_id", F.col("acctbal").cast("double").alias("x"), F.coalesce(F.col("order_amount").cast("double"), F.lit(0.0)).alias("y"))
+    u = stored(u.where("x is not null"), "rings")
+    m = u.agg(*[f(c).alias(f"{n}_{c}") for c in ("x", "y") for n, f in (("mean", F.avg), ("sd", F.stddev_pop))]).first()
+    z = {c: (F.col(c) - m[f"mean_{c}"]) / (m[f"sd_{c}"] or 1.0) for c in ("x", "y")}
+    r2 = F.pow("x", F.lit(2.0)) + F.pow("y", F.lit(2.0))
+    return u.withColumns(z).withColumn("ring", F.when(r2 < RING[0], "disc").when(r2 < RING[1], "ring").otherwise("outside"))
+
+
+@register(
+    "rbf_ring",
+    "SELECT count(*) AS n, 3 AS classes, true AS rbf_above_linear FROM customer WHERE c_acctbal IS NOT NULL AND c_custkey % 5 = 4",
+)
+def rbf_ring(spark, sf_dir):
+    """Held-out macro F1 of the radial machine is above the linear one's."""
+    rows = stored(_rings(spark, sf_dir), "ring-rows")
+    train, test = rows.where("user_id % 5 <> 4"), rows.where("user_id % 5 = 4")
+    f1 = {}
+    for model in ("linear_svc", "rbf_svc"):
+        judged = _judged(ag.classifier_pipeline(("x", "y"), (), "ring", model), train, test)
+        f1[model] = us.macro_f1(judged, "label", "prediction").first()
+    best = f1["rbf_svc"]
+    above = best["macro_f1"] > f1["linear_svc"]["macro_f1"]
+    return spark.createDataFrame([(best["n"], best["classes"], above)], "n long, classes int, rbf_above_linear boolean")
+
+
+@register(
+    "rbf_kernel",
+    """SELECT count(*) AS pairs, true AS within FROM customer a JOIN customer b ON b.c_custkey = a.c_custkey + 1
+WHERE a.c_acctbal IS NOT NULL AND b.c_acctbal IS NOT NULL""",
+)
+def rbf_kernel(spark, sf_dir):
+    """Inner products of Fourier features against the exact radial kernel, for every
+    customer and the next one: the mean error is below twice ``1 / sqrt(dimensions)``."""
+    size = 1024
+    rows = _rings(spark, sf_dir).select("user_id", F.array("x", "y").alias("v"))
+    vectors = RandomFourierFeatures(inputCol="features", outputCol="fourier", dimensions=size, gamma=0.5).transform(rows.withColumn("features", array_to_vector("v")))
+    a = stored(vectors.select("user_id", "v", vector_to_array("fourier").alias("f")), "fourier")
+    b = a.select((F.col("user_id") - 1).alias("user_id"), F.col("v").alias("w"), F.col("f").alias("g"))
+    dot = F.aggregate(F.zip_with("f", "g", lambda p, q: p * q), F.lit(0.0), lambda s, x: s + x)
+    apart = F.aggregate(F.zip_with("v", "w", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, x: s + x)
+    error = F.abs(dot - F.exp(-0.5 * apart))
+    return a.join(b, "user_id").agg(F.count(F.lit(1)).alias("pairs"), (F.avg(error) < 2 / size**0.5).alias("within"))
+
+
+SEARCH = [{"regParam": reg, "elasticNetParam": mix} for reg in (0.0, 0.01, 0.1) for mix in (0.0, 0.5, 1.0)]
+
+
+def _logistic_f1(rows, validation, setting):
+    pipe = ag.classifier_pipeline(NUMERIC, CATEGORICAL, LABEL)
+    for name, value in setting.items():
+        pipe.getStages()[-1].set(pipe.getStages()[-1].getParam(name), value)
+    judged = _judged(pipe, rows, validation)
+    return float(us.macro_f1(judged, "label", "prediction").first()["macro_f1"] or 0.0)
+
+
+@register("adaptive_search")
+def adaptive_search(spark, sf_dir):
+    """Trials of a successive-halving search over the age model's regularisation."""
+    train, held = _split(_users(spark, sf_dir))
+    _, trials = successive_halving(train, held, "user_id", SEARCH, _logistic_f1, eta=3)
+    rows = [(t.round, t.share, SEARCH[t.setting]["regParam"], SEARCH[t.setting]["elasticNetParam"], t.score, t.kept) for t in trials]
+    return spark.createDataFrame(rows, "round int, share double, reg_param double, elastic_net double, score double, kept boolean")
 
 
 # F = between-class over within-class mean square, per numeric column.
@@ -164,12 +249,23 @@ def _by_time(df, stored_as=None):
     return stored(out, stored_as) if stored_as else out
 
 
-def _cancel_fit(spark, sf_dir, model="rf"):
-    """The model fitted on the earliest bookings, and the later ones scored by it."""
+def _cancel_rows(spark, sf_dir):
+    """Bookings with their part and review vector; text stages fitted once, on the
+    earliest bookings, for all models."""
     data = _by_time(_bookings(spark, sf_dir).where("arrival is not null"), "bookings")
-    fitted = cm.cancel_pipeline(CANCEL_NUMERIC, model).fit(data.where("part = 'train'"))
-    scored = fitted.transform(data.where("part <> 'train'"))
-    return fitted, scored.where("part = 'calibrate'"), scored.where("part = 'test'")
+    text = fitted(Pipeline(stages=cm.text_stages()), data.where("part = 'train'"))
+    keep = [c for c in data.columns if c != "review"]
+    return scored(text, data, [*keep, "review_tfidf"])
+
+
+SCORED = ("booking_id", "price", "stay_nights", "is_canceled", "part", "label", "prediction")
+
+
+def _cancel_fit(rows, model="rf"):
+    """The model fitted on the earliest bookings, and the later ones scored by it."""
+    trees = fitted(Pipeline(stages=cm.tree_stages(CANCEL_NUMERIC, model)), rows.where("part = 'train'"))
+    later = scored(trees, rows.where("part <> 'train'"), [*SCORED, vector_to_array("probability")[1].alias("score")])
+    return trees, later
 
 
 @register(
@@ -191,21 +287,16 @@ def cancel_split(spark, sf_dir):
 
 @register("cancel_model")
 def cancel_model(spark, sf_dir):
-    out = None
-    for name in ("rf", "gbt"):
-        _, _, test = _cancel_fit(spark, sf_dir, name)
-        f1 = us.macro_f1(test, "label", "prediction").withColumn("model", F.lit(name))
-        out = f1 if out is None else out.unionByName(f1)
-    return out
+    rows = _cancel_rows(spark, sf_dir)
+    return _macro_f1s(spark, [(m, _cancel_fit(rows, m)[1].where("part = 'test'")) for m in ("rf", "gbt")])
 
 
 def _calibrated(spark, sf_dir):
     """(calibration rows, test rows), both with a score calibrated on the former."""
-    _, held, test = _cancel_fit(spark, sf_dir)
-    # scored once: the calibration reads these rows several times
-    narrow = ("booking_id", "price", "stay_nights", "is_canceled", "label", "score")
-    held, test = (stored(cm.positive_score(x).select(*narrow), "scored") for x in (held, test))
-    return cm.platt_calibrate(held)[0], cm.platt_calibrate(held, test)[0]
+    _, later = _cancel_fit(_cancel_rows(spark, sf_dir))
+    out = cm.platt_calibrate(later.where("part = 'calibrate'"), later)[0]
+    out = stored(out.select(*SCORED, "score", "calibrated"), "calibrated")
+    return out.where("part = 'calibrate'"), out.where("part = 'test'")
 
 
 @register("platt")
@@ -219,8 +310,9 @@ def platt(spark, sf_dir):
 
 @register("importance")
 def importance(spark, sf_dir):
-    fitted, _, test = _cancel_fit(spark, sf_dir)
-    return spark.createDataFrame(cm.feature_importance(fitted, test), "feature string, importance double")
+    rows = _cancel_rows(spark, sf_dir)
+    trees, _ = _cancel_fit(rows)
+    return spark.createDataFrame(cm.feature_importance(trees, trees.stages[0].transform(rows)), "feature string, importance double")
 
 
 @register("forecast_model")
@@ -280,10 +372,6 @@ def cancel_policy(spark, sf_dir):
 def time_cv(spark, sf_dir):
     """Time-ordered cross-validation: one fit per expanding fold (a loop over
     folds, each fit distributed), scored on the following periods."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-
     # every fold reads the same rows: one per booking, without the review text
     narrow = _bookings(spark, sf_dir).select("booking_id", "arrival", "label", *CANCEL_NUMERIC)
     data = stored(bk.with_period_index(narrow), "folds")
@@ -292,11 +380,60 @@ def time_cv(spark, sf_dir):
         StandardScaler(inputCol="raw", outputCol="features"),
         LogisticRegression(labelCol="label", maxIter=50),
     ])
-    out = None
+    rows = []
     for k in range(1, 6):
         split = bk.split_of_fold(k, 5)
-        model = pipe.fit(data.where(split == "train"))
-        test = data.where(split == "test")
-        scored = us.macro_f1(model.transform(test), "label", "prediction").withColumn("fold", F.lit(k))
-        out = scored if out is None else out.unionByName(scored)
-    return out
+        judged = _judged(pipe, data.where(split == "train"), data.where(split == "test"))
+        rows.append((*us.macro_f1(judged, "label", "prediction").first(), k))
+    return spark.createDataFrame(rows, "macro_f1 double, classes long, n long, fold int")
+
+
+# Categories of a booking: those of its customer and of its arrival.
+BOOKING_CATEGORIES = ("segment", "nation", "arrival_dow")
+
+
+def _category_bookings(spark, sf_dir):
+    b = hotel.bookings(spark, sf_dir).where("arrival is not null")
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"))
+    return b.join(c, "customer_id", "left").withColumns({"arrival_dow": F.dayofweek("arrival"), "label": F.col("is_canceled").cast("double")})
+
+
+_TS_LONG = " UNION ALL ".join(
+    f"SELECT booking_id, '{c}' AS col, CAST({c} AS VARCHAR) AS v, y, md5('0:' || CAST(booking_id AS VARCHAR)) AS place FROM ts_book" for c in BOOKING_CATEGORIES
+)
+
+
+@register(
+    "ordered_target_stats",
+    with_ctes(
+        HOTEL_CTES,
+        """ts_book AS (
+  SELECT booking_id, c_mktsegment AS segment, c_nationkey AS nation, dayofweek(arrival) + 1 AS arrival_dow, CAST(is_canceled AS DOUBLE) AS y
+  FROM h_book LEFT JOIN customer ON customer_id = c_custkey WHERE arrival IS NOT NULL
+)""",
+        f"ts_long AS ({_TS_LONG})",
+        """ts_before AS (
+  SELECT booking_id, col, coalesce(sum(y) OVER w, 0) AS s, count(*) OVER w AS n, (SELECT avg(y) FROM ts_book) AS p FROM ts_long WHERE y IS NOT NULL
+  WINDOW w AS (PARTITION BY col, v ORDER BY place, booking_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)""",
+        select="SELECT booking_id, "
+        + ", ".join(f"round(max((s + p) / (n + 1)) FILTER (WHERE col = '{c}'), 9) AS {c}_ts" for c in BOOKING_CATEGORIES)
+        + " FROM ts_before GROUP BY booking_id",
+    ),
+)
+def ordered_target_stats(spark, sf_dir):
+    out = ordered_target_statistics(_category_bookings(spark, sf_dir), "booking_id", "label", BOOKING_CATEGORIES)
+    return rounded(out, {f"{c}_ts": 9 for c in BOOKING_CATEGORIES})
+
+
+@register("ordered_boosting")
+def ordered_boosting(spark, sf_dir):
+    """Boosted trees on the booking's numbers and its categories as target
+    statistics: ordered ones in training, those of all training rows after."""
+    rows = _by_time(_category_bookings(spark, sf_dir), "category-bookings").withColumns({c: F.col(c).cast("double") for c in ("stay_nights", "price")})
+    train = rows.where("part = 'train'")
+    own = ordered_target_statistics(train, "booking_id", "label", BOOKING_CATEGORIES)
+    later = with_target_statistics(rows.where("part = 'test'"), target_statistics(train, "label", BOOKING_CATEGORIES), BOOKING_CATEGORIES)
+    inputs = ["stay_nights", "price", *[f"{c}_ts" for c in BOOKING_CATEGORIES]]
+    pipe = Pipeline(stages=cm.tree_stages(inputs, "gbt", vectors=()))
+    return _macro_f1s(spark, [("gbt_ordered", _judged(pipe, stored(train.join(own, "booking_id"), "ordered-train"), later))])

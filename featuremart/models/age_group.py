@@ -24,6 +24,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featuremart.models.kernel import RandomFourierFeatures
 from featuremart.plans.usage import macro_f1
 from featuremart.session import stored
 
@@ -56,11 +57,23 @@ def classifier_pipeline(
         est = LogisticRegression(family="multinomial", maxIter=50, regParam=0.01)
     elif model == "linear_svc":
         est = OneVsRest(classifier=LinearSVC(maxIter=50, regParam=0.01), parallelism=4)
+    elif model == "rbf_svc":
+        return Pipeline(stages=preprocessing(numeric, categorical, label) + rbf_stages())
     else:
         raise ValueError(model)
     return Pipeline(stages=preprocessing(numeric, categorical, label) + [est])
 
 
+def rbf_stages(dimensions: int = 256, gamma: float = 0.0, reg: float = 1e-4) -> list:
+    """A machine with the radial kernel: random Fourier features of the scaled
+    vector, then linear machines, one a class."""
+    machine = LinearSVC(featuresCol="fourier", maxIter=25, regParam=reg)
+    return [
+        RandomFourierFeatures(inputCol="features", outputCol="fourier", dimensions=dimensions, gamma=gamma, seed=SEED),
+        OneVsRest(featuresCol="fourier", classifier=machine, parallelism=4),
+    ]
+
+
 def anova_f(df: DataFrame, numeric: Sequence[str], label: str) -> DataFrame:
     """``feature, f_value``: the one-way ANOVA F statistic of each numeric column
     over the classes of ``label`` (rows where either is NULL left out). Means

@@ -12,6 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featuremart.models.fitting import fitted
+
 SEED = 42
 # Hashed words of the reviews; large, so that words seldom share a place.
 TEXT_FEATURES = 1 << 18
@@ -34,15 +36,20 @@ def text_stages(text_col: str = "review", text_features: int = TEXT_FEATURES, ke
     ]
 
 
-def cancel_pipeline(numeric: Sequence[str], model: str = "rf") -> Pipeline:
-    assemble = VectorAssembler(inputCols=list(numeric) + ["review_tfidf"], outputCol="features", handleInvalid="keep")
+def tree_stages(numeric: Sequence[str], model: str = "rf", vectors: Sequence[str] = ("review_tfidf",)) -> list:
+    """Numeric columns and vectors in one vector, and the trees."""
+    assemble = VectorAssembler(inputCols=[*numeric, *vectors], outputCol="features", handleInvalid="keep")
     if model == "rf":
         est = RandomForestClassifier(labelCol="label", numTrees=30, maxDepth=6, seed=SEED)
     elif model == "gbt":
         est = GBTClassifier(labelCol="label", maxIter=20, maxDepth=4, seed=SEED)
     else:
         raise ValueError(model)
-    return Pipeline(stages=text_stages() + [assemble, est])
+    return [assemble, est]
+
+
+def cancel_pipeline(numeric: Sequence[str], model: str = "rf") -> Pipeline:
+    return Pipeline(stages=text_stages() + tree_stages(numeric, model))
 
 
 def positive_score(scored: DataFrame) -> DataFrame:
@@ -70,7 +77,8 @@ def platt_calibrate(held_out: DataFrame, apply_to: DataFrame | None = None) -> t
     lr = LogisticRegression(
         featuresCol="s_vec", labelCol="y", weightCol="w", regParam=0.0, maxIter=100,
         predictionCol="platt_prediction", probabilityCol="platt_probability", rawPredictionCol="platt_raw",
-    ).fit(twice)
+    )
+    lr = fitted(Pipeline(stages=[lr]), twice).stages[-1]
     if apply_to is not None:
         s = VectorAssembler(inputCols=["score"], outputCol="s_vec").transform(apply_to)
     return lr.transform(s).withColumn("calibrated", vector_to_array("platt_probability")[1]), lr

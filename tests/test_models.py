@@ -25,3 +25,19 @@ def test_reloaded_model_agrees(spark):
 def test_platt_probabilities_in_range(spark):
     rows = QUERIES["platt"](spark, SF_SMALL).collect()
     assert all(0.0 <= r["mean_calibrated"] <= 1.0 for r in rows)
+
+
+def test_all_model_checks_in_one_session(spark):
+    """One after another, twice where they are cheap: what an earlier fit leaves
+    behind does not stop a later one."""
+    names = ["multiclass_models", "platt", "time_cv", "cancel_model", "cancel_policy", "age_pipeline", "ordered_boosting", "time_cv", "platt"]
+    rows = {n: QUERIES[n](spark, SF_SMALL).collect() for n in names}
+    assert {r["model"] for r in rows["multiclass_models"]} == {"logreg", "linear_svc", "rbf_svc"}
+    assert len(rows["time_cv"]) == 5 and len(rows["cancel_policy"]) == 2 and len(rows["cancel_model"]) == 2
+
+
+def test_adaptive_search_does_less_than_the_grid(spark):
+    rows = QUERIES["adaptive_search"](spark, SF_SMALL).collect()
+    settings = {(r["reg_param"], r["elastic_net"]) for r in rows}
+    assert len(settings) == 9 and sum(r["share"] for r in rows) < 9
+    assert sum(r["kept"] for r in rows if r["share"] == 1.0) == 1
