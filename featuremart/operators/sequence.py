@@ -87,6 +87,10 @@ class Slices:
         return Window.partitionBy(*self.keys).orderBy(F.col(null).desc(), F.col(first), *cuts)
 
 
+def _between(low: str, high: str):
+    return lambda border: (border > F.col(low)) & (border <= F.col(high))
+
+
 def sliced(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column | None, aggs: Sequence[Column], most: int | None = None
 ) -> Slices:
@@ -106,17 +110,21 @@ def sliced(
         totals = stored(rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"), *ends, *aggs), "slices")
         # the first order column that tells rows of the slice apart
         by = F.coalesce(*[F.when(s, F.lit(i)) for i, s in enumerate(spread)], F.lit(-1)) if columns else F.lit(-1)
-        large = totals.where(F.col("_rows") > most).withColumn("_by", by).where(F.col("_by") >= 0).select(*group, "_by")
+        lows = [f"_lo{i}" for i in range(len(columns))]
+        large = totals.where(F.col("_rows") > most).withColumn("_by", by).where(F.col("_by") >= 0).select(*group, "_by", *lows)
         if large.isEmpty():
             return Slices(rows, kcols, names, totals)
         inside = rows.select(*group, *columns).join(large, group)
-        quantiles = [F.percentile_approx(c, [k / CUTS for k in range(1, CUTS)], 20 * CUTS).alias(f"_cut{i}") for i, c in enumerate(columns)]
-        borders = inside.groupBy(*group, "_by").agg(*quantiles)
+        # quantiles, and the least value above the lowest, so that every round cuts
+        quantiles = [
+            F.array_append(F.percentile_approx(c, [k / CUTS for k in range(1, CUTS)], 20 * CUTS), F.min(F.when(F.col(c) > F.col(f"_lo{i}"), F.col(c)))).alias(f"_cut{i}")
+            for i, c in enumerate(columns)
+        ]
         # a border is the first value of its part: the least one opens no part
-        borders = stored(borders.join(totals.select(*group, *[f"_lo{i}" for i in range(len(columns))]), group), "slice-borders")
+        borders = stored(inside.groupBy(*group, "_by", *lows).agg(*quantiles), "slice-borders")
         number = F.lit(0)
         for i, c in enumerate(columns):
-            below = F.filter(F.array_distinct(f"_cut{i}"), lambda e, i=i, c=c: (e > F.col(f"_lo{i}")) & (e <= F.col(c)))
+            below = F.filter(F.array_distinct(f"_cut{i}"), _between(f"_lo{i}", c))
             number = F.when((F.col("_by") == i) & F.col(c).isNotNull(), F.size(below)).otherwise(number)
         name = f"_cut_{done}"
         extra = [c for c in borders.columns if c not in group]
