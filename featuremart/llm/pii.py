@@ -32,13 +32,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featuremart.llm.text import stored
+from featuremart.llm.text import SAMPLE_STEPS, sample_cut, stored
 
 KINDS = ("email", "ip", "card", "phone")
 # proposals that trees are fitted on, at most; thresholds take all others
 SAMPLE = 20_000
 PRECISION = 0.98
-LEAST_POSITIVE = 20
+PRIOR_ROWS = 20  # weight of all kinds together in the precision of one of them
 TREES, DEPTH = 10, 3
 
 # The base patterns in possessive form: same matches, but time linear in the
@@ -252,7 +252,7 @@ class Rater:
         total = F.lit(0.0)
         for weight, root in self.trees:
             total = total + F.lit(weight) * tree_expression(root, f)
-        return F.round(total, 6)  # thresholds are margins, so both are rounded
+        return F.round(total, 3)  # thresholds are margins, so both are rounded; few different ones
 
     def chosen(self, x: Column) -> Column:
         ok = F.lit(False)
@@ -262,6 +262,29 @@ class Rater:
         return ok
 
 
+def thresholds(steps: list[tuple[int, float, float, int]]) -> list[float | None]:
+    """The lowest margin above 0 of each kind from which its proposals are precise
+    enough, given (kind, margin, good, all). A kind with few rows held back leans
+    on what all kinds together show from that margin on, so none needs a least
+    number of its own."""
+    out: list[float | None] = [None] * len(KINDS)
+    own = [[0.0, 0] for _ in KINDS]
+    good = every = 0.0
+    by_margin: dict[float, list] = {}
+    for n, margin, g, a in steps:
+        by_margin.setdefault(margin, []).append((n, g, a))
+    for margin in sorted(by_margin, reverse=True):
+        for n, g, a in by_margin[margin]:
+            own[n][0], own[n][1] = own[n][0] + g, own[n][1] + a
+            good, every = good + g, every + a
+        if margin <= 0:
+            break
+        for n, (g, a) in enumerate(own):
+            if a and (g + PRIOR_ROWS * good / every) / (a + PRIOR_ROWS) >= PRECISION:
+                out[n] = margin
+    return out
+
+
 def fit(proposed: DataFrame, rows: int = SAMPLE) -> Rater:
     """Boosted trees on a bounded sample of three fifths of the proposals (of each
     kind and label those with the smallest hash), thresholds from all others."""
@@ -272,7 +295,14 @@ def fit(proposed: DataFrame, rows: int = SAMPLE) -> Rater:
     each = each.unionByName(like)
     each = each.withColumn("h", F.xxhash64("f", "same")).select("h", "n", F.col("same").cast("double").alias("label"), "f")
     train, rest = each.where("pmod(h, 5) < 3"), each.where("pmod(h, 5) >= 3")
-    parts = [train.where((F.col("n") == n) & (F.col("label") == label)).orderBy("h").limit(rows // (2 * len(KINDS))) for n in range(len(KINDS)) for label in (0.0, 1.0)]
+    train = train.withColumn("at", F.pmod(F.xxhash64("h"), F.lit(SAMPLE_STEPS)))
+    limit = rows // (2 * len(KINDS))
+    parts = []
+    for r in train.groupBy("n", "label").count().orderBy("n", "label").collect():  # two rows a kind
+        part = train.where((F.col("n") == r["n"]) & (F.col("label") == r["label"]) & (F.col("at") < sample_cut(r["count"], limit)))
+        parts.append(part.orderBy("at", "h").limit(limit))
+    if not parts:
+        return Rater([], [None] * len(KINDS))
     sample = stored(reduce(DataFrame.unionByName, parts).select("label", "f.*"), "pii-sample")
     if sample.select("label").distinct().count() < 2:
         return Rater([], [None] * len(KINDS))
@@ -280,15 +310,8 @@ def fit(proposed: DataFrame, rows: int = SAMPLE) -> Rater:
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=3, labelCol="label").fit(vectors.select("label", "features"))
     rater = Rater(_trees(model), [None] * len(KINDS))
     margins = rest.select("n", "label", rater.margin(F.col("f")).alias("margin")).groupBy("n", "margin").agg(F.sum("label").alias("good"), F.count("*").alias("all"))
-    by_kind: dict[int, list] = {}
-    for r in margins.collect():  # at most a row for each sum of leaves
-        by_kind.setdefault(r["n"], []).append((r["margin"], r["good"], r["all"]))
-    for n, steps in by_kind.items():
-        good = every = 0
-        for margin, g, a in sorted(steps, reverse=True):
-            good, every = good + g, every + a
-            if good >= LEAST_POSITIVE and good >= PRECISION * every and margin > 0:
-                rater.thresholds[n] = margin
+    # a row for each kind and thousandth of a margin
+    rater.thresholds = thresholds([(r["n"], r["margin"], r["good"], r["all"]) for r in margins.collect()])
     return rater
 
 

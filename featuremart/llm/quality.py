@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featuremart.llm.text import LOWER, SPACE_WORDS, id_crc, row_of, row_sums, slices, span_hash, utf8, word_spans
+from featuremart.llm.text import LOWER, SAMPLE_STEPS, SPACE_WORDS, id_crc, row_of, row_sums, sample_cut, slices, span_hash, utf8, word_spans
 
 # bound of the labelled sample that the ranking is fitted on, and of its pairs
 SAMPLE_ROWS = 20_000
@@ -106,11 +106,17 @@ def fit_ranking(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, seed: int = 7,
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Ranking:
-    """Fit on at most ``rows`` labelled texts of ``docs`` (those with the
-    smallest hash of the id), never on held-out ones."""
+    """Fit on at most about ``rows`` labelled texts of ``docs`` (those with the
+    smallest hash of the id), never on held-out ones. Where repeated ids make more
+    of them, texts of the smallest hash stay, each once."""
     known = labels.where("quality in (0, 1)").select("doc_id", F.col("quality").cast("int").alias("y")).where(id_crc() % 3 != 1)
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows)
+    known = known.withColumn("_at", F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_STEPS)))
+    sample = known.where(F.col("_at") < sample_cut(known.count(), rows)).orderBy("_at", "doc_id", "y").limit(rows).drop("_at")
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text")
+    n = docs.select("doc_id").join(F.broadcast(sample), "doc_id").count()
+    if n > rows:
+        at = F.pmod(F.xxhash64("doc_id", "y", "text"), F.lit(SAMPLE_STEPS))
+        texts = texts.where(at < sample_cut(n, rows)).dropDuplicates(["doc_id", "y", "text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):

@@ -73,6 +73,18 @@ def unused(df, *names: str) -> list[str]:
     return out
 
 
+SAMPLE_STEPS = 1 << 40
+
+
+def sample_cut(rows: int, limit: int) -> int:
+    """Bound on ``pmod(hash, SAMPLE_STEPS)`` that leaves about ``limit`` of ``rows`` rows,
+    and rather a few more: what is then ordered and limited to ``limit`` rows does
+    not grow with the number of partitions."""
+    if rows <= limit:
+        return SAMPLE_STEPS
+    return min(SAMPLE_STEPS, int((limit + 6 * limit**0.5 + 20) / rows * SAMPLE_STEPS) + 1)
+
+
 def utf8(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes and the n+1 offsets of a string array; null counts as empty."""
     if isinstance(arr, pa.ChunkedArray):

@@ -8,9 +8,11 @@ precision. Heaps merge a group's tiles, a ranked window merges the groups.
 The result is exact: recall against brute force is 1.
 
 Defined cases: vectors that are null, empty, zero or hold a null or
-non-finite component take no part, nor do null ids; of a repeated id the
-smallest vector counts; a query meets only candidates of its own dimension;
-ties go to the smaller id; products that overflow are not expected.
+non-finite component take no part, nor do null ids; rows of a repeated id all
+count as candidates, but never for a query of that id, and queries of one id
+share its nearest; a query meets only candidates of its own dimension, ties
+go to the smaller id; a sum that overflows is infinite, or, where infinities of
+both signs meet, not a number and before all others.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ QUERIES = 16384  # of one query block
 TILE = 2048  # queries multiplied at once
 GROUP = 4  # candidate blocks that meet a query block in one task
 PAIRS = 1 << 16  # pairs recomputed at once
+EXACT = 1024  # components whose int8 products a float32 sums exactly: 127 * 127 * 1024 < 2**24
 
 BLOCK_SCHEMA = "dim int, block long, ids binary, vectors binary, codes binary, scale binary, norm binary, lost binary"
 
@@ -79,8 +82,7 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding"
     """vec_id, embedding (doubles) of the vectors that take part."""
     x = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("embedding"))
     bad = F.exists("embedding", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    x = x.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0)).where(~bad & F.exists("embedding", lambda c: c != 0))
-    return x.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return x.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0)).where(~bad & F.exists("embedding", lambda c: c != 0))
 
 
 def _unpack(table: pa.Table, i: int, dim: int) -> tuple[np.ndarray, ...]:
@@ -96,9 +98,22 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _code_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of int8 codes (held as float32), exact for any dimension."""
+    out = np.zeros((len(a), len(b)))
+    for d in range(0, a.shape[1], EXACT):
+        out += a[:, d : d + EXACT] @ b[:, d : d + EXACT].T
+    return out
+
+
 def _tiles(k: int):
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        heaps: dict[int, list[tuple[float, int]]] = {}
+        with np.errstate(over="ignore", invalid="ignore"):
+            return tiles(left, right)
+
+    def tiles(left: pa.Table, right: pa.Table) -> pa.Table:
+        # (not a number, score, minus id): the least of the k best comes first
+        heaps: dict[int, list[tuple[bool, float, int]]] = {}
         for q in range(left.num_rows):
             dim = left.column("dim")[q].as_py()
             q_ids, q_vec, q_code, q_scale, q_norm, q_lost = _unpack(left, q, dim)
@@ -109,29 +124,33 @@ def _tiles(k: int):
                 c_ids, c_vec, c_code, c_scale, c_norm, c_lost = _unpack(right, c, dim)
                 for t in range(0, len(q_ids), TILE):
                     z = slice(t, t + TILE)
-                    near = (q_code[z] @ c_code.T).astype(np.float64) * q_scale[z, None] * c_scale
+                    near = _code_products(q_code[z], c_code) * q_scale[z, None] * c_scale
                     error = (q_norm[z, None] + q_lost[z, None]) * c_lost + q_lost[z, None] * c_norm
-                    error += 1e-6 * (q_norm[z, None] * c_norm) + 1e-300
+                    # what summing and scaling in double can round off
+                    error += (1e-6 + dim * 2.0**-50) * (q_norm[z, None] * c_norm) + 1e-300
                     own = q_ids[z, None] == c_ids
                     near[own] = -np.inf
                     floor = best[z]
                     if len(c_ids) > k:
-                        sure = np.partition(near - error, len(c_ids) - k, axis=1)[:, len(c_ids) - k]
+                        low = np.where(own, -np.inf, near - error)
+                        sure = np.partition(np.where(np.isnan(low), -np.inf, low), len(c_ids) - k, axis=1)[:, len(c_ids) - k]
                         floor = np.maximum(floor, sure)
-                    qi, ci = np.nonzero((near + error >= floor[:, None]) & ~own)
+                    # a bound that overflows excludes nothing
+                    qi, ci = np.nonzero(~(near + error < floor[:, None]) & ~own)
                     for p in range(0, len(qi), PAIRS):
                         a, b = qi[p : p + PAIRS] + t, ci[p : p + PAIRS]
                         for i, s, v in zip(a.tolist(), _product(q_vec[a], c_vec[b]).tolist(), c_ids[b].tolist(), strict=True):
                             heap = heaps.setdefault(int(q_ids[i]), [])
+                            one = (False, s, -v) if s == s else (True, 0.0, -v)
                             if len(heap) < k:
-                                heapq.heappush(heap, (s, -v))
-                            elif (s, -v) > heap[0]:
-                                heapq.heapreplace(heap, (s, -v))
+                                heapq.heappush(heap, one)
+                            elif one > heap[0]:
+                                heapq.heapreplace(heap, one)
                     for i in set(qi.tolist()):
                         heap = heaps.get(int(q_ids[i + t]), ())
-                        if len(heap) == k:
-                            best[i + t] = max(best[i + t], heap[0][0])
-        rows = [(q, -v, s) for q, heap in heaps.items() for s, v in heap]
+                        if len(heap) == k and not heap[0][0]:
+                            best[i + t] = max(best[i + t], heap[0][1])
+        rows = [(q, -v, np.nan if bad else s) for q, heap in heaps.items() for bad, s, v in heap]
         q, v, s = zip(*rows, strict=True) if rows else ((), (), ())
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.float64())})
 

@@ -1,6 +1,7 @@
 """Each operator against its plain version, on cases that break shortcuts."""
 
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -242,6 +243,14 @@ def test_a_rare_kind_keeps_its_threshold(spark):
     assert pii.fit(got, rows=400).thresholds[pii.KINDS.index("email")] is not None
 
 
+def test_thresholds_need_no_least_number():
+    sure = [(0, 2.0, 900, 900), (0, 1.0, 90, 100), (0, -1.0, 1, 900)]
+    assert pii.thresholds(sure) == [1.0, None, None, None]
+    assert pii.thresholds([*sure, (1, 2.0, 3, 3)])[1] == 1.0  # three rows, backed by the others
+    assert pii.thresholds([*sure, (1, 2.0, 0, 9)])[1] is None
+    assert pii.thresholds([(2, 0.5, 4, 4)]) == [None, None, 0.5, None] and pii.thresholds([]) == [None] * 4
+
+
 # 4 ------------------------------------------------------------------------
 
 ITEMS = [(1, prose(25, 2)), (2, "one two THREE"), (3, None), (4, ""), (5, "a " * 12), (10, prose(30, 2)), (10, prose(30, 2)), (11, LONG[3000:3200]), (12, "never seen in any text of these documents at all")]
@@ -293,6 +302,21 @@ def test_quality_cases(spark, docs, none):
     assert quality.rated(none, labels).count() == 0
 
 
+def test_quality_sample_is_bounded(spark):
+    """More labels than the sample, and one labelled id with many texts."""
+    docs = spark.range(3000).select(F.when(F.col("id") < 2000, 7).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    labels = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("quality"))
+    sizes = []
+    keep = quality.fit_ranking
+    quality.fit_ranking = lambda x, y: (sizes.append(len(x)), keep(x, y))[1]
+    try:
+        for rows_ in (100, 500, 5000):
+            quality.fit(docs, labels, rows=rows_)
+    finally:
+        quality.fit_ranking = keep
+    assert sizes[0] <= 200 and sizes[1] <= 700 and sizes[2] > 600
+
+
 def test_pairwise_weights_recover_an_order():
     r = np.random.default_rng(0)
     x = r.normal(size=(3000, 4))
@@ -464,11 +488,47 @@ def test_neighbours(spark, monkeypatch):
     table = spark.createDataFrame([*good, *bad, base[3]], "vec_id long, embedding array<double>").repartition(4)
     u = vectors.usable(table)
     got = rows(vectors.nearest(u, u.where("vec_id % 20 = 0")), "query_id", "rank", "vec_id", "score")
-    same(got, exact(good, 20))
+    same(got, exact([*good, base[3]], 20))  # a repeated row is a candidate twice
     empty = vectors.usable(table.where("false"))
     assert vectors.nearest(empty, empty).count() == 0
 
 
+def test_neighbours_of_repeated_ids_equal_the_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    from featuremart.llm.queries import ORACLES
+
+    r = np.random.default_rng(9)
+    data = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [5.0, 0.0]), (2, [3.0, 0.0])]
+    data += [(int(r.integers(1, 12)) * 10, [float(x) for x in r.integers(-9, 9, 3)]) for _ in range(90)]
+    u = vectors.usable(spark.createDataFrame(data, "vec_id long, embedding array<double>"))
+    got = rows(vectors.nearest(u, u.where("vec_id % 20 = 0")), "query_id", "rank", "vec_id", "score")
+    embeddings = pd.DataFrame(data, columns=["vec_id", "embedding"])  # noqa: F841
+    want = duckdb.sql(ORACLES["op9_block_matrix_neighbours"]).fetchall()
+    assert got == sorted(want, key=repr)
+    assert [x for x in got if x[0] == 0] == [(0, 1, 1, 5.0), (0, 2, 2, 3.0), (0, 3, 1, 2.0)]
+
+
+def test_neighbours_in_many_dimensions(spark):
+    """Codes all at their largest: a float32 sum over all components would be off."""
+    r = np.random.default_rng(2)
+    base = np.where(r.random(5000) < 0.9, 1.0, -1.0)
+    data = [(i, [float(x) for x in base * (1 + (np.arange(5000) == i) * 0.001 * i)]) for i in range(60)]
+    a = vectors._code_products(np.full((2, 5000), 127, np.float32), np.full((3, 5000), -127, np.float32))
+    assert (a == -127.0 * 127 * 5000).all()
+    u = vectors.usable(spark.createDataFrame(data, "vec_id long, embedding array<double>"))
+    same(rows(vectors.nearest(u, u.where("vec_id % 20 = 0"), 5), "query_id", "rank", "vec_id", "score"), exact(data, 5))
+
+
+def test_neighbours_with_overflowing_sums(spark):
+    big = 1e200
+    data = [(20, [big, big, 1.0]), (1, [big, 0.0, 0.0]), (2, [-big, 0.0, 0.0]), (3, [big, -big, 0.0]), (4, [1.0, 0.0, 0.0]), (5, [0.0, 0.0, 2.0])]
+    u = vectors.usable(spark.createDataFrame(data, "vec_id long, embedding array<double>"))
+    got = vectors.nearest(u, u.where("vec_id = 20")).orderBy("rank").collect()
+    assert [x["vec_id"] for x in got] == [3, 1, 4, 5, 2] and math.isnan(got[0]["score"]) and got[1]["score"] == math.inf
+
+
 # 10 -----------------------------------------------------------------------
 
 
