@@ -2,8 +2,9 @@
 
 Everything on the main path is DataFrame functions and Spark ML. Four base
 patterns with their checks give the spans that always count. High-recall
-generators propose further, overlapping spans; boosted trees rate them by
-format and context. They learn from the corpus: proposals that the base rules
+generators propose further, overlapping spans: for cards and phones every run
+of digit groups of a fitting length, from every group on, so that a number
+beside another one is among them; boosted trees rate them by format and context. They learn from the corpus: proposals that the base rules
 confirm are positive, and so is each base span written another way (00 for +,
 (at) for @, dots for blanks) where it stands; proposals that fail the check of
 their kind in any such writing are negative; those that pass it may be personal
@@ -17,7 +18,8 @@ lengths of all pieces and matches before it end (code points, end exclusive).
 
 Defined cases: null and empty texts have no spans; proposals that overlap a
 base span are not added (what they cover is found already); of overlapping
-additions the better rated stays, then the kind first in order; without
+additions the better rated stays, then the kind first in order, then the first
+and the longest; without
 proposals of both sorts, or without a threshold that is precise enough,
 nothing is added; repeated rows are each returned.
 """
@@ -52,9 +54,10 @@ BASE = {
 GENERATORS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(?: ?[\(\[\{](?:at|AT)[\)\]\}] ?|@)[A-Za-z0-9-]{1,63}(?:(?:\.| ?[\(\[\{](?:dot|DOT)[\)\]\}] ?)[A-Za-z0-9-]{1,63}){1,4}",
     "ip": r"(?<![0-9A-Fa-f:.])(?:[0-9]{1,3}(?: ?\. ?[0-9]{1,3}){3}|(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4})",
-    "card": r"(?<![0-9])[0-9](?:[ ./-]{0,2}[0-9]){11,18}(?![0-9])",
-    "phone": r"(?<![0-9])(?:\+|\()?[0-9][0-9 ()./-]{6,20}[0-9](?![0-9])",
 }
+# Digit groups of a card or a phone: what may stand between them, the least and the
+# most digits they hold together, and what may open them.
+RUNS = {"card": (r"^[ ./-]{1,2}$", 13, 19, "^$"), "phone": (r"^[ ()./-]{1,3}$", 9, 15, r"[+(]{1,2}$")}
 BEFORE = 24  # characters of context
 WORDS = {
     "email": r"(?i)(?:mail|contact)",
@@ -187,6 +190,30 @@ def _rated_features(kind: str, text: Column, x: Column) -> Column:
     return F.struct(s.alias("s"), e.alias("e"), *[values[f].alias(f) for f in FEATURES])
 
 
+def _grown(kind: str, d: Column) -> Column:
+    """s, e, m, hit of every run of digit groups (s, e, m, before, hit: whether a base
+    span touches it), from each group on, that fits the kind."""
+    between, least, most, opener = RUNS[kind]
+    none = F.array().cast("array<struct<s:int,e:int,m:string,hit:boolean>>")
+    start = F.struct(F.lit(0).alias("n"), F.lit("").alias("m"), F.lit(False).alias("hit"), none.alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        # the text so far; null once a group does not belong to it
+        m = F.when(acc["n"] == 0, F.concat(F.regexp_extract(x["before"], opener, 0), x["m"])).when(x["before"].rlike(between), F.concat(acc["m"], x["before"], x["m"]))
+        now = F.struct((acc["n"] + F.length(x["m"])).alias("n"), m.alias("m"), (acc["hit"] | x["hit"]).alias("hit"))
+
+        def kept(y: Column) -> Column:
+            one = F.array(F.struct((x["e"] - F.length(y["m"])).alias("s"), x["e"].alias("e"), y["m"].alias("m"), y["hit"].alias("hit")))
+            out = F.when(y["m"].isNotNull() & y["n"].between(least, most), F.concat(acc["out"], one)).otherwise(acc["out"])
+            return F.struct(y["n"].alias("n"), y["m"].alias("m"), y["hit"].alias("hit"), out.alias("out"))
+
+        return F.transform(F.array(now), kept)[0]
+
+    # a group has a digit at least, so no fitting run has more than ``most`` of them
+    each = F.transform(F.sequence(F.lit(1), F.size(d)), lambda i: F.aggregate(F.slice(d, i, most), start, step, lambda acc: acc["out"]))
+    return F.when(F.size(d) > 0, F.flatten(each)).otherwise(none)
+
+
 def proposals(docs: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
     """_row (the columns of ``docs``), _base (kind, s, e of the base spans, in order),
     _more (the proposals with their features, whether a base span confirms them
@@ -198,21 +225,27 @@ def proposals(docs: DataFrame, text: str = "text", keep_text: bool = True) -> Da
     find = lambda p, ok: F.when(ok, F.regexp_extract_all(t, F.lit(p), F.lit(0))).otherwise(none)
     df = df.withColumns({f"_ok_{k}": _worth(k, t) for k in ("email", "phone", "ip")})
     ok = {"email": F.col("_ok_email"), "phone": F.col("_ok_phone"), "ip": F.col("_ok_ip"), "card": F.col("_ok_ip")}
-    more = ok | {"phone": F.col("_ok_ip")}
-    df = df.withColumns({f"_m_{k}": find(BASE[k], ok[k]) for k in KINDS} | {f"_g_{k}": find(GENERATORS[k], more[k]) for k in KINDS})
+    more = {**GENERATORS, "digits": "[0-9]+"}
+    df = df.withColumns({f"_m_{k}": find(BASE[k], ok[k]) for k in KINDS} | {f"_g_{k}": find(p, ok.get(k, ok["ip"])) for k, p in more.items()})
     pieces = lambda c, p: F.when(F.size(c) > 0, F.split(t, p, -1)).otherwise(none)
-    df = df.withColumns({f"_p_{k}": pieces(f"_m_{k}", BASE[k]) for k in KINDS} | {f"_q_{k}": pieces(f"_g_{k}", GENERATORS[k]) for k in KINDS})
-    df = df.withColumns({f"_s_{k}": _placed(t, F.col(f"_m_{k}"), F.col(f"_p_{k}")) for k in KINDS} | {f"_c_{k}": _placed(t, F.col(f"_g_{k}"), F.col(f"_q_{k}")) for k in KINDS})
+    df = df.withColumns({f"_p_{k}": pieces(f"_m_{k}", BASE[k]) for k in KINDS} | {f"_q_{k}": pieces(f"_g_{k}", p) for k, p in more.items()})
+    df = df.withColumns({f"_s_{k}": _placed(t, F.col(f"_m_{k}"), F.col(f"_p_{k}")) for k in KINDS} | {f"_c_{k}": _placed(t, F.col(f"_g_{k}"), F.col(f"_q_{k}")) for k in more})
     base = []
     for n, k in enumerate(KINDS):
         base.append(F.transform(F.col(f"_v_{k}"), _span_of(n)))
     df = df.withColumns({f"_v_{k}": F.filter(F.col(f"_s_{k}"), _checked(k)) for k in KINDS}).withColumn("_base", F.concat(*base))
+    touching = lambda x: F.exists("_base", lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"]))
+    # a group of digits is looked up once, however many runs it is in
+    group = lambda x, p: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), p.alias("before"), touching(x).alias("hit"))
+    df = df.withColumn("_digits", F.zip_with("_c_digits", F.slice("_q_digits", F.lit(1), F.size("_c_digits")), group))
+    df = df.withColumns({f"_c_{k}": _grown(k, F.col("_digits")) for k in RUNS})
 
     def rated(k: str, n: int) -> Column:
         def one(x: Column) -> Column:
-            touches = lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"])
-            same = F.exists("_base", lambda b: touches(b) & (b["kind"] == n))
-            other = F.exists("_base", lambda b: touches(b))
+            if k in RUNS:  # confirmed is the run that is a base span, not one that only touches it
+                same, other = x["hit"] & F.exists("_base", lambda b: (b["kind"] == n) & (b["s"] == x["s"]) & (b["e"] == x["e"])), x["hit"]
+            else:
+                same, other = F.exists("_base", lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"]) & (b["kind"] == n)), touching(x)
             return F.struct(F.lit(n).alias("n"), same.alias("same"), other.alias("other"), _passes(k, x["m"]).alias("passes"), _rated_features(k, t, x).alias("f"))
 
         return F.transform(F.col(f"_c_{k}"), one)
@@ -325,7 +358,7 @@ def _found(docs: DataFrame, text: str, keep_text: bool = True) -> DataFrame:
 
     def stays(x: Column) -> Column:
         def wins(y: Column) -> Column:
-            better = (y["margin"] > x["margin"]) | ((y["margin"] == x["margin"]) & ((y["n"] < x["n"]) | ((y["n"] == x["n"]) & (y["s"] < x["s"]))))
+            better = (y["margin"] > x["margin"]) | ((y["margin"] == x["margin"]) & ((y["n"] < x["n"]) | ((y["n"] == x["n"]) & ((y["s"] < x["s"]) | ((y["s"] == x["s"]) & (y["e"] > x["e"]))))))
             return (y["s"] < x["e"]) & (y["e"] > x["s"]) & better
 
         return ~F.exists("_rated", wins)

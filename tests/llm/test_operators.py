@@ -243,6 +243,59 @@ def test_a_rare_kind_keeps_its_threshold(spark):
     assert pii.fit(got, rows=400).thresholds[pii.KINDS.index("email")] is not None
 
 
+def _luhn_card(r):
+    digits = [r.randrange(1, 10)] + [r.randrange(10) for _ in range(14)]
+    total = sum(d if i % 2 else (2 * d - 9 if 2 * d > 9 else 2 * d) for i, d in enumerate(digits))
+    return "".join(map(str, [*digits, -total % 10]))
+
+
+def test_planted_variants_beside_other_numbers(spark):
+    """Cards, phones, e-mails and addresses written as no base rule finds them, next to
+    numbers that the base patterns run into: nine in ten come back, little else does."""
+    r = random.Random(12)
+    num = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    four = lambda c, sep: sep.join(c[i : i + 4] for i in range(0, 16, 4))
+    texts, planted = [], {}
+    for i in range(1600):
+        kind = i % 8
+        if kind == 0:
+            texts.append(f"card {four(_luhn_card(r), r.choice([' ', '-', '']))} for visa")
+        elif kind == 1:
+            texts.append(f"call phone +{r.randrange(10, 99)} {num(3)} {num(3)} {num(4)} today")
+        elif kind == 2:
+            texts.append(f"mail p{num(3)}@host{num(2)}.org and host {r.randrange(1, 250)}.{r.randrange(250)}.{r.randrange(250)}.7 up")
+        elif kind == 3:
+            texts.append(f"serial {num(5)}-{num(4)}-{num(6)} of 20{r.randrange(10, 24)}-{r.randrange(10, 13)}-{r.randrange(10, 29)}, room {num(3)}")
+        else:
+            n = r.randrange(10, 99)
+            head, body = {
+                4: (f"card {n} ", four(_luhn_card(r), r.choice([".", " "]))),
+                5: (f"call phone {n}, ", f"00{r.randrange(10, 99)} {num(3)} {num(3)} {num(4)}"),
+                6: (f"mail {n} ", f"p{num(3)}(at)host{num(2)}.org"),
+                7: ("host ", f"{r.randrange(1, 250)} . {r.randrange(250)} . {r.randrange(250)} . 9"),
+            }[kind]
+            if i % 100 < 60:  # a base rule may take number and card together: then it is found already
+                planted[i] = (len(head), len(head) + len(body))
+            texts.append(head + body + " end")
+    out = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {x["doc_id"]: {(y["s"], y["e"]) for y in x["added_spans"]} | {(y["s"], y["e"]) for y in x["base_spans"]} for x in out}
+    covers = lambda spans, p: any(s <= p[0] and p[1] <= e for s, e in spans)
+    for kind in (4, 5, 6, 7):
+        mine = [i for i in planted if i % 8 == kind]
+        assert sum(covers(found[i], planted[i]) for i in mine) >= 0.9 * len(mine), kind
+    added = [(x["doc_id"], len(x["added_spans"])) for x in out]
+    good = sum(n for i, n in added if i % 8 >= 4)
+    assert good >= 0.95 * sum(n for _, n in added)
+
+
+def test_every_run_of_digit_groups_is_proposed(spark):
+    text = "12 4111 1111 1111 1111 (0049) 30/1234567 x 1.2"
+    got = pii.proposals(spark.createDataFrame([(1, text)], "doc_id long, text string")).select(F.explode("_more").alias("x")).select("x.n", "x.f.s", "x.f.e").collect()
+    spans = {(pii.KINDS[g["n"]], text[g["s"] : g["e"]]) for g in got}
+    assert {("card", "4111 1111 1111 1111"), ("card", "12 4111 1111 1111 1111"), ("phone", "(0049) 30/1234567"), ("phone", "30/1234567"), ("phone", "12 4111 1111")} <= spans
+    assert not any(x.startswith("2 ") or "x" in x for _, x in spans)
+
+
 def test_thresholds_need_no_least_number():
     sure = [(0, 2.0, 900, 900), (0, 1.0, 90, 100), (0, -1.0, 1, 900)]
     assert pii.thresholds(sure) == [1.0, None, None, None]
