@@ -29,7 +29,7 @@ from featuremart.llm.text import stored
 
 CANDIDATES = 4096  # vectors of one candidate block
 QUERIES = 16384  # of one query block
-TILE = 2048  # queries multiplied at once
+TILE = 1024  # queries multiplied at once
 GROUP = 4  # candidate blocks that meet a query block in one task
 PAIRS = 1 << 16  # pairs recomputed at once
 EXACT = 1024  # components whose int8 products a float32 sums exactly: 127 * 127 * 1024 < 2**24
@@ -129,14 +129,16 @@ def _tiles(k: int):
                     # what summing and scaling in double can round off
                     error += (1e-6 + dim * 2.0**-50) * (q_norm[z, None] * c_norm) + 1e-300
                     own = q_ids[z, None] == c_ids
-                    near[own] = -np.inf
+                    high = near + error
+                    low = np.subtract(near, error, out=near)
                     floor = best[z]
                     if len(c_ids) > k:
-                        low = np.where(own, -np.inf, near - error)
-                        sure = np.partition(np.where(np.isnan(low), -np.inf, low), len(c_ids) - k, axis=1)[:, len(c_ids) - k]
-                        floor = np.maximum(floor, sure)
+                        low[own | np.isnan(low)] = -np.inf
+                        low.partition(len(c_ids) - k, axis=1)
+                        floor = np.maximum(floor, low[:, len(c_ids) - k])
+                    del near, low, error
                     # a bound that overflows excludes nothing
-                    qi, ci = np.nonzero(~(near + error < floor[:, None]) & ~own)
+                    qi, ci = np.nonzero(~((high < floor[:, None]) | own))
                     for p in range(0, len(qi), PAIRS):
                         a, b = qi[p : p + PAIRS] + t, ci[p : p + PAIRS]
                         for i, s, v in zip(a.tolist(), _product(q_vec[a], c_vec[b]).tolist(), c_ids[b].tolist(), strict=True):
