@@ -30,6 +30,7 @@ def duck():
 ROWS_ONLY = {
     "age_pipeline", "multiclass_models", "rfe", "grid_search",
     "cancel_model", "platt", "importance", "forecast_model", "forecast_batch", "cancel_policy", "time_cv",
+    "adaptive_search", "ordered_boosting",
 }
 
 
