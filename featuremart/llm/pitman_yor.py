@@ -38,18 +38,21 @@ string in the split; repeated rows are each returned.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from featuremart.llm.packed import pack, pack_counted, summed, unpack, unpack_counted
 from featuremart.llm.text import LOWER, SPACE_WORDS, id_crc, mix, row_of, row_sums, slices, span_hash, span_strings, stored, utf8, word_spans
 
-FREQUENT = 1 << 18
+FREQUENT = 1 << 20
 SWEEPS = 3
 BURN_IN = 1
 ORDER = 3  # bytes of context
@@ -57,8 +60,9 @@ CLASSES = 32  # of context bytes
 CONTEXTS = CLASSES**ORDER
 DISCOUNT, STRENGTH = 0.75, 1.0  # of the byte restaurants
 WORD_STRENGTH = 10.0
-CONTEXT_WORDS = 1 << 16  # contexts whose pairs are seated in many tasks
-FREQUENT_PAIRS = 1 << 21
+CONTEXT_WORDS = FREQUENT  # contexts whose pairs are seated in many tasks
+FREQUENT_PAIRS = 1 << 20
+PAIRS_IN_BUCKET = 1 << 21  # tokens
 PAIRS_HELD = 1 << 22  # in a task, while pairs are counted
 WORD_CONTEXT = 0.8, 50.0  # discount and strength of the restaurants of contexts
 FEW = 8  # customers seated one by one
@@ -228,6 +232,9 @@ def vocabulary(texts: DataFrame) -> DataFrame:
 class Model:
     vocabulary: DataFrame  # word, h (hash), c, p, rest
     pairs: DataFrame  # pair, n, adds (log10 of what the context's own part adds)
+    packed: DataFrame  # those of them that are kept by bucket
+    rare_pairs: DataFrame  # the others
+    contexts: Broadcast  # of Contexts
     total: int  # training tokens
     distinct: int
     unseen: float  # probability of a word that is not in the vocabulary
@@ -260,36 +267,137 @@ def _place(key: np.ndarray, look: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, key[at] == look
 
 
-def followers(texts: DataFrame) -> DataFrame:
-    """ctx, w, n: hashes of all adjacent tokens with counts."""
+@dataclass
+class Words:
+    """The most frequent words by rank, and where the pairs of two of them are kept.
+
+    The pairs of a context follow each other by the rank of the second word, and
+    contexts by their own: a bucket is a range of pairs that holds about
+    ``PAIRS_IN_BUCKET`` tokens if words were independent. A context has at most
+    ``FREQUENT`` followers, so buckets stay bounded if they are not."""
+
+    key: np.ndarray  # hashes in order
+    rank: np.ndarray  # of each
+    h: np.ndarray  # hash of each rank
+    before: np.ndarray  # tokens of lower ranks; then of all
+    contexts: int  # ranks whose pairs are packed
+    rare: int  # buckets of the other pairs
+
+    def ranks(self, look: np.ndarray) -> np.ndarray:
+        """Rank, or -1."""
+        at, hit = _place(self.key, look)
+        return np.where(hit, self.rank[at], -1) if len(self.key) else np.full(len(look), -1)
+
+    def packed(self, before: np.ndarray, now: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of each pair of hashes, and whether it is packed."""
+        ctx, w = self.ranks(before), self.ranks(now)
+        return ctx * len(self.h) + w, (ctx >= 0) & (ctx < self.contexts) & (w >= 0)
+
+    def parts(self, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return pair // max(len(self.h), 1), pair % max(len(self.h), 1)
+
+    def name(self, pair: np.ndarray) -> np.ndarray:
+        ctx, w = self.parts(pair)
+        return _pair(self.h[ctx], self.h[w])
+
+    def buckets(self, pair: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Bucket, first and last + 1 place of the runs of ordered pairs."""
+        if not len(pair):
+            return
+        ctx, w = self.parts(pair)
+        of = self.before[ctx] + (self.before[ctx + 1] - self.before[ctx]) * (self.before[w] / self.before[-1])
+        bucket = (of / PAIRS_IN_BUCKET).astype(np.int64)
+        start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        yield from zip(bucket[start].tolist(), start.tolist(), np.append(start[1:], len(pair)).tolist(), strict=True)
+
+
+PACKED = "bucket long, keys binary, counts binary"
+
+
+def _packed(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["bucket", "keys", "counts"])
+
+
+def _packed_rare(ctx: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[bytes, bytes]:
+    return np.stack([ctx, w]).tobytes(), pack(n - 1)
 
-    def rows(ctx: np.ndarray, w: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(ctx.view(np.int64)), pa.array(w.view(np.int64)), pa.array(n)], ["ctx", "w", "n"])
+
+def _unpacked_rare(keys, counts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ctx, w = np.frombuffer(keys, np.uint64).reshape(2, -1)
+    return ctx, w, unpack(counts) + 1
+
+
+def _summed_rare(ctx: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    _, first, inverse = np.unique(_pair(ctx, w), return_index=True, return_inverse=True)
+    return ctx[first], w[first], np.bincount(inverse, weights=n, minlength=len(first)).astype(np.int64)
+
+
+def followers(texts: DataFrame, words: Broadcast) -> DataFrame:
+    """All adjacent tokens with counts, stored in one row a bucket (bucket, keys,
+    counts): numbers of pairs of frequent words, and in buckets below 0 the
+    hashes of other pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        known: Words = words.value
+        pairs, rare = [], []
         size = 0
 
-        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            ctx, w, n = (np.concatenate(x) for x in zip(*held, strict=True))
-            _, first, inverse = np.unique(_pair(ctx, w), return_index=True, return_inverse=True)
-            return ctx[first], w[first], np.bincount(inverse, weights=n).astype(np.int64)
+        def merged() -> tuple[tuple, tuple]:
+            return summed(*(np.concatenate(x) for x in zip(*pairs, strict=True))), _summed_rare(*(np.concatenate(x) for x in zip(*rare, strict=True)))
+
+        def rows(pair: tuple, rare: tuple) -> Iterator[pa.RecordBatch]:
+            key, n = pair
+            out = [(k, *pack_counted(key[i:j], n[i:j])) for k, i, j in known.buckets(key)]
+            room = (mix(_pair(*rare[:2])) % np.uint64(known.rare)).astype(np.int64)
+            order = np.argsort(room, kind="stable")
+            rare, room = [x[order] for x in rare], room[order]
+            ends = np.flatnonzero(np.append(room[1:] != room[:-1], True)) + 1 if len(room) else []
+            for i, j in zip([0, *ends[:-1]], ends, strict=False):
+                out.append((-1 - int(room[i]), *_packed_rare(*(x[i:j] for x in rare))))
+            for i in range(0, len(out), 1000):
+                yield _packed(out[i : i + 1000])
 
         for b in slices(batches, limit=8 << 20):
             now, before, _ = _tokens(b)
-            _, first, n = np.unique(_pair(before, now), return_index=True, return_counts=True)
-            held.append((before[first], now[first], n.astype(np.int64)))
-            size += len(n)
+            key, both = known.packed(before, now)
+            pairs.append(summed(key[both], np.ones(int(both.sum()), np.int64)))
+            rare.append(_summed_rare(before[~both], now[~both], np.ones(int((~both).sum()), np.int64)))
+            size += len(pairs[-1][0]) + len(rare[-1][0])
             if size > PAIRS_HELD:
-                held = [merged()]
-                size = len(held[0][0])
+                pairs[:], rare[:] = ([x] for x in merged())
+                size = len(pairs[0][0]) + len(rare[0][0])
                 if size > PAIRS_HELD // 2:
-                    yield rows(*held[0])
-                    held, size = [], 0
+                    yield from rows(pairs[0], rare[0])
+                    pairs, rare, size = [], [], 0
+        if pairs:
+            yield from rows(*merged())
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held, size = None, [], 0
+
+        def together() -> tuple:
+            return (_summed_rare if bucket < 0 else summed)(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+        def row() -> pa.RecordBatch:
+            return _packed([(bucket, *(_packed_rare if bucket < 0 else pack_counted)(*together()))])
+
+        for b in batches:
+            for i, k in enumerate(b.column("bucket").to_pylist()):
+                if k != bucket:
+                    if held:
+                        yield row()
+                    bucket, held, size = k, [], 0
+                held.append((_unpacked_rare if k < 0 else unpack_counted)(*(b.column(x)[i].as_buffer() for x in ("keys", "counts"))))
+                size += len(held[-1][0])
+                if size > PAIRS_HELD:
+                    held = [together()]
+                    size = min(len(held[0][0]), PAIRS_HELD // 2)
         if held:
-            yield rows(*merged())
+            yield row()
 
-    return texts.select("text").mapInArrow(run, "ctx long, w long, n long").groupBy("ctx", "w").agg(F.sum("n").alias("n"))
+    sent = texts.select("text").mapInArrow(run, PACKED)
+    return stored(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, PACKED), "word-pairs")
 
 
 def _longs(part: pa.RecordBatch, *names: str) -> list[np.ndarray]:
@@ -348,65 +456,104 @@ def _alone(batches: Iterator[pa.RecordBatch], sweeps: int, seed: int) -> Iterato
         yield from seated(*held)
 
 
-def context_model(texts: DataFrame, rated: DataFrame, top: tuple[np.ndarray, ...], sweeps: int, seed: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
-    """pair, n, adds of all pairs; h, rest of all contexts; own part and rest of
-    the frequent contexts. ``top``: hashes, counts and p, most frequent first."""
+@dataclass
+class Contexts:
+    """What the own parts of the packed pairs take: tables of the contexts before
+    each sweep, their customers and rests, and p of the words, all by rank."""
+
+    words: Words
+    totals: list[np.ndarray]
+    c: np.ndarray
+    rest: np.ndarray
+    p: np.ndarray
+    seed: int
+
+    def adds(self, pair: np.ndarray, n: np.ndarray) -> np.ndarray:
+        discount, strength = WORD_CONTEXT
+        ctx, w = self.words.parts(pair)
+        name, own = self.words.name(pair), np.zeros(len(n))
+        for k, t in enumerate(self.totals):
+            own += n - discount * _seat_pairs(name, n, self.p[w], t[ctx], self.seed + k)
+        return _adds(own / len(self.totals) / (strength + self.c)[ctx], self.rest[ctx], self.p[w])
+
+
+def context_model(texts: DataFrame, rated: DataFrame, top: tuple[np.ndarray, ...], total: int, sweeps: int, seed: int) -> tuple[DataFrame, DataFrame, DataFrame, np.ndarray, Broadcast]:
+    """The packed pairs; pair, n, adds of the others; h, rest of all contexts; own
+    part and rest of the frequent contexts; what rates the packed pairs.
+    ``top``: hashes, counts and p, most frequent first."""
     sc = texts.sparkSession.sparkContext
     discount, strength = WORD_CONTEXT
     h, count, p = top
     order = np.argsort(h)
-    words = sc.broadcast((h[order], order, p[order]))
     size = min(CONTEXT_WORDS, len(h))
+    rare = 2 * (total - int(count[:size].sum())) // PAIRS_IN_BUCKET + 1
+    words = sc.broadcast(Words(h[order], order, h, np.concatenate([[0], np.cumsum(count)]).astype(np.float64), size, rare))
+    known = sc.broadcast(p)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rank, known = words.value
         for b in batches:
-            ctx, w = (x.view(np.uint64) for x in _longs(b, "ctx", "w"))
-            at, hit = _place(key, ctx)
-            room = np.where(hit & (rank[at] < size), rank[at], -1) if len(key) else np.full(len(ctx), -1)
-            at, hit = _place(key, w)
-            value = pa.array(known[at] if len(key) else np.zeros(len(w)), mask=~hit)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(room.astype(np.int32)), value], ["ctx", "w", "n", "room", "p"])
-
-    found = stored(followers(texts).mapInArrow(look, "ctx long, w long, n long, room int, p double"), "word-pairs")
-    rare = stored(found.where("p is null").drop("p").join(rated.select(F.col("h").alias("w"), "p"), "w"), "rare-pairs")
-    pairs = found.where("p is not null").unionByName(rare)
+            for i in range(b.num_rows):
+                ctx, w, n = _unpacked_rare(b.column("keys")[i].as_buffer(), b.column("counts")[i].as_buffer())
+                room, at = words.value.ranks(ctx), words.value.ranks(w)
+                room = np.where(room < size, room, -1)
+                value = pa.array(known.value[at] if len(h) else np.zeros(len(w)), mask=at < 0)
+                yield from _parts([pa.RecordBatch.from_arrays([pa.array(ctx.view(np.int64)), pa.array(w.view(np.int64)), pa.array(n), pa.array(room.astype(np.int32)), value], ["ctx", "w", "n", "room", "p"])])
+
+    found = followers(texts, words)
+    packed = found.where("bucket >= 0")
+    other = found.where("bucket < 0").mapInArrow(look, "ctx long, w long, n long, room int, p double")
+    joined = other.where("p is null").drop("p").join(rated.select(F.col("h").alias("w"), "p"), "w")
+    pairs = stored(other.where("p is not null").unionByName(joined), "rare-pairs")
     many = pairs.where("room >= 0")
-    got = many.groupBy("room").agg(F.count("*").alias("t"), F.sum("n").alias("n")).toPandas()  # at most CONTEXT_WORDS rows
-    t, n = np.zeros(size), np.zeros(size)
-    t[got["room"]], n[got["room"]] = got["t"], got["n"]
-    totals = [t]  # tables of the frequent contexts, sweep by sweep
-    for k in range(sweeps):
-        before = sc.broadcast(totals[-1])
 
-        def run(batches: Iterator[pa.RecordBatch], before=before, k=k) -> Iterator[pa.RecordBatch]:
-            t = np.zeros(size)
+    def summed_up(before: np.ndarray | None, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Tables and customers in the packed and the other pairs of the frequent
+        contexts, at most CONTEXT_WORDS rows; without ``before``, a table a pair."""
+        last = sc.broadcast(before)
+
+        def sums(room: np.ndarray, tables: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            rooms, of = np.unique(room, return_inverse=True)
+            cols = [pa.array(rooms.astype(np.int64)), *(pa.array(np.bincount(of, weights=x, minlength=len(rooms)).astype(np.int64)) for x in (tables, n))]
+            yield from _parts([pa.RecordBatch.from_arrays(cols, ["room", "t", "n"])])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for i in range(b.num_rows):
+                    pair, n = unpack_counted(b.column("keys")[i].as_buffer(), b.column("counts")[i].as_buffer())
+                    ctx, w = words.value.parts(pair)
+                    tables = np.ones(len(n)) if last.value is None else _seat_pairs(words.value.name(pair), n, known.value[w], last.value[ctx], seed + k)
+                    yield from sums(ctx, tables, n)
+
+        def run_other(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 ctx, w, n, room, p = _longs(b, "ctx", "w", "n", "room", "p")
-                tables = _seat_pairs(_pair(ctx.view(np.uint64), w.view(np.uint64)), n, p, before.value[room], seed + k)
-                t += np.bincount(room, weights=tables, minlength=size)
-            nz = np.flatnonzero(t)
-            yield pa.RecordBatch.from_arrays([pa.array(nz), pa.array(t[nz].astype(np.int64))], ["room", "t"])
-
-        got = many.mapInArrow(run, "room long, t long").groupBy("room").agg(F.sum("t").alias("t")).toPandas()
-        t = np.zeros(size)
-        t[got["room"]] = got["t"]
-        totals.append(t)
-        before.unpersist()
+                yield from sums(room, np.ones(len(n)) if last.value is None else _seat_pairs(_pair(ctx.view(np.uint64), w.view(np.uint64)), n, p, last.value[room], seed + k), n)
+
+        schema = "room long, t long, n long"
+        got = packed.mapInArrow(run, schema).unionByName(many.mapInArrow(run_other, schema)).groupBy("room").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).toPandas()
+        t, n = np.zeros(size), np.zeros(size)
+        t[got["room"]], n[got["room"]] = got["t"], got["n"]
+        last.unpersist()
+        return t, n
+
+    t, n = summed_up(None, 0)
+    totals = [t]  # tables of the frequent contexts, sweep by sweep
+    for k in range(sweeps):
+        totals.append(summed_up(totals[-1], k)[0])
     c = count[:size]
     rest = np.mean([(strength + discount * t) / (strength + c) for t in totals[1:]], axis=0)
     own = np.mean([(n - discount * t) / (strength + c) for t in totals[1:]], axis=0)
-    shared = sc.broadcast((totals, c, rest))
+    shared = sc.broadcast(Contexts(words.value, totals[:-1], c, rest, p, seed))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals, c, rest = shared.value
+        s: Contexts = shared.value
         for b in batches:
             ctx, w, n, room, p = _longs(b, "ctx", "w", "n", "room", "p")
             pair = _pair(ctx.view(np.uint64), w.view(np.uint64))
             own = np.zeros(len(n))
-            for k in range(sweeps):
-                own += n - discount * _seat_pairs(pair, n, p, totals[k][room], seed + k)
-            yield _scores(pair, n, _adds(own / sweeps / (strength + c)[room], rest[room], p))
+            for k, t in enumerate(s.totals):
+                own += n - discount * _seat_pairs(pair, n, p, t[room], seed + k)
+            yield _scores(pair, n, _adds(own / sweeps / (strength + s.c)[room], s.rest[room], p))
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _alone(batches, sweeps, seed)
@@ -415,7 +562,118 @@ def context_model(texts: DataFrame, rated: DataFrame, top: tuple[np.ndarray, ...
     done = stored(many.mapInArrow(rate, SCORES).unionByName(few.mapInArrow(alone, SCORES)), "pair-scores")
     frequent = texts.sparkSession.createDataFrame(pd.DataFrame({"h": h[:size].view(np.int64), "rest": rest}), "h long, rest double")
     rests = done.where("n is null").select(F.col("pair").alias("h"), F.col("value").alias("rest")).unionByName(frequent)
-    return done.where("n is not null").withColumnRenamed("value", "adds"), rests, np.column_stack([own, rest])
+    return packed, done.where("n is not null").withColumnRenamed("value", "adds"), rests, np.column_stack([own, rest]), shared
+
+
+def rated_pairs(packed: DataFrame, contexts: Broadcast, least: int = 1) -> DataFrame:
+    """pair, n, adds of the packed pairs met ``least`` times."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s: Contexts = contexts.value
+        for b in batches:
+            for i in range(b.num_rows):
+                pair, n = unpack_counted(b.column("keys")[i].as_buffer(), b.column("counts")[i].as_buffer())
+                pair, n = pair[n >= least], n[n >= least]
+                yield from _parts([pa.RecordBatch.from_arrays([pa.array(s.words.name(pair).view(np.int64)), pa.array(n), pa.array(s.adds(pair, n))], ["pair", "n", "adds"])])
+
+    return packed.mapInArrow(run, "pair long, n long, adds double")
+
+
+def pair_parts(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, text_hash, own: what the packed pairs of a text add, one row for
+    each row of ``docs`` (doc_id, text_hash, text). Each slice of texts sends its
+    pairs to their buckets and gets one number a text back.
+
+    A slice is named by its rows. Rows must come in the same order when they are
+    read again, as those of a file do; else an error is raised."""
+    contexts, often = model.contexts, docs.sparkSession.sparkContext.broadcast(model.frequent_pairs[0])
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["bucket", "kind", "keys", "counts", "slice", "doc_ids", "text_hashes", "pairs"]
+    schema = f"bucket long, kind int, keys binary, counts binary, slice long, doc_ids array<{kind}>, text_hashes array<long>, pairs long"
+
+    def batch(like: pa.RecordBatch, bucket, kind, keys, counts, name, ids=None, hashes=None, pairs=None) -> pa.RecordBatch:
+        m = len(bucket)
+        one = lambda x, t: pa.nulls(m, pa.list_(t)) if x is None else pa.ListArray.from_arrays([0, len(x)], x)
+        cols = [pa.array(bucket, pa.int64()), pa.array([kind] * m, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary()), pa.array(name, pa.int64())]
+        return pa.RecordBatch.from_arrays([*cols, one(ids, like), one(hashes, pa.int64()), pa.array(pairs or [None] * m, pa.int64())], names)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: Words = contexts.value.words
+        for b in slices(batches, limit=16 << 20):
+            ids, hashes = b.column("doc_id"), b.column("text_hash")
+            now, before, off = _tokens(b)
+            of = row_of(off)
+            key, left = words.packed(before, now)
+            left &= ~_place(often.value, _pair(before, now))[1]
+            key, of = key[left], of[left]
+            order = np.argsort(key, kind="stable")
+            key, of = key[order], of[order]
+            seal = hashlib.blake2b(repr((ids.to_pylist(), hashes.to_pylist())).encode(), digest_size=8).digest()
+            name = int.from_bytes(seal, "little", signed=True)
+            yield batch(ids.type, [-1 - (name & 0xFFFFF)], 2, [None], [None], [name], ids, hashes, [len(key)])
+            sent = [(k, pack(np.diff(key[i:j], prepend=0)), pack(of[i:j])) for k, i, j in words.buckets(key)]
+            for i in range(0, len(sent), 1000):
+                bucket, keys, rows = zip(*sent[i : i + 1000], strict=True)
+                yield batch(ids.type, bucket, 1, keys, rows, [name] * len(bucket))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s: Contexts = contexts.value
+        bucket, pair, adds = None, np.zeros(0, np.int64), np.zeros(0)
+        for b in batches:
+            like = b.schema.field("doc_ids").type.value_type
+            kinds, at = b.column("kind").to_pylist(), b.column("bucket").to_pylist()
+            for i in range(b.num_rows):
+                if kinds[i] == 2:
+                    yield b.slice(i, 1)
+                    continue
+                keys, counts = b.column("keys")[i].as_buffer(), b.column("counts")[i].as_buffer()
+                if kinds[i] == 0:
+                    pair, n = unpack_counted(keys, counts)
+                    bucket, adds = at[i], s.adds(pair, n)
+                    continue
+                look, of = np.cumsum(unpack(keys)), unpack(counts)
+                own = np.zeros(len(of))
+                if at[i] == bucket:
+                    to, hit = _place(pair, look)
+                    own[hit] = adds[to[hit]]
+                # pairs that training lacks add nothing
+                total = np.bincount(of, weights=own)
+                rows = np.flatnonzero(total)
+                yield batch(like, [at[i]], 1, [pack(np.diff(rows, prepend=0))], [total[rows].astype("<f4").tobytes()], [b.column("slice")[i].as_py()], pairs=[len(of)])
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, heads, total, pairs, expected = None, [], None, 0, 0
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if pairs != expected:
+                raise RuntimeError("the texts came in another order when they were read again: store them first")
+            # slices of the same rows got their answers together
+            for ids, hashes in heads:
+                yield pa.RecordBatch.from_arrays([ids, hashes, pa.array(total / len(heads))], ["doc_id", "text_hash", "own"])
+
+        for b in batches:
+            kinds, of, n = (b.column(x).to_pylist() for x in ("kind", "slice", "pairs"))
+            for i in range(b.num_rows):
+                if of[i] != name:
+                    if name is not None:
+                        yield from done()
+                    name, heads, total, pairs, expected = of[i], [], np.zeros(0), 0, 0
+                if kinds[i] == 2:
+                    heads.append((b.column("doc_ids")[i].values, b.column("text_hashes")[i].values))
+                    total, expected = np.zeros(len(heads[0][0])), expected + n[i]
+                    continue
+                pairs += n[i]
+                rows = np.cumsum(unpack(b.column("keys")[i].as_buffer()))
+                if not heads:
+                    raise RuntimeError("the texts came in another order when they were read again: store them first")
+                total[rows] += np.frombuffer(b.column("counts")[i].as_buffer(), "<f4")
+        if name is not None:
+            yield from done()
+
+    table = model.packed.select("bucket", F.lit(0).alias("kind"), "keys", "counts")
+    asked = docs.mapInArrow(send, schema).unionByName(table, allowMissingColumns=True)
+    answered = asked.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(answer, schema)
+    return answered.repartition("slice").sortWithinPartitions("slice", F.desc("kind")).mapInArrow(close, f"doc_id {kind}, text_hash long, own double")
 
 
 def _most(df: DataFrame, column: str, rows: int) -> Column:
@@ -474,17 +732,20 @@ def fit(texts: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN, seed: in
     often = _most(rated, "c", FREQUENT)
     top = rated.where(often).select("h", "c", "p").toPandas().sort_values(["c", "h"], ascending=[False, True])
     most = top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), top["p"].to_numpy(np.float64)
-    pairs, rests, follows = context_model(texts, rated, most, sweeps, seed)
+    packed, rare, rests, follows, contexts = context_model(texts, rated, most, total, sweeps, seed)
     rated = stored(rated.join(rests, "h"), "contexts")
     top = rated.where(often).select("h", "c", "p", "rest").toPandas()
     h = top["h"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(h)
     value = np.log10(top["p"].to_numpy(np.float64)) + np.log10(top["rest"].to_numpy(np.float64))
     frequent = h[order], top["c"].to_numpy(np.int64)[order], value[order]
-    top = pairs.where(_most(pairs, "n", FREQUENT_PAIRS)).select("pair", "adds").toPandas()
+    # pairs of at least this share of the tokens are at most FREQUENT_PAIRS
+    least = max(-(-total // FREQUENT_PAIRS), 2)
+    top = rated_pairs(packed, contexts, least).unionByName(rare.where(F.col("n") >= least)).toPandas()
     pair = top["pair"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(pair)
-    return Model(rated, pairs, total, distinct, unseen, frequent, (pair[order], top["adds"].to_numpy(np.float64)[order]), follows)
+    often = pair[order], top["adds"].to_numpy(np.float64)[order]
+    return Model(rated, rated_pairs(packed, contexts).unionByName(rare), packed, rare, contexts, total, distinct, unseen, frequent, often, follows)
 
 
 def _parts(batches: Iterator[pa.RecordBatch], rows: int = 50_000) -> Iterator[pa.RecordBatch]:
@@ -499,6 +760,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     share = 0.1 * (model.distinct + 1) + model.total
     shared = docs.sparkSession.sparkContext.broadcast(model.frequent)
     pairs = docs.sparkSession.sparkContext.broadcast(model.frequent_pairs)
+    contexts = model.contexts
     kind = docs.schema["doc_id"].dataType.simpleString()
     d = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     names = ["doc_id", "text_hash", "word", "n", "n_tokens", "n_known", "base", "own", "rows"]
@@ -543,9 +805,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             look, of = _pair(before, now), row_of(off)
             at, hit = _place(key, look)
             own = np.bincount(of[hit], adds[at[hit]], m) if len(key) else np.zeros(m)
-            # one row a text for what is known here, one for each other pair
-            take = pa.array(np.concatenate([np.arange(m), of[~hit]]))
-            pair = np.concatenate([mix(np.arange(m).astype(np.uint64)), look[~hit]]).view(np.int64)
+            # one row a text for what is known here, one for each other pair that is not packed
+            left = ~hit & ~contexts.value.words.packed(before, now)[1]
+            take = pa.array(np.concatenate([np.arange(m), of[left]]))
+            pair = np.concatenate([mix(np.arange(m).astype(np.uint64)), look[left]]).view(np.int64)
             value = pa.array(np.concatenate([own, np.zeros(len(pair) - m)]), mask=np.arange(len(pair)) >= m)
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(take), b.column("text_hash").take(take), pa.array(pair), value], ["doc_id", "text_hash", "pair", "own"])
 
@@ -560,9 +823,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         F.when(whole, F.col("own")).otherwise(F.col("n") * (F.log10(F.coalesce("p", F.lit(model.unseen))) + F.log10(F.coalesce("rest", F.lit(1.0))))).alias("own"),
     )
     # pairs that training lacks add nothing
-    after = d.mapInArrow(run_pairs, f"doc_id {kind}, text_hash long, pair long, own double").join(model.pairs.select("pair", "adds"), "pair", "left")
+    after = d.mapInArrow(run_pairs, f"doc_id {kind}, text_hash long, pair long, own double").join(model.rare_pairs.select("pair", "adds"), "pair", "left")
     after = after.select("doc_id", "text_hash", F.coalesce("own", "adds", F.lit(0.0)).alias("own"))
-    one = one.unionByName(after, allowMissingColumns=True)
+    one = one.unionByName(after, allowMissingColumns=True).unionByName(pair_parts(d, model), allowMissingColumns=True)
     per = one.groupBy("doc_id", "text_hash").agg(*[F.sum(x).alias(x) for x in ("n_tokens", "rows", "known", "base", "own")])
     # rows that repeat a text under one id are summed together, and returned each
     per = per.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
