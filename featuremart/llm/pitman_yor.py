@@ -18,13 +18,15 @@ draw a table instead of one a customer. The restaurant of all words seats
 every token, not only the tables of the contexts.
 
 The vocabulary and the pairs of adjacent words are stored tables that grow with
-the corpus. What is shared with all tasks is bounded: the byte restaurants
-(32,768 contexts by 256 bytes, contexts being classes of bytes), the number of
-tables after each of the ``CONTEXT_WORDS`` most frequent words, the
-``FREQUENT`` most frequent words and the ``FREQUENT_PAIRS`` most frequent
-pairs. The pairs of the most frequent contexts are seated wherever they are
-stored, those of any other context in one task. All other words and pairs of
-the texts are joined with the tables.
+the corpus. Pairs of two of the ``FREQUENT`` most frequent words are numbers,
+kept in order in buckets, a byte or two each; texts send theirs to the buckets
+in the same form and get one number a text back. Any other word or pair is a
+row, joined with the tables. What is shared with all tasks is bounded: the byte
+restaurants (32,768 contexts by 256 bytes, contexts being classes of bytes), the
+``FREQUENT`` most frequent words with the number of tables after each, and pairs
+that make at least 1/``FREQUENT_PAIRS`` of all tokens. The pairs of the most
+frequent contexts are seated wherever they are stored, those of any other
+context in one task.
 
 A word's probability after a context is the context's own part, for pairs that
 training holds, and the context's rest (what it leaves to its parent) times the
@@ -41,6 +43,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -52,7 +55,7 @@ from pyspark.sql import functions as F
 from featuremart.llm.packed import pack, pack_counted, summed, unpack, unpack_counted
 from featuremart.llm.text import LOWER, SPACE_WORDS, id_crc, mix, row_of, row_sums, slices, span_hash, span_strings, stored, utf8, word_spans
 
-FREQUENT = 1 << 20
+FREQUENT = 1 << 19
 SWEEPS = 3
 BURN_IN = 1
 ORDER = 3  # bytes of context
@@ -61,7 +64,7 @@ CONTEXTS = CLASSES**ORDER
 DISCOUNT, STRENGTH = 0.75, 1.0  # of the byte restaurants
 WORD_STRENGTH = 10.0
 CONTEXT_WORDS = FREQUENT  # contexts whose pairs are seated in many tasks
-FREQUENT_PAIRS = 1 << 20
+FREQUENT_PAIRS = 1 << 19
 PAIRS_IN_BUCKET = 1 << 21  # tokens
 PAIRS_HELD = 1 << 22  # in a task, while pairs are counted
 WORD_CONTEXT = 0.8, 50.0  # discount and strength of the restaurants of contexts
@@ -234,11 +237,12 @@ class Model:
     pairs: DataFrame  # pair, n, adds (log10 of what the context's own part adds)
     packed: DataFrame  # those of them that are kept by bucket
     rare_pairs: DataFrame  # the others
-    contexts: Broadcast  # of Contexts
+    shared: Shared
     total: int  # training tokens
     distinct: int
     unseen: float  # probability of a word that is not in the vocabulary
-    frequent: tuple[np.ndarray, ...]  # hashes in order, counts, log10 of p times rest
+    rare: Column  # whether a word of the vocabulary is not among the frequent ones
+    frequent: np.ndarray  # log10 of p times rest of the frequent words, by rank
     frequent_pairs: tuple[np.ndarray, np.ndarray]  # pairs in order, adds
     follows: np.ndarray  # of each frequent context, its own part and its rest
 
@@ -278,23 +282,37 @@ class Words:
 
     key: np.ndarray  # hashes in order
     rank: np.ndarray  # of each
-    h: np.ndarray  # hash of each rank
-    before: np.ndarray  # tokens of lower ranks; then of all
+    count: np.ndarray  # of each rank
     contexts: int  # ranks whose pairs are packed
     rare: int  # buckets of the other pairs
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("h", "before")}
+
+    @cached_property
+    def h(self) -> np.ndarray:
+        """Hash of each rank."""
+        out = np.empty_like(self.key)
+        out[self.rank] = self.key
+        return out
+
+    @cached_property
+    def before(self) -> np.ndarray:
+        """Tokens of lower ranks; then of all."""
+        return np.concatenate([[0], np.cumsum(self.count)]).astype(np.float64)
+
     def ranks(self, look: np.ndarray) -> np.ndarray:
         """Rank, or -1."""
         at, hit = _place(self.key, look)
-        return np.where(hit, self.rank[at], -1) if len(self.key) else np.full(len(look), -1)
+        return np.where(hit, self.rank[at], -1).astype(np.int64) if len(self.key) else np.full(len(look), -1)
 
     def packed(self, before: np.ndarray, now: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number of each pair of hashes, and whether it is packed."""
         ctx, w = self.ranks(before), self.ranks(now)
-        return ctx * len(self.h) + w, (ctx >= 0) & (ctx < self.contexts) & (w >= 0)
+        return ctx * len(self.key) + w, (ctx >= 0) & (ctx < self.contexts) & (w >= 0)
 
     def parts(self, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return pair // max(len(self.h), 1), pair % max(len(self.h), 1)
+        return pair // max(len(self.key), 1), pair % max(len(self.key), 1)
 
     def name(self, pair: np.ndarray) -> np.ndarray:
         ctx, w = self.parts(pair)
@@ -458,36 +476,50 @@ def _alone(batches: Iterator[pa.RecordBatch], sweeps: int, seed: int) -> Iterato
 
 @dataclass
 class Contexts:
-    """What the own parts of the packed pairs take: tables of the contexts before
-    each sweep, their customers and rests, and p of the words, all by rank."""
+    """What the own parts of the pairs of frequent contexts take: tables of the
+    contexts before each sweep and after the last, by rank."""
 
-    words: Words
     totals: list[np.ndarray]
-    c: np.ndarray
-    rest: np.ndarray
-    p: np.ndarray
     seed: int
 
-    def adds(self, pair: np.ndarray, n: np.ndarray) -> np.ndarray:
+    def rest(self, count: np.ndarray) -> np.ndarray:
         discount, strength = WORD_CONTEXT
-        ctx, w = self.words.parts(pair)
-        name, own = self.words.name(pair), np.zeros(len(n))
-        for k, t in enumerate(self.totals):
-            own += n - discount * _seat_pairs(name, n, self.p[w], t[ctx], self.seed + k)
-        return _adds(own / len(self.totals) / (strength + self.c)[ctx], self.rest[ctx], self.p[w])
+        return np.mean([(strength + discount * t) / (strength + count) for t in self.totals[1:]], axis=0)
 
+    def adds(self, name: np.ndarray, room: np.ndarray, n: np.ndarray, p: np.ndarray, count: np.ndarray) -> np.ndarray:
+        discount, strength = WORD_CONTEXT
+        own = np.zeros(len(n))
+        for k, t in enumerate(self.totals[:-1]):
+            own += n - discount * _seat_pairs(name, n, p, t[room], self.seed + k)
+        return _adds(own / (len(self.totals) - 1) / (strength + count[room]), self.rest(count)[room], p)
+
+
+@dataclass
+class Shared:
+    """Broadcasts that rate the pairs."""
 
-def context_model(texts: DataFrame, rated: DataFrame, top: tuple[np.ndarray, ...], total: int, sweeps: int, seed: int) -> tuple[DataFrame, DataFrame, DataFrame, np.ndarray, Broadcast]:
-    """The packed pairs; pair, n, adds of the others; h, rest of all contexts; own
-    part and rest of the frequent contexts; what rates the packed pairs.
-    ``top``: hashes, counts and p, most frequent first."""
+    words: Broadcast  # of Words
+    p: Broadcast  # by rank
+    contexts: Broadcast  # of Contexts
+
+    def adds(self, pair: np.ndarray, n: np.ndarray) -> np.ndarray:
+        words: Words = self.words.value
+        ctx, w = words.parts(pair)
+        return self.contexts.value.adds(words.name(pair), ctx, n, self.p.value[w], words.count[: words.contexts])
+
+
+def context_model(texts: DataFrame, rated: DataFrame, top: tuple[np.ndarray, ...], total: int, sweeps: int, seed: int) -> tuple[DataFrame, DataFrame, DataFrame, np.ndarray, Shared]:
+    """The packed pairs; pair, n, adds of the others; h, rest of the other contexts;
+    own part and rest of the frequent contexts; what rates the packed pairs.
+    ``rated``: h, p of the words that are not in ``top``, which holds hashes,
+    counts and p, most frequent first."""
     sc = texts.sparkSession.sparkContext
     discount, strength = WORD_CONTEXT
     h, count, p = top
     order = np.argsort(h)
     size = min(CONTEXT_WORDS, len(h))
     rare = 2 * (total - int(count[:size].sum())) // PAIRS_IN_BUCKET + 1
-    words = sc.broadcast(Words(h[order], order, h, np.concatenate([[0], np.cumsum(count)]).astype(np.float64), size, rare))
+    words = sc.broadcast(Words(h[order], order.astype(np.int32), count, size, rare))
     known = sc.broadcast(p)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -533,60 +565,55 @@ def context_model(texts: DataFrame, rated: DataFrame, top: tuple[np.ndarray, ...
         got = packed.mapInArrow(run, schema).unionByName(many.mapInArrow(run_other, schema)).groupBy("room").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).toPandas()
         t, n = np.zeros(size), np.zeros(size)
         t[got["room"]], n[got["room"]] = got["t"], got["n"]
-        last.unpersist()
-        return t, n
+        last.destroy()
+        return t.astype(np.int32) if t.max(initial=0) < 1 << 31 else t, n
 
     t, n = summed_up(None, 0)
     totals = [t]  # tables of the frequent contexts, sweep by sweep
     for k in range(sweeps):
         totals.append(summed_up(totals[-1], k)[0])
     c = count[:size]
-    rest = np.mean([(strength + discount * t) / (strength + c) for t in totals[1:]], axis=0)
+    contexts = Contexts(totals, seed)
+    rest = contexts.rest(c)
     own = np.mean([(n - discount * t) / (strength + c) for t in totals[1:]], axis=0)
-    shared = sc.broadcast(Contexts(words.value, totals[:-1], c, rest, p, seed))
+    shared = Shared(words, known, sc.broadcast(contexts))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s: Contexts = shared.value
         for b in batches:
             ctx, w, n, room, p = _longs(b, "ctx", "w", "n", "room", "p")
             pair = _pair(ctx.view(np.uint64), w.view(np.uint64))
-            own = np.zeros(len(n))
-            for k, t in enumerate(s.totals):
-                own += n - discount * _seat_pairs(pair, n, p, t[room], seed + k)
-            yield _scores(pair, n, _adds(own / sweeps / (strength + s.c)[room], s.rest[room], p))
+            yield _scores(pair, n, shared.contexts.value.adds(pair, room, n, p, shared.words.value.count[:size]))
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _alone(batches, sweeps, seed)
 
     few = pairs.where("room < 0").select("ctx", "w", "n", "p").repartition("ctx").sortWithinPartitions("ctx")
     done = stored(many.mapInArrow(rate, SCORES).unionByName(few.mapInArrow(alone, SCORES)), "pair-scores")
-    frequent = texts.sparkSession.createDataFrame(pd.DataFrame({"h": h[:size].view(np.int64), "rest": rest}), "h long, rest double")
-    rests = done.where("n is null").select(F.col("pair").alias("h"), F.col("value").alias("rest")).unionByName(frequent)
+    rests = done.where("n is null").select(F.col("pair").alias("h"), F.col("value").alias("rest"))
     return packed, done.where("n is not null").withColumnRenamed("value", "adds"), rests, np.column_stack([own, rest]), shared
 
 
-def rated_pairs(packed: DataFrame, contexts: Broadcast, least: int = 1) -> DataFrame:
+def rated_pairs(packed: DataFrame, shared: Shared, least: int = 1) -> DataFrame:
     """pair, n, adds of the packed pairs met ``least`` times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s: Contexts = contexts.value
         for b in batches:
             for i in range(b.num_rows):
                 pair, n = unpack_counted(b.column("keys")[i].as_buffer(), b.column("counts")[i].as_buffer())
                 pair, n = pair[n >= least], n[n >= least]
-                yield from _parts([pa.RecordBatch.from_arrays([pa.array(s.words.name(pair).view(np.int64)), pa.array(n), pa.array(s.adds(pair, n))], ["pair", "n", "adds"])])
+                yield from _parts([pa.RecordBatch.from_arrays([pa.array(shared.words.value.name(pair).view(np.int64)), pa.array(n), pa.array(shared.adds(pair, n))], ["pair", "n", "adds"])])
 
     return packed.mapInArrow(run, "pair long, n long, adds double")
 
 
-def pair_parts(docs: DataFrame, model: Model) -> DataFrame:
+def pair_parts(docs: DataFrame, model: Model, often: Broadcast) -> DataFrame:
     """doc_id, text_hash, own: what the packed pairs of a text add, one row for
     each row of ``docs`` (doc_id, text_hash, text). Each slice of texts sends its
     pairs to their buckets and gets one number a text back.
 
     A slice is named by its rows. Rows must come in the same order when they are
     read again, as those of a file do; else an error is raised."""
-    contexts, often = model.contexts, docs.sparkSession.sparkContext.broadcast(model.frequent_pairs[0])
+    shared = model.shared
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["bucket", "kind", "keys", "counts", "slice", "doc_ids", "text_hashes", "pairs"]
     schema = f"bucket long, kind int, keys binary, counts binary, slice long, doc_ids array<{kind}>, text_hashes array<long>, pairs long"
@@ -598,13 +625,13 @@ def pair_parts(docs: DataFrame, model: Model) -> DataFrame:
         return pa.RecordBatch.from_arrays([*cols, one(ids, like), one(hashes, pa.int64()), pa.array(pairs or [None] * m, pa.int64())], names)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Words = contexts.value.words
+        words: Words = shared.words.value
         for b in slices(batches, limit=16 << 20):
             ids, hashes = b.column("doc_id"), b.column("text_hash")
             now, before, off = _tokens(b)
             of = row_of(off)
             key, left = words.packed(before, now)
-            left &= ~_place(often.value, _pair(before, now))[1]
+            left &= ~_place(often.value[0], _pair(before, now))[1]
             key, of = key[left], of[left]
             order = np.argsort(key, kind="stable")
             key, of = key[order], of[order]
@@ -617,7 +644,6 @@ def pair_parts(docs: DataFrame, model: Model) -> DataFrame:
                 yield batch(ids.type, bucket, 1, keys, rows, [name] * len(bucket))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s: Contexts = contexts.value
         bucket, pair, adds = None, np.zeros(0, np.int64), np.zeros(0)
         for b in batches:
             like = b.schema.field("doc_ids").type.value_type
@@ -629,7 +655,7 @@ def pair_parts(docs: DataFrame, model: Model) -> DataFrame:
                 keys, counts = b.column("keys")[i].as_buffer(), b.column("counts")[i].as_buffer()
                 if kinds[i] == 0:
                     pair, n = unpack_counted(keys, counts)
-                    bucket, adds = at[i], s.adds(pair, n)
+                    bucket, adds = at[i], shared.adds(pair, n)
                     continue
                 look, of = np.cumsum(unpack(keys)), unpack(counts)
                 own = np.zeros(len(of))
@@ -716,7 +742,7 @@ def fit(texts: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN, seed: in
         cell, n = got["cell"].to_numpy().astype(np.int64), got["n"].to_numpy().astype(np.int64)
         spelling = byte_model(cell[cell >= 0], n[cell >= 0], seed + k)
         last = Sweep(spelling, float(n[cell < 0].sum()), seed + k)
-        now.unpersist()
+        now.destroy()
         if k >= burn_in:
             kept.append(last)
     shared = sc.broadcast(kept)
@@ -728,24 +754,29 @@ def fit(texts: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN, seed: in
             yield pa.RecordBatch.from_arrays([part.column("word"), h, part.column("c"), pa.array(p)], ["word", "h", "c", "p"])
 
     rated = stored(vocab.mapInArrow(rate, "word string, h long, c long, p double"), "rated-words")
+    shared.destroy()
     unseen = max(1.0 - (rated.agg(F.sum("p")).first()[0] or 0.0), 1e-12)
     often = _most(rated, "c", FREQUENT)
     top = rated.where(often).select("h", "c", "p").toPandas().sort_values(["c", "h"], ascending=[False, True])
     most = top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), top["p"].to_numpy(np.float64)
-    packed, rare, rests, follows, contexts = context_model(texts, rated, most, total, sweeps, seed)
-    rated = stored(rated.join(rests, "h"), "contexts")
-    top = rated.where(often).select("h", "c", "p", "rest").toPandas()
-    h = top["h"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(h)
-    value = np.log10(top["p"].to_numpy(np.float64)) + np.log10(top["rest"].to_numpy(np.float64))
-    frequent = h[order], top["c"].to_numpy(np.int64)[order], value[order]
+    others = rated.where(~often)
+    packed, rare, rests, follows, contexts = context_model(texts, others.select("h", "p"), most, total, sweeps, seed)
+    rest = np.ones(len(most[0]))
+    rest[: len(follows)] = follows[:, 1]
+    if len(follows) < len(rest):
+        asked = texts.sparkSession.createDataFrame(pd.DataFrame({"h": most[0].view(np.int64), "rank": np.arange(len(rest))}), "h long, rank long")
+        got = rests.join(asked, "h").select("rank", "rest").toPandas()
+        rest[got["rank"]] = got["rest"]
+    frequent = np.log10(most[2]) + np.log10(rest)
+    known = stored(others.join(rests, "h"), "contexts")
+    rated = known.unionByName(rated.where(often), allowMissingColumns=True)
     # pairs of at least this share of the tokens are at most FREQUENT_PAIRS
     least = max(-(-total // FREQUENT_PAIRS), 2)
     top = rated_pairs(packed, contexts, least).unionByName(rare.where(F.col("n") >= least)).toPandas()
     pair = top["pair"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(pair)
-    often = pair[order], top["adds"].to_numpy(np.float64)[order]
-    return Model(rated, rated_pairs(packed, contexts).unionByName(rare), packed, rare, contexts, total, distinct, unseen, frequent, often, follows)
+    shares = pair[order], top["adds"].to_numpy(np.float64)[order]
+    return Model(rated, rated_pairs(packed, contexts).unionByName(rare), packed, rare, contexts, total, distinct, unseen, ~often, frequent, shares, follows)
 
 
 def _parts(batches: Iterator[pa.RecordBatch], rows: int = 50_000) -> Iterator[pa.RecordBatch]:
@@ -760,14 +791,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     share = 0.1 * (model.distinct + 1) + model.total
     shared = docs.sparkSession.sparkContext.broadcast(model.frequent)
     pairs = docs.sparkSession.sparkContext.broadcast(model.frequent_pairs)
-    contexts = model.contexts
+    words = model.shared.words
     kind = docs.schema["doc_id"].dataType.simpleString()
     d = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     names = ["doc_id", "text_hash", "word", "n", "n_tokens", "n_known", "base", "own", "rows"]
     schema = f"doc_id {kind}, text_hash long, word string, n int, n_tokens long, n_known long, base double, own double, rows long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, count, value = shared.value
+        value = shared.value
+        known: Words = words.value
         for b in slices(batches):
             m = b.num_rows
             data, off = utf8(b.column("text"))
@@ -776,10 +808,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             # words, then the end token of each text
             look = np.concatenate([span_hash(data, s, e), np.full(m, END_HASH)])
             of = np.concatenate([row_of(rows), np.arange(m)])
-            at, hit = _place(key, look)
+            at = known.ranks(look)
+            hit = at >= 0
             w, at = of[hit], at[hit]
-            base = np.bincount(w, np.log10((count[at] + 0.1) / share), m) if len(key) else np.zeros(m)
-            own = np.bincount(w, value[at], m) if len(key) else np.zeros(m)
+            base = np.bincount(w, np.log10((known.count[at] + 0.1) / share), m)
+            own = np.bincount(w, value[at], m)
             # a blank before the row's own key: no word begins with one
             mark = pa.array([f" {x}" for x in b.column("text_hash").to_pylist()], pa.string())
             cols = [b.column("doc_id"), b.column("text_hash"), mark, pa.nulls(m, pa.int32()), pa.array(np.diff(rows) + 1), pa.array(np.bincount(w, minlength=m)), pa.array(base), pa.array(own), pa.array(np.ones(m, np.int64))]
@@ -806,13 +839,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             at, hit = _place(key, look)
             own = np.bincount(of[hit], adds[at[hit]], m) if len(key) else np.zeros(m)
             # one row a text for what is known here, one for each other pair that is not packed
-            left = ~hit & ~contexts.value.words.packed(before, now)[1]
+            left = ~hit & ~words.value.packed(before, now)[1]
             take = pa.array(np.concatenate([np.arange(m), of[left]]))
             pair = np.concatenate([mix(np.arange(m).astype(np.uint64)), look[left]]).view(np.int64)
             value = pa.array(np.concatenate([own, np.zeros(len(pair) - m)]), mask=np.arange(len(pair)) >= m)
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(take), b.column("text_hash").take(take), pa.array(pair), value], ["doc_id", "text_hash", "pair", "own"])
 
-    vocab = model.vocabulary.select(F.col("word").alias("_w"), "c", "p", "rest")
+    vocab = model.vocabulary.where(model.rare).select(F.col("word").alias("_w"), "c", "p", "rest")
     joined = d.mapInArrow(run, schema).join(vocab, F.col("word") == F.col("_w"), "left")
     c = F.coalesce("c", F.lit(0))
     whole = F.col("rows").isNotNull()
@@ -825,7 +858,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     # pairs that training lacks add nothing
     after = d.mapInArrow(run_pairs, f"doc_id {kind}, text_hash long, pair long, own double").join(model.rare_pairs.select("pair", "adds"), "pair", "left")
     after = after.select("doc_id", "text_hash", F.coalesce("own", "adds", F.lit(0.0)).alias("own"))
-    one = one.unionByName(after, allowMissingColumns=True).unionByName(pair_parts(d, model), allowMissingColumns=True)
+    one = one.unionByName(after, allowMissingColumns=True).unionByName(pair_parts(d, model, pairs), allowMissingColumns=True)
     per = one.groupBy("doc_id", "text_hash").agg(*[F.sum(x).alias(x) for x in ("n_tokens", "rows", "known", "base", "own")])
     # rows that repeat a text under one id are summed together, and returned each
     per = per.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
