@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -18,7 +18,7 @@ from featuremart.catalog.usage import WIDE_CTE, wide_users
 from featuremart.models import age_group as ag
 from featuremart.models import cancellation as cm
 from featuremart.models import sales_model as sm
-from featuremart.models.fitting import fitted, scored
+from featuremart.models.fitting import fitted, scored, spread
 from featuremart.models.kernel import RandomFourierFeatures
 from featuremart.models.search import successive_halving
 from featuremart.operators.target_stats import ordered_target_statistics, target_statistics, with_target_statistics
@@ -219,7 +219,7 @@ CANCEL_NUMERIC = ("stay_nights", "arrival_month", "arrival_dow", "prior_bookings
 
 
 def _bookings(spark, sf_dir):
-    b = hotel.bookings(spark, sf_dir)
+    b = stored(hotel.bookings(spark, sf_dir), "order-bookings")  # read three times
     stay = bk.stay_features(b).select("booking_id", "arrival_month", "arrival_dow")
     prior = bk.prior_bookings(b).select("booking_id", "prior_bookings", "prior_cancellations")
     reviews = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("booking_id"), F.col("text").alias("review"))
@@ -240,22 +240,26 @@ SPLIT_AT = (0.6, 0.8)
 
 
 def _by_time(df, stored_as=None):
-    """``df`` with ``part``: train, then calibrate, then test by arrival."""
+    """``df`` with ``part``: train, then calibrate, then test by arrival. With
+    ``stored_as`` its rows are computed once: stored before the span is asked for."""
+    df = stored(df, stored_as) if stored_as else df
     span = df.agg(F.min("arrival").alias("lo"), F.max("arrival").alias("hi")).first()
     cuts = [F.lit(span["lo"] + (span["hi"] - span["lo"]) * f) if span["lo"] else F.lit(None) for f in SPLIT_AT]
     cuts = [c.cast("timestamp_ntz") for c in cuts]
     part = F.when(F.col("arrival") < cuts[0], "train").when(F.col("arrival") < cuts[1], "calibrate").otherwise("test")
-    out = df.withColumn("part", part)
-    return stored(out, stored_as) if stored_as else out
+    return df.withColumn("part", part)
 
 
 def _cancel_rows(spark, sf_dir):
-    """Bookings with their part and review vector; text stages fitted once, on the
-    earliest bookings, for all models."""
-    data = _by_time(_bookings(spark, sf_dir).where("arrival is not null"), "bookings")
-    text = fitted(Pipeline(stages=cm.text_stages()), data.where("part = 'train'"))
-    keep = [c for c in data.columns if c != "review"]
-    return scored(text, data, [*keep, "review_tfidf"])
+    """Bookings with their part and review vector; texts are split into words once,
+    text stages fitted once, on the earliest bookings, for all models."""
+    words, weights = cm.text_stages()[:cm.WORD_STAGES], cm.text_stages()[cm.WORD_STAGES:]
+    texts = _bookings(spark, sf_dir).where("arrival is not null")
+    keep = [c for c in texts.columns if c != "review"]
+    hashed = PipelineModel(words).transform(texts).select(*keep, words[-1].getOutputCol())
+    data = _by_time(hashed, "bookings")
+    text = fitted(Pipeline(stages=weights), data.where("part = 'train'"))
+    return scored(text, data, [*keep, "part", "review_tfidf"])
 
 
 SCORED = ("booking_id", "price", "stay_nights", "is_canceled", "part", "label", "prediction")
@@ -263,7 +267,7 @@ SCORED = ("booking_id", "price", "stay_nights", "is_canceled", "part", "label",
 
 def _cancel_fit(rows, model="rf"):
     """The model fitted on the earliest bookings, and the later ones scored by it."""
-    trees = fitted(Pipeline(stages=cm.tree_stages(CANCEL_NUMERIC, model)), rows.where("part = 'train'"))
+    trees = fitted(Pipeline(stages=cm.tree_stages(CANCEL_NUMERIC, model)), spread(rows.where("part = 'train'")))
     later = scored(trees, rows.where("part <> 'train'"), [*SCORED, vector_to_array("probability")[1].alias("score")])
     return trees, later
 
@@ -436,4 +440,4 @@ def ordered_boosting(spark, sf_dir):
     later = with_target_statistics(rows.where("part = 'test'"), target_statistics(train, "label", BOOKING_CATEGORIES), BOOKING_CATEGORIES)
     inputs = ["stay_nights", "price", *[f"{c}_ts" for c in BOOKING_CATEGORIES]]
     pipe = Pipeline(stages=cm.tree_stages(inputs, "gbt", vectors=()))
-    return _macro_f1s(spark, [("gbt_ordered", _judged(pipe, stored(train.join(own, "booking_id"), "ordered-train"), later))])
+    return _macro_f1s(spark, [("gbt_ordered", _judged(pipe, spread(stored(train.join(own, "booking_id"), "ordered-train")), later))])

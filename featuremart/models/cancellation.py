@@ -19,6 +19,8 @@ SEED = 42
 TEXT_FEATURES = 1 << 18
 # Words kept for the trees: those that tell cancelled bookings best.
 TEXT_KEPT = 200
+# The first of the text stages learn nothing: they turn a text into hashed words.
+WORD_STAGES = 3
 
 
 def text_stages(text_col: str = "review", text_features: int = TEXT_FEATURES, kept: int = TEXT_KEPT) -> list:

@@ -1,4 +1,5 @@
-"""Fits whose models hold no training summary, and scored rows stored once.
+"""Fits whose models hold no training summary, rows dealt evenly over the tasks
+of a fit, and scored rows stored once.
 
 A fitted model keeps its training data frame alive through its summary, and
 every plan built on the model carries it along. A model read back from the
@@ -16,6 +17,19 @@ from pyspark.sql import Column, DataFrame
 
 from featuremart.session import shared_dir, stored
 
+# Rows of a training table that one task of a fit holds. MLlib keeps its inputs
+# cached by partition, trees at up to 3 kB a row of 200 features.
+ROWS_PER_TASK = 100_000
+
+
+def spread(rows: DataFrame, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Stored ``rows`` dealt evenly over tasks of about ``per_task``, however they
+    lie in files; a table of no more rows is left as it lies."""
+    n = rows.count()
+    if n <= per_task:
+        return rows
+    return rows.repartition(max(-(-n // per_task), rows.sparkSession.sparkContext.defaultParallelism))
+
 
 def fitted(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
     """``pipeline`` fitted on ``rows``, saved to the shared folder and read back."""
