@@ -327,7 +327,8 @@ def forecast_model(spark, sf_dir):
     data = stored(sm.training_frame(history, feats), "sales-frame")
     week = F.col("week")
     since = lambda d: week >= F.lit(d).cast("timestamp_ntz")
-    model = sm.forecaster().fit(data.where(~since(TEST_FROM)).withColumn("is_validation", since(VALIDATION_FROM)))
+    train = spread(data.where(~since(TEST_FROM)), sm.ROWS_PER_TASK)
+    model = sm.forecaster().fit(train.withColumn("is_validation", since(VALIDATION_FROM)))
     return fc.regression_metrics(model.transform(data.where(since(TEST_FROM))), "label", "prediction")
 
 

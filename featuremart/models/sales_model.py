@@ -12,12 +12,15 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from featuremart.models.fitting import spread
 from featuremart.plans.forecast import SERIES, calendar_features, lag_features, week_index
 from featuremart.session import stored
 
 SEED = 42
 LAGS = (1, 2, 3, 4)
 HORIZON = 4
+# Training rows that one task of the fit holds, cached by the trees.
+ROWS_PER_TASK = 500_000
 FEATURES: tuple[str, ...] = (
     *[f"lag_{k}" for k in LAGS], *[f"has_lag_{k}" for k in LAGS], "rolling_mean_4", "week_of_year", "month",
     "store_lines", "avg_discount",
@@ -112,7 +115,7 @@ def forecast_run(history: DataFrame, store_features: DataFrame, model_path: str,
     history = stored(history.select(*SERIES, "week", "sales"), "sales")
     store_features = stored(store_features, "store-features")
     data = stored(training_frame(history, store_features, horizon), "sales-frame")
-    data = data.withColumn("is_validation", F.col("week") >= F.lit(validation_from).cast("timestamp_ntz"))
+    data = spread(data, ROWS_PER_TASK).withColumn("is_validation", F.col("week") >= F.lit(validation_from).cast("timestamp_ntz"))
     model = forecaster().fit(data)
     model.write().overwrite().save(model_path)
     loaded = PipelineModel.load(model_path)

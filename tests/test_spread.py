@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from featuremart.models import fitting
+from featuremart.models import sales_model as sm
 from featuremart.session import stored
 
 
@@ -20,3 +21,26 @@ def test_rows_of_one_file_are_dealt_over_tasks(spark):
 def test_few_rows_stay_as_they_lie(spark):
     rows = stored(spark.range(100).coalesce(1), "few")
     assert fitting.spread(rows, 100) is rows
+
+
+def test_forecast_fit_reads_bounded_tasks(spark, monkeypatch):
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    class Spy:
+        def fit(self, data):
+            seen.append(_sizes(data))
+            raise Stop
+
+    monkeypatch.setattr(sm, "ROWS_PER_TASK", 300)
+    monkeypatch.setattr(sm, "forecaster", lambda: Spy())
+    days = F.expr("timestamp_ntz'2000-01-03 00:00:00' + make_dt_interval(cast(id % 60 as int) * 7)")
+    history = spark.range(6_000).select((F.col("id") % 5).alias("store_id"), F.concat(F.lit("d"), F.floor(F.col("id") / 60)).alias("dept"), days.alias("week"), F.lit(1).cast("decimal(18,2)").alias("sales"))
+    feats = history.select("store_id", "week", F.lit(2).cast("long").alias("store_lines"), F.lit(0.1).alias("avg_discount")).distinct()
+    try:
+        sm.forecast_run(history.coalesce(1), feats, "unused", "unused", "2001-01-01")
+    except Stop:
+        pass
+    assert len(seen[0]) >= 20 and max(seen[0]) <= 400
