@@ -14,7 +14,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -35,7 +35,11 @@ def directions(inputs: int, dimensions: int, gamma: float, seed: int) -> tuple[n
 
 def fourier(x: np.ndarray, dimensions: int, gamma: float, seed: int) -> np.ndarray:
     w, phase = directions(x.shape[1], dimensions, gamma, seed)
-    return np.sqrt(2.0 / dimensions) * np.cos(x @ w + phase)
+    out = x @ w  # the one large array: all that follows is done in place
+    out += phase
+    np.cos(out, out=out)
+    out *= np.sqrt(2.0 / dimensions)
+    return out
 
 
 class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
@@ -53,10 +57,15 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed, Def
     def _transform(self, dataset: DataFrame) -> DataFrame:
         size, gamma, seed = self.getOrDefault(self.dimensions), self.getOrDefault(self.gamma), self.getSeed()
 
-        @F.pandas_udf("array<double>")
-        def features(vectors: pd.Series) -> pd.Series:
-            if vectors.empty:
-                return vectors
-            return pd.Series(list(fourier(np.stack(vectors.to_numpy()), size, gamma, seed)))
+        @F.arrow_udf("array<double>")
+        def features(vectors: pa.Array) -> pa.Array:
+            if len(vectors) == 0:
+                return pa.array([], pa.list_(pa.float64()))
+            if vectors.null_count:
+                raise ValueError("a vector is null")
+            x = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+            ends = np.arange(0, (len(x) + 1) * size, size, dtype=np.int32)
+            # the array's own memory becomes the column: no list of rows, no copy
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(fourier(x, size, gamma, seed).reshape(-1)))
 
         return dataset.withColumn(self.getOutputCol(), array_to_vector(features(vector_to_array(self.getInputCol()))))

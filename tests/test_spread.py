@@ -1,9 +1,13 @@
 """Rows dealt evenly over the tasks of a fit, whatever files they lie in."""
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from featuremart.catalog import models
 from featuremart.models import fitting
 from featuremart.models import sales_model as sm
+from featuremart.models.kernel import RandomFourierFeatures, fourier
 from featuremart.session import stored
 
 
@@ -44,3 +48,22 @@ def test_forecast_fit_reads_bounded_tasks(spark, monkeypatch):
     except Stop:
         pass
     assert len(seen[0]) >= 20 and max(seen[0]) <= 400
+
+
+def test_one_batch_of_features_is_one_array(spark):
+    rows = spark.createDataFrame([(i, [i / 7.0, -i / 3.0]) for i in range(50)], "id long, v array<double>")
+    stage = RandomFourierFeatures(inputCol="x", outputCol="y", dimensions=16, gamma=0.5)
+    got = stage.transform(rows.withColumn("x", array_to_vector("v"))).select("id", "v", vector_to_array("y").alias("y")).collect()
+    assert len(got) == 50
+    for r in got:
+        assert np.allclose(r["y"], fourier(np.array([r["v"]]), 16, 0.5, 42)[0], rtol=0, atol=1e-12)
+
+
+def test_kernel_pairs_carry_no_features_through_a_shuffle(spark, monkeypatch):
+    """Only points and pairs of points are stored, no vector of features."""
+    names = []
+    keep = models.stored
+    monkeypatch.setattr(models, "stored", lambda df, name: names.append((name, df.columns)) or keep(df, name))
+    assert models.rbf_kernel(spark, "/root/testdata/sf0.001").first()["within"]
+    assert [c for n, c in names if n == "ring-pairs"] == [["user_id", "v", "w"]]
+    assert all("f" not in c for _, c in names)
