@@ -77,13 +77,13 @@ def _from_brackets(counts: DataFrame, wide: DataFrame, by: Sequence[str]) -> Dat
         if sizes.where(F.col("_m") > RANKED).isEmpty():
             return found
         part = F.size(F.filter("_edges", lambda e: e <= F.col("_x")))
-        parts = sized.where(F.col("_m") > RANKED).groupBy(*keys, part.alias("_part")).agg(
-            F.sum("_c").alias("_n"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"),
-            F.first("_edges").alias("_edges"), F.first("_ranks").alias("_ranks"),
-        )
+        # rows are counted by narrow keys; edges and ranks, two kB a row, come back a part
+        parts = sized.where(F.col("_m") > RANKED).groupBy(*keys, part.alias("_part")).agg(F.sum("_c").alias("_n"))
         # at most PARTS rows a bracket
         before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-        placed = parts.withColumn("_from", F.col("_below") + F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        counted = parts.withColumn("_from", F.col("_below") + F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        described = stored(_joined(brackets, sizes, keys, ["_edges"]), "bracket-edges")
+        placed = _joined(counted, described, keys, ["_lo", "_hi", "_edges", "_ranks"])
         mine = F.filter("_ranks", lambda r: (r >= F.col("_from")) & (r < F.col("_from") + F.col("_n")))
         low = F.when(F.col("_part") > 0, F.get("_edges", F.col("_part") - 1)).otherwise(F.col("_lo"))
         high = F.when(F.col("_part") < F.size("_edges"), F.get("_edges", F.col("_part"))).otherwise(F.col("_hi"))

@@ -8,6 +8,7 @@ from featuremart.catalog import models
 from featuremart.models import fitting
 from featuremart.models import sales_model as sm
 from featuremart.models.kernel import RandomFourierFeatures, fourier
+from featuremart.operators import quantiles
 from featuremart.session import stored
 
 
@@ -67,3 +68,22 @@ def test_kernel_pairs_carry_no_features_through_a_shuffle(spark, monkeypatch):
     assert models.rbf_kernel(spark, "/root/testdata/sf0.001").first()["within"]
     assert [c for n, c in names if n == "ring-pairs"] == [["user_id", "v", "w"]]
     assert all("f" not in c for _, c in names)
+
+
+def test_brackets_are_counted_without_their_edges(spark, monkeypatch):
+    """The rows of a bracket are aggregated by narrow keys; no edges are sorted along."""
+    plans = []
+    keep = quantiles.stored
+
+    def spy(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return keep(df, name)
+
+    monkeypatch.setattr(quantiles, "RANKED", 50)
+    monkeypatch.setattr(quantiles, "PARTS", 4)
+    monkeypatch.setattr(quantiles, "stored", spy)
+    values = [float(i * i % 1009) for i in range(700)]
+    got = quantiles.exact_quantiles(spark.createDataFrame([(v,) for v in values], "x double"), "x", [0.1, 0.5, 0.9]).collect()
+    assert {r["p"]: round(r["quantile"], 9) for r in got} == {p: round(float(np.quantile(values, p)), 9) for p in (0.1, 0.5, 0.9)}
+    narrowed = [plan for name, plan in plans if name == "brackets"][1:]
+    assert narrowed and all("first(" not in plan for plan in narrowed)
