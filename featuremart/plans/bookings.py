@@ -55,22 +55,40 @@ def prior_bookings(bookings: DataFrame) -> DataFrame:
     )
 
 
+def _term_counts(reviews: DataFrame) -> DataFrame:
+    """doc_id, term, tf of each text on its own. The sorted words of a text are
+    counted by where a run of equal words begins, so nothing is shuffled."""
+    words = reviews.where(F.col("text").isNotNull()).select("doc_id", F.sort_array(F.split(F.lower(F.col("text")), TOKEN_SPLIT)).alias("w"))
+    begins = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: ~F.get("w", i).eqNullSafe(F.get("w", i - 1)))
+    runs = words.withColumn("at", begins)
+    counts = F.transform("at", lambda p, k: F.struct(F.get("w", p).alias("term"), (F.coalesce(F.get("at", k + 1), F.size("w")) - p).cast("long").alias("tf")))
+    return runs.select("doc_id", F.inline(counts)).where(F.col("term") != "")
+
+
 def review_tfidf(reviews: DataFrame, spread: int | None = None) -> DataFrame:
     """TF-IDF over whole review texts, idf = ln((m + 1) / (df + 1)) with m
     the number of reviews (the MLlib definition).
 
-    Tokens are lower-cased letter runs. The texts are read and tokenised once:
-    term frequencies per (doc, term) are stored, and document frequencies are
-    counted from the stored table (with a map-side step, so a term present in
-    every document is no hot spot) and stored too. Both sides of the join are
-    then bare exchanges, so AQE can split a term that many documents hold.
+    Tokens are lower-cased letter runs. Each text is tokenised once, and its
+    terms are counted within its row; only texts whose ``doc_id`` comes more than
+    once are summed by (doc, term) with a shuffle. Term frequencies are stored,
+    and document frequencies are counted from the stored table (with a map-side
+    step, so a term present in every document is no hot spot) and stored too.
+    Both sides of the join are then bare exchanges, so AQE can split a term that
+    many documents hold.
     ``spread`` repartitions texts that arrive in few splits.
     """
-    tokens = spread_for_cpu(reviews.select("doc_id", "text"), spread, key="doc_id").select(
-        "doc_id", F.explode(F.split(F.lower(F.col("text")), TOKEN_SPLIT)).alias("term")
-    )
-    counted = tokens.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    tf = stored(counted.where(F.col("term") != ""), "tf")
+    texts = spread_for_cpu(reviews.select("doc_id", "text"), spread, key="doc_id")
+    per_id = reviews.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    repeated = stored(per_id.where(F.col("n") > 1).select(F.col("doc_id").alias("_id")), "repeated-docs")
+    if repeated.isEmpty():
+        counted = _term_counts(texts)
+    else:
+        same = texts["doc_id"].eqNullSafe(repeated["_id"])
+        once = _term_counts(texts.join(repeated, same, "left_anti"))
+        again = _term_counts(texts.join(repeated, same, "left_semi")).groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
+        counted = once.unionByName(again)
+    tf = stored(counted, "tf")
     df = stored(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "df")
     m = reviews.select(F.count(F.lit(1))).scalar()
     idf = F.log((m + 1) / (F.col("df") + 1))

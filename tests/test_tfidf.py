@@ -50,3 +50,25 @@ def test_term_of_every_document_is_split(spark):
             spark.conf.set(k, v)
     assert "isSkew=true" in plan or "skew=true" in plan
     assert "regexp" not in plan.lower() and "split(" not in plan  # tokenised once, before the join
+
+
+def test_terms_of_single_texts_are_counted_without_a_shuffle(spark, monkeypatch):
+    """Only texts whose doc_id repeats are summed by (doc, term)."""
+    from featuremart.plans import bookings
+
+    plans, keep = {}, bookings.stored
+
+    def spy(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(df, name)
+
+    monkeypatch.setattr(bookings, "stored", spy)
+    schema = "doc_id long, text string"
+    texts = [(1, "B a b-B 1a"), (2, ""), (3, None), (4, "12 !"), (5, "a É é")]
+    got = {(r["doc_id"], r["term"]): (r["tf"], r["df"]) for r in review_tfidf(spark.createDataFrame(texts, schema)).collect()}
+    assert got == {(1, "a"): (2, 2), (1, "b"): (3, 1), (5, "a"): (1, 2), (5, "é"): (2, 1)}
+    assert "Exchange" not in plans["tf"]
+    # repeated and null ids are summed, as one document each
+    more = [*texts, (1, "b c"), (None, "a"), (None, "a c"), (5, None)]
+    got = {(r["doc_id"], r["term"]): (r["tf"], r["df"]) for r in review_tfidf(spark.createDataFrame(more, schema)).collect()}
+    assert got == {(1, "a"): (2, 3), (1, "b"): (4, 1), (1, "c"): (1, 2), (5, "a"): (1, 3), (5, "é"): (2, 1), (None, "a"): (2, 3), (None, "c"): (1, 2)}
