@@ -26,6 +26,10 @@ from featuremart.plans.batch_features import contracted, customer_spine
 from featuremart.sources.tables import CleanSources
 
 
+# A row of all outputs takes about 300 bytes in each of two hash tables.
+ROWS_PER_TASK = 200_000
+
+
 class Dates:
     """The run dates in order, with the numbers that facts refer to."""
 
@@ -128,6 +132,12 @@ def _order_rows(clean: CleanSources, dates: Dates) -> tuple[DataFrame, DataFrame
     return steps, money, last
 
 
+def _tasks(customers: DataFrame, dates: Dates) -> int:
+    """Tasks of about ``ROWS_PER_TASK`` customers and dates."""
+    spark = customers.sparkSession
+    return max(-(-customers.count() * len(dates.all) // ROWS_PER_TASK), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def build_many(
     clean: CleanSources, run_dates: Sequence[dt.datetime], windows: Sequence[int] = DEFAULT_WINDOWS, zero_fill_conversions: bool = False
 ) -> DataFrame:
@@ -144,6 +154,8 @@ def build_many(
     every = frames[0]
     for frame in frames[1:]:
         every = every.unionByName(frame, allowMissingColumns=True)
+    # wide rows that shuffle small: tasks are sized by rows, and the running sums stay in them
+    every = every.repartition(_tasks(clean.customers, dates), "customer_id")
     summed = [c for f in (event_steps, product_steps, session_steps, length_steps, order_steps) for c in f.columns if c not in ("customer_id", "idx")]
     per_date = every.where(F.col("idx") < len(dates.all)).groupBy("customer_id", "idx").agg(
         *[F.sum(c).alias(c) for c in summed], F.max("_wanted").alias("_wanted"), F.sum("_usd").alias("_usd"), F.max("_last").alias("_last")

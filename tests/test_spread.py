@@ -87,3 +87,29 @@ def test_brackets_are_counted_without_their_edges(spark, monkeypatch):
     assert {r["p"]: round(r["quantile"], 9) for r in got} == {p: round(float(np.quantile(values, p)), 9) for p in (0.1, 0.5, 0.9)}
     narrowed = [plan for name, plan in plans if name == "brackets"][1:]
     assert narrowed and all("first(" not in plan for plan in narrowed)
+
+
+def test_backfill_rows_are_dealt_over_tasks(spark, monkeypatch):
+    """Customers of one small file, many dates: what a task holds is bounded by rows, not by shuffled bytes."""
+    import datetime as dt
+
+    from featuremart.plans import backfill
+    from featuremart.sources.tables import CleanSources
+
+    monkeypatch.setattr(backfill, "ROWS_PER_TASK", 100)
+    none = spark.range(0)
+    at = lambda c: F.lit(None).cast("timestamp_ntz").alias(c)
+    clean = CleanSources(
+        customers=stored(spark.range(1_000).coalesce(1).select(F.col("id").alias("customer_id"), at("signup_date")), "customers"),
+        sessions=none.select(F.col("id").alias("session_id"), F.col("id").alias("customer_id"), at("start_time")),
+        events=none.select(F.col("id").alias("event_id"), F.col("id").alias("session_id"), at("timestamp"), F.lit("page_view").alias("event_type"), F.lit("p").alias("product_id")),
+        orders=spark.range(500).select(F.col("id").alias("order_id"), F.col("id").alias("customer_id"), F.lit("2024-01-02 00:00:00").cast("timestamp_ntz").alias("order_time"), F.lit("1.00").alias("total_usd")),
+        run_date=dt.datetime(2024, 1, 5),
+    )
+    out = backfill.build_many(clean, [dt.datetime(2024, 1, d) for d in (1, 3, 5)])
+    got = out.withColumn("part", F.spark_partition_id()).collect()
+    assert len(got) == 3_000 and sum(r["orders_30"] for r in got) == 1_000
+    sizes = {}
+    for r in got:
+        sizes[r["part"]] = sizes.get(r["part"], 0) + 1
+    assert len(sizes) == 30 and max(sizes.values()) <= 200
