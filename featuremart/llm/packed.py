@@ -56,6 +56,10 @@ def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order with the sums of their counts."""
     if not len(keys):
         return keys, n
+    if n.max() == n.min():  # as before any summing: only keys are sorted
+        keys = np.sort(keys)
+        start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        return keys[start], np.diff(np.append(start, len(keys))) * n[0]
     order = np.argsort(keys, kind="stable")
     keys, n = keys[order], n[order]
     start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))

@@ -68,6 +68,7 @@ FREQUENT_PAIRS = 1 << 19
 PAIRS_IN_BUCKET = 1 << 21  # tokens
 PAIRS_HELD = 1 << 22  # in a task, while pairs are counted
 WORD_CONTEXT = 0.8, 50.0  # discount and strength of the restaurants of contexts
+LOOKED_UP = 1 << 18  # hashes at once
 FEW = 8  # customers seated one by one
 BLOCKS_FROM = 200  # weight from which customers are seated in blocks
 END = "\n"  # the end token; no word holds it
@@ -271,6 +272,39 @@ def _place(key: np.ndarray, look: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, key[at] == look
 
 
+class Places:
+    """Finds hashes in an ordered array: the top bits give the first place that can
+    hold one, which is within a place or two of it."""
+
+    def __init__(self, key: np.ndarray) -> None:
+        self.key = key
+        bits = max(len(key).bit_length() - 1, 1)
+        self.shift = np.uint64(64 - bits)
+        tops = (key >> self.shift).astype(np.int64)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(tops, minlength=1 << bits))]).astype(np.int32)
+
+    def __call__(self, look: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each of ``look``, and whether it is there."""
+        at, hit = np.zeros(len(look), np.int32), np.zeros(len(look), bool)
+        for i in range(0, len(look) if len(self.key) else 0, LOOKED_UP):
+            at[i : i + LOOKED_UP], hit[i : i + LOOKED_UP] = self._some(look[i : i + LOOKED_UP])
+        return at, hit
+
+    def _some(self, look: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        top = (look >> self.shift).astype(np.int32)
+        at, end = self.first[top], self.first[top + 1]
+        at = np.minimum(at, len(self.key) - 1)
+        hit = self.key[at] == look
+        todo = np.flatnonzero(~hit & (at + 1 < end))
+        while len(todo):
+            at[todo] += 1
+            now = self.key[at[todo]] == look[todo]
+            hit[todo] = now
+            todo = todo[~now]
+            todo = todo[at[todo] + 1 < end[todo]]
+        return at, hit
+
+
 @dataclass
 class Words:
     """The most frequent words by rank, and where the pairs of two of them are kept.
@@ -287,7 +321,7 @@ class Words:
     rare: int  # buckets of the other pairs
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("h", "before")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("h", "before", "places")}
 
     @cached_property
     def h(self) -> np.ndarray:
@@ -296,6 +330,10 @@ class Words:
         out[self.rank] = self.key
         return out
 
+    @cached_property
+    def places(self) -> Places:
+        return Places(self.key)
+
     @cached_property
     def before(self) -> np.ndarray:
         """Tokens of lower ranks; then of all."""
@@ -303,12 +341,14 @@ class Words:
 
     def ranks(self, look: np.ndarray) -> np.ndarray:
         """Rank, or -1."""
-        at, hit = _place(self.key, look)
+        at, hit = self.places(look)
         return np.where(hit, self.rank[at], -1).astype(np.int64) if len(self.key) else np.full(len(look), -1)
 
-    def packed(self, before: np.ndarray, now: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Number of each pair of hashes, and whether it is packed."""
-        ctx, w = self.ranks(before), self.ranks(now)
+    def packed(self, now: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of the pair of each token (its hash) and the one before it, and
+        whether it is packed."""
+        ranks = self.ranks(np.append(END_HASH, now))
+        ctx, w = ranks[:-1], ranks[1:]
         return ctx * len(self.key) + w, (ctx >= 0) & (ctx < self.contexts) & (w >= 0)
 
     def parts(self, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -378,7 +418,7 @@ def followers(texts: DataFrame, words: Broadcast) -> DataFrame:
 
         for b in slices(batches, limit=8 << 20):
             now, before, _ = _tokens(b)
-            key, both = known.packed(before, now)
+            key, both = known.packed(now)
             pairs.append(summed(key[both], np.ones(int(both.sum()), np.int64)))
             rare.append(_summed_rare(before[~both], now[~both], np.ones(int((~both).sum()), np.int64)))
             size += len(pairs[-1][0]) + len(rare[-1][0])
@@ -494,6 +534,16 @@ class Contexts:
         return _adds(own / (len(self.totals) - 1) / (strength + count[room]), self.rest(count)[room], p)
 
 
+def _ordered(key: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs in order with their texts, sorted as one number where it holds both."""
+    bits = int(of.max(initial=0)).bit_length()
+    if int(key.max(initial=0)).bit_length() + bits < 63:
+        both = np.sort((key << bits) | of)
+        return both >> bits, both & ((1 << bits) - 1)
+    order = np.argsort(key, kind="stable")
+    return key[order], of[order]
+
+
 @dataclass
 class Shared:
     """Broadcasts that rate the pairs."""
@@ -626,15 +676,14 @@ def pair_parts(docs: DataFrame, model: Model, often: Broadcast) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Words = shared.words.value
+        known = Places(often.value[0])
         for b in slices(batches, limit=16 << 20):
             ids, hashes = b.column("doc_id"), b.column("text_hash")
             now, before, off = _tokens(b)
             of = row_of(off)
-            key, left = words.packed(before, now)
-            left &= ~_place(often.value[0], _pair(before, now))[1]
-            key, of = key[left], of[left]
-            order = np.argsort(key, kind="stable")
-            key, of = key[order], of[order]
+            key, left = words.packed(now)
+            left &= ~known(_pair(before, now))[1]
+            key, of = _ordered(key[left], of[left])
             seal = hashlib.blake2b(repr((ids.to_pylist(), hashes.to_pylist())).encode(), digest_size=8).digest()
             name = int.from_bytes(seal, "little", signed=True)
             yield batch(ids.type, [-1 - (name & 0xFFFFF)], 2, [None], [None], [name], ids, hashes, [len(key)])
@@ -832,14 +881,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, adds = pairs.value
+        shared_pairs = Places(key)
         for b in slices(batches):
             m = b.num_rows
             now, before, off = _tokens(b)
             look, of = _pair(before, now), row_of(off)
-            at, hit = _place(key, look)
+            at, hit = shared_pairs(look)
             own = np.bincount(of[hit], adds[at[hit]], m) if len(key) else np.zeros(m)
             # one row a text for what is known here, one for each other pair that is not packed
-            left = ~hit & ~words.value.packed(before, now)[1]
+            left = ~hit & ~words.value.packed(now)[1]
             take = pa.array(np.concatenate([np.arange(m), of[left]]))
             pair = np.concatenate([mix(np.arange(m).astype(np.uint64)), look[left]]).view(np.int64)
             value = pa.array(np.concatenate([own, np.zeros(len(pair) - m)]), mask=np.arange(len(pair)) >= m)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from featuremart.llm.packed import pack, pack_counted, summed, unpack, unpack_counted
-from featuremart.llm.pitman_yor import Words
+from featuremart.llm.pitman_yor import Places, Words
 
 
 def test_round_trips():
@@ -31,3 +31,29 @@ def test_buckets_are_ranges_of_pairs(monkeypatch, size):
     assert [i for _, i, _ in runs] == [0, *(j for _, _, j in runs[:-1])] and runs[-1][2] == size * size
     assert [k for k, _, _ in runs] == sorted({k for k, _, _ in runs})
     assert list(words.buckets(np.zeros(0, np.int64))) == []
+
+
+def test_equal_counts_are_summed():
+    keys, n = summed(np.array([5, 2, 5, 2, 9, 5]), np.full(6, 3))
+    assert keys.tolist() == [2, 5, 9] and n.tolist() == [6, 9, 3]
+
+
+def test_places_of_hashes():
+    r = np.random.default_rng(5)
+    for size in (0, 1, 2, 3000):
+        key = np.unique(r.integers(0, 1 << 64, size, dtype=np.uint64))
+        close = np.append(key, key[:9] + np.uint64(1))  # many under the same top bits
+        key = np.unique(np.concatenate([close, np.arange(50, dtype=np.uint64), [(1 << 64) - 1]]).astype(np.uint64)) if size else key
+        look = np.concatenate([key, key + np.uint64(1), r.integers(0, 1 << 64, 500, dtype=np.uint64)]).astype(np.uint64)
+        at, hit = Places(key)(look)
+        assert (hit == np.isin(look, key)).all() and (key[at[hit]] == look[hit]).all()
+
+
+def test_words_are_looked_up_once():
+    """A token is looked up once, as itself and as the word before the next."""
+    h = np.sort(np.random.default_rng(6).integers(0, 1 << 64, 40, dtype=np.uint64))
+    words, seen = Words(h, np.arange(40, dtype=np.int32), np.full(40, 5), 30, 1), []
+    words.places = lambda look, find=words.places: (seen.append(len(look)), find(look))[1]
+    now = np.concatenate([h[[3, 35, 1]], [np.uint64(7)], h[[2, 2]]])
+    pair, packed = words.packed(now)
+    assert seen == [7] and packed.tolist() == [False, True, False, False, False, True] and pair[packed].tolist() == [3 * 40 + 35, 2 * 40 + 2]
