@@ -53,7 +53,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featuremart.llm.packed import pack, pack_counted, summed, unpack, unpack_counted
-from featuremart.llm.text import LOWER, SPACE_WORDS, id_crc, mix, row_of, row_sums, slices, span_hash, span_strings, stored, utf8, word_spans
+from featuremart.llm.text import LOWER, SPACE_WORDS, Kept, id_crc, mix, row_of, row_sums, slices, span_hash, span_strings, utf8, word_spans
 
 FREQUENT = 1 << 19
 SWEEPS = 3
@@ -216,7 +216,7 @@ def _bounds(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, off[:-1].copy(), off[1:].copy()
 
 
-def vocabulary(texts: DataFrame) -> DataFrame:
+def vocabulary(texts: DataFrame, store: Kept) -> DataFrame:
     """word, c: all tokens of ``texts`` (column text) with their counts, stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,12 +229,12 @@ def vocabulary(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([END]), pa.array([b.num_rows])], ["word", "c"])
 
     counted = texts.select("text").mapInArrow(run, "word string, c long")
-    return stored(counted.groupBy("word").agg(F.sum("c").alias("c")), "vocabulary")
+    return store.stored(counted.groupBy("word").agg(F.sum("c").alias("c")), "vocabulary")
 
 
 @dataclass
 class Model:
-    vocabulary: DataFrame  # word, h (hash), c, p, rest
+    vocabulary: DataFrame  # word, c, p, rest (null for the frequent ones)
     pairs: DataFrame  # pair, n, adds (log10 of what the context's own part adds)
     packed: DataFrame  # those of them that are kept by bucket
     rare_pairs: DataFrame  # the others
@@ -391,7 +391,7 @@ def _summed_rare(ctx: np.ndarray, w: np.ndarray, n: np.ndarray) -> tuple[np.ndar
     return ctx[first], w[first], np.bincount(inverse, weights=n, minlength=len(first)).astype(np.int64)
 
 
-def followers(texts: DataFrame, words: Broadcast) -> DataFrame:
+def followers(texts: DataFrame, words: Broadcast, store: Kept) -> DataFrame:
     """All adjacent tokens with counts, stored in one row a bucket (bucket, keys,
     counts): numbers of pairs of frequent words, and in buckets below 0 the
     hashes of other pairs."""
@@ -455,7 +455,7 @@ def followers(texts: DataFrame, words: Broadcast) -> DataFrame:
             yield row()
 
     sent = texts.select("text").mapInArrow(run, PACKED)
-    return stored(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, PACKED), "word-pairs")
+    return store.stored(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, PACKED), "word-pairs")
 
 
 def _longs(part: pa.RecordBatch, *names: str) -> list[np.ndarray]:
@@ -558,7 +558,7 @@ class Shared:
         return self.contexts.value.adds(words.name(pair), ctx, n, self.p.value[w], words.count[: words.contexts])
 
 
-def context_model(texts: DataFrame, rated: DataFrame, top: tuple[np.ndarray, ...], total: int, sweeps: int, seed: int) -> tuple[DataFrame, DataFrame, DataFrame, np.ndarray, Shared]:
+def context_model(texts: DataFrame, rated: DataFrame, top: tuple[np.ndarray, ...], total: int, sweeps: int, seed: int, store: Kept) -> tuple[DataFrame, DataFrame, DataFrame, np.ndarray, Shared]:
     """The packed pairs; pair, n, adds of the others; h, rest of the other contexts;
     own part and rest of the frequent contexts; what rates the packed pairs.
     ``rated``: h, p of the words that are not in ``top``, which holds hashes,
@@ -581,11 +581,11 @@ def context_model(texts: DataFrame, rated: DataFrame, top: tuple[np.ndarray, ...
                 value = pa.array(known.value[at] if len(h) else np.zeros(len(w)), mask=at < 0)
                 yield from _parts([pa.RecordBatch.from_arrays([pa.array(ctx.view(np.int64)), pa.array(w.view(np.int64)), pa.array(n), pa.array(room.astype(np.int32)), value], ["ctx", "w", "n", "room", "p"])])
 
-    found = followers(texts, words)
+    found = followers(texts, words, store)
     packed = found.where("bucket >= 0")
     other = found.where("bucket < 0").mapInArrow(look, "ctx long, w long, n long, room int, p double")
     joined = other.where("p is null").drop("p").join(rated.select(F.col("h").alias("w"), "p"), "w")
-    pairs = stored(other.where("p is not null").unionByName(joined), "rare-pairs")
+    pairs = store.stored(other.where("p is not null").unionByName(joined), "rare-pairs")
     many = pairs.where("room >= 0")
 
     def summed_up(before: np.ndarray | None, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -638,7 +638,8 @@ def context_model(texts: DataFrame, rated: DataFrame, top: tuple[np.ndarray, ...
         yield from _alone(batches, sweeps, seed)
 
     few = pairs.where("room < 0").select("ctx", "w", "n", "p").repartition("ctx").sortWithinPartitions("ctx")
-    done = stored(many.mapInArrow(rate, SCORES).unionByName(few.mapInArrow(alone, SCORES)), "pair-scores")
+    done = store.stored(many.mapInArrow(rate, SCORES).unionByName(few.mapInArrow(alone, SCORES)), "pair-scores")
+    store.drop("rare-pairs")
     rests = done.where("n is null").select(F.col("pair").alias("h"), F.col("value").alias("rest"))
     return packed, done.where("n is not null").withColumnRenamed("value", "adds"), rests, np.column_stack([own, rest]), shared
 
@@ -762,7 +763,8 @@ def _most(df: DataFrame, column: str, rows: int) -> Column:
 def fit(texts: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN, seed: int = 11) -> Model:
     """Learn from all of ``texts``: one pass to count words, one pass over the
     vocabulary for each sweep, one pass to count pairs, one over those for each sweep."""
-    vocab = vocabulary(texts)
+    store = Kept(texts.sparkSession)
+    vocab = vocabulary(texts, store)
     stats = vocab.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count(F.when(F.col("c") == 1, 1)).alias("one"), F.count(F.when(F.col("c") == 2, 1)).alias("two")).first()
     total, distinct = int(stats["n"] or 0), int(stats["v"])
     discount = min(max(stats["one"] / max(stats["one"] + 2 * stats["two"], 1), 0.1), 0.9)
@@ -802,14 +804,15 @@ def fit(texts: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN, seed: in
             h = pa.array(span_hash(*_bounds(part.column("word"))).view(np.int64))
             yield pa.RecordBatch.from_arrays([part.column("word"), h, part.column("c"), pa.array(p)], ["word", "h", "c", "p"])
 
-    rated = stored(vocab.mapInArrow(rate, "word string, h long, c long, p double"), "rated-words")
+    rated = store.stored(vocab.mapInArrow(rate, "word string, h long, c long, p double"), "rated-words")
+    store.drop("vocabulary")
     shared.destroy()
     unseen = max(1.0 - (rated.agg(F.sum("p")).first()[0] or 0.0), 1e-12)
     often = _most(rated, "c", FREQUENT)
     top = rated.where(often).select("h", "c", "p").toPandas().sort_values(["c", "h"], ascending=[False, True])
     most = top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64), top["p"].to_numpy(np.float64)
     others = rated.where(~often)
-    packed, rare, rests, follows, contexts = context_model(texts, others.select("h", "p"), most, total, sweeps, seed)
+    packed, rare, rests, follows, contexts = context_model(texts, others.select("h", "p"), most, total, sweeps, seed, store)
     rest = np.ones(len(most[0]))
     rest[: len(follows)] = follows[:, 1]
     if len(follows) < len(rest):
@@ -817,15 +820,16 @@ def fit(texts: DataFrame, sweeps: int = SWEEPS, burn_in: int = BURN_IN, seed: in
         got = rests.join(asked, "h").select("rank", "rest").toPandas()
         rest[got["rank"]] = got["rest"]
     frequent = np.log10(most[2]) + np.log10(rest)
-    known = stored(others.join(rests, "h"), "contexts")
-    rated = known.unionByName(rated.where(often), allowMissingColumns=True)
+    known = others.join(rests, "h").drop("h").unionByName(rated.where(often).drop("h"), allowMissingColumns=True)
+    known = store.stored(known, "contexts")
+    store.drop("rated-words")
     # pairs of at least this share of the tokens are at most FREQUENT_PAIRS
     least = max(-(-total // FREQUENT_PAIRS), 2)
     top = rated_pairs(packed, contexts, least).unionByName(rare.where(F.col("n") >= least)).toPandas()
     pair = top["pair"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(pair)
     shares = pair[order], top["adds"].to_numpy(np.float64)[order]
-    return Model(rated, rated_pairs(packed, contexts).unionByName(rare), packed, rare, contexts, total, distinct, unseen, ~often, frequent, shares, follows)
+    return Model(known, rated_pairs(packed, contexts).unionByName(rare), packed, rare, contexts, total, distinct, unseen, ~often, frequent, shares, follows)
 
 
 def _parts(batches: Iterator[pa.RecordBatch], rows: int = 50_000) -> Iterator[pa.RecordBatch]:
@@ -895,7 +899,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             value = pa.array(np.concatenate([own, np.zeros(len(pair) - m)]), mask=np.arange(len(pair)) >= m)
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(take), b.column("text_hash").take(take), pa.array(pair), value], ["doc_id", "text_hash", "pair", "own"])
 
-    vocab = model.vocabulary.where(model.rare).select(F.col("word").alias("_w"), "c", "p", "rest")
+    vocab = model.vocabulary.where(model.rare).select(F.col("word").alias("_w"), "c", (F.log10("p") + F.log10(F.coalesce("rest", F.lit(1.0)))).alias("adds"))
     joined = d.mapInArrow(run, schema).join(vocab, F.col("word") == F.col("_w"), "left")
     c = F.coalesce("c", F.lit(0))
     whole = F.col("rows").isNotNull()
@@ -903,7 +907,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         "doc_id", "text_hash", "n_tokens", "rows",
         F.when(whole, F.col("n_known")).when(c > 0, F.col("n")).otherwise(0).cast("long").alias("known"),
         F.when(whole, F.col("base")).otherwise(F.col("n") * F.log10((c + 0.1) / F.lit(share))).alias("base"),
-        F.when(whole, F.col("own")).otherwise(F.col("n") * (F.log10(F.coalesce("p", F.lit(model.unseen))) + F.log10(F.coalesce("rest", F.lit(1.0))))).alias("own"),
+        F.when(whole, F.col("own")).otherwise(F.col("n") * F.coalesce("adds", F.log10(F.lit(model.unseen)))).alias("own"),
     )
     # pairs that training lacks add nothing
     after = d.mapInArrow(run_pairs, f"doc_id {kind}, text_hash long, pair long, own double").join(model.rare_pairs.select("pair", "adds"), "pair", "left")

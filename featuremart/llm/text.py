@@ -62,6 +62,36 @@ def stored(df, name: str, files: int | None = None):
     return spark.read.schema(df.schema).parquet(path)
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+class Kept:
+    """Stored tables by name, each dropped as soon as nothing reads it any more. The
+    shuffle files of a write go with its end instead of the driver's next garbage
+    collection: only what was written is read again."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def stored(self, df, name: str):
+        before = self.spark.conf.get(SHUFFLE_CLEANUP, None)
+        self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            path = self.paths[name] = scratch(self.spark, name)
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(SHUFFLE_CLEANUP)
+            else:
+                self.spark.conf.set(SHUFFLE_CLEANUP, before)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, name: str) -> None:
+        """Leave an empty table in its place."""
+        self.spark.range(0).write.mode("overwrite").parquet(self.paths.pop(name))
+
+
 def unused(df, *names: str) -> list[str]:
     """The names, with underscores before those that ``df`` has already."""
     taken = {c.lower() for c in df.columns}

@@ -3,12 +3,14 @@
 import hashlib
 import math
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from featuremart.llm import bpe, langid, pii, pitman_yor, postings, quality, repeats, simhash, vectors, wordpiece
+from featuremart.llm.text import SHUFFLE_CLEANUP, Kept
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -123,6 +125,45 @@ def test_language_model_is_a_distribution_and_beats_the_base(spark):
     assert held[0] > held[1]
 
 
+def test_fit_keeps_only_tables_that_scores_read(spark, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "FREQUENT", 20)
+    made = {}
+
+    class Seen(pitman_yor.Kept):
+        def stored(self, df, name):
+            made[name] = out = super().stored(df, name)
+            made[name] = (self.paths[name], out.count())
+            return out
+
+    monkeypatch.setattr(pitman_yor, "Kept", Seen)
+    texts = [(i, " ".join(f"w{(i * k) % 97}" for k in range(60))) for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    model = pitman_yor.fit(docs)
+    rows = {name: (n, spark.read.parquet(path).count()) for name, (path, n) in made.items()}
+    assert all(n > 0 for n, _ in rows.values())
+    assert {name for name, (_, left) in rows.items() if not left} == {"vocabulary", "rated-words", "rare-pairs"}
+    # what is left is whole
+    assert model.vocabulary.count() == model.distinct == rows["vocabulary"][0]
+    assert model.pairs.agg(F.sum("n")).first()[0] == model.total
+    assert pitman_yor.score(docs, model).where("n_known = n_tokens and score < 0").count() == 40
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x for x in blocks.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+    before, conf = files(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    kept = Kept(spark)
+    out = kept.stored(spark.range(1000).repartition(5, "id"), "numbers")
+    until = time.time() + 30
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(SHUFFLE_CLEANUP, None) == conf
+    assert out.count() == 1000
+    path = kept.paths["numbers"]
+    kept.drop("numbers")
+    assert spark.read.parquet(path).count() == 0
+
+
 def test_rare_words_join_like_frequent_ones(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     whole = {r["doc_id"]: r for r in pitman_yor.scored(docs).collect()}
