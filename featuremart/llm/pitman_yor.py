@@ -53,7 +53,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featuremart.llm.packed import pack, pack_counted, summed, unpack, unpack_counted
-from featuremart.llm.text import LOWER, SPACE_WORDS, Kept, id_crc, mix, row_of, row_sums, slices, span_hash, span_strings, utf8, word_spans
+from featuremart.llm.text import SPACE_WORDS, Kept, distinct, id_crc, lowered, mix, row_of, row_sums, slices, span_hash, span_strings, utf8, word_spans
 
 FREQUENT = 1 << 19
 SWEEPS = 3
@@ -222,9 +222,9 @@ def vocabulary(texts: DataFrame, store: Kept) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, limit=8 << 20):
             data, off = utf8(b.column("text"))
-            data = LOWER[data]
+            data = lowered(data)
             s, e, _ = word_spans(data, off, SPACE_WORDS)
-            _, first, n = np.unique(span_hash(data, s, e), return_index=True, return_counts=True)
+            first, n = distinct(span_hash(data, s, e))
             yield pa.RecordBatch.from_arrays([span_strings(data, s[first], e[first]), pa.array(n.astype(np.int64))], ["word", "c"])
             yield pa.RecordBatch.from_arrays([pa.array([END]), pa.array([b.num_rows])], ["word", "c"])
 
@@ -252,7 +252,7 @@ def _tokens(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of every token (words and one end a text), of the one before it (the
     end token's for the first), and the n+1 offsets of the texts."""
     data, off = utf8(b.column("text"))
-    data = LOWER[data]
+    data = lowered(data)
     s, e, rows = word_spans(data, off, SPACE_WORDS)
     off = rows + np.arange(len(rows))
     now = np.full(off[-1], END_HASH, np.uint64)
@@ -856,7 +856,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for b in slices(batches):
             m = b.num_rows
             data, off = utf8(b.column("text"))
-            data = LOWER[data]
+            data = lowered(data)
             s, e, rows = word_spans(data, off, SPACE_WORDS)
             # words, then the end token of each text
             look = np.concatenate([span_hash(data, s, e), np.full(m, END_HASH)])
@@ -874,7 +874,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             rare = np.flatnonzero(~hit[: len(s)])
             ends = np.flatnonzero(~hit[len(s) :])
             pair = mix(look[rare]) ^ mix(of[rare].astype(np.uint64) + np.uint64(1))
-            _, first, times = np.unique(pair, return_index=True, return_counts=True)
+            first, times = distinct(pair)
             pick = rare[first]
             take = pa.array(np.concatenate([of[pick], ends]))
             text = pa.concat_arrays([span_strings(data, s[pick], e[pick]), pa.array([END] * len(ends), pa.string())])

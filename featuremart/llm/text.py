@@ -29,6 +29,21 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """``LOWER[data]``."""
+    upper = (data - np.uint8(65)) < 26
+    return data + (upper.view(np.uint8) << np.uint8(5))
+
+
+def _in_table(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``table[data]`` for a table of 256 truth values, by its runs of False."""
+    edges = np.flatnonzero(np.diff(table, prepend=True, append=True))
+    word = np.ones(len(data), bool)
+    for low, high in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+        word &= (data - np.uint8(low)) >= high - low
+    return word
+
+
 def id_crc(column: str | Column = "doc_id") -> Column:
     """crc32 of the id as text; a null id counts as the empty text."""
     col = F.col(column) if isinstance(column, str) else column
@@ -145,7 +160,7 @@ def word_spans(data: np.ndarray, off: np.ndarray, table: np.ndarray) -> tuple[np
     if n == 0:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(off), np.int64)
-    word = table[data]
+    word = _in_table(data, table)
     first = np.zeros(n + 1, bool)
     first[off] = True
     starts = word.copy()
@@ -174,10 +189,10 @@ def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     lanes = np.ndarray((len(data) + 1,), np.dtype("<u8"), padded.data, 0, (1,))
     length = ends - starts
-    h = length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    todo = np.arange(len(starts))
-    at = starts.copy()
-    left = length.copy()
+    # the first eight bytes of all spans, then those of longer ones
+    h = mix((length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (lanes[starts] & _MASK[np.minimum(length, 8)])) + np.uint64(0x632BE59BD9B4E019)
+    todo = np.flatnonzero(length > 8)
+    at, left = starts[todo] + 8, length[todo] - 8
     while len(todo):
         lane = lanes[at] & _MASK[np.minimum(left, 8)]
         h[todo] = mix(h[todo] ^ lane) + np.uint64(0x632BE59BD9B4E019)
@@ -186,6 +201,22 @@ def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return h
 
 
+def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place and number of each distinct hash, by hash: places are sorted
+    with the top bits of their hashes as one number, unless those bits are shared
+    by other hashes."""
+    bits = np.uint64(len(h).bit_length())
+    both = np.sort((h >> bits << bits) | np.arange(len(h), dtype=np.uint64))
+    at = (both & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    top, ordered = both >> bits, h[at]
+    new = top[1:] != top[:-1]
+    if (new != (ordered[1:] != ordered[:-1])).any():
+        _, first, n = np.unique(h, return_index=True, return_counts=True)
+        return first, n
+    start = np.flatnonzero(np.append(len(h) > 0, new))[: len(h)]
+    return at[start], np.diff(np.append(start, len(h)))
+
+
 def span_strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     """The bytes of the spans as an Arrow string array, without a Python loop."""
     length = ends - starts

@@ -5,6 +5,7 @@ import pytest
 
 from featuremart.llm.packed import pack, pack_counted, summed, unpack, unpack_counted
 from featuremart.llm.pitman_yor import Places, Words
+from featuremart.llm.text import ALNUM_WORDS, LOWER, SPACE_WORDS, distinct, lowered, word_spans
 
 
 def test_round_trips():
@@ -57,3 +58,24 @@ def test_words_are_looked_up_once():
     now = np.concatenate([h[[3, 35, 1]], [np.uint64(7)], h[[2, 2]]])
     pair, packed = words.packed(now)
     assert seen == [7] and packed.tolist() == [False, True, False, False, False, True] and pair[packed].tolist() == [3 * 40 + 35, 2 * 40 + 2]
+
+
+def test_bytes_are_mapped_as_by_their_tables():
+    data = np.random.default_rng(7).integers(0, 256, 5000).astype(np.uint8)
+    assert (lowered(data) == LOWER[data]).all() and lowered(data).dtype == np.uint8
+    for table in (SPACE_WORDS, ALNUM_WORDS, np.zeros(256, bool), np.ones(256, bool)):
+        s, e, _ = word_spans(data, np.array([0, len(data)]), table)
+        edges = np.flatnonzero(np.diff(table[data], prepend=False, append=False))
+        assert s.tolist() == edges[::2].tolist() and e.tolist() == edges[1::2].tolist()
+
+
+def test_distinct_hashes(monkeypatch):
+    r = np.random.default_rng(8)
+    unique, slow = np.unique, []
+    monkeypatch.setattr(np, "unique", lambda *x, **k: (slow.append(1), unique(*x, **k))[1])
+    # the second has hashes that differ in their lowest bits only
+    for h, again in ((r.integers(0, 1 << 64, 300, dtype=np.uint64)[r.integers(0, 300, 2000)], 0), (r.integers(0, 99, 2000, dtype=np.uint64), 1), (np.zeros(0, np.uint64), 1)):
+        first, n = distinct(h)
+        assert len(slow) == again
+        _, want, times = unique(h, return_index=True, return_counts=True)
+        assert (first == want).all() and (n == times).all() and len(first) == len(want)
